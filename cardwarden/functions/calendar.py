@@ -12,11 +12,30 @@ def weekday_name(number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in WEEKDAYS]), number)
 
 
-def micros(moment: Column) -> Column:
-    """Microseconds since 1970 of a wall-clock timestamp, independent of any time zone."""
-    days = F.datediff(F.to_date(moment), F.lit("1970-01-01").cast("date")).cast("bigint")
-    seconds = (days * 24 + F.hour(moment)) * 3600 + F.minute(moment) * 60
-    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), moment) * 1_000_000).cast("bigint")
+def day_number(moment: Column) -> Column:
+    """Days since 1970 of a date or wall-clock timestamp."""
+    return F.datediff(F.to_date(moment), F.lit("1970-01-01").cast("date")).cast("bigint")
+
+
+def hour_number(day: Column, hour: Column) -> Column:
+    """Hours since 1970 of a date and an hour of that day."""
+    return day_number(day) * 24 + hour
+
+
+def hour_start(number: Column) -> Column:
+    """Wall-clock start of an hour number."""
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(number / 24).cast("int"))
+    return day.cast("timestamp_ntz") + F.make_dt_interval(hours=F.pmod(number, F.lit(24)).cast("int"))
+
+
+def minute_number(moment: Column) -> Column:
+    """Minutes since 1970 of a wall-clock timestamp."""
+    return hour_number(moment, F.hour(moment)) * 60 + F.minute(moment)
+
+
+def seconds_between(earlier: Column, later: Column) -> Column:
+    """Seconds from one wall-clock timestamp to another, to the microsecond."""
+    return (later - earlier).cast("decimal(20,6)").cast("double")
 
 
 def month_year(text: Column) -> Column:

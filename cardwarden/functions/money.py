@@ -13,7 +13,8 @@ _LARGEST = 1e13
 
 def to_number(text: Column) -> Column:
     """Number in money text, null when it cannot be read."""
-    number = F.translate(text, "$,", "").try_cast("double")
+    bare = F.replace(F.replace(text, F.lit("$"), F.lit("")), F.lit(","), F.lit(""))
+    number = bare.try_cast("double")
     return F.when(F.abs(number) < _LARGEST, number)
 
 

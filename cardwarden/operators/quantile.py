@@ -1,4 +1,4 @@
-"""Exact discrete quantile of an integer column."""
+"""Exact discrete quantile of an integer column from its value counts."""
 
 from __future__ import annotations
 
@@ -9,26 +9,34 @@ from pyspark.sql import functions as F
 BIN = 10_000
 
 
-def exact_quantile(rows: DataFrame, name: str, q: float) -> Column:
-    """Smallest value with at least the fraction ``q`` of the non-null values at or below it.
+def value_counts(rows: DataFrame, name: str) -> DataFrame:
+    """Distinct non-null values ``v`` with their number of rows ``n``."""
+    return rows.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(
+        F.count("*").alias("n")
+    )
+
+
+def exact_quantile(counts: DataFrame, q: float) -> Column:
+    """Smallest value with at least the fraction ``q`` of all rows at or below it.
 
-    A scalar subquery. Values are counted per bin first; the bin that holds the rank is
-    found by a running sum over bins alone, and only that bin's distinct values are
-    sorted. No task therefore holds more than the bins or one bin of values.
+    A scalar subquery over value counts. Counts per bin come first; the bin that holds the
+    rank is found by a running sum over bins alone, and only that bin's values are sorted,
+    so no task holds more than the bins or one bin of values. The bin is picked by a join
+    to its one row: a filter would sink below the counting and read the input again,
+    whereas this way every step reuses the exchange of the counts.
     """
-    per_value = (
-        rows.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(F.count("*").alias("n"))
-    )
-    per_bin = per_value.groupBy(F.floor(F.col("v") / BIN).alias("bin")).agg(F.sum("n").alias("n"))
-    rank = F.greatest(F.ceil(per_value.agg(F.sum("n")).scalar() * q), F.lit(1))
+    in_bin = F.floor(F.col("v") / BIN)
+    rank = F.greatest(F.ceil(counts.agg(F.sum("n")).scalar() * q), F.lit(1))
+    bins = counts.groupBy(in_bin.alias("bin")).agg(F.sum("n").alias("n"))
     found = (
-        _running(per_bin, "bin")
+        _running(bins, "bin")
         .filter(F.col("upto") >= rank)
-        .agg(F.min_by(F.struct("bin", "before"), "bin"))
-        .scalar()
+        .agg(F.min("bin").alias("bin"), F.min("before").alias("rows_below"))
+    )
+    inside = counts.join(F.broadcast(found), in_bin == F.col("bin"))
+    return (
+        _running(inside, "v").filter(F.col("upto") + F.col("rows_below") >= rank).agg(F.min("v")).scalar()
     )
-    inside = per_value.filter(F.floor(F.col("v") / BIN) == found["bin"])
-    return _running(inside, "v").filter(F.col("upto") + found["before"] >= rank).agg(F.min("v")).scalar()
 
 
 def _running(groups: DataFrame, key: str) -> DataFrame:

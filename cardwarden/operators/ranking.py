@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Histogram width of ``first_rows``: bounds the rows of its only one-task step.
-_BINS = 1 << 20
+_BINS = 1 << 18
 
 
 def top_k(rows: DataFrame, k: int, *order: Column) -> DataFrame:
@@ -26,10 +26,8 @@ def first_rows(rows: DataFrame, key: str, n: int) -> DataFrame:
     """
     span = rows.agg(F.struct(F.min(key).alias("low"), F.max(key).alias("high")).alias("s")).scalar()
     low, high = span["low"], span["high"]
-    width = F.floor((high - low) / F.lit(_BINS)).cast("bigint") + 1
-    bins = rows.groupBy(F.floor((F.col(key) - low) / width).cast("bigint").alias("bin")).agg(
-        F.count("*").alias("n")
-    )
+    width = _div(high - low, F.lit(_BINS)) + 1
+    bins = rows.groupBy(_div(F.col(key) - low, width).alias("bin")).agg(F.count("*").alias("n"))
     running = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     last_bin = (
         bins.withColumn("before", running - F.col("n"))
@@ -38,3 +36,8 @@ def first_rows(rows: DataFrame, key: str, n: int) -> DataFrame:
         .scalar()
     )
     return rows.filter(F.col(key) < low + (last_bin + 1) * width).orderBy(key).limit(n)
+
+
+def _div(number: Column, by: Column) -> Column:
+    """Whole division of integers, exact beyond the precision of a double."""
+    return F.call_function("div", number, by)

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardwarden.functions.calendar import minute_number
+
 # Rows of one key that a single task sorts without trouble.
 HOT_ROWS = 2_000_000
+# A hot key is cut into this many groups per HOT_ROWS rows.
+_CUTS = 32
 
 
 def with_previous(
@@ -23,34 +27,27 @@ def with_previous(
     moment have no place in the order; they are kept with a null ``previous``.
 
     An ordinary key is one window group. A key with more than ``hot_rows`` rows is cut
-    into one group per minute; the first row of such a group takes its predecessor from
-    the last row of the group before, found by a partial aggregate. There are at most
-    ``rows / hot_rows`` hot keys, which bounds the broadcast list of them; the last-row
-    table has at most one row per hot key and minute. Rows without a place are spread at
-    random-looking but fixed groups, since they too may be many.
+    into equal spans of time, down to a minute, and each span is a group of its own. The
+    first row of such a group takes its predecessor from the last row of the group before,
+    which an aggregate over the hot keys alone finds. There are at most
+    ``rows / hot_rows`` hot keys, so the broadcast list of them stays small; without hot
+    keys adaptive execution drops that branch. Rows without a place are spread over fixed
+    groups by their ``tie``, since they too may be many.
     """
     placed = F.col(key).isNotNull() & F.col(moment).isNotNull()
-    hot_keys = (
-        rows.filter(placed)
-        .groupBy(F.col(key).alias("_hot"))
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select("_hot")
-    )
-    day = F.datediff(F.to_date(moment), F.lit("1970-01-01").cast("date")).cast("bigint")
-    minute = (day * 24 + F.hour(moment)) * 60 + F.minute(moment)
-    grouped = (
-        rows.join(F.broadcast(hot_keys), F.col(key) == F.col("_hot"), "left")
-        .withColumn(
-            "_group",
-            F.when(~placed, -1 - F.pmod(F.xxhash64(tie), F.lit(4096)))
-            .when(F.col("_hot").isNotNull(), minute)
-            .otherwise(F.lit(0).cast("bigint")),
-        )
+    minute = minute_number(F.col(moment))
+    hot_keys = _hot_keys(rows.filter(placed), key, minute, hot_rows)
+    span = F.floor((minute - F.col("_start")) / F.col("_width"))
+    grouped = rows.join(F.broadcast(hot_keys), F.col(key) == F.col("_hot"), "left").withColumn(
+        "_group",
+        F.when(~placed, -1 - F.pmod(F.xxhash64(tie), F.lit(4096)))
+        .when(F.col("_hot").isNotNull(), span)
+        .otherwise(F.lit(0).cast("bigint")),
     )
     last_of_group = (
-        grouped.filter(F.col("_hot").isNotNull() & placed)
-        .groupBy(F.col(key).alias("_hot"), "_group")
+        rows.filter(placed)
+        .join(F.broadcast(hot_keys), F.col(key) == F.col("_hot"))
+        .groupBy("_hot", span.alias("_group"))
         .agg(F.max_by(F.struct(*carried), F.struct(moment, tie)).alias("_last"))
     )
     before_group = last_of_group.select(
@@ -70,7 +67,19 @@ def with_previous(
     matched: Column = (F.col(key) == F.col("_key")) & (F.col("_group") == F.col("_at"))
     return (
         sequenced.join(before_group, matched, "left")
-        .withColumn("previous", F.coalesce(F.when(F.col("_follows"), in_group_row), "_before"))
-        .withColumn("previous", F.when(placed, F.col("previous")))
+        .withColumn(
+            "previous",
+            F.when(placed, F.coalesce(F.when(F.col("_follows"), in_group_row), F.col("_before"))),
+        )
         .select(*rows.columns, "previous")
     )
+
+
+def _hot_keys(rows: DataFrame, key: str, minute: Column, hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, and the minutes that one group of each spans."""
+    counted = rows.groupBy(F.col(key).alias("_hot")).agg(
+        F.count("*").alias("_n"), F.min(minute).alias("_start"), F.max(minute).alias("_end")
+    )
+    groups = F.ceil(F.col("_n") * _CUTS / hot_rows)
+    width = F.greatest(F.floor((F.col("_end") - F.col("_start")) / groups), F.lit(1))
+    return counted.filter(F.col("_n") > hot_rows).select("_hot", "_start", width.alias("_width"))

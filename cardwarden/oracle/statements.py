@@ -280,7 +280,7 @@ FROM (SELECT tx_hour, count(*) AS tx_count FROM tx GROUP BY tx_hour) h""",
         FROM tx GROUP BY card_id, h) g) x WHERE r = 1""",
         "impossible_travel": f"""SELECT id, card_id, previous_id, previous_city, merchant_city,
   round(km, 3) AS distance_km, hours FROM (
-  SELECT *, {_DISTANCE} AS km, (epoch_us(date) - epoch_us(p_date)) / 3.6e9 AS hours FROM (
+  SELECT *, {_DISTANCE} AS km, (epoch_us(date) - epoch_us(p_date)) / 1e6 / 3600 AS hours FROM (
     SELECT id, card_id, date, tx.merchant_city, latitude, longitude,
       lag(id) OVER w AS previous_id, lag(tx.merchant_city) OVER w AS previous_city,
       lag(date) OVER w AS p_date, lag(latitude) OVER w AS p_lat, lag(longitude) OVER w AS p_lon

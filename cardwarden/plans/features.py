@@ -18,8 +18,10 @@ def with_features(transactions: DataFrame) -> DataFrame:
     """Raw transactions plus number, calendar and error columns.
 
     Everything is a projection: an analysis that needs two of the columns reads and
-    computes just those two.
+    computes just those two. Staged transactions have the columns and pass unchanged.
     """
+    if "amount_cents" in transactions.columns:
+        return transactions
     return transactions.withColumn("amount_num", money.to_number(F.col("amount"))).withColumns(
         {
             "amount_cents": money.to_cents(F.col("amount_num")),

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions import money
-from cardwarden.functions.calendar import weekday_name
+from cardwarden.functions.calendar import hour_number, hour_start, weekday_name
 from cardwarden.functions.ratios import percent, with_share
 from cardwarden.operators.dimensions import with_category
-from cardwarden.operators.quantile import exact_quantile
+from cardwarden.operators.quantile import exact_quantile, value_counts
 from cardwarden.operators.ranking import top_k
 from cardwarden.policy import RiskPolicy
 
@@ -28,13 +28,13 @@ def amount_stats(tx: DataFrame) -> DataFrame:
 
 
 def amount_stats_exact(tx: DataFrame) -> DataFrame:
-    """As ``amount_stats`` with the exact discrete median."""
-    cents = F.col("amount_cents")
-    return tx.agg(
-        money.mean(cents).alias("mean_amount"),
-        money.lowest(cents).alias("min_amount"),
-        money.highest(cents).alias("max_amount"),
-    ).withColumn("median_amount", money.units(exact_quantile(tx, "amount_cents", 0.5)))
+    """As ``amount_stats`` with the exact discrete median, from counts per distinct amount."""
+    counts = value_counts(tx, "amount_cents")
+    return counts.agg(
+        F.try_divide(money.units(F.sum(F.col("v") * F.col("n"))), F.sum("n")).alias("mean_amount"),
+        money.lowest(F.col("v")).alias("min_amount"),
+        money.highest(F.col("v")).alias("max_amount"),
+    ).withColumn("median_amount", money.units(exact_quantile(counts, 0.5)))
 
 
 def amount_buckets(tx: DataFrame) -> DataFrame:
@@ -134,16 +134,21 @@ def card_hour_peaks(tx: DataFrame) -> DataFrame:
     """Busiest clock hour of each card (the earliest on a tie) and the active hours."""
     hours = (
         tx.filter(F.col("date").isNotNull())
-        .groupBy("card_id", F.date_trunc("hour", "date").cast("timestamp_ntz").alias("hour_start"))
+        .groupBy("card_id", "tx_day", "tx_hour")
         .agg(F.count("*").alias("n"))
+        .withColumn("hour_number", hour_number(F.col("tx_day"), F.col("tx_hour")))
     )
+    # One long orders by count and then by hour, which keeps the aggregate hash-based.
+    by_count_then_hour = F.col("hour_number") - F.col("n") * F.lit(100_000_000)
     return (
         hours.groupBy("card_id")
         .agg(
             F.count("*").alias("active_hours"),
             F.max("n").alias("peak_count"),
-            F.min_by("hour_start", F.struct(-F.col("n"), "hour_start")).alias("peak_hour"),
+            F.min_by("hour_number", by_count_then_hour).alias("hour_number"),
         )
+        .withColumn("peak_hour", hour_start(F.col("hour_number")))
+        .drop("hour_number")
         .orderBy(F.desc("peak_count"), "card_id")
     )
 
