@@ -136,7 +136,7 @@ _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
 
 
 def _export(d: Inputs) -> tuple[str, list[export.SinkStatus]]:
-    folder = shared_folder(d.raw.sparkSession, "export")
+    folder = shared_folder(d.spark, "export")
     results = {
         "card_risk_scores": scoring.card_risk_score(d.tx),
         "suspicious_cards": alerts.suspicious_card_days(d.tx),
@@ -148,7 +148,7 @@ def _export(d: Inputs) -> tuple[str, list[export.SinkStatus]]:
 
 def _export_all(d: Inputs) -> DataFrame:
     """Write all eight sinks, read each back and count its rows."""
-    spark = d.raw.sparkSession
+    spark = d.spark
     _, statuses = _export(d)
     saved = {}
     for status in statuses:
@@ -160,12 +160,12 @@ def _export_all(d: Inputs) -> DataFrame:
 
 def _read_results(d: Inputs) -> DataFrame:
     folder, _ = _export(d)
-    return files.read_result(d.raw.sparkSession, folder, "card_risk_scores")
+    return files.read_result(d.spark, folder, "card_risk_scores")
 
 
 def _partitioned_write(d: Inputs) -> DataFrame:
     """Enriched transactions written by month, read back and counted per month."""
-    spark = d.raw.sparkSession
+    spark = d.spark
     path = shared_folder(spark, "by-month")
     export.write_parquet(features.enriched_transactions(d.tx, d.codes), path, "tx_month")
     return spark.read.parquet(path).groupBy("tx_month").agg(F.count("*").alias("tx_count"))
@@ -179,7 +179,7 @@ def _csv_round_trip(rows: DataFrame, label: str, read: Callable) -> DataFrame:
 
 def _mcc_json(d: Inputs) -> DataFrame:
     """The code table as one JSON document (a few entries per code), read back."""
-    spark = d.raw.sparkSession
+    spark = d.spark
     path = shared_folder(spark, "mcc-json")
     codes = d.codes.filter(F.col("mcc").rlike("^[0-9]{1,4}$"))
     entries = F.map_from_entries(F.collect_list(F.struct("mcc", "merchant_category")))
@@ -188,7 +188,7 @@ def _mcc_json(d: Inputs) -> DataFrame:
 
 
 def _labels_json(d: Inputs) -> DataFrame:
-    spark = d.raw.sparkSession
+    spark = d.spark
     path = shared_folder(spark, "labels-json")
     answer = F.when(F.col("is_fraud"), "Yes").otherwise("No")
     line = F.format_string('"%d": "%s",', F.col("transaction_id"), answer)
@@ -232,7 +232,7 @@ _LINEITEM: dict[str, Query] = {
 
 
 def _on_events(plan: Callable[[Inputs], DataFrame]) -> Query:
-    return lambda spark, folder: plan(fixtures.event_inputs(spark, folder))
+    return lambda spark, folder: plan(Inputs(spark, folder))
 
 
 def all_queries() -> dict[str, Query]:

@@ -1,6 +1,6 @@
 """The driver's tables seen as card transactions (FIXTURES.md section 3).
 
-``event_inputs`` maps ``events`` to transactions and is what the correctness queries read;
+``Inputs`` maps ``events`` to transactions and is what the correctness queries read;
 ``lineitem_transactions`` gives more rows for the bench. Every row of every table is used:
 customers and parts that should match nothing get a number or key that matches nothing.
 """
@@ -8,6 +8,7 @@ customers and parts that should match nothing get a number or key that matches n
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,17 +31,39 @@ FIXTURE_POLICY = RiskPolicy(
 
 @dataclass(frozen=True)
 class Inputs:
-    raw: DataFrame
-    cards: DataFrame
-    users: DataFrame
-    codes: DataFrame
-    labels: DataFrame
-    places: DataFrame
+    """The five inputs and the city positions, each opened when first asked for."""
 
-    @property
+    spark: SparkSession
+    folder: str
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return event_transactions(self.spark, self.folder)
+
+    @cached_property
     def tx(self) -> DataFrame:
         return with_features(self.raw)
 
+    @cached_property
+    def cards(self) -> DataFrame:
+        return customer_cards(self.spark, self.folder)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return supplier_users(self.spark, self.folder)
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        return part_codes(self.spark, self.folder)
+
+    @cached_property
+    def labels(self) -> DataFrame:
+        return event_labels(self.spark, self.folder)
+
+    @cached_property
+    def places(self) -> DataFrame:
+        return nation_places(self.spark, self.folder)
+
     @property
     def typed_cards(self) -> DataFrame:
         return typed_cards(self.cards)
@@ -54,17 +77,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def event_inputs(spark: SparkSession, folder: str) -> Inputs:
-    return Inputs(
-        raw=event_transactions(spark, folder),
-        cards=customer_cards(spark, folder),
-        users=supplier_users(spark, folder),
-        codes=part_codes(spark, folder),
-        labels=event_labels(spark, folder),
-        places=nation_places(spark, folder),
-    )
-
-
 def _dollars(number: Column) -> Column:
     return F.concat(F.lit("$"), number.cast("decimal(12,2)").cast("string"))
 

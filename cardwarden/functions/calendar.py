@@ -9,7 +9,10 @@ WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "S
 
 def weekday_name(number: Column) -> Column:
     """Name of a weekday number; null stays null."""
-    return F.element_at(F.array(*[F.lit(name) for name in WEEKDAYS]), number)
+    names = F
+    for day, name in enumerate(WEEKDAYS, start=1):
+        names = names.when(number == day, F.lit(name))
+    return names
 
 
 def day_number(moment: Column) -> Column:
