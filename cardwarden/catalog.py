@@ -41,10 +41,10 @@ def _rounded(rows: DataFrame, digits: int, *names: str) -> DataFrame:
 
 def _alerts_by_policy(policy: RiskPolicy) -> dict[str, Callable[[Inputs], DataFrame]]:
     return {
-        "suspicious_card_days": lambda d: alerts.suspicious_card_days(d.tx, policy),
-        "alerts_by_criterion": lambda d: alerts.alerts_by_criterion(d.tx, policy),
-        "alerts_by_level": lambda d: alerts.alerts_by_level(d.tx, policy),
-        "top_suspicious_cards": lambda d: alerts.top_suspicious_cards(d.tx, policy),
+        "suspicious_card_days": lambda d: alerts.suspicious_card_days(d.days, policy),
+        "alerts_by_criterion": lambda d: alerts.alerts_by_criterion(d.days, policy),
+        "alerts_by_level": lambda d: alerts.alerts_by_level(d.days, policy),
+        "top_suspicious_cards": lambda d: alerts.top_suspicious_cards(d.days, policy),
     }
 
 
@@ -57,6 +57,12 @@ def _scores_by_policy(policy: RiskPolicy) -> dict[str, Callable[[Inputs], DataFr
         "risk_distribution": lambda d: scoring.risk_distribution(scores(d)),
         "high_risk_cards": lambda d: scoring.high_risk_cards(scores(d), policy),
         "segment_comparison": lambda d: _segments(d, policy),
+        "suspect_transactions": lambda d: segments.suspect_transactions(
+            d.raw, scoring.high_risk_cards(scores(d), policy)
+        ),
+        "normal_transactions": lambda d: segments.normal_transactions(
+            d.raw, scoring.high_risk_cards(scores(d), policy)
+        ),
         "summary": lambda d: summary.summary(d.tx, d.users, d.cards, scores(d), policy),
         "dark_web_cards": lambda d: scoring.dark_web_cards(scores(d), d.typed_cards, policy),
         "fraud_label_eval": lambda d: evaluation.fraud_label_eval(
@@ -78,6 +84,7 @@ _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
         {"cards": d.cards, "transactions": d.raw, "users": d.users, "mcc_codes": d.codes}
     ),
     "volumetry": lambda d: quality.volumetry(d.tx, d.users, d.cards),
+    "transaction_profile": lambda d: quality.transaction_profile(d.tx),
     "null_counts": lambda d: quality.null_counts(d.raw),
     "clean_amounts": lambda d: features.clean_amounts(d.tx),
     "non_positive_amounts": lambda d: quality.non_positive_amounts(d.tx),
@@ -91,12 +98,12 @@ _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
     "enriched_transactions": lambda d: features.enriched_transactions(d.tx, d.codes),
     "top_categories": lambda d: profiling.top_categories(d.tx, d.codes),
     "avg_amount_by_category": lambda d: profiling.avg_amount_by_category(d.tx, d.codes),
-    "tx_per_card_day": lambda d: profiling.tx_per_card_day(d.tx),
-    "amount_per_card_day": lambda d: profiling.amount_per_card_day(d.tx),
+    "tx_per_card_day": lambda d: alerts.tx_per_card_day(d.days),
+    "amount_per_card_day": lambda d: alerts.amount_per_card_day(d.days),
     "cities_per_card": lambda d: profiling.cities_per_card(d.tx),
     "error_ratio_global": lambda d: errors.error_ratio_global(d.tx),
     "error_ratio_by_card": lambda d: errors.error_ratio_by_card(d.tx),
-    "card_daily_stats": lambda d: alerts.card_daily_stats(d.tx),
+    "card_daily_stats": lambda d: alerts.card_daily_stats(d.days),
     "error_transactions": lambda d: errors.error_transactions(d.tx),
     "error_types": lambda d: errors.error_types(d.tx),
     "error_rate_by_card": lambda d: errors.error_rate_by_card(d.tx),
@@ -139,7 +146,7 @@ def _export(d: Inputs) -> tuple[str, list[export.SinkStatus]]:
     folder = shared_folder(d.spark, "export")
     results = {
         "card_risk_scores": scoring.card_risk_score(d.tx),
-        "suspicious_cards": alerts.suspicious_card_days(d.tx),
+        "suspicious_cards": alerts.suspicious_card_days(d.days),
         "error_rates": errors.error_rate_by_card(d.tx),
     }
     enriched = features.enriched_transactions(d.tx, d.codes)
@@ -224,8 +231,12 @@ def _lineitem_segments(tx: DataFrame) -> DataFrame:
 
 
 _LINEITEM: dict[str, Query] = {
-    "lineitem_card_daily_stats": _on_lineitem(alerts.card_daily_stats),
-    "lineitem_suspicious_card_days": _on_lineitem(alerts.suspicious_card_days),
+    "lineitem_card_daily_stats": _on_lineitem(
+        lambda tx: alerts.card_daily_stats(alerts.daily_totals(tx))
+    ),
+    "lineitem_suspicious_card_days": _on_lineitem(
+        lambda tx: alerts.suspicious_card_days(alerts.daily_totals(tx))
+    ),
     "lineitem_card_risk_score": _on_lineitem(scoring.card_risk_score),
     "lineitem_segment_comparison": _on_lineitem(_lineitem_segments),
 }

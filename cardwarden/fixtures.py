@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardwarden.plans.alerts import daily_totals
 from cardwarden.plans.features import typed_cards, typed_users, with_features
 from cardwarden.policy import RiskPolicy
 
@@ -44,6 +45,10 @@ class Inputs:
     def tx(self) -> DataFrame:
         return with_features(self.raw)
 
+    @cached_property
+    def days(self) -> DataFrame:
+        return daily_totals(self.tx)
+
     @cached_property
     def cards(self) -> DataFrame:
         return customer_cards(self.spark, self.folder)
@@ -73,8 +78,26 @@ class Inputs:
         return typed_users(self.users)
 
 
+# Fixed column lists of the tables used here; giving them spares each read a footer job.
+_COLUMNS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+    " props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _dollars(number: Column) -> Column:

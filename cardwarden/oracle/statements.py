@@ -119,6 +119,15 @@ ORDER BY suspicious_days DESC, suspicious_amount DESC, card_id LIMIT {p.top_susp
         "high_risk_cards": _events(
             f"SELECT card_id FROM scores WHERE risk_score >= {bound}", *cards
         ),
+        "suspect_transactions": _events(
+            f"SELECT {_RAW} FROM raw WHERE card_id IN (SELECT card_id FROM scores WHERE risk_score >= {bound})",
+            *cards,
+        ),
+        "normal_transactions": _events(
+            f"""SELECT {_RAW} FROM raw WHERE NOT EXISTS
+  (SELECT 1 FROM scores s WHERE s.card_id = raw.card_id AND risk_score >= {bound})""",
+            *cards,
+        ),
         "segment_comparison": _events(_SEGMENT_ROWS, *cards, _SEGMENTS.format(bound=bound)),
         "summary": _events(
             f"""SELECT {_VOLUMETRY},
@@ -223,6 +232,11 @@ def _plain_statements() -> dict[str, str]:
     selects = {
         "schema_report": "\nUNION ALL ".join(_columns_report(n, c) for n, c in _REPORT.items()),
         "volumetry": f"SELECT {_VOLUMETRY} FROM tx",
+        "transaction_profile": f"""SELECT count(*) AS transactions,
+  (SELECT count(*) FROM (SELECT DISTINCT merchant_id FROM tx) m) AS merchants,
+  count(*) FILTER (WHERE exact_amount <= 0) AS non_positive_count,
+  count(*) FILTER (WHERE mcc IS NULL) AS missing_mcc_count, {_RATIO[_RATIO.index('count(*) FILTER'):]},
+  {_MEAN} AS mean_amount, min(amount_num) AS min_amount, max(amount_num) AS max_amount FROM tx""",
         "null_counts": null_rows,
         "clean_amounts": "SELECT id, amount, amount_num FROM tx",
         "non_positive_amounts": "SELECT count(*) AS non_positive_count FROM tx WHERE exact_amount <= 0",

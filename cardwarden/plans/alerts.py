@@ -1,4 +1,7 @@
-"""Daily rules: card-days with too many transactions or cities or too high a sum."""
+"""Card-days: totals, and the rules for too many transactions or cities or too high a sum.
+
+All but ``daily_totals`` take its result, which a run over many analyses writes once.
+"""
 
 from __future__ import annotations
 
@@ -14,20 +17,45 @@ _CRITERIA = ("crit_volume", "crit_cities", "crit_amount")
 
 
 def daily_totals(tx: DataFrame) -> DataFrame:
-    """One row per card and day; the sum stays in cents for later exact sums."""
+    """One row per card and day, the rollup that all daily analyses share.
+
+    Sums stay in cents for later exact sums. An analysis that does not use a column, such
+    as the distinct cities, does not pay for it: Spark drops unused aggregates.
+    """
     return tx.groupBy("card_id", "tx_day").agg(
         F.count("*").alias("tx_count"),
         F.count_distinct("merchant_city").alias("city_count"),
         F.sum("amount_cents").alias("day_cents"),
+        F.count("amount_cents").alias("amount_count"),
     )
 
 
 def _in_units(days: DataFrame) -> DataFrame:
-    return days.withColumn("day_amount", money.units(F.col("day_cents"))).drop("day_cents")
+    return days.withColumn("day_amount", money.units(F.col("day_cents"))).drop(
+        "day_cents", "amount_count"
+    )
+
+
+def card_daily_stats(days: DataFrame) -> DataFrame:
+    return _in_units(days)
 
 
-def card_daily_stats(tx: DataFrame) -> DataFrame:
-    return _in_units(daily_totals(tx))
+def tx_per_card_day(days: DataFrame) -> DataFrame:
+    return days.select("card_id", "tx_day", "tx_count").orderBy("card_id", "tx_day")
+
+
+def amount_per_card_day(days: DataFrame) -> DataFrame:
+    """Sum and number of the readable amounts; days without any are left out."""
+    return (
+        days.filter(F.col("amount_count") > 0)
+        .select(
+            "card_id",
+            "tx_day",
+            money.units(F.col("day_cents")).alias("amount_total"),
+            F.col("amount_count").alias("tx_count"),
+        )
+        .orderBy("card_id", "tx_day")
+    )
 
 
 def flagged_days(days: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
@@ -51,17 +79,17 @@ def _alert_level(criteria: Column, policy: RiskPolicy) -> Column:
     return level_of(criteria, policy.alert_levels, policy.alert_floor)
 
 
-def suspicious_card_days(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
-    return _in_units(flagged_days(daily_totals(tx), policy)).orderBy(
+def suspicious_card_days(days: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
+    return _in_units(flagged_days(days, policy)).orderBy(
         F.desc("criteria_count"), F.desc("day_amount"), "card_id", "tx_day"
     )
 
 
-def alerts_by_criterion(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
-    return flagged_days(daily_totals(tx), policy).agg(*[F.count_if(c).alias(c) for c in _CRITERIA])
+def alerts_by_criterion(days: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
+    return flagged_days(days, policy).agg(*[F.count_if(c).alias(c) for c in _CRITERIA])
 
 
-def alerts_by_level(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
+def alerts_by_level(days: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
     """Distinct card-days and cards per alert level.
 
     A card-day is one row already, so counting complete (card, day) pairs needs no second
@@ -69,7 +97,7 @@ def alerts_by_level(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFra
     """
     complete = F.col("card_id").isNotNull() & F.col("tx_day").isNotNull()
     per_card = (
-        flagged_days(daily_totals(tx), policy)
+        flagged_days(days, policy)
         .groupBy("alert_level", "card_id")
         .agg(F.count_if(complete).alias("days"))
     )
@@ -83,7 +111,7 @@ def alerts_by_level(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFra
     )
 
 
-def top_suspicious_cards(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
+def top_suspicious_cards(days: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
     """Cards with the most suspicious days, then the highest sum on them."""
     worst = (
         F.max("alert_level")
@@ -91,7 +119,7 @@ def top_suspicious_cards(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> Da
         else _alert_level(F.max("criteria_count"), policy)
     )
     cards = (
-        flagged_days(daily_totals(tx), policy)
+        flagged_days(days, policy)
         .groupBy("card_id")
         .agg(
             F.count("*").alias("suspicious_days"),

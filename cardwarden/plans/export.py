@@ -15,6 +15,8 @@ from cardwarden.sources.files import read_result
 # Largest result that is written by one task as a single CSV file.
 SINGLE_FILE_ROWS = 1_000_000
 
+ENRICHED, SAMPLE = "enriched_transactions", "enriched_sample"
+
 
 @dataclass(frozen=True)
 class SinkStatus:
@@ -55,11 +57,10 @@ def csv_writer(rows: DataFrame) -> DataFrameWriter:
     )
 
 
-def write_csv(rows: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> None:
-    """Overwrite ``path``: one file for a small result, one per partition for a large one."""
-    if rows.count() <= single_file_rows:
-        rows = rows.coalesce(1)
-    csv_writer(rows).mode("overwrite").csv(path)
+def write_csv(rows: DataFrame, path: str, single_file: bool) -> None:
+    """Overwrite ``path``, with one file or with one per partition."""
+    files = rows.coalesce(1) if single_file else rows
+    csv_writer(files).mode("overwrite").csv(path)
 
 
 def export_all(
@@ -86,26 +87,32 @@ def export_all(
             statuses.append(SinkStatus(sink, file_format, path, error=str(failure).split("\n")[0]))
             return False
 
-    def parquet(name: str, rows: DataFrame, column: str | None) -> int:
-        write_parquet(rows, f"{folder}/parquet/{name}", column)
-        return read_result(spark, folder, name).count()
+    def parquet(path: str, rows: DataFrame, column: str | None) -> int:
+        write_parquet(rows, path, column)
+        return spark.read.parquet(path).count()
+
+    def csv(path: str, rows: DataFrame) -> int:
+        count = rows.count()
+        write_csv(rows, path, single_file=count <= SINGLE_FILE_ROWS)
+        return count
 
-    def csv(name: str, rows: DataFrame) -> int:
-        write_csv(rows, f"{folder}/csv/{name}")
-        return spark.read.option("header", True).csv(f"{folder}/csv/{name}").count()
+    def sample(path: str, rows: DataFrame) -> int:
+        write_csv(first_rows(rows, "id", policy.sample_rows), path, single_file=True)
+        return min(rows.count(), policy.sample_rows)
 
     saved: dict[str, DataFrame] = {}
-    for name, rows in [*results.items(), ("enriched_transactions", enriched)]:
-        column = partition_by if name == "enriched_transactions" else None
-        done = attempt(
-            name, "parquet", f"{folder}/parquet/{name}", lambda: parquet(name, rows, column)
-        )
+    for name, rows in [*results.items(), (ENRICHED, enriched)]:
+        path = f"{folder}/parquet/{name}"
+        column = partition_by if name == ENRICHED else None
+        done = attempt(name, "parquet", path, lambda: parquet(path, rows, column))
         saved[name] = read_result(spark, folder, name) if done else rows
 
+    enriched = saved.pop(ENRICHED)
     for name, rows in saved.items():
-        if name == "enriched_transactions":
-            name, rows = "enriched_sample", first_rows(rows, "id", policy.sample_rows)
-        attempt(name, "csv", f"{folder}/csv/{name}", lambda: csv(name, rows))
+        path = f"{folder}/csv/{name}"
+        attempt(name, "csv", path, lambda: csv(path, rows))
+    path = f"{folder}/csv/{SAMPLE}"
+    attempt(SAMPLE, "csv", path, lambda: sample(path, enriched))
 
     if any(s.error for s in statuses):
         raise ExportError(statuses)

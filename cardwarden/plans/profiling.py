@@ -189,23 +189,6 @@ def avg_amount_by_category(tx: DataFrame, codes: DataFrame) -> DataFrame:
 # Cards, clients, merchants, channels ----------------------------------------------------
 
 
-def tx_per_card_day(tx: DataFrame) -> DataFrame:
-    return (
-        tx.groupBy("card_id", "tx_day")
-        .agg(F.count("*").alias("tx_count"))
-        .orderBy("card_id", "tx_day")
-    )
-
-
-def amount_per_card_day(tx: DataFrame) -> DataFrame:
-    return (
-        tx.filter(F.col("amount_cents").isNotNull())
-        .groupBy("card_id", "tx_day")
-        .agg(money.total(F.col("amount_cents")).alias("amount_total"), F.count("*").alias("tx_count"))
-        .orderBy("card_id", "tx_day")
-    )
-
-
 def cities_per_card(tx: DataFrame) -> DataFrame:
     """Distinct cities per card, by way of one row per card and city."""
     visits = (

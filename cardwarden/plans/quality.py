@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardwarden.functions import money
 from cardwarden.functions.ratios import percent
 
 
@@ -70,6 +71,21 @@ def null_counts(transactions: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*cells)))
 
 
+def transaction_profile(tx: DataFrame) -> DataFrame:
+    """The scalar figures of the other reports, together from one pass."""
+    return tx.agg(
+        F.count("*").alias("transactions"),
+        _distinct_values("merchant_id").alias("merchants"),
+        F.count_if(F.col("amount_num") <= 0).alias("non_positive_count"),
+        F.count_if(F.col("mcc").isNull()).alias("missing_mcc_count"),
+        F.count_if("has_error").alias("transactions_with_error"),
+        percent(F.count_if("has_error"), F.count("*")).alias("error_pct"),
+        money.mean(F.col("amount_cents")).alias("mean_amount"),
+        F.min("amount_num").alias("min_amount"),
+        F.max("amount_num").alias("max_amount"),
+    )
+
+
 def non_positive_amounts(tx: DataFrame) -> DataFrame:
     return tx.filter(F.col("amount_num").isNotNull() & (F.col("amount_num") <= 0)).agg(
         F.count("*").alias("non_positive_count")

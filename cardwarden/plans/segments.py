@@ -11,6 +11,15 @@ from cardwarden.functions.ratios import percent
 SUSPECT, NORMAL = "SUSPECT", "NORMAL"
 
 
+def suspect_transactions(tx: DataFrame, suspects: DataFrame) -> DataFrame:
+    return tx.join(suspects.select("card_id"), "card_id", "left_semi")
+
+
+def normal_transactions(tx: DataFrame, suspects: DataFrame) -> DataFrame:
+    """All others, those without a card among them."""
+    return tx.join(suspects.select("card_id"), "card_id", "left_anti")
+
+
 def segment_comparison(tx: DataFrame, suspects: DataFrame) -> DataFrame:
     """Mean and spread of amounts, cities, error rate and activity of both segments.
 

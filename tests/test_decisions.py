@@ -15,7 +15,7 @@ from cardwarden.policy import RiskPolicy
 DAY = dt.datetime(2020, 1, 1, 12)
 
 
-def days(spark, *rows):
+def card_days(spark, *rows):
     """Card-days: card, day of January, transactions, cities, cents."""
     schema = "card_id long, tx_day date, tx_count long, city_count long, day_cents long"
     data = [(card, dt.date(2020, 1, day), n, c, cents) for card, day, n, c, cents in rows]
@@ -32,10 +32,10 @@ def test_worst_level_follows_severity_not_spelling(spark, make_tx):
                      merchant_city=f"c{i % cities}", amount=amount)
             )
     tx = make_tx(*rows)
-    levels = {r["tx_day"].day: r["alert_level"] for r in alerts.suspicious_card_days(tx).collect()}
+    levels = {r["tx_day"].day: r["alert_level"] for r in alerts.suspicious_card_days(alerts.daily_totals(tx)).collect()}
     assert levels == {1: "MODERATE", 2: "CRITICAL", 3: "HIGH"}
-    assert alerts.top_suspicious_cards(tx).first()["risk_level_max"] == "CRITICAL"
-    as_words = alerts.top_suspicious_cards(tx, RiskPolicy(lexical_level_max=True)).first()
+    assert alerts.top_suspicious_cards(alerts.daily_totals(tx)).first()["risk_level_max"] == "CRITICAL"
+    as_words = alerts.top_suspicious_cards(alerts.daily_totals(tx), RiskPolicy(lexical_level_max=True)).first()
     assert as_words["risk_level_max"] == "MODERATE"
 
 
@@ -68,25 +68,37 @@ def test_money_text(spark, text, number):
 
 
 def test_unknown_sum_does_not_meet_the_amount_criterion(spark):
-    row = alerts.flagged_days(days(spark, (1, 1, 12, 1, None))).first()
+    row = alerts.flagged_days(card_days(spark, (1, 1, 12, 1, None))).first()
     assert row["criteria_count"] == 1 and row["alert_level"] == "MODERATE"
     assert row["crit_amount"] is False
 
 
 def test_sums_are_exact_in_any_order(spark, make_tx):
     rows = [dict(id=i, card_id=1, date=DAY, amount="$0.10") for i in range(10)]
-    assert alerts.card_daily_stats(make_tx(*rows, parts=5)).first()["day_amount"] == 1.0
+    assert alerts.card_daily_stats(alerts.daily_totals(make_tx(*rows, parts=5))).first()["day_amount"] == 1.0
 
 
 def test_day_criteria_are_strict(spark):
-    at_bound = days(spark, (1, 1, 10, 3, 100_000))
-    above = days(spark, (1, 1, 11, 3, 0), (2, 1, 1, 4, 0), (3, 1, 1, 1, 100_001))
+    at_bound = card_days(spark, (1, 1, 10, 3, 100_000))
+    above = card_days(spark, (1, 1, 11, 3, 0), (2, 1, 1, 4, 0), (3, 1, 1, 1, 100_001))
     assert alerts.flagged_days(at_bound).count() == 0
     found = {r["card_id"]: r for r in alerts.flagged_days(above).collect()}
     assert found[1]["crit_volume"] and found[2]["crit_cities"] and found[3]["crit_amount"]
     assert all(r["criteria_count"] == 1 for r in found.values())
 
 
+def test_days_without_readable_amounts(make_tx):
+    tx = make_tx(
+        dict(id=1, card_id=1, date=DAY, amount="n/a"),
+        dict(id=2, card_id=2, date=DAY, amount="$2"),
+        dict(id=3, card_id=2, date=DAY, amount=None),
+    )
+    days = alerts.daily_totals(tx)
+    assert [(r["card_id"], r["tx_count"]) for r in alerts.tx_per_card_day(days).collect()] == [(1, 1), (2, 2)]
+    rows = [(r["card_id"], r["amount_total"], r["tx_count"]) for r in alerts.amount_per_card_day(days).collect()]
+    assert rows == [(2, 2.0, 1)]
+
+
 def test_exact_median_is_discrete(spark, make_tx):
     tx = make_tx(*[dict(id=i, amount=f"${i}") for i in (1, 2, 3, 4)])
     assert profiling.amount_stats_exact(tx).first()["median_amount"] == 2.0

@@ -177,12 +177,14 @@ def test_a_failing_sink_does_not_stop_the_others(spark, tables, tmp_path):
     assert status["parquet", "all"].rows == 4 and status["csv", "enriched_sample"].rows == 4
 
 
-def test_large_csv_results_keep_their_partitions(spark, tmp_path):
-    rows = spark.range(100).repartition(4)
-    export.write_csv(rows, str(tmp_path / "many"), single_file_rows=99)
-    export.write_csv(rows, str(tmp_path / "one"), single_file_rows=100)
-    assert len(list((tmp_path / "many").glob("part-*"))) == 4
-    assert len(list((tmp_path / "one").glob("part-*"))) == 1
+def test_large_csv_results_keep_their_partitions(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(export, "SINGLE_FILE_ROWS", 3)
+    results = {"large": tables.tx.select("id").repartition(2, "id"), "small": spark.range(3)}
+    enriched = features.enriched_transactions(tables.tx, tables.codes)
+    export.export_all(results, enriched, str(tmp_path / "out"))
+    files_of = {n: len(list((tmp_path / "out" / "csv" / n).glob("part-*"))) for n in results}
+    assert files_of["small"] == 1
+    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "csv" / "large")).count() == 4
 
 
 def test_partitioned_parquet(spark, tables, tmp_path):
@@ -213,3 +215,17 @@ def test_shared_folder_needs_a_setting_on_a_cluster(spark):
 def test_shared_table(spark):
     rows = shared.shared_table(spark.range(5), "t")
     assert rows.count() == 5
+
+
+def test_whole_run(spark, paths, tmp_path):
+    from cardwarden import report
+
+    out = str(tmp_path / "out")
+    results = report.run(spark, paths, out, RiskPolicy(min_tx_card_rate=1, min_tx_client_rate=1))
+    assert {r["error_rate"] for r in results["client_context"].collect()} == {50.0}
+    for name, rows in results.items():
+        assert rows.count() >= 0, name
+    assert results["summary"].first()["scored_cards"] == 2
+    quality_of_cut = {r["risk_level"]: r for r in results["fraud_label_eval"].collect()}
+    assert quality_of_cut["NORMAL"]["true_positive"] == 1
+    assert export.read_results(spark, out, ["card_risk_scores"])["card_risk_scores"].count() == 2

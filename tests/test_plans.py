@@ -34,7 +34,7 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
 
 
 def test_card_day_counts_need_one_exchange_before_the_sort(staged):
-    plan = plan_of(profiling.tx_per_card_day(staged))
+    plan = plan_of(alerts.tx_per_card_day(alerts.daily_totals(staged)))
     assert plan.count("hashpartitioning") == 1 and plan.count("rangepartitioning") == 1
 
 
@@ -137,9 +137,9 @@ def test_alerts_of_skewed_cards(skewed, by_hand):
         )
         if met:
             expected[key] = met
-    got = alerts.suspicious_card_days(skewed).collect()
+    got = alerts.suspicious_card_days(alerts.daily_totals(skewed)).collect()
     assert {(r["card_id"], r["tx_day"]): r["criteria_count"] for r in got} == expected
-    levels = {r["alert_level"]: r for r in alerts.alerts_by_level(skewed).collect()}
+    levels = {r["alert_level"]: r for r in alerts.alerts_by_level(alerts.daily_totals(skewed)).collect()}
     names = {3: "CRITICAL", 2: "HIGH", 1: "MODERATE"}
     for number, name in names.items():
         keys = [k for k, met in expected.items() if met == number and k[0] is not None]
@@ -176,8 +176,9 @@ def test_buckets_and_levels_add_up(spark, sf_dir):
     assert buckets == tx.filter("amount_num IS NOT NULL").count()
     scores = scoring.card_scores(tx)
     assert scoring.risk_distribution(scores).agg(F.sum("card_count")).first()[0] == scores.count()
-    found = alerts.suspicious_card_days(tx)
-    fired = alerts.alerts_by_criterion(tx).first()
+    days = alerts.daily_totals(tx)
+    found = alerts.suspicious_card_days(days)
+    fired = alerts.alerts_by_criterion(days).first()
     assert sum(fired) >= found.count()
     assert found.filter("criteria_count < 1 OR criteria_count > 3").count() == 0
 
