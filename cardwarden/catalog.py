@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardwarden import fixtures
 from cardwarden.fixtures import FIXTURE_POLICY, Inputs
+from cardwarden.operators.ranking import first_rows
 from cardwarden.plans import (
     alerts,
     errors,
@@ -56,12 +57,12 @@ def _scores_by_policy(policy: RiskPolicy) -> dict[str, Callable[[Inputs], DataFr
         "card_risk_score": lambda d: scoring.card_risk_score(d.tx, policy),
         "risk_distribution": lambda d: scoring.risk_distribution(scores(d)),
         "high_risk_cards": lambda d: scoring.high_risk_cards(scores(d), policy),
-        "segment_comparison": lambda d: _segments(d, policy),
+        "segment_comparison": lambda d: _segments(d.tx, policy),
         "suspect_transactions": lambda d: segments.suspect_transactions(
-            d.raw, scoring.high_risk_cards(scores(d), policy)
+            d.raw, _suspects(d.tx, policy)
         ),
         "normal_transactions": lambda d: segments.normal_transactions(
-            d.raw, scoring.high_risk_cards(scores(d), policy)
+            d.raw, _suspects(d.tx, policy)
         ),
         "summary": lambda d: summary.summary(d.tx, d.users, d.cards, scores(d), policy),
         "dark_web_cards": lambda d: scoring.dark_web_cards(scores(d), d.typed_cards, policy),
@@ -71,9 +72,13 @@ def _scores_by_policy(policy: RiskPolicy) -> dict[str, Callable[[Inputs], DataFr
     }
 
 
-def _segments(d: Inputs, policy: RiskPolicy) -> DataFrame:
-    suspects = scoring.high_risk_cards(scoring.card_scores(d.tx, policy), policy)
-    compared = segments.segment_comparison(d.tx, shared_table(suspects, "suspects"))
+def _suspects(tx: DataFrame, policy: RiskPolicy) -> DataFrame:
+    suspects = scoring.high_risk_cards(scoring.card_scores(tx, policy), policy)
+    return shared_table(suspects, "suspects")
+
+
+def _segments(tx: DataFrame, policy: RiskPolicy) -> DataFrame:
+    compared = segments.segment_comparison(tx, _suspects(tx, policy))
     return _rounded(compared, 6, "stddev_amount")
 
 
@@ -96,6 +101,9 @@ _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
     "tx_by_hour": lambda d: profiling.tx_by_hour(d.tx),
     "tx_by_weekday": lambda d: profiling.tx_by_weekday(d.tx),
     "enriched_transactions": lambda d: features.enriched_transactions(d.tx, d.codes),
+    "enriched_sample": lambda d: first_rows(
+        features.enriched_transactions(d.tx, d.codes), "id", DEFAULT.sample_rows
+    ),
     "top_categories": lambda d: profiling.top_categories(d.tx, d.codes),
     "avg_amount_by_category": lambda d: profiling.avg_amount_by_category(d.tx, d.codes),
     "tx_per_card_day": lambda d: alerts.tx_per_card_day(d.days),
@@ -224,12 +232,6 @@ def _on_lineitem(plan: Callable[[DataFrame], DataFrame]) -> Query:
     )
 
 
-def _lineitem_segments(tx: DataFrame) -> DataFrame:
-    suspects = scoring.high_risk_cards(scoring.card_scores(tx, DEFAULT), DEFAULT)
-    compared = segments.segment_comparison(tx, shared_table(suspects, "suspects"))
-    return _rounded(compared, 6, "stddev_amount")
-
-
 _LINEITEM: dict[str, Query] = {
     "lineitem_card_daily_stats": _on_lineitem(
         lambda tx: alerts.card_daily_stats(alerts.daily_totals(tx))
@@ -238,7 +240,7 @@ _LINEITEM: dict[str, Query] = {
         lambda tx: alerts.suspicious_card_days(alerts.daily_totals(tx))
     ),
     "lineitem_card_risk_score": _on_lineitem(scoring.card_risk_score),
-    "lineitem_segment_comparison": _on_lineitem(_lineitem_segments),
+    "lineitem_segment_comparison": _on_lineitem(lambda tx: _segments(tx, DEFAULT)),
 }
 
 

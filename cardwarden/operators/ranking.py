@@ -19,23 +19,28 @@ def first_rows(rows: DataFrame, key: str, n: int) -> DataFrame:
 
     A plain sort and limit lets every task send ``n`` rows to one final task, which for a
     sample of 100 000 rows over many thousands of tasks is too much. A histogram of the
-    key (two passes over that one column) first finds a value that already has ``n`` rows
-    at or below it. The filter on that value reaches the scan, so that only the rows of
-    about one bin more than needed are sorted. The result is exact for any key
-    distribution.
+    key (two passes over that one column) first finds a value with at least ``n`` rows at
+    or below it. The filter on that value reaches the scan, so that only the rows of about
+    one bin more than needed are sorted. The result is exact for any key distribution.
     """
-    span = rows.agg(F.struct(F.min(key).alias("low"), F.max(key).alias("high")).alias("s")).scalar()
-    low, high = span["low"], span["high"]
-    width = _div(high - low, F.lit(_BINS)) + 1
-    bins = rows.groupBy(_div(F.col(key) - low, width).alias("bin")).agg(F.count("*").alias("n"))
+    keyed = rows.filter(F.col(key).isNotNull())
+    span = keyed.agg(F.struct(F.min(key).alias("low"), F.max(key).alias("high")).alias("s")).scalar()
+    # Divided before the subtraction, which might overflow.
+    width = _div(span["high"], F.lit(_BINS)) - _div(span["low"], F.lit(_BINS)) + 1
+    bins = keyed.groupBy(_div(F.col(key), width).alias("bin")).agg(F.count("*").alias("n"))
     running = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    last_bin = (
+    last = F.max("bin")
+    # Whole division rounds toward zero: a bin below zero ends at its own multiple.
+    end = F.when(last < 0, last * width).otherwise(
+        F.coalesce(F.try_multiply(last + 1, width) - 1, span["high"])
+    )
+    bound = (
         bins.withColumn("before", running - F.col("n"))
         .filter(F.col("before") < n)
-        .agg(F.max("bin"))
+        .agg(end.alias("bound"))
         .scalar()
     )
-    return rows.filter(F.col(key) < low + (last_bin + 1) * width).orderBy(key).limit(n)
+    return keyed.filter(F.col(key) <= bound).orderBy(key).limit(n)
 
 
 def _div(number: Column, by: Column) -> Column:

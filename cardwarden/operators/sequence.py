@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.functions.calendar import minute_number
+from cardwarden.operators.skew import HOT_ROWS, hot_keys
 
-# Rows of one key that a single task sorts without trouble.
-HOT_ROWS = 2_000_000
 # A hot key is cut into this many groups per HOT_ROWS rows.
 _CUTS = 32
 
@@ -36,9 +35,9 @@ def with_previous(
     """
     placed = F.col(key).isNotNull() & F.col(moment).isNotNull()
     minute = minute_number(F.col(moment))
-    hot_keys = _hot_keys(rows.filter(placed), key, minute, hot_rows)
+    listed = _spans(rows.filter(placed), key, minute, hot_rows)
     span = F.floor((minute - F.col("_start")) / F.col("_width"))
-    grouped = rows.join(F.broadcast(hot_keys), F.col(key) == F.col("_hot"), "left").withColumn(
+    grouped = rows.join(F.broadcast(listed), F.col(key) == F.col("_hot"), "left").withColumn(
         "_group",
         F.when(~placed, -1 - F.pmod(F.xxhash64(tie), F.lit(4096)))
         .when(F.col("_hot").isNotNull(), span)
@@ -46,7 +45,7 @@ def with_previous(
     )
     last_of_group = (
         rows.filter(placed)
-        .join(F.broadcast(hot_keys), F.col(key) == F.col("_hot"))
+        .join(F.broadcast(listed), F.col(key) == F.col("_hot"))
         .groupBy("_hot", span.alias("_group"))
         .agg(F.max_by(F.struct(*carried), F.struct(moment, tie)).alias("_last"))
     )
@@ -75,11 +74,9 @@ def with_previous(
     )
 
 
-def _hot_keys(rows: DataFrame, key: str, minute: Column, hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, and the minutes that one group of each spans."""
-    counted = rows.groupBy(F.col(key).alias("_hot")).agg(
-        F.count("*").alias("_n"), F.min(minute).alias("_start"), F.max(minute).alias("_end")
-    )
+def _spans(rows: DataFrame, key: str, minute: Column, hot_rows: int) -> DataFrame:
+    """Hot keys with their first minute and the minutes that one group of each spans."""
+    ends = (F.min(minute).alias("_start"), F.max(minute).alias("_end"))
     groups = F.ceil(F.col("_n") * _CUTS / hot_rows)
     width = F.greatest(F.floor((F.col("_end") - F.col("_start")) / groups), F.lit(1))
-    return counted.filter(F.col("_n") > hot_rows).select("_hot", "_start", width.alias("_width"))
+    return hot_keys(rows, key, hot_rows, *ends).select("_hot", "_start", width.alias("_width"))

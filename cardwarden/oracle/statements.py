@@ -187,6 +187,8 @@ GROUP BY merchant_category HAVING count(*) >= 50"""
 _SHARE = "{0} / CAST(sum({0}) OVER () AS BIGINT) * 100"
 _RAW = "id, date, client_id, card_id, amount, use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors"
 
+_ENRICHED = f"{_RAW}, amount_num, tx_hour, tx_weekday, tx_month, tx_day, has_error, merchant_category"
+
 
 def _columns_report(name: str, columns: dict[str, str]) -> str:
     rows = [
@@ -249,8 +251,8 @@ WHERE exact_amount IS NOT NULL GROUP BY 1""",
         "tx_by_hour": "SELECT tx_hour, count(*) AS tx_count FROM tx GROUP BY tx_hour",
         "tx_by_weekday": """SELECT tx_weekday, dayname(min(date)) AS weekday_name, count(*) AS tx_count
 FROM tx GROUP BY tx_weekday""",
-        "enriched_transactions": f"""SELECT {_RAW}, amount_num, tx_hour, tx_weekday, tx_month, tx_day,
-  has_error, merchant_category FROM tc""",
+        "enriched_transactions": f"SELECT {_ENRICHED} FROM tc",
+        "enriched_sample": f"SELECT {_ENRICHED} FROM tc ORDER BY id LIMIT {RiskPolicy().sample_rows}",
         "top_categories": """SELECT merchant_category, count(*) AS tx_count FROM tc GROUP BY 1
 ORDER BY tx_count DESC, merchant_category NULLS FIRST LIMIT 10""",
         "avg_amount_by_category": f"""SELECT merchant_category, {_MEAN} AS mean_amount, count(*) AS tx_count

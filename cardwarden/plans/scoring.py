@@ -2,28 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions import money
 from cardwarden.functions.ratios import percent
 from cardwarden.functions.tiers import level_of, tier_points
+from cardwarden.operators.skew import HOT_ROWS, distinct_by_heat
 from cardwarden.policy import RiskPolicy
 
 
-def card_risk_features(tx: DataFrame) -> DataFrame:
-    """One row per card; cards without number form one row as well."""
-    return tx.groupBy("card_id").agg(
+def card_risk_features(tx: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row per card; transactions without a card form one row as well."""
+    used = tx.select("card_id", "merchant_city", "tx_day", "mcc", "amount_cents", "has_error")
+    return distinct_by_heat(used, "card_id", _features, hot_rows)
+
+
+def _features(rows: DataFrame, distinct: Callable[[str], Column]) -> DataFrame:
+    cents = F.col("amount_cents")
+    return rows.groupBy("card_id").agg(
         F.count("*").alias("total_transactions"),
-        F.count_distinct("merchant_city").alias("city_count"),
-        money.total(F.col("amount_cents")).alias("amount_total"),
-        money.mean(F.col("amount_cents")).alias("amount_mean"),
-        money.highest(F.col("amount_cents")).alias("amount_max"),
+        distinct("merchant_city").alias("city_count"),
+        money.total(cents).alias("amount_total"),
+        money.mean(cents).alias("amount_mean"),
+        money.highest(cents).alias("amount_max"),
         F.count_if("has_error").alias("error_count"),
         percent(F.count_if("has_error"), F.count("*")).alias("error_rate"),
-        F.count_distinct("tx_day").alias("active_days"),
-        F.try_divide(F.count("*"), F.count_distinct("tx_day")).alias("tx_per_active_day"),
-        F.count_distinct("mcc").alias("mcc_count"),
+        distinct("tx_day").alias("active_days"),
+        F.try_divide(F.count("*"), distinct("tx_day")).alias("tx_per_active_day"),
+        distinct("mcc").alias("mcc_count"),
     )
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from cardwarden.functions.calendar import seconds_between
 from cardwarden.functions.geo import distance_km
-from cardwarden.operators.sequence import HOT_ROWS, with_previous
+from cardwarden.operators.sequence import with_previous
+from cardwarden.operators.skew import HOT_ROWS
 from cardwarden.policy import RiskPolicy
 
 

@@ -96,6 +96,8 @@ def test_simultaneous_distant_transactions_are_impossible(spark, make_tx):
     [i * i for i in range(500)],
     [-(2**40) + i for i in range(250)] + [2**40 + i for i in range(250)],
     [7],
+    [-(2**63) + i for i in range(300)] + [2**63 - 1 - i for i in range(300)],
+    [-i * 1000 for i in range(400)],
 ])
 @pytest.mark.parametrize("n", [1, 37, 500, 900])
 def test_first_rows(spark, keys, n):

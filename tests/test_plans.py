@@ -108,8 +108,9 @@ def by_hand(skewed):
     return [r.asDict() for r in skewed.collect()]
 
 
-def test_features_of_skewed_cards(skewed, by_hand):
-    got = {r["card_id"]: r for r in scoring.card_risk_features(skewed).collect()}
+@pytest.mark.parametrize("hot_rows", [0, 50, 1000, 10**6])
+def test_features_of_skewed_cards(skewed, by_hand, hot_rows):
+    got = {r["card_id"]: r for r in scoring.card_risk_features(skewed, hot_rows).collect()}
     groups = {}
     for r in by_hand:
         groups.setdefault(r["card_id"], []).append(r)
@@ -124,6 +125,14 @@ def test_features_of_skewed_cards(skewed, by_hand):
         assert mine["error_count"] == sum(r["has_error"] for r in rows)
 
 
+def test_no_second_pass_without_hot_cards(staged):
+    frame = scoring.card_risk_features(staged)
+    frame.collect()
+    final = plan_of(frame).split("Initial Plan")[0]
+    # Only the branch of ordinary cards is left, and it needs one exchange.
+    assert "collect_set" in final and "Expand" not in final and "Union" not in final
+
+
 def test_alerts_of_skewed_cards(skewed, by_hand):
     days = {}
     for r in by_hand:
