@@ -10,6 +10,18 @@ from cardwarden.functions.calendar import month_year
 from cardwarden.operators.dimensions import with_category
 
 
+# Columns that ``with_features`` adds.
+FEATURES = (
+    "amount_num",
+    "amount_cents",
+    "tx_hour",
+    "tx_weekday",
+    "tx_month",
+    "tx_day",
+    "has_error",
+)
+
+
 def has_error(errors: Column) -> Column:
     return errors.isNotNull() & (errors != "")
 

@@ -242,4 +242,6 @@ def channel_profile(tx: DataFrame) -> DataFrame:
         F.count_if("has_error").alias("error_count"),
         percent(F.count_if("has_error"), F.count("*")).alias("error_rate"),
     )
-    return with_share(channels, "tx_count", "share_pct").orderBy("use_chip")
+    # Counting all rows reads no column.
+    everything = tx.agg(F.count("*")).scalar()
+    return with_share(channels, "tx_count", "share_pct", everything).orderBy("use_chip")

@@ -30,15 +30,16 @@ from cardwarden.sources.staging import Tables, open_sources, open_staged, stage
 def analyses(tables: Tables, policy: RiskPolicy = RiskPolicy()) -> dict[str, DataFrame]:
     """Every analysis by name, as DataFrames that are computed when used."""
     tx, cards, users, codes = tables.tx, tables.cards, tables.users, tables.codes
+    raw = tx.drop(*features.FEATURES)
     days = shared_table(alerts.daily_totals(tx), "card-days")
     scores = shared_table(scoring.card_scores(tx, policy), "card-scores")
     suspects = shared_table(scoring.high_risk_cards(scores, policy), "suspects")
     return {
-        "schema_report": quality.schema_report(vars(tables)),
+        "schema_report": quality.schema_report({**vars(tables), "tx": raw}),
         "volumetry": quality.volumetry(tx, users, cards),
         "transaction_profile": quality.transaction_profile(tx),
-        "null_counts": quality.null_counts(tx),
-        "online_geography": quality.online_geography(tx),
+        "null_counts": quality.null_counts(raw),
+        "online_geography": quality.online_geography(raw),
         "amount_stats": profiling.amount_stats(tx),
         "amount_bucket_shares": profiling.amount_bucket_shares(tx),
         "amount_dispersion": profiling.amount_dispersion(tx),

@@ -226,6 +226,7 @@ def test_whole_run(spark, paths, tmp_path):
     for name, rows in results.items():
         assert rows.count() >= 0, name
     assert results["summary"].first()["scored_cards"] == 2
+    assert [r["column_name"] for r in results["null_counts"].collect()] == TRANSACTIONS.fieldNames()
     quality_of_cut = {r["risk_level"]: r for r in results["fraud_label_eval"].collect()}
     assert quality_of_cut["NORMAL"]["true_positive"] == 1
     assert export.read_results(spark, out, ["card_risk_scores"])["card_risk_scores"].count() == 2
