@@ -75,8 +75,16 @@ def with_previous(
 
 
 def _spans(rows: DataFrame, key: str, minute: Column, hot_rows: int) -> DataFrame:
-    """Hot keys with their first minute and the minutes that one group of each spans."""
-    ends = (F.min(minute).alias("_start"), F.max(minute).alias("_end"))
+    """Hot keys with their first minute and the minutes that one group of each spans.
+
+    Only the rows of hot keys are searched for their first and last minute, so that without
+    hot keys the count of rows per key is all this costs.
+    """
+    ends = (
+        rows.join(F.broadcast(hot_keys(rows, key, hot_rows)), F.col(key) == F.col("_hot"))
+        .groupBy("_hot")
+        .agg(F.count("*").alias("_n"), F.min(minute).alias("_start"), F.max(minute).alias("_end"))
+    )
     groups = F.ceil(F.col("_n") * _CUTS / hot_rows)
     width = F.greatest(F.floor((F.col("_end") - F.col("_start")) / groups), F.lit(1))
-    return hot_keys(rows, key, hot_rows, *ends).select("_hot", "_start", width.alias("_width"))
+    return ends.select("_hot", "_start", width.alias("_width"))

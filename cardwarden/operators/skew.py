@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int, *more: Column) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows as ``_hot``, with the aggregates ``more``.
+def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, as ``_hot``.
 
     At most ``rows / hot_rows`` keys qualify, so the result may be broadcast. Counting them
     reads the key column alone and combines on the map side.
     """
-    counted = rows.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_n"), *more)
-    return counted.filter(F.col("_n") > hot_rows)
+    counted = rows.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
+    return counted.filter(F.col("_rows") > hot_rows).select("_hot")
 
 
 def distinct_by_heat(
@@ -36,7 +36,7 @@ def distinct_by_heat(
     aggregate; only hot keys, whose copies mostly combine on the map side, take the other
     way. Without hot keys adaptive execution drops that branch. A null key is a key too.
     """
-    listed = hot_keys(rows, key, hot_rows).select("_hot")
+    listed = hot_keys(rows, key, hot_rows)
     is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     ordinary = rows.join(F.broadcast(listed), is_hot, "left_anti")
     hot = rows.join(F.broadcast(listed), is_hot, "left_semi")
