@@ -132,6 +132,7 @@ _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
     "amount_dispersion": lambda d: _rounded(
         profiling.amount_dispersion(d.tx), 6, "stddev_amount"
     ),
+    "tx_per_card_hour": lambda d: profiling.tx_per_card_hour(d.tx),
     "card_hour_peaks": lambda d: profiling.card_hour_peaks(d.tx),
     "impossible_travel": lambda d: _rounded(
         sequences.impossible_travel(d.tx, d.places), 3, "distance_km"

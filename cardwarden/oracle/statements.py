@@ -289,6 +289,8 @@ FROM (SELECT {_BUCKET} AS amount_bucket, count(*) AS tx_count FROM tx
 FROM (SELECT tx_hour, count(*) AS tx_count FROM tx GROUP BY tx_hour) h""",
         "amount_dispersion": f"""SELECT card_id, count(exact_amount) AS amount_count, {_MEAN} AS mean_amount,
   round(stddev_samp(amount_num), 6) AS stddev_amount FROM tx GROUP BY card_id""",
+        "tx_per_card_hour": """SELECT card_id, tx_day, tx_hour, count(*) AS tx_count FROM tx
+WHERE date IS NOT NULL GROUP BY card_id, tx_day, tx_hour""",
         "card_hour_peaks": """SELECT card_id, active_hours, peak_count, peak_hour FROM (
   SELECT card_id, count(*) OVER (PARTITION BY card_id) AS active_hours, n AS peak_count, h AS peak_hour,
     row_number() OVER (PARTITION BY card_id ORDER BY n DESC, h) AS r

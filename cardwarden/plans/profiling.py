@@ -130,21 +130,30 @@ def _night(policy: RiskPolicy):
     )
 
 
-def card_hour_peaks(tx: DataFrame) -> DataFrame:
-    """Busiest clock hour of each card (the earliest on a tie) and the active hours."""
-    hours = (
+def _card_hours(tx: DataFrame) -> DataFrame:
+    return (
         tx.filter(F.col("date").isNotNull())
         .groupBy("card_id", "tx_day", "tx_hour")
-        .agg(F.count("*").alias("n"))
-        .withColumn("hour_number", hour_number(F.col("tx_day"), F.col("tx_hour")))
+        .agg(F.count("*").alias("tx_count"))
+    )
+
+
+def tx_per_card_hour(tx: DataFrame) -> DataFrame:
+    return _card_hours(tx).orderBy("card_id", "tx_day", "tx_hour")
+
+
+def card_hour_peaks(tx: DataFrame) -> DataFrame:
+    """Busiest clock hour of each card (the earliest on a tie) and the active hours."""
+    hours = _card_hours(tx).withColumn(
+        "hour_number", hour_number(F.col("tx_day"), F.col("tx_hour"))
     )
     # One long orders by count and then by hour, which keeps the aggregate hash-based.
-    by_count_then_hour = F.col("hour_number") - F.col("n") * F.lit(100_000_000)
+    by_count_then_hour = F.col("hour_number") - F.col("tx_count") * F.lit(100_000_000)
     return (
         hours.groupBy("card_id")
         .agg(
             F.count("*").alias("active_hours"),
-            F.max("n").alias("peak_count"),
+            F.max("tx_count").alias("peak_count"),
             F.min_by("hour_number", by_count_then_hour).alias("hour_number"),
         )
         .withColumn("peak_hour", hour_start(F.col("hour_number")))

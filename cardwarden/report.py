@@ -48,6 +48,7 @@ def analyses(tables: Tables, policy: RiskPolicy = RiskPolicy()) -> dict[str, Dat
         "tx_by_month": profiling.tx_by_month(tx),
         "night_activity": profiling.night_activity(tx, policy),
         "night_activity_by_card": profiling.night_activity_by_card(tx, policy),
+        "tx_per_card_hour": profiling.tx_per_card_hour(tx),
         "card_hour_peaks": profiling.card_hour_peaks(tx),
         "enriched_transactions": features.enriched_transactions(tx, codes),
         "top_categories": profiling.top_categories(tx, codes, policy),

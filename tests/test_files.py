@@ -196,6 +196,18 @@ def test_partitioned_parquet(spark, tables, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_export_by_month(spark, tables, tmp_path):
+    enriched = features.enriched_transactions(tables.tx, tables.codes)
+    out = str(tmp_path / "out")
+    statuses = export.export_all({}, enriched, out, RiskPolicy(sample_rows=2), "tx_month")
+    assert [s.rows for s in statuses] == [4, 2]
+    assert (tmp_path / "out" / "parquet" / "enriched_transactions" / "tx_month=1").is_dir()
+    sample = files.read_csv(spark, f"{out}/csv/enriched_sample", TRANSACTIONS)
+    assert sorted((r["id"], r["date"]) for r in sample.collect()) == [
+        (1, dt.datetime(2010, 1, 1, 0, 1)), (2, dt.datetime(2010, 1, 1, 3, 5))
+    ]
+
+
 def test_shared_folder_needs_a_setting_on_a_cluster(spark):
     class Context:
         master = "yarn"
