@@ -31,11 +31,6 @@ def hour_start(number: Column) -> Column:
     return day.cast("timestamp_ntz") + F.make_dt_interval(hours=F.pmod(number, F.lit(24)).cast("int"))
 
 
-def minute_number(moment: Column) -> Column:
-    """Minutes since 1970 of a wall-clock timestamp."""
-    return hour_number(moment, F.hour(moment)) * 60 + F.minute(moment)
-
-
 def seconds_between(earlier: Column, later: Column) -> Column:
     """Seconds from one wall-clock timestamp to another, to the microsecond."""
     return (later - earlier).cast("decimal(20,6)").cast("double")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.functions.calendar import minute_number
+from cardwarden.functions.calendar import hour_number
 from cardwarden.operators.skew import HOT_ROWS, hot_keys
 
-# A hot key is cut into this many groups per HOT_ROWS rows.
-_CUTS = 32
+# A dense hour of a hot key is cut into this many pieces per HOT_ROWS rows.
+_PIECES = 32
 
 
 def with_previous(
@@ -25,36 +25,29 @@ def with_previous(
     Rows are ordered by ``moment`` and then ``tie`` within ``key``. Rows without key or
     moment have no place in the order; they are kept with a null ``previous``.
 
-    An ordinary key is one window group. A key with more than ``hot_rows`` rows is cut
-    into equal spans of time, down to a minute, and each span is a group of its own. The
-    first row of such a group takes its predecessor from the last row of the group before,
-    which an aggregate over the hot keys alone finds. There are at most
-    ``rows / hot_rows`` hot keys, so the broadcast list of them stays small; without hot
-    keys adaptive execution drops that branch. Rows without a place are spread over fixed
-    groups by their ``tie``, since they too may be many.
+    An ordinary key is one window group. A key with more than ``hot_rows`` rows has a group
+    per hour, and an hour that still has more is cut into equal pieces, down to a second.
+    The first row of such a group takes its predecessor from the last row of the group
+    before, which an aggregate over the hot keys alone finds. There are at most
+    ``rows / hot_rows`` hot keys and as many dense hours, so both lists may be broadcast;
+    without hot keys adaptive execution drops all but the main branch. Rows without a place
+    are spread over fixed groups by their ``tie``, since they too may be many.
     """
     placed = F.col(key).isNotNull() & F.col(moment).isNotNull()
-    minute = minute_number(F.col(moment))
-    listed = _spans(rows.filter(placed), key, minute, hot_rows)
-    span = F.floor((minute - F.col("_start")) / F.col("_width"))
-    grouped = rows.join(F.broadcast(listed), F.col(key) == F.col("_hot"), "left").withColumn(
-        "_group",
-        F.when(~placed, -1 - F.pmod(F.xxhash64(tie), F.lit(4096)))
-        .when(F.col("_hot").isNotNull(), span)
-        .otherwise(F.lit(0).cast("bigint")),
-    )
+    grouped = _grouped(rows, key, moment, tie, placed, hot_rows)
     last_of_group = (
-        rows.filter(placed)
-        .join(F.broadcast(listed), F.col(key) == F.col("_hot"))
-        .groupBy("_hot", span.alias("_group"))
+        grouped.filter(placed & F.col("_hot").isNotNull())
+        .groupBy("_hot", "_hour", "_piece")
         .agg(F.max_by(F.struct(*carried), F.struct(moment, tie)).alias("_last"))
     )
+    groups_of_key = Window.partitionBy("_hot").orderBy("_hour", "_piece")
     before_group = last_of_group.select(
         F.col("_hot").alias("_key"),
-        F.col("_group").alias("_at"),
-        F.lag("_last").over(Window.partitionBy("_hot").orderBy("_group")).alias("_before"),
+        F.col("_hour").alias("_key_hour"),
+        F.col("_piece").alias("_key_piece"),
+        F.lag("_last").over(groups_of_key).alias("_before"),
     )
-    in_group = Window.partitionBy(key, "_group").orderBy(moment, tie)
+    in_group = Window.partitionBy(key, "_hour", "_piece").orderBy(moment, tie)
     # One lag per column rather than of a struct, which would be shuffled as a second copy.
     sequenced = grouped.withColumns(
         {
@@ -63,9 +56,13 @@ def with_previous(
         }
     )
     in_group_row = F.struct(*[F.col(f"_lag_{name}").alias(name) for name in carried])
-    matched: Column = (F.col(key) == F.col("_key")) & (F.col("_group") == F.col("_at"))
+    same_group = (
+        (F.col(key) == F.col("_key"))
+        & (F.col("_hour") == F.col("_key_hour"))
+        & (F.col("_piece") == F.col("_key_piece"))
+    )
     return (
-        sequenced.join(before_group, matched, "left")
+        sequenced.join(before_group, same_group, "left")
         .withColumn(
             "previous",
             F.when(placed, F.coalesce(F.when(F.col("_follows"), in_group_row), F.col("_before"))),
@@ -74,17 +71,34 @@ def with_previous(
     )
 
 
-def _spans(rows: DataFrame, key: str, minute: Column, hot_rows: int) -> DataFrame:
-    """Hot keys with their first minute and the minutes that one group of each spans.
-
-    Only the rows of hot keys are searched for their first and last minute, so that without
-    hot keys the count of rows per key is all this costs.
-    """
-    ends = (
-        rows.join(F.broadcast(hot_keys(rows, key, hot_rows)), F.col(key) == F.col("_hot"))
-        .groupBy("_hot")
-        .agg(F.count("*").alias("_n"), F.min(minute).alias("_start"), F.max(minute).alias("_end"))
+def _grouped(
+    rows: DataFrame, key: str, moment: str, tie: str, placed: Column, hot_rows: int
+) -> DataFrame:
+    """Rows with their window group ``_hour``, ``_piece``; ``_hot`` is null but for hot keys."""
+    hour = hour_number(F.col(moment), F.hour(moment))
+    listed = F.broadcast(hot_keys(rows.filter(placed), key, hot_rows))
+    dense = (
+        rows.filter(placed)
+        .join(listed, F.col(key) == F.col("_hot"))
+        .groupBy(F.col("_hot").alias("_dense"), hour.alias("_dense_hour"))
+        .agg(F.count("*").alias("_rows"))
+        .filter(F.col("_rows") > hot_rows)
+        .select("_dense", "_dense_hour", F.ceil(F.col("_rows") * _PIECES / hot_rows).alias("_pieces"))
+    )
+    second = F.minute(moment) * 60 + F.second(moment)
+    return (
+        rows.join(listed, F.col(key) == F.col("_hot"), "left")
+        .join(
+            F.broadcast(dense),
+            (F.col("_hot") == F.col("_dense")) & (hour == F.col("_dense_hour")),
+            "left",
+        )
+        .withColumns(
+            {
+                "_hour": F.when(~placed, -1 - F.pmod(F.xxhash64(tie), F.lit(4096)))
+                .when(F.col("_hot").isNotNull(), hour)
+                .otherwise(F.lit(0).cast("bigint")),
+                "_piece": F.coalesce(F.floor(second * F.col("_pieces") / 3600), F.lit(0)),
+            }
+        )
     )
-    groups = F.ceil(F.col("_n") * _CUTS / hot_rows)
-    width = F.greatest(F.floor((F.col("_end") - F.col("_start")) / groups), F.lit(1))
-    return ends.select("_hot", "_start", width.alias("_width"))

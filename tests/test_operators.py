@@ -21,7 +21,10 @@ def sequence_rows(n=1200, seed=1):
     rows = []
     for i in range(n):
         key = None if rng.random() < 0.1 else 1 if rng.random() < 0.5 else rng.randint(2, 30)
-        moment = None if rng.random() < 0.1 else start + dt.timedelta(minutes=rng.randint(0, 400), seconds=30 * rng.randint(0, 1))
+        # A third of the rows in one hour, the others over a week.
+        minutes = rng.randint(0, 59) if rng.random() < 0.33 else rng.randint(0, 7 * 1440)
+        moment = start + dt.timedelta(minutes=minutes, seconds=30 * rng.randint(0, 1))
+        moment = None if rng.random() < 0.1 else moment
         rows.append((i, key, moment, rng.choice(["a", "b", None])))
     return rows
 
@@ -35,7 +38,7 @@ def expected_previous(rows):
     return found
 
 
-@pytest.mark.parametrize("hot_rows", [10, 100, 300, 10_000])
+@pytest.mark.parametrize("hot_rows", [5, 50, 150, 400, 10_000])
 def test_previous_row(spark, hot_rows):
     rows = sequence_rows()
     frame = spark.createDataFrame(rows, "id long, k long, at timestamp_ntz, place string").repartition(7)
@@ -48,9 +51,9 @@ def test_previous_row(spark, hot_rows):
     assert got == expected_previous(rows)
 
 
-def test_previous_row_of_one_hot_minute(spark):
-    """All rows of a key in the same minute cannot be cut further and still come out right."""
-    rows = [(i, 1, dt.datetime(2020, 1, 1, 0, 0, i % 60), "a") for i in range(200)]
+def test_previous_row_of_one_hot_second(spark):
+    """All rows of a key in the same second cannot be cut further and still come out right."""
+    rows = [(i, 1, dt.datetime(2020, 1, 1, 0, 0, 0, i % 60), "a") for i in range(200)]
     frame = spark.createDataFrame(rows, "id long, k long, at timestamp_ntz, place string")
     got = {
         r["id"]: r["previous"] and (r["previous"]["id"], r["previous"]["place"])
