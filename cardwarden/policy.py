@@ -51,6 +51,19 @@ class RiskPolicy:
     # (HIGH/MODERATE/CRITICAL compared as words) instead of the severity order.
     lexical_level_max: bool = False
 
+    def __post_init__(self) -> None:
+        for name in (
+            "alert_levels",
+            "volume_tiers",
+            "city_tiers",
+            "amount_tiers",
+            "error_tiers",
+            "score_levels",
+        ):
+            bounds = [bound for bound, _ in getattr(self, name)]
+            if any(upper <= lower for upper, lower in zip(bounds, bounds[1:])):
+                raise ValueError(f"{name}: bounds must fall from one entry to the next")
+
     @property
     def level_names(self) -> tuple[str, ...]:
         """Score levels from the worst to the mildest."""

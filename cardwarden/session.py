@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(cores: int = 8, memory: str = "4g") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("cardwarden")

@@ -266,3 +266,15 @@ def test_score_is_the_sum_of_its_parts(spark, sf_dir):
     for r in rows:
         parts = r["score_volume"] + r["score_geo"] + r["score_amount"] + r["score_error"]
         assert r["risk_score"] == parts and 0 <= parts <= 100 and not math.isnan(parts)
+
+
+def test_policy_bounds_must_fall():
+    with pytest.raises(ValueError, match="city_tiers"):
+        RiskPolicy(city_tiers=((3, 10.0), (5, 20.0)))
+
+
+def test_labels_come_from_the_policy(make_tx):
+    policy = RiskPolicy(score_levels=((50, "high"), (15, "some")), score_floor="none")
+    assert policy.level_names == ("high", "some", "none")
+    row = scoring.card_scores(make_tx(dict(id=1, card_id=1, errors="Bad PIN")), policy).first()
+    assert (row["risk_score"], row["risk_level"]) == (30.0, "some")
