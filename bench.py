@@ -34,7 +34,7 @@ HEADLINE = (
     "lineitem_card_risk_score",
     "lineitem_segment_comparison",
 )
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
 def seconds(query, spark, folder: str) -> float:
@@ -43,6 +43,14 @@ def seconds(query, spark, folder: str) -> float:
     return time.perf_counter() - start
 
 
+def scale(folder: str) -> float | str:
+    name = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
@@ -59,7 +67,7 @@ def main() -> None:
         "value": round(sum(measured.values()), 4),
         "unit": "sec",
         "queries": measured,
-        "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+        "sf": scale(folder),
         "cores": cores,
         "runs": RUNS,
     }

@@ -27,14 +27,19 @@ from cardwarden.sources.shared import shared_table
 from cardwarden.sources.staging import Tables, open_sources, open_staged, stage
 
 
-def analyses(tables: Tables, policy: RiskPolicy = RiskPolicy()) -> dict[str, DataFrame]:
-    """Every analysis by name, as DataFrames that are computed when used."""
+def analyses(
+    tables: Tables, policy: RiskPolicy = RiskPolicy(), places: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Every analysis by name, as DataFrames that are computed when used.
+
+    ``places`` holds city positions; without it there is no ``impossible_travel``.
+    """
     tx, cards, users, codes = tables.tx, tables.cards, tables.users, tables.codes
     raw = tx.drop(*features.FEATURES)
     days = shared_table(alerts.daily_totals(tx), "card-days")
     scores = shared_table(scoring.card_scores(tx, policy), "card-scores")
     suspects = shared_table(scoring.high_risk_cards(scores, policy), "suspects")
-    return {
+    results = {
         "schema_report": quality.schema_report({**vars(tables), "tx": raw}),
         "volumetry": quality.volumetry(tx, users, cards),
         "transaction_profile": quality.transaction_profile(tx),
@@ -81,14 +86,21 @@ def analyses(tables: Tables, policy: RiskPolicy = RiskPolicy()) -> dict[str, Dat
         "fraud_label_eval": evaluation.fraud_label_eval(tx, tables.labels, scores, policy),
         "summary": summary.summary(tx, users, cards, scores, policy),
     }
+    if places is not None:
+        results["impossible_travel"] = sequences.impossible_travel(tx, places, policy)
+    return results
 
 
 def run(
-    spark: SparkSession, sources: SourcePaths, folder: str, policy: RiskPolicy = RiskPolicy()
+    spark: SparkSession,
+    sources: SourcePaths,
+    folder: str,
+    policy: RiskPolicy = RiskPolicy(),
+    places: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Stage the sources under ``folder``, compute every analysis and save the main results."""
     stage(open_sources(spark, sources), f"{folder}/staged")
-    results = analyses(open_staged(spark, f"{folder}/staged"), policy)
+    results = analyses(open_staged(spark, f"{folder}/staged"), policy, places)
     saved = {
         "card_risk_scores": results["card_risk_score"],
         "suspicious_cards": results["suspicious_card_days"],

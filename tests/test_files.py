@@ -233,7 +233,12 @@ def test_whole_run(spark, paths, tmp_path):
     from cardwarden import report
 
     out = str(tmp_path / "out")
-    results = report.run(spark, paths, out, RiskPolicy(min_tx_card_rate=1, min_tx_client_rate=1))
+    places = spark.createDataFrame(
+        [("Bulls Gap", 36.3, -83.1)], "merchant_city string, latitude double, longitude double"
+    )
+    policy = RiskPolicy(min_tx_card_rate=1, min_tx_client_rate=1)
+    results = report.run(spark, paths, out, policy, places)
+    assert results["impossible_travel"].count() == 0
     assert {r["error_rate"] for r in results["client_context"].collect()} == {50.0}
     for name, rows in results.items():
         assert rows.count() >= 0, name

@@ -1,15 +1,15 @@
 """Shape of the physical plans, and whole results under a key with a third of all rows."""
 
-import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from cardwarden.catalog import all_queries
-from cardwarden.fixtures import Inputs
-from cardwarden.plans import alerts, errors, features, profiling, scoring, segments
+from cardwarden.fixtures import FIXTURE_POLICY, Inputs
+from cardwarden.plans import alerts, errors, features, profiling, scoring, segments, sequences
 from cardwarden.plans.features import with_features
+from cardwarden.policy import RiskPolicy
 
 FILE_QUERIES = {"export_all", "read_results"}
 
@@ -133,6 +133,13 @@ def test_no_second_pass_without_hot_cards(staged):
     assert "collect_set" in final and "Expand" not in final and "Union" not in final
 
 
+def test_previous_row_without_hot_cards_is_one_window(staged):
+    frame = sequences.velocity(staged)
+    frame.collect()
+    final = plan_of(frame).split("Initial Plan")[0]
+    assert "Window [" in final and "max_by" not in final and "SortMergeJoin" not in final
+
+
 def test_alerts_of_skewed_cards(skewed, by_hand):
     days = {}
     for r in by_hand:
@@ -192,14 +199,39 @@ def test_buckets_and_levels_add_up(spark, sf_dir):
     assert found.filter("criteria_count < 1 OR criteria_count > 3").count() == 0
 
 
-def test_known_figures(spark, sf_dir):
-    """Counts measured independently on the same mapping."""
-    tx = Inputs(spark, sf_dir).tx
-    assert tx.count() == 1000
-    assert [r["tx_count"] for r in profiling.amount_buckets(tx).collect()] and {
-        r["amount_bucket"]: r["tx_count"] for r in profiling.amount_buckets(tx).collect()
-    } == {"<10": 206, "10-50": 426, "50-200": 353, ">200": 15}
-    assert {r["errors"]: r["error_count"] for r in errors.error_types(tx).collect()} == {
-        "Bad PIN": 28, "Insufficient Balance": 52, "Technical Glitch": 31
-    }
-    assert dt.date(2024, 1, 1) <= tx.agg(F.min("tx_day")).first()[0]
+LEVELS = ("CRITICAL", "HIGH", "MODERATE", "LOW", "NORMAL")
+
+
+@pytest.mark.parametrize(
+    "scale, buckets, error_counts, days, levels, fixture_days, fixture_levels",
+    [
+        ("sf0.001", (206, 426, 353, 15), (28, 52, 31), (337, 60, 0, 0), (0, 0, 15, 0, 0),
+         (322, 49, 18, 8), (2, 2, 7, 2, 2)),
+        ("sf0.01", (2221, 4288, 3324, 167), (306, 620, 282), (3445, 561, 0, 0), (0, 6, 138, 6, 0),
+         (3223, 524, 189, 70), (6, 39, 62, 29, 14)),
+    ],
+)
+def test_known_figures(
+    spark, sf_dir, scale, buckets, error_counts, days, levels, fixture_days, fixture_levels
+):
+    """Counts that were measured independently on the same mapping."""
+    tx = Inputs(spark, sf_dir.replace("sf0.001", scale)).tx
+    assert {r["amount_bucket"]: r["tx_count"] for r in profiling.amount_buckets(tx).collect()} == dict(
+        zip(("<10", "10-50", "50-200", ">200"), buckets)
+    )
+    assert {r["errors"]: r["error_count"] for r in errors.error_types(tx).collect()} == dict(
+        zip(("Bad PIN", "Insufficient Balance", "Technical Glitch"), error_counts)
+    )
+    totals = alerts.daily_totals(tx)
+    features_of_cards = scoring.card_risk_features(tx)
+    for policy, by_criteria, by_level in (
+        (RiskPolicy(), days, levels),
+        (FIXTURE_POLICY, fixture_days, fixture_levels),
+    ):
+        flagged = alerts.flagged_days(totals, policy).groupBy("criteria_count").count().collect()
+        found = {r["criteria_count"]: r["count"] for r in flagged}
+        assert tuple(found.get(n, 0) for n in (1, 2, 3)) == by_criteria[1:]
+        assert totals.count() - sum(found.values()) == by_criteria[0]
+        scores = scoring.score_cards(features_of_cards, policy)
+        found = {r["risk_level"]: r["card_count"] for r in scoring.risk_distribution(scores).collect()}
+        assert tuple(found.get(name, 0) for name in LEVELS) == by_level
