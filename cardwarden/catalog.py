@@ -18,6 +18,7 @@ from cardwarden.plans import (
     features,
     profiling,
     quality,
+    rollups,
     scoring,
     segments,
     sequences,
@@ -104,30 +105,30 @@ _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
     "enriched_sample": lambda d: first_rows(
         features.enriched_transactions(d.tx, d.codes), "id", DEFAULT.sample_rows
     ),
-    "top_categories": lambda d: profiling.top_categories(d.tx, d.codes),
-    "avg_amount_by_category": lambda d: profiling.avg_amount_by_category(d.tx, d.codes),
+    "top_categories": lambda d: profiling.top_categories(d.code_totals, d.codes),
+    "avg_amount_by_category": lambda d: profiling.avg_amount_by_category(d.code_totals, d.codes),
     "tx_per_card_day": lambda d: alerts.tx_per_card_day(d.days),
     "amount_per_card_day": lambda d: alerts.amount_per_card_day(d.days),
     "cities_per_card": lambda d: profiling.cities_per_card(d.tx),
     "error_ratio_global": lambda d: errors.error_ratio_global(d.tx),
-    "error_ratio_by_card": lambda d: errors.error_ratio_by_card(d.tx),
+    "error_ratio_by_card": lambda d: errors.error_ratio_by_card(d.card_totals),
     "card_daily_stats": lambda d: alerts.card_daily_stats(d.days),
     "error_transactions": lambda d: errors.error_transactions(d.tx),
     "error_types": lambda d: errors.error_types(d.tx),
-    "error_rate_by_card": lambda d: errors.error_rate_by_card(d.tx),
-    "error_rate_by_client": lambda d: errors.error_rate_by_client(d.tx, d.cards),
-    "error_rate_by_category": lambda d: errors.error_rate_by_category(d.tx, d.codes),
+    "error_rate_by_card": lambda d: errors.error_rate_by_card(d.card_totals),
+    "error_rate_by_client": lambda d: errors.error_rate_by_client(d.card_totals, d.cards),
+    "error_rate_by_category": lambda d: errors.error_rate_by_category(d.code_totals, d.codes),
     "card_risk_features": lambda d: scoring.card_risk_features(d.tx),
-    "tx_per_card": lambda d: profiling.tx_per_card(d.tx),
+    "tx_per_card": lambda d: profiling.tx_per_card(d.card_totals),
     "tx_per_client": lambda d: profiling.tx_per_client(d.tx),
     "tx_per_merchant": lambda d: profiling.tx_per_merchant(d.tx),
     "amount_bucket_shares": lambda d: profiling.amount_bucket_shares(d.tx),
     "night_activity": lambda d: profiling.night_activity(d.tx),
     "night_activity_by_card": lambda d: profiling.night_activity_by_card(d.tx),
     "hour_shares": lambda d: profiling.hour_shares(d.tx),
-    "low_risk_categories": lambda d: errors.low_risk_categories(d.tx, d.codes),
+    "low_risk_categories": lambda d: errors.low_risk_categories(d.code_totals, d.codes),
     "low_risk_categories_fixture_policy": lambda d: errors.low_risk_categories(
-        d.tx, d.codes, FIXTURE_POLICY
+        d.code_totals, d.codes, FIXTURE_POLICY
     ),
     "amount_dispersion": lambda d: _rounded(
         profiling.amount_dispersion(d.tx), 6, "stddev_amount"
@@ -139,7 +140,7 @@ _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "channel_profile": lambda d: profiling.channel_profile(d.tx),
     "velocity": lambda d: sequences.velocity(d.tx),
-    "client_context": lambda d: errors.client_context(d.tx, d.cards, d.users),
+    "client_context": lambda d: errors.client_context(d.card_totals, d.cards, d.users),
     "card_age": lambda d: sequences.card_age(d.tx, d.typed_cards),
     "typed_cards": lambda d: d.typed_cards,
     "typed_users": lambda d: d.typed_users,
@@ -156,7 +157,7 @@ def _export(d: Inputs) -> tuple[str, list[export.SinkStatus]]:
     results = {
         "card_risk_scores": scoring.card_risk_score(d.tx),
         "suspicious_cards": alerts.suspicious_card_days(d.days),
-        "error_rates": errors.error_rate_by_card(d.tx),
+        "error_rates": errors.error_rate_by_card(d.card_totals),
     }
     enriched = features.enriched_transactions(d.tx, d.codes)
     return folder, export.export_all(results, enriched, folder)
@@ -235,10 +236,10 @@ def _on_lineitem(plan: Callable[[DataFrame], DataFrame]) -> Query:
 
 _LINEITEM: dict[str, Query] = {
     "lineitem_card_daily_stats": _on_lineitem(
-        lambda tx: alerts.card_daily_stats(alerts.daily_totals(tx))
+        lambda tx: alerts.card_daily_stats(rollups.daily_totals(tx))
     ),
     "lineitem_suspicious_card_days": _on_lineitem(
-        lambda tx: alerts.suspicious_card_days(alerts.daily_totals(tx))
+        lambda tx: alerts.suspicious_card_days(rollups.daily_totals(tx))
     ),
     "lineitem_card_risk_score": _on_lineitem(scoring.card_risk_score),
     "lineitem_segment_comparison": _on_lineitem(lambda tx: _segments(tx, DEFAULT)),

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.plans.alerts import daily_totals
+from cardwarden.plans import rollups
 from cardwarden.plans.features import typed_cards, typed_users, with_features
 from cardwarden.policy import RiskPolicy
 
@@ -45,9 +45,17 @@ class Inputs:
     def tx(self) -> DataFrame:
         return with_features(self.raw)
 
-    @cached_property
+    @property
     def days(self) -> DataFrame:
-        return daily_totals(self.tx)
+        return rollups.daily_totals(self.tx)
+
+    @property
+    def card_totals(self) -> DataFrame:
+        return rollups.card_totals(self.tx)
+
+    @property
+    def code_totals(self) -> DataFrame:
+        return rollups.code_totals(self.tx)
 
     @cached_property
     def cards(self) -> DataFrame:

@@ -1,6 +1,6 @@
 """Card-days: totals, and the rules for too many transactions or cities or too high a sum.
 
-All but ``daily_totals`` take its result, which a run over many analyses writes once.
+All take the rollup ``daily_totals``.
 """
 
 from __future__ import annotations
@@ -16,20 +16,6 @@ from cardwarden.policy import RiskPolicy
 _CRITERIA = ("crit_volume", "crit_cities", "crit_amount")
 
 
-def daily_totals(tx: DataFrame) -> DataFrame:
-    """One row per card and day, the rollup that all daily analyses share.
-
-    Sums stay in cents for later exact sums. An analysis that does not use a column, such
-    as the distinct cities, does not pay for it: Spark drops unused aggregates.
-    """
-    return tx.groupBy("card_id", "tx_day").agg(
-        F.count("*").alias("tx_count"),
-        F.count_distinct("merchant_city").alias("city_count"),
-        F.sum("amount_cents").alias("day_cents"),
-        F.count("amount_cents").alias("amount_count"),
-    )
-
-
 def _in_units(days: DataFrame) -> DataFrame:
     return days.withColumn("day_amount", money.units(F.col("day_cents"))).drop(
         "day_cents", "amount_count"

@@ -18,13 +18,6 @@ def _ratio() -> tuple[Column, ...]:
     )
 
 
-def _counts() -> tuple[Column, ...]:
-    return (
-        F.count("*").alias("total_transactions"),
-        F.count_if("has_error").alias("error_count"),
-    )
-
-
 def _with_rate(groups: DataFrame) -> DataFrame:
     return groups.withColumn("error_rate", percent(F.col("error_count"), F.col("total_transactions")))
 
@@ -33,11 +26,15 @@ def error_ratio_global(tx: DataFrame) -> DataFrame:
     return tx.agg(*_ratio())
 
 
-def error_ratio_by_card(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
+def error_ratio_by_card(card_totals: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
     return (
-        tx.groupBy("card_id")
-        .agg(*_ratio())
-        .filter(F.col("total_transactions") >= policy.min_tx_error_ratio)
+        card_totals.filter(F.col("total_transactions") >= policy.min_tx_error_ratio)
+        .select(
+            "card_id",
+            "total_transactions",
+            F.col("error_count").alias("transactions_with_error"),
+            percent(F.col("error_count"), F.col("total_transactions")).alias("error_pct"),
+        )
         .orderBy(F.desc("error_pct"), "card_id")
     )
 
@@ -55,23 +52,24 @@ def error_types(tx: DataFrame) -> DataFrame:
     return with_share(groups, "error_count", "error_share").orderBy(F.desc("error_count"), "errors")
 
 
-def error_rate_by_card(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
+def error_rate_by_card(card_totals: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
+    totals = card_totals.select("card_id", "total_transactions", "error_count")
     return (
-        _with_rate(tx.groupBy("card_id").agg(*_counts()))
+        _with_rate(totals)
         .filter(F.col("total_transactions") >= policy.min_tx_card_rate)
         .orderBy(F.desc("error_rate"), "card_id")
     )
 
 
-def client_errors(tx: DataFrame, cards: DataFrame) -> DataFrame:
+def client_errors(card_totals: DataFrame, cards: DataFrame) -> DataFrame:
     """Error counts per owner of the card; cards without a known owner share a null group.
 
     Transactions are reduced to one row per card before the join, so a card with very many
     transactions is one row there, and only card-sized data is shuffled for the join.
     """
-    per_card = tx.groupBy("card_id").agg(*_counts())
     groups = (
-        per_card.join(card_owners(cards), "card_id", "left")
+        card_totals.select("card_id", "total_transactions", "error_count")
+        .join(card_owners(cards), "card_id", "left")
         .groupBy(F.col("owner_id").alias("client_id"))
         .agg(
             F.sum("total_transactions").alias("total_transactions"),
@@ -83,22 +81,21 @@ def client_errors(tx: DataFrame, cards: DataFrame) -> DataFrame:
 
 
 def error_rate_by_client(
-    tx: DataFrame, cards: DataFrame, policy: RiskPolicy = RiskPolicy()
+    card_totals: DataFrame, cards: DataFrame, policy: RiskPolicy = RiskPolicy()
 ) -> DataFrame:
     return (
-        client_errors(tx, cards)
+        client_errors(card_totals, cards)
         .filter(F.col("total_transactions") >= policy.min_tx_client_rate)
         .orderBy(F.desc("error_rate"), "client_id")
     )
 
 
 def error_rate_by_category(
-    tx: DataFrame, codes: DataFrame, policy: RiskPolicy = RiskPolicy()
+    code_totals: DataFrame, codes: DataFrame, policy: RiskPolicy = RiskPolicy()
 ) -> DataFrame:
-    """Error rate per known category, by way of one row per code (at most 10 000)."""
-    per_code = tx.filter(F.col("mcc").isNotNull()).groupBy("mcc").agg(*_counts())
+    """Error rate per known category. Only one row per code meets the category names."""
     groups = (
-        with_category(per_code, codes)
+        with_category(code_totals.filter(F.col("mcc").isNotNull()), codes)
         .filter(F.col("merchant_category").isNotNull())
         .groupBy("merchant_category")
         .agg(
@@ -114,20 +111,20 @@ def error_rate_by_category(
 
 
 def low_risk_categories(
-    tx: DataFrame, codes: DataFrame, policy: RiskPolicy = RiskPolicy()
+    code_totals: DataFrame, codes: DataFrame, policy: RiskPolicy = RiskPolicy()
 ) -> DataFrame:
-    return error_rate_by_category(tx, codes, policy).filter(
+    return error_rate_by_category(code_totals, codes, policy).filter(
         F.col("error_rate") < policy.low_risk_rate
     )
 
 
 def client_context(
-    tx: DataFrame, cards: DataFrame, users: DataFrame, policy: RiskPolicy = RiskPolicy()
+    card_totals: DataFrame, cards: DataFrame, users: DataFrame, policy: RiskPolicy = RiskPolicy()
 ) -> DataFrame:
     """Client error rate next to the client's credit score (null for an unknown client)."""
     scores = users.select(F.col("id").alias("client_id"), "credit_score")
     return (
-        client_errors(tx, cards)
+        client_errors(card_totals, cards)
         .filter(F.col("total_transactions") >= policy.min_tx_client_rate)
         .join(scores, "client_id", "left")
         .orderBy(F.desc("error_rate"), "client_id")

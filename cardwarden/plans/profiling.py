@@ -11,6 +11,7 @@ from cardwarden.functions.ratios import percent, with_share
 from cardwarden.operators.dimensions import with_category
 from cardwarden.operators.quantile import exact_quantile, value_counts
 from cardwarden.operators.ranking import top_k
+from cardwarden.plans.rollups import transactions_in
 from cardwarden.policy import RiskPolicy
 
 
@@ -74,13 +75,17 @@ def amount_dispersion(tx: DataFrame) -> DataFrame:
 # Time ---------------------------------------------------------------------------------
 
 
-def tx_by_hour(tx: DataFrame) -> DataFrame:
-    return tx.groupBy("tx_hour").agg(F.count("*").alias("tx_count")).orderBy("tx_hour")
+# The calendar reports take transactions or the rollup ``calendar_totals``.
 
 
-def hour_shares(tx: DataFrame) -> DataFrame:
+def tx_by_hour(rows: DataFrame) -> DataFrame:
+    hours = rows.groupBy("tx_hour").agg(transactions_in(rows).alias("tx_count"))
+    return hours.orderBy("tx_hour")
+
+
+def hour_shares(rows: DataFrame) -> DataFrame:
     """Share of each hour, with the busiest and the quietest marked."""
-    hours = tx_by_hour(tx)
+    hours = tx_by_hour(rows)
     edge = hours.agg(F.struct(F.min("tx_count").alias("low"), F.max("tx_count").alias("high")))
     edge = edge.scalar()
     return with_share(hours, "tx_count", "share_pct").withColumns(
@@ -91,19 +96,22 @@ def hour_shares(tx: DataFrame) -> DataFrame:
     )
 
 
-def tx_by_weekday(tx: DataFrame) -> DataFrame:
+def tx_by_weekday(rows: DataFrame) -> DataFrame:
     return (
-        tx.groupBy("tx_weekday")
-        .agg(F.count("*").alias("tx_count"))
+        rows.groupBy("tx_weekday")
+        .agg(transactions_in(rows).alias("tx_count"))
         .select("tx_weekday", weekday_name(F.col("tx_weekday")).alias("weekday_name"), "tx_count")
         .orderBy("tx_weekday")
     )
 
 
-def tx_by_month(tx: DataFrame) -> DataFrame:
+def tx_by_month(rows: DataFrame) -> DataFrame:
     return (
-        tx.groupBy("tx_month")
-        .agg(F.count("*").alias("tx_count"), money.total(F.col("amount_cents")).alias("amount_total"))
+        rows.groupBy("tx_month")
+        .agg(
+            transactions_in(rows).alias("tx_count"),
+            money.total(F.col("amount_cents")).alias("amount_total"),
+        )
         .orderBy("tx_month")
     )
 
@@ -163,33 +171,31 @@ def card_hour_peaks(tx: DataFrame) -> DataFrame:
 
 
 # Merchant categories ------------------------------------------------------------------
-# Rows are first reduced to one per code, at most 10 000, and only those are joined.
+# Only the rollup ``code_totals``, one row per code, meets the category names.
 
 
-def top_categories(tx: DataFrame, codes: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
+def top_categories(
+    code_totals: DataFrame, codes: DataFrame, policy: RiskPolicy = RiskPolicy()
+) -> DataFrame:
     """Most frequent categories; transactions without one form a group of their own."""
-    per_code = tx.groupBy("mcc").agg(F.count("*").alias("n"))
     groups = (
-        with_category(per_code, codes)
+        with_category(code_totals, codes)
         .groupBy("merchant_category")
-        .agg(F.sum("n").alias("tx_count"))
+        .agg(F.sum("total_transactions").alias("tx_count"))
     )
     return top_k(groups, policy.top_categories, F.desc("tx_count"), F.col("merchant_category"))
 
 
-def avg_amount_by_category(tx: DataFrame, codes: DataFrame) -> DataFrame:
-    per_code = (
-        tx.filter(F.col("amount_cents").isNotNull() & F.col("mcc").isNotNull())
-        .groupBy("mcc")
-        .agg(F.count("*").alias("n"), F.sum("amount_cents").alias("cents"))
-    )
+def avg_amount_by_category(code_totals: DataFrame, codes: DataFrame) -> DataFrame:
+    """Mean and number of the readable amounts of each known category."""
+    priced = code_totals.filter(F.col("mcc").isNotNull() & (F.col("amount_count") > 0))
     return (
-        with_category(per_code, codes)
+        with_category(priced, codes)
         .filter(F.col("merchant_category").isNotNull())
         .groupBy("merchant_category")
         .agg(
-            F.try_divide(money.total(F.col("cents")), F.sum("n")).alias("mean_amount"),
-            F.sum("n").alias("tx_count"),
+            F.try_divide(money.total(F.col("amount_cents")), F.sum("amount_count")).alias("mean_amount"),
+            F.sum("amount_count").alias("tx_count"),
         )
         .orderBy(F.desc("mean_amount"), "merchant_category")
     )
@@ -212,12 +218,9 @@ def cities_per_card(tx: DataFrame) -> DataFrame:
     )
 
 
-def tx_per_card(tx: DataFrame) -> DataFrame:
-    return (
-        tx.groupBy("card_id")
-        .agg(F.count("*").alias("tx_count"))
-        .orderBy(F.desc("tx_count"), "card_id")
-    )
+def tx_per_card(card_totals: DataFrame) -> DataFrame:
+    counts = card_totals.select("card_id", F.col("total_transactions").alias("tx_count"))
+    return counts.orderBy(F.desc("tx_count"), "card_id")
 
 
 def tx_per_client(tx: DataFrame) -> DataFrame:

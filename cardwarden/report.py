@@ -1,7 +1,8 @@
 """The whole run: stage the inputs, compute every analysis, save the results.
 
-The shared intermediates (card-days, card scores, suspect cards) are written once to the
-shared folder, so that the text inputs are parsed once and each rollup is computed once.
+The shared intermediates (card-days, card scores, suspect cards, code and calendar totals)
+are written once to the shared folder, so that the text inputs are parsed once, each rollup
+is computed once, and some twenty analyses read a rollup instead of the transactions.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from cardwarden.plans import (
     features,
     profiling,
     quality,
+    rollups,
     scoring,
     segments,
     sequences,
@@ -36,7 +38,9 @@ def analyses(
     """
     tx, cards, users, codes = tables.tx, tables.cards, tables.users, tables.codes
     raw = tx.drop(*features.FEATURES)
-    days = shared_table(alerts.daily_totals(tx), "card-days")
+    days = shared_table(rollups.daily_totals(tx), "card-days")
+    per_code = shared_table(rollups.code_totals(tx), "code-totals")
+    calendar = shared_table(rollups.calendar_totals(tx), "calendar")
     scores = shared_table(scoring.card_scores(tx, policy), "card-scores")
     suspects = shared_table(scoring.high_risk_cards(scores, policy), "suspects")
     results = {
@@ -48,17 +52,17 @@ def analyses(
         "amount_stats": profiling.amount_stats(tx),
         "amount_bucket_shares": profiling.amount_bucket_shares(tx),
         "amount_dispersion": profiling.amount_dispersion(tx),
-        "hour_shares": profiling.hour_shares(tx),
-        "tx_by_weekday": profiling.tx_by_weekday(tx),
-        "tx_by_month": profiling.tx_by_month(tx),
+        "hour_shares": profiling.hour_shares(calendar),
+        "tx_by_weekday": profiling.tx_by_weekday(calendar),
+        "tx_by_month": profiling.tx_by_month(calendar),
         "night_activity": profiling.night_activity(tx, policy),
         "night_activity_by_card": profiling.night_activity_by_card(tx, policy),
         "tx_per_card_hour": profiling.tx_per_card_hour(tx),
         "card_hour_peaks": profiling.card_hour_peaks(tx),
         "enriched_transactions": features.enriched_transactions(tx, codes),
-        "top_categories": profiling.top_categories(tx, codes, policy),
-        "avg_amount_by_category": profiling.avg_amount_by_category(tx, codes),
-        "tx_per_card": profiling.tx_per_card(tx),
+        "top_categories": profiling.top_categories(per_code, codes, policy),
+        "avg_amount_by_category": profiling.avg_amount_by_category(per_code, codes),
+        "tx_per_card": profiling.tx_per_card(scores),
         "tx_per_client": profiling.tx_per_client(tx),
         "tx_per_merchant": profiling.tx_per_merchant(tx),
         "channel_profile": profiling.channel_profile(tx),
@@ -70,12 +74,12 @@ def analyses(
         "alerts_by_criterion": alerts.alerts_by_criterion(days, policy),
         "alerts_by_level": alerts.alerts_by_level(days, policy),
         "top_suspicious_cards": alerts.top_suspicious_cards(days, policy),
-        "error_ratio_by_card": errors.error_ratio_by_card(tx, policy),
+        "error_ratio_by_card": errors.error_ratio_by_card(scores, policy),
         "error_types": errors.error_types(tx),
-        "error_rate_by_card": errors.error_rate_by_card(tx, policy),
-        "error_rate_by_category": errors.error_rate_by_category(tx, codes, policy),
-        "low_risk_categories": errors.low_risk_categories(tx, codes, policy),
-        "client_context": errors.client_context(tx, cards, users, policy),
+        "error_rate_by_card": errors.error_rate_by_card(scores, policy),
+        "error_rate_by_category": errors.error_rate_by_category(per_code, codes, policy),
+        "low_risk_categories": errors.low_risk_categories(per_code, codes, policy),
+        "client_context": errors.client_context(scores, cards, users, policy),
         "card_risk_score": scores.orderBy(scores["risk_score"].desc(), "card_id"),
         "risk_distribution": scoring.risk_distribution(scores),
         "high_risk_cards": suspects,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cardwarden.functions import money
 from cardwarden.functions.calendar import WEEKDAYS, hour_start, month_year, weekday_name
 from cardwarden.functions.tiers import level_of, tier_points
-from cardwarden.plans import alerts, errors, features, profiling, quality, scoring, segments
+from cardwarden.plans import alerts, errors, features, profiling, quality, rollups, scoring, segments
 from cardwarden.policy import RiskPolicy
 
 DAY = dt.datetime(2020, 1, 1, 12)
@@ -32,10 +32,10 @@ def test_worst_level_follows_severity_not_spelling(spark, make_tx):
                      merchant_city=f"c{i % cities}", amount=amount)
             )
     tx = make_tx(*rows)
-    levels = {r["tx_day"].day: r["alert_level"] for r in alerts.suspicious_card_days(alerts.daily_totals(tx)).collect()}
+    levels = {r["tx_day"].day: r["alert_level"] for r in alerts.suspicious_card_days(rollups.daily_totals(tx)).collect()}
     assert levels == {1: "MODERATE", 2: "CRITICAL", 3: "HIGH"}
-    assert alerts.top_suspicious_cards(alerts.daily_totals(tx)).first()["risk_level_max"] == "CRITICAL"
-    as_words = alerts.top_suspicious_cards(alerts.daily_totals(tx), RiskPolicy(lexical_level_max=True)).first()
+    assert alerts.top_suspicious_cards(rollups.daily_totals(tx)).first()["risk_level_max"] == "CRITICAL"
+    as_words = alerts.top_suspicious_cards(rollups.daily_totals(tx), RiskPolicy(lexical_level_max=True)).first()
     assert as_words["risk_level_max"] == "MODERATE"
 
 
@@ -75,7 +75,7 @@ def test_unknown_sum_does_not_meet_the_amount_criterion(spark):
 
 def test_sums_are_exact_in_any_order(spark, make_tx):
     rows = [dict(id=i, card_id=1, date=DAY, amount="$0.10") for i in range(10)]
-    assert alerts.card_daily_stats(alerts.daily_totals(make_tx(*rows, parts=5))).first()["day_amount"] == 1.0
+    assert alerts.card_daily_stats(rollups.daily_totals(make_tx(*rows, parts=5))).first()["day_amount"] == 1.0
 
 
 def test_day_criteria_are_strict(spark):
@@ -93,7 +93,7 @@ def test_days_without_readable_amounts(make_tx):
         dict(id=2, card_id=2, date=DAY, amount="$2"),
         dict(id=3, card_id=2, date=DAY, amount=None),
     )
-    days = alerts.daily_totals(tx)
+    days = rollups.daily_totals(tx)
     assert [(r["card_id"], r["tx_count"]) for r in alerts.tx_per_card_day(days).collect()] == [(1, 1), (2, 2)]
     rows = [(r["card_id"], r["amount_total"], r["tx_count"]) for r in alerts.amount_per_card_day(days).collect()]
     assert rows == [(2, 2.0, 1)]
@@ -192,8 +192,8 @@ def test_highest_possible_score_is_100(make_tx):
 
 def test_min_counts(make_tx):
     tx = make_tx(*[dict(id=i, card_id=i // 5, errors="Bad PIN") for i in range(9)])
-    assert [r["card_id"] for r in errors.error_rate_by_card(tx).collect()] == [0]
-    assert errors.error_ratio_by_card(tx).count() == 0
+    assert [r["card_id"] for r in errors.error_rate_by_card(rollups.card_totals(tx)).collect()] == [0]
+    assert errors.error_ratio_by_card(rollups.card_totals(tx)).count() == 0
 
 
 def test_distinct_count_of_ids_counts_null(spark, make_tx):
@@ -206,7 +206,7 @@ def test_distinct_count_of_ids_counts_null(spark, make_tx):
 def test_unmatched_cards_share_a_null_client(spark, make_tx):
     tx = make_tx(*[dict(id=i, card_id=i % 4, client_id=9) for i in range(40)])
     cards = spark.createDataFrame([(0, 7), (1, 7)], "id long, client_id long")
-    rows = {r["client_id"]: r for r in errors.error_rate_by_client(tx, cards).collect()}
+    rows = {r["client_id"]: r for r in errors.error_rate_by_client(rollups.card_totals(tx), cards).collect()}
     assert set(rows) == {7, None}
     assert rows[7]["card_count"] == 2 and rows[None]["total_transactions"] == 20
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardwarden.catalog import all_queries
 from cardwarden.fixtures import FIXTURE_POLICY, Inputs
-from cardwarden.plans import alerts, errors, features, profiling, scoring, segments, sequences
+from cardwarden.plans import alerts, errors, features, profiling, rollups, scoring, segments, sequences
 from cardwarden.plans.features import with_features
 from cardwarden.policy import RiskPolicy
 
@@ -34,7 +34,7 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
 
 
 def test_card_day_counts_need_one_exchange_before_the_sort(staged):
-    plan = plan_of(alerts.tx_per_card_day(alerts.daily_totals(staged)))
+    plan = plan_of(alerts.tx_per_card_day(rollups.daily_totals(staged)))
     assert plan.count("hashpartitioning") == 1 and plan.count("rangepartitioning") == 1
 
 
@@ -53,7 +53,7 @@ def test_category_join_is_a_broadcast_of_bounded_size(spark, sf_dir, staged):
 
 
 def test_categories_are_aggregated_before_the_join(spark, sf_dir, staged):
-    plan = plan_of(profiling.top_categories(staged, Inputs(spark, sf_dir).codes))
+    plan = plan_of(profiling.top_categories(rollups.code_totals(staged), Inputs(spark, sf_dir).codes))
     # The join sits above the aggregation by code.
     assert plan.index("BroadcastHashJoin") < plan.index("hashpartitioning(mcc")
     assert "TakeOrderedAndProject" in plan
@@ -61,11 +61,11 @@ def test_categories_are_aggregated_before_the_join(spark, sf_dir, staged):
 
 def test_cards_are_broadcast_only_by_their_size(spark, sf_dir, staged):
     cards = Inputs(spark, sf_dir).cards
-    assert "BroadcastHashJoin" in plan_of(errors.error_rate_by_client(staged, cards))
+    assert "BroadcastHashJoin" in plan_of(errors.error_rate_by_client(rollups.card_totals(staged), cards))
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        plan = plan_of(errors.error_rate_by_client(staged, cards))
+        plan = plan_of(errors.error_rate_by_client(rollups.card_totals(staged), cards))
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
@@ -153,9 +153,9 @@ def test_alerts_of_skewed_cards(skewed, by_hand):
         )
         if met:
             expected[key] = met
-    got = alerts.suspicious_card_days(alerts.daily_totals(skewed)).collect()
+    got = alerts.suspicious_card_days(rollups.daily_totals(skewed)).collect()
     assert {(r["card_id"], r["tx_day"]): r["criteria_count"] for r in got} == expected
-    levels = {r["alert_level"]: r for r in alerts.alerts_by_level(alerts.daily_totals(skewed)).collect()}
+    levels = {r["alert_level"]: r for r in alerts.alerts_by_level(rollups.daily_totals(skewed)).collect()}
     names = {3: "CRITICAL", 2: "HIGH", 1: "MODERATE"}
     for number, name in names.items():
         keys = [k for k, met in expected.items() if met == number and k[0] is not None]
@@ -186,13 +186,28 @@ def test_segments_with_and_without_broadcast(spark, skewed, by_hand, threshold):
     assert got["SUSPECT"]["tx_count"] + got["NORMAL"]["tx_count"] == len(by_hand)
 
 
+def test_rollups_give_the_same_reports(spark, skewed):
+    calendar = rollups.calendar_totals(skewed)
+    for report in (profiling.tx_by_hour, profiling.hour_shares, profiling.tx_by_weekday, profiling.tx_by_month):
+        assert report(calendar).collect() == report(skewed).collect()
+    totals, scores = rollups.card_totals(skewed), scoring.card_scores(skewed)
+    cards = spark.range(150).select("id", (F.col("id") % 9).alias("client_id"))
+    for report in (
+        profiling.tx_per_card,
+        errors.error_ratio_by_card,
+        errors.error_rate_by_card,
+        lambda t: errors.error_rate_by_client(t, cards),
+    ):
+        assert report(scores).collect() == report(totals).collect()
+
+
 def test_buckets_and_levels_add_up(spark, sf_dir):
     tx = Inputs(spark, sf_dir).tx
     buckets = profiling.amount_buckets(tx).agg(F.sum("tx_count")).first()[0]
     assert buckets == tx.filter("amount_num IS NOT NULL").count()
     scores = scoring.card_scores(tx)
     assert scoring.risk_distribution(scores).agg(F.sum("card_count")).first()[0] == scores.count()
-    days = alerts.daily_totals(tx)
+    days = rollups.daily_totals(tx)
     found = alerts.suspicious_card_days(days)
     fired = alerts.alerts_by_criterion(days).first()
     assert sum(fired) >= found.count()
@@ -222,7 +237,7 @@ def test_known_figures(
     assert {r["errors"]: r["error_count"] for r in errors.error_types(tx).collect()} == dict(
         zip(("Bad PIN", "Insufficient Balance", "Technical Glitch"), error_counts)
     )
-    totals = alerts.daily_totals(tx)
+    totals = rollups.daily_totals(tx)
     features_of_cards = scoring.card_risk_features(tx)
     for policy, by_criteria, by_level in (
         (RiskPolicy(), days, levels),
