@@ -170,7 +170,8 @@ def _export_all(d: Inputs) -> DataFrame:
     saved = {}
     for status in statuses:
         reader = spark.read.option("header", True)
-        rows = reader.csv(status.path) if status.file_format == "csv" else reader.parquet(status.path)
+        read = reader.csv if status.file_format == "csv" else reader.parquet
+        rows = read(status.path)
         saved[f"{status.file_format}:{status.sink}"] = rows
     return export.row_counts(saved)
 

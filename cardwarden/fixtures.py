@@ -145,7 +145,8 @@ def event_transactions(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("k") < 90, F.col("city_name")).alias("merchant_city"),
         F.when(~online & (F.col("k") < 85), F.concat(F.lit("S"), F.col("city_key").cast("string")))
         .alias("merchant_state"),
-        F.when(~online & (F.col("k") < 80), F.lpad((F.col("k") * 37).cast("string"), 5, "0")).alias("zip"),
+        F.when(~online & (F.col("k") < 80), F.lpad((F.col("k") * 37).cast("string"), 5, "0"))
+        .alias("zip"),
         F.col("k").alias("mcc"),
         F.when((kind == "error") & (F.col("k") < 60), error).alias("errors"),
     )

@@ -28,7 +28,8 @@ def hour_number(day: Column, hour: Column) -> Column:
 def hour_start(number: Column) -> Column:
     """Wall-clock start of an hour number."""
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(number / 24).cast("int"))
-    return day.cast("timestamp_ntz") + F.make_dt_interval(hours=F.pmod(number, F.lit(24)).cast("int"))
+    hour = F.pmod(number, F.lit(24)).cast("int")
+    return day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour)
 
 
 def seconds_between(earlier: Column, later: Column) -> Column:

@@ -34,9 +34,8 @@ def exact_quantile(counts: DataFrame, q: float) -> Column:
         .agg(F.min("bin").alias("bin"), F.min("before").alias("rows_below"))
     )
     inside = counts.join(F.broadcast(found), in_bin == F.col("bin"))
-    return (
-        _running(inside, "v").filter(F.col("upto") + F.col("rows_below") >= rank).agg(F.min("v")).scalar()
-    )
+    reached = _running(inside, "v").filter(F.col("upto") + F.col("rows_below") >= rank)
+    return reached.agg(F.min("v")).scalar()
 
 
 def _running(groups: DataFrame, key: str) -> DataFrame:

@@ -24,7 +24,8 @@ def first_rows(rows: DataFrame, key: str, n: int) -> DataFrame:
     one bin more than needed are sorted. The result is exact for any key distribution.
     """
     keyed = rows.filter(F.col(key).isNotNull())
-    span = keyed.agg(F.struct(F.min(key).alias("low"), F.max(key).alias("high")).alias("s")).scalar()
+    ends = F.struct(F.min(key).alias("low"), F.max(key).alias("high"))
+    span = keyed.agg(ends.alias("span")).scalar()
     # Divided before the subtraction, which might overflow.
     width = _div(span["high"], F.lit(_BINS)) - _div(span["low"], F.lit(_BINS)) + 1
     bins = keyed.groupBy(_div(F.col(key), width).alias("bin")).agg(F.count("*").alias("n"))

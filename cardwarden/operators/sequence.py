@@ -77,13 +77,14 @@ def _grouped(
     """Rows with their window group ``_hour``, ``_piece``; ``_hot`` is null but for hot keys."""
     hour = hour_number(F.col(moment), F.hour(moment))
     listed = F.broadcast(hot_keys(rows.filter(placed), key, hot_rows))
+    pieces = F.ceil(F.col("_rows") * _PIECES / hot_rows)
     dense = (
         rows.filter(placed)
         .join(listed, F.col(key) == F.col("_hot"))
         .groupBy(F.col("_hot").alias("_dense"), hour.alias("_dense_hour"))
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
-        .select("_dense", "_dense_hour", F.ceil(F.col("_rows") * _PIECES / hot_rows).alias("_pieces"))
+        .select("_dense", "_dense_hour", pieces.alias("_pieces"))
     )
     second = F.minute(moment) * 60 + F.second(moment)
     return (

@@ -19,7 +19,8 @@ def _ratio() -> tuple[Column, ...]:
 
 
 def _with_rate(groups: DataFrame) -> DataFrame:
-    return groups.withColumn("error_rate", percent(F.col("error_count"), F.col("total_transactions")))
+    rate = percent(F.col("error_count"), F.col("total_transactions"))
+    return groups.withColumn("error_rate", rate)
 
 
 def error_ratio_global(tx: DataFrame) -> DataFrame:

@@ -188,15 +188,13 @@ def top_categories(
 
 def avg_amount_by_category(code_totals: DataFrame, codes: DataFrame) -> DataFrame:
     """Mean and number of the readable amounts of each known category."""
+    mean = F.try_divide(money.total(F.col("amount_cents")), F.sum("amount_count"))
     priced = code_totals.filter(F.col("mcc").isNotNull() & (F.col("amount_count") > 0))
     return (
         with_category(priced, codes)
         .filter(F.col("merchant_category").isNotNull())
         .groupBy("merchant_category")
-        .agg(
-            F.try_divide(money.total(F.col("amount_cents")), F.sum("amount_count")).alias("mean_amount"),
-            F.sum("amount_count").alias("tx_count"),
-        )
+        .agg(mean.alias("mean_amount"), F.sum("amount_count").alias("tx_count"))
         .orderBy(F.desc("mean_amount"), "merchant_category")
     )
 

@@ -44,10 +44,11 @@ def score_cards(features: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataF
         "score_amount": tier_points(F.col("amount_max"), policy.amount_tiers),
         "score_error": tier_points(F.col("error_rate"), policy.error_tiers),
     }
+    level = level_of(F.col("risk_score"), policy.score_levels, policy.score_floor)
     return (
         features.withColumns(parts)
         .withColumn("risk_score", sum((F.col(p) for p in parts), F.lit(0.0)))
-        .withColumn("risk_level", level_of(F.col("risk_score"), policy.score_levels, policy.score_floor))
+        .withColumn("risk_level", level)
     )
 
 
@@ -83,11 +84,10 @@ def dark_web_cards(
         F.bool_or("card_on_dark_web").alias("on_dark_web")
     )
     listed = F.coalesce("on_dark_web", F.lit(False))
-    worst = F.lit(policy.level_names[0])
+    final = F.when(listed, policy.level_names[0]).otherwise(F.col("risk_level"))
     return (
         scores.select("card_id", "risk_score", "risk_level")
         .join(known, "card_id", "left")
-        .withColumn("on_dark_web", listed)
-        .withColumn("final_level", F.when(F.col("on_dark_web"), worst).otherwise(F.col("risk_level")))
+        .withColumns({"on_dark_web": listed, "final_level": final})
         .orderBy(F.desc("risk_score"), "card_id")
     )

@@ -31,11 +31,8 @@ def segment_comparison(tx: DataFrame, suspects: DataFrame) -> DataFrame:
     Transactions without a card match no suspect and count as normal. One pass marks the
     rows and groups them; a segment without rows still gets its row.
     """
-    marked = tx.join(
-        suspects.select("card_id").filter("card_id IS NOT NULL").withColumn("_suspect", F.lit(True)),
-        "card_id",
-        "left",
-    )
+    known = suspects.filter(F.col("card_id").isNotNull())
+    marked = tx.join(known.select("card_id", F.lit(True).alias("_suspect")), "card_id", "left")
     segment = F.when(F.col("_suspect"), SUSPECT).otherwise(NORMAL)
     stats = marked.groupBy(segment.alias("segment")).agg(
         F.count("*").alias("tx_count"),

@@ -33,7 +33,10 @@ def impossible_travel(
     sequenced = with_previous(located, "card_id", "date", "id", carried, hot_rows)
     hours = seconds_between(F.col("previous.date"), F.col("date")) / 3600
     distance = distance_km(
-        F.col("previous.latitude"), F.col("previous.longitude"), F.col("latitude"), F.col("longitude")
+        F.col("previous.latitude"),
+        F.col("previous.longitude"),
+        F.col("latitude"),
+        F.col("longitude"),
     )
     # The test on the names is cheap and spares most rows the trigonometry.
     return (

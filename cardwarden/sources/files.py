@@ -47,7 +47,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     rows = spark.read.schema(in_file).option("header", True).csv(path)
     missing = {n: F.lit(None).cast(t) for n, t in known.items() if n not in header}
     extra = [name for name in header if name not in known]
-    return rows.withColumns(missing).select(*known, *extra) if missing else rows.select(*known, *extra)
+    if missing:
+        rows = rows.withColumns(missing)
+    return rows.select(*known, *extra)
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
