@@ -26,7 +26,7 @@ def with_previous(
     moment have no place in the order; they are kept with a null ``previous``.
 
     An ordinary key is one window group. A key with more than ``hot_rows`` rows has a group
-    per hour, and an hour that still has more is cut into equal pieces, down to a second.
+    per hour, and an hour that still has more is cut into equal pieces of time.
     The first row of such a group takes its predecessor from the last row of the group
     before, which an aggregate over the hot keys alone finds. There are at most
     ``rows / hot_rows`` hot keys and as many dense hours, so both lists may be broadcast;
@@ -86,7 +86,8 @@ def _grouped(
         .filter(F.col("_rows") > hot_rows)
         .select("_dense", "_dense_hour", pieces.alias("_pieces"))
     )
-    second = F.minute(moment) * 60 + F.second(moment)
+    second = F.minute(moment) * 60 + F.extract(F.lit("SECOND"), F.col(moment)).cast("double")
+    piece = F.floor(second * F.col("_pieces") / 3600)
     return (
         rows.join(listed, F.col(key) == F.col("_hot"), "left")
         .join(
@@ -99,7 +100,7 @@ def _grouped(
                 "_hour": F.when(~placed, -1 - F.pmod(F.xxhash64(tie), F.lit(4096)))
                 .when(F.col("_hot").isNotNull(), hour)
                 .otherwise(F.lit(0).cast("bigint")),
-                "_piece": F.coalesce(F.floor(second * F.col("_pieces") / 3600), F.lit(0)),
+                "_piece": F.when(F.col("_pieces").isNotNull(), piece).otherwise(F.lit(0)),
             }
         )
     )

@@ -51,9 +51,12 @@ def test_previous_row(spark, hot_rows):
     assert got == expected_previous(rows)
 
 
-def test_previous_row_of_one_hot_second(spark):
-    """All rows of a key in the same second cannot be cut further and still come out right."""
-    rows = [(i, 1, dt.datetime(2020, 1, 1, 0, 0, 0, i % 60), "a") for i in range(200)]
+@pytest.mark.parametrize("distinct_moments", [1, 60, 10_000])
+def test_previous_row_of_one_hot_second(spark, distinct_moments):
+    """A dense second is cut too; rows of one moment stay together and still come out right."""
+    rows = [
+        (i, 1, dt.datetime(2020, 1, 1, 0, 0, 0, i * 37 % distinct_moments), "a") for i in range(200)
+    ]
     frame = spark.createDataFrame(rows, "id long, k long, at timestamp_ntz, place string")
     got = {
         r["id"]: r["previous"] and (r["previous"]["id"], r["previous"]["place"])
