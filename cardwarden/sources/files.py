@@ -85,11 +85,12 @@ def read_fraud_labels(spark: SparkSession, path: str) -> DataFrame:
     """
     pieces = spark.read.option("lineSep", ",").text(path)
     entry = r'"(\d+)"\s*:\s*"?(Yes|No|true|false)"?'
-    found = F.regexp_extract_all("value", F.lit(entry), F.lit(0))
-    one = pieces.select(F.explode(found).alias("entry"))
-    return one.select(
-        F.regexp_extract("entry", entry, 1).cast("bigint").alias("transaction_id"),
-        F.regexp_extract("entry", entry, 2).isin("Yes", "true").alias("is_fraud"),
+    ids = F.regexp_extract_all("value", F.lit(entry), F.lit(1))
+    answers = F.regexp_extract_all("value", F.lit(entry), F.lit(2))
+    found = F.arrays_zip(ids.alias("id"), answers.alias("answer"))
+    return pieces.select(F.inline(found).alias("id", "answer")).select(
+        F.col("id").cast("bigint").alias("transaction_id"),
+        F.col("answer").isin("Yes", "true").alias("is_fraud"),
     )
 
 
