@@ -17,6 +17,7 @@ from cardwarden.llm.pages import with_main_text
 from cardwarden.llm.quality import with_grade
 from cardwarden.llm.sharding import shard
 from cardwarden.llm.toxicity import with_toxicity
+from cardwarden.llm.vectors import near_duplicate_vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +29,10 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_table(spark, folder, "documents")).select("doc_id", "mix.size", "mix.source_size", "mix.target", taken)
 
 
+def op2_vector_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_vectors(_table(spark, folder, "embeddings"))
+
+
 def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
@@ -80,6 +85,7 @@ def op10_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
+    "op2_vector_near_duplicates": op2_vector_near_duplicates,
     "op3_chat_format": op3_chat_format,
     "op4_main_text": op4_main_text,
     "op5_language": op5_language,
