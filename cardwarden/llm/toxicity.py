@@ -154,3 +154,8 @@ def with_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
     rows = docs.select(*columns)
     return rows.mapInArrow(scored, rows.withColumn("toxicity", F.lit(None).cast(kind)).schema)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score below the threshold, with their own columns."""
+    return with_toxicity(docs, labels, threshold).where("toxicity.predicted = 0").select(*docs.columns)
