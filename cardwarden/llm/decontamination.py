@@ -26,7 +26,7 @@ from cardwarden.llm.words import ALNUM, Words, filled, slices
 #: Consecutive words that must agree; an item with fewer must occur whole.
 WINDOW = 10
 #: Bytes of text in a shard.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 #: Words of benchmark that are searched for at a time; a larger benchmark takes several passes.
 BLOCK_WORDS = 1 << 20
 

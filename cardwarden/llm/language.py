@@ -30,7 +30,7 @@ SAMPLE_ROWS, LONGEST, SAMPLE_CHARS = 2000, 20_000, 6_000_000
 SEQUENCE, EPOCHS, BATCH, RATE = 32, 2, 128, 0.1
 #: Words that are passed over one by one, for all stretches of all texts at a time.
 STRETCH = 64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 UNKNOWN = "und"
 
 

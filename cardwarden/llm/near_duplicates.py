@@ -6,9 +6,12 @@ of hashes at a time, and a pair goes as soon as the probability that it is simil
 given the matches so far, is below a chosen miss probability. What is left is verified exactly
 on the full sets, and verified links make components.
 
-Pairs inside a band's bucket are never all written out. First each node is compared with the
-smallest node of its bucket, and linked by its most promising such pair. Then only nodes of
-buckets that hold several components are compared, those of different components, in tiles.
+Pairs inside a group are never written out. Each node is first compared with the smallest node
+of its buckets. Likely pairs make clusters, which nodes of one bucket that are in different
+clusters may still join: their signatures are compared in tiles, and a tile returns pairs that
+span what it has found, fewer than nodes. Then the most promising pair of each node is verified
+on the texts, and within a cluster only nodes of different components are compared further, in
+tiles that hold the texts and return verified links that span theirs.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ HASHES = BANDS * ROWS
 BATCH, MISS = 32, 1e-7
 #: Nodes of a tile, and pairs that one copy of a node's text is compared in.
 TILE, FAN = 256, 256
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _RANDOM = np.random.default_rng(77)
 _A = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,38 +151,81 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components inside one pair of tiles of a bucket whose signatures agree often enough."""
-    needed = least_matches()
-    found: list[tuple[list, list]] = []
-    count = 0
+class _Forest:
+    """Sets of things that were joined."""
+
+    def __init__(self, of: np.ndarray):
+        self.parent = {int(x): int(x) for x in of}
+
+    def find(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.parent[self.find(y)] = self.find(x)
+
+
+def _similar_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For rows of two tiles: the root of each, and the pairs of different roots whose signatures agree often enough, the best first."""
+    rows = _matrix(pa.concat_arrays(table["signature"].chunks))
+    _, root = np.unique(np.array(table["root"].to_pylist(), object), return_inverse=True)
+    sides = table["tile"].to_numpy()
+    first, second = table["first"][0].as_py(), table["second"][0].as_py()
+    i, j = np.flatnonzero(sides == first), np.flatnonzero(sides == second)
+    open_pairs = root[i][:, None] != root[j][None, :]
+    if first == second:
+        open_pairs &= np.arange(len(i))[:, None] < np.arange(len(j))[None, :]
+    x, y = np.nonzero(open_pairs)
+    x, y, matches = i[x], j[y], np.zeros(len(x), np.int64)
+    for k, need in enumerate(least_matches()):
+        span = slice(k * BATCH, (k + 1) * BATCH)
+        matches = matches + (rows[x, span] == rows[y, span]).sum(axis=1)
+        keep = matches >= need
+        x, y, matches = x[keep], y[keep], matches[keep]
+    order = np.argsort(-matches, kind="stable")
+    return root, x[order], y[order]
+
+
+def _spanning_likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Likely pairs that join the roots of each pair of tiles as all of them do."""
     for table in _groups(batches, ["key", "first", "second"]):
-        rows = _matrix(pa.concat_arrays(table["signature"].chunks))
-        nodes, sides = table["node"].to_pylist(), table["tile"].to_numpy()
-        _, root = np.unique(np.array(table["root"].to_pylist(), object), return_inverse=True)
-        first, second = table["first"][0].as_py(), table["second"][0].as_py()
-        i, j = np.flatnonzero(sides == first), np.flatnonzero(sides == second)
-        open_pairs = root[i][:, None] != root[j][None, :]
-        if first == second:
-            open_pairs &= np.arange(len(i))[:, None] < np.arange(len(j))[None, :]
-        x, y = np.nonzero(open_pairs)
-        x, y, matches = i[x], j[y], np.zeros(len(x), np.int64)
-        for k, need in enumerate(needed):
-            span = slice(k * BATCH, (k + 1) * BATCH)
-            matches = matches + (rows[x, span] == rows[y, span]).sum(axis=1)
-            keep = matches >= need
-            x, y, matches = x[keep], y[keep], matches[keep]
-        found.append(([nodes[v] for v in x], [nodes[v] for v in y]))
-        count += len(x)
-        if count > 10_000:
-            yield _node_pairs(found)
-            found, count = [], 0
-    yield _node_pairs(found)
+        root, x, y = _similar_pairs(table)
+        yield _node_pairs(table, _joined(root, zip(x.tolist(), y.tolist(), strict=True)))
+
+
+def _spanning_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Verified links that join the roots of each pair of tiles as all links do."""
+    for table in _groups(batches, ["key", "first", "second"]):
+        root, x, y = _similar_pairs(table)
+        used = np.unique(np.concatenate([x, y]))
+        sets: dict[int, np.ndarray] = {}
+        for rows in np.array_split(used, -(-len(used) // 64) or 1):
+            sets.update(zip(rows.tolist(), _shingle_sets(filled(pa.concat_arrays(table["text"].take(pa.array(rows)).chunks))), strict=True) if len(rows) else ())
+        yield _node_pairs(table, _joined(root, zip(x.tolist(), y.tolist(), strict=True), lambda i, j, sets=sets: _linked(sets[i], sets[j])))
+
+
+def _joined(root: np.ndarray, pairs, test=None) -> list[tuple[int, int]]:
+    """Pairs that pass the test and join what those before left apart; others are not tested."""
+    forest, found = _Forest(np.unique(root)), []
+    for i, j in pairs:
+        if forest.find(int(root[i])) != forest.find(int(root[j])) and (test is None or test(i, j)):
+            forest.join(int(root[i]), int(root[j]))
+            found.append((i, j))
+    return found
 
 
-def _node_pairs(found: list[tuple[list, list]]) -> pa.RecordBatch:
-    pairs = [(min(p), max(p)) for a, b in found for p in zip(a, b, strict=True)]
-    return pa.record_batch([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    at = np.searchsorted(x, y)
+    common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+    return 100 * common >= PERCENT * (len(x) + len(y) - common)
+
+
+def _node_pairs(table: pa.Table, found: list[tuple[int, int]]) -> pa.RecordBatch:
+    nodes = pa.concat_arrays(table["node"].chunks)
+    return pa.record_batch([nodes.take(pa.array([p[k] for p in found], pa.int64())) for k in (0, 1)], names=["a", "b"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,11 +253,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 key, own = (a[i], salt[i]), shingles
             elif key != (a[i], salt[i]):
                 raise ValueError("the text of a candidate is missing")
-            else:
-                at = np.searchsorted(own, shingles)
-                common = int((own[np.minimum(at, len(own) - 1)] == shingles).sum())
-                if 100 * common >= PERCENT * (len(own) + len(shingles) - common):
-                    links.append((a[i], b[i]))
+            elif _linked(own, shingles):
+                links.append((a[i], b[i]))
         yield pa.record_batch([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
 
@@ -227,10 +270,30 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(sorted_rows.mapInArrow(_verify, "a binary, b binary"), "verified")
 
 
-def _with_roots(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Adds ``root`` to rows with ``node``: the component's root, or the node itself."""
-    found = roots.select(F.col("node").alias("_node"), "root")
-    return nodes.join(found, nodes["node"] == F.col("_node"), "left").drop("_node").withColumn("root", F.coalesce("root", "node"))
+def _with_roots(nodes: DataFrame, roots: DataFrame, name: str = "root") -> DataFrame:
+    """Adds to rows with ``node`` the component's root, or the node itself."""
+    found = roots.select(F.col("node").alias("_node"), F.col("root").alias(name))
+    return nodes.join(found, nodes["node"] == F.col("_node"), "left").drop("_node").withColumn(name, F.coalesce(name, "node"))
+
+
+def _tiled(rows: DataFrame) -> DataFrame:
+    """Rows (key, node, root) for each pair of tiles that they are compared in: (key, first, second, tile, node, root).
+
+    Keys whose rows have one root go. The root with the most rows of a key has tiles of its own,
+    which are not compared among themselves; up to ``TILE`` rows are one tile.
+    """
+    sizes = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
+    keys = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("big"), F.max("n").alias("most"), F.sum("n").alias("n")).where("n > most")
+    big_tiles = F.when(F.col("n") <= TILE, 0).otherwise(F.ceil(F.col("most") / TILE)).cast("int")
+    tiles = F.ceil((F.col("n") - F.when(F.col("n") <= TILE, 0).otherwise(F.col("most"))) / TILE).cast("int")
+    keys = stored(keys.select("key", "big", big_tiles.alias("big_tiles"), tiles.alias("tiles")), "tiles")
+    found = rows.join(keys, "key")
+    in_big = (F.col("root") == F.col("big")) & (F.col("big_tiles") > 0)
+    number = F.xxhash64("node")
+    tile = F.when(in_big, F.pmod(number, F.greatest("big_tiles", F.lit(1)))).otherwise(F.col("big_tiles") + F.pmod(number, "tiles")).cast("int")
+    other = F.explode(F.sequence(F.when(in_big, F.col("big_tiles")).otherwise(0), F.col("big_tiles") + F.col("tiles") - 1))
+    found = found.select("key", "node", "root", tile.alias("tile"), other.alias("other"))
+    return found.select("key", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "tile", "node", "root")
 
 
 def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -238,30 +301,29 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     bands = nodes.select("node", "signature").mapInArrow(_bands, "key bigint, node binary")
     shared = bands.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1")
     members = stored(bands.join(stored(shared, "buckets"), "key"), "members")
-    texts = docs.select("text").mapInArrow(_texts, "node binary, text string").join(members.select("node").distinct(), "node", "left_semi")
-    texts = stored(texts.dropDuplicates(["node"]), "texts")
-    signatures = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "signature")
-    signatures = stored(signatures, "candidate-signatures")
+    candidates = members.select("node").distinct()
+    signatures = stored(nodes.join(candidates, "node", "left_semi").select("node", "signature"), "candidate-signatures")
 
     star = members.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     x = signatures.select(F.col("node").alias("a"), F.col("signature").alias("x"))
     y = signatures.select(F.col("node").alias("b"), F.col("signature").alias("y"))
     likely = stored(star.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_compare, "a binary, b binary, matches bigint"), "likely")
+    keys = ["key", "first", "second"]
+    near = _with_roots(members.where("n > 2").select("key", "node"), stored(components(likely), "near"))
+    crossing = _tiled(near).join(signatures, "node").repartition(*keys).sortWithinPartitions(*keys)
+    more = crossing.select(*keys, "tile", "node", "root", "signature").mapInArrow(_spanning_likely, "a binary, b binary")
+    spanning = stored(likely.select("a", "b").unionByName(more), "spanning")
+    clusters = stored(components(spanning), "clusters")
+
+    wanted = clusters.select("node")
+    texts = docs.select("text").mapInArrow(_texts, "node binary, text string").join(wanted, "node", "left_semi")
+    texts = stored(texts.dropDuplicates(["node"]), "texts")
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("matches", "a")).alias("a")).select("a", "b")
     links = _verified(best, texts)
-
-    roots = stored(components(links), "first-roots")
-    ends = _with_roots(likely.select(F.col("b").alias("node"), "a"), roots).select(F.col("a").alias("node"), F.col("node").alias("b"), F.col("root").alias("b_root"))
-    rest = _with_roots(ends, roots).where("root != b_root").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-    rooted = _with_roots(members.where("n > 2").select("key", "node", "n"), roots)
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    tiled = rooted.join(mixed, "key").select("key", "node", "root", F.pmod(F.xxhash64("node"), tiles).cast("int").alias("tile"), F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other"))
-    tiled = tiled.select("key", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "tile", "node", "root")
-    crossing = tiled.join(signatures, "node").repartition("key", "first", "second").sortWithinPartitions("key", "first", "second")
-    crossing = crossing.select("key", "first", "second", "tile", "node", "root", "signature").mapInArrow(_tile_pairs, "a binary, b binary")
-    more = stored(rest.unionByName(crossing).distinct(), "crossing")
-    return links.unionByName(_verified(more, texts))
+    rooted = _with_roots(clusters.select("node", F.col("root").alias("key")), stored(components(links), "first-roots"))
+    inside = _tiled(rooted).join(signatures, "node").join(texts, "node").repartition(*keys).sortWithinPartitions(*keys)
+    rest = inside.select(*keys, "tile", "node", "root", "signature", "text").mapInArrow(_spanning_links, "a binary, b binary")
+    return links.unionByName(stored(rest, "rest"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ BITS = 18
 #: Labelled rows that the model is fitted on at most, their characters each and in all.
 SAMPLE_ROWS, LONGEST, SAMPLE_CHARS = 8000, 20_000, 32_000_000
 EPOCHS, BATCH, RATE, SPARSE, SHRINK = 10, 8, 1.0, 0.05, 0.1
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _SHAPES = np.arange(256, dtype=np.uint8)
 _SHAPES[0x30:0x3A] = ord("0")

@@ -26,7 +26,7 @@ THRESHOLD = 0.3
 SAMPLE_ROWS, LONGEST, SAMPLE_CHARS = 12_000, 20_000, 48_000_000
 EPOCHS, BATCH, RATE, SPARSE, SHRINK, BIAS_RATE = 10, 8, 1.0, 2.0, 0.1, 0.05
 #: Bytes of text worked on at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _ENDS = np.zeros(256, bool)
 _ENDS[[0x0A, 0x0D, *b".!?"]] = True
