@@ -79,8 +79,8 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
     crc = F.crc32(F.encode("text", "UTF-8")).alias("text_crc32")
-    dealt = shard(_table(spark, folder, "documents"))
-    return dealt.select("doc_id", "sharding.size", crc, "sharding.law", "sharding.shard", "sharding.slot", "sharding.grown_shard")
+    dealt = shard(_table(spark, folder, "documents").select("doc_id", "text", crc))
+    return dealt.select("doc_id", "sharding.size", "text_crc32", "sharding.law", "sharding.shard", "sharding.slot", "sharding.grown_shard")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
