@@ -33,6 +33,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
+def _name(source: Column) -> Column:
+    """Text that tells sources apart, also null from others, and is never null."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """Adds ``target`` to rows (source, source_size), one for each source.
 
@@ -141,9 +146,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     """
     if not 0 <= share <= most:
         raise ValueError("share must lie between 0 and most")
-    size, mark, part, group, length, share_no = unused(docs, "_size", "_mark", "_part", "_plan_source", "_plan_size", "_plan_part")
+    size, mark, part, name = unused(docs, "_size", "_mark", "_part", "_name")
     hashed = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    keyed = docs.drop("mix").withColumns({size: word_count(F.col("text")), mark: hashed, part: F.pmod(F.shiftrightunsigned(hashed, 20), F.lit(PARTS)).cast("int")})
+    keyed = docs.drop("mix").withColumns(
+        {size: word_count(F.col("text")), mark: hashed, part: F.pmod(F.shiftrightunsigned(hashed, 20), F.lit(PARTS)).cast("int"), name: _name(F.col("source"))}
+    )
     parts = stored(keyed.groupBy("source", F.col(size).alias("size"), F.col(part).alias("part")).agg(F.count("*").alias("n")), "lengths")
     lengths = parts.groupBy("source", "size").agg(F.sum("n").alias("n"))
     targets = source_targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, share, most)
@@ -161,17 +168,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     p, q = parts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("p"), plan.alias("q")
     quotas = stored(
         p.join(q, F.expr("p.source <=> q.source and p.size = q.size")).select(
-            F.col("p.source").alias(group),
-            F.col("p.size").alias(length),
-            F.col("p.part").alias(share_no),
+            _name(F.col("p.source")).alias(name),
+            F.col("p.size").alias(size),
+            F.col("p.part").alias(part),
             F.struct(F.col("p.size").alias("size"), "source_size", "target").alias("mix"),
             "base",
             (F.col("more") - F.col("before")).alias("quota"),
         ),
         "quotas",
-    ).select(group, length, share_no, F.struct("mix.*", "base", "quota").alias("mix"))
-    found = keyed.join(quotas, keyed["source"].eqNullSafe(quotas[group]) & (keyed[size] == quotas[length]) & (keyed[part] == quotas[share_no]))
-    rank = F.row_number().over(Window.partitionBy("source", size, part).orderBy(mark, "doc_id"))
+    ).select(name, size, part, F.struct("mix.*", "base", "quota").alias("mix"))
+    keys = [name, size, part]  # none is null, so that one shuffle serves both the join and the ranks
+    found = keyed.join(quotas, keys)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(mark, "doc_id"))
     copies = F.col("mix.base") + (rank <= F.col("mix.quota")).cast("bigint")
     return found.select(*[c for c in docs.columns if c != "mix"], F.struct("mix.size", "mix.source_size", "mix.target", copies.alias("copies")).alias("mix"))
 

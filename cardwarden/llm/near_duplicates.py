@@ -22,7 +22,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.llm.graph import components
@@ -92,7 +92,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nodes.append(_node(shingles))
             signatures.append(signature(shingles).tobytes() if len(shingles) else None)
         made = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(signatures, pa.binary())]
-        yield pa.record_batch([batch.column("doc_id"), batch.column("text_key"), *made], names=["doc_id", "text_key", "n_shingles", "node", "signature"])
+        yield pa.record_batch([batch.column("doc_id"), batch.column("key1"), batch.column("key2"), *made], names=["doc_id", "key1", "key2", "n_shingles", "node", "signature"])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -327,7 +327,7 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text_key, n_shingles, node, component_id, kept), one for each of the documents (doc_id, text).
+    """Rows (doc_id, key1, key2, n_shingles, node, component_id, kept), one for each of the documents (doc_id, text).
 
     Words are runs of other than white space with A-Z lower-cased. A text with fewer than five
     words is one shingle; without words, or null, it has none and is linked with nothing.
@@ -335,33 +335,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reachable by links, itself included, and the document with that id is kept. Documents with
     equal sets, so also repeated rows, are one component; of rows that share the smallest id all
     are marked as kept. A null id counts as larger than others; a component of null ids only
-    has a null ``component_id`` and is kept. ``text_key`` is a hash of the text. Other columns
+    has a null ``component_id`` and is kept. The keys are hashes of id and text. Other columns
     are ignored, an empty table gives none.
     """
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    keyed = docs.select("doc_id", *_row_keys(), "text")
     kind = dict(docs.dtypes)["doc_id"]
-    signed = stored(keyed.mapInArrow(_sign, f"doc_id {kind}, text_key bigint, n_shingles bigint, node binary, signature binary"), "signed")
+    signed = stored(keyed.mapInArrow(_sign, f"doc_id {kind}, key1 bigint, key2 bigint, n_shingles bigint, node binary, signature binary"), "signed")
     nodes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("signature").alias("signature"))
     nodes = stored(nodes, "nodes")
     roots = components(_links(docs, nodes))
     rooted = _with_roots(nodes.select("node", "least_id"), roots)
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = rooted.join(ids, "root").select(F.col("node").alias("_node"), "component_id")
-    whole = signed.select("doc_id", "text_key", "n_shingles", "node").join(named, F.col("node") == F.col("_node"), "left").drop("_node")
+    whole = signed.select("doc_id", "key1", "key2", "n_shingles", "node").join(named, F.col("node") == F.col("_node"), "left").drop("_node")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return whole.withColumn("component_id", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _row_keys() -> list[Column]:
+    """128 bits that tell rows apart by id and text."""
+    return [F.xxhash64(F.lit(k), "doc_id", "text").alias(f"key{k}") for k in (1, 2)]
+
+
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component, with the documents' columns; documents without words all stay.
 
-    Of rows that share the kept id, one with the text that has the smallest hash stays; rows
-    without words and with equal id and text are one.
+    Of several texts with the kept id, one stays; so does one of several rows without words
+    that agree in id and text. The documents are shuffled once, and repeated rows go before.
     """
-    found = near_duplicates(docs).where("kept")
-    chosen = found.groupBy("doc_id", "node").agg(F.min("text_key").alias("text_key"))
-    key, chosen_id, chosen_key = unused(docs, "_text_key", "_chosen_id", "_chosen_key")
-    chosen = stored(chosen.select(F.col("doc_id").alias(chosen_id), F.col("text_key").alias(chosen_key)).distinct(), "chosen")
-    single = docs.withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key])
-    same = F.col("doc_id").eqNullSafe(F.col(chosen_id)) & (F.col(key) == F.col(chosen_key))
-    return single.join(chosen, same, "left_semi").select(*docs.columns)
+    chosen = near_duplicates(docs).where("kept").groupBy("doc_id", "node", F.when(F.col("node").isNull(), F.col("key1")).alias("empty"))
+    chosen = chosen.agg(F.min(F.struct("key1", "key2")).alias("key"))
+    names = unused(docs, "_key1", "_key2")
+    kept = stored(chosen.select(*[F.col(f"key.key{k}").alias(n) for k, n in zip((1, 2), names, strict=True)]), "kept")
+    single = docs.select("*", *[c.alias(n) for c, n in zip(_row_keys(), names, strict=True)]).dropDuplicates(names)
+    return single.join(kept, names, "left_semi").select(*docs.columns)

@@ -30,18 +30,28 @@ _RANDOM = np.random.default_rng(20_240_101)
 #: A random number for each byte, whose low byte is the byte itself, so that no two agree.
 _CODES = (_RANDOM.integers(0, 1 << 56, 256, dtype=np.uint64) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
 _CODES = _CODES[_LOWER]
-_POWERS: list[np.ndarray] = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n-1 of an odd number and of its inverse modulo 2^64."""
-    if len(_POWERS[0]) < n:
-        m = 1 << max(12, (n - 1).bit_length())
-        for k, base in enumerate((_PRIME, pow(_PRIME, -1, 1 << 64))):
-            row = np.full(m, base, np.uint64)
-            row[0] = 1
-            _POWERS[k] = np.cumprod(row)
-    return _POWERS[0][:n], _POWERS[1][:n]
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, as many as were needed so far; sent to a task without them."""
+
+    def __init__(self):
+        self.rows = [np.ones(0, np.uint64)] * 2
+
+    def __reduce__(self):
+        return _Powers, ()
+
+    def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.rows[0]) < n:
+            m = 1 << max(12, (n - 1).bit_length())
+            for k, base in enumerate((_PRIME, pow(_PRIME, -1, 1 << 64))):
+                row = np.full(m, base, np.uint64)
+                row[0] = 1
+                self.rows[k] = np.cumprod(row)
+        return self.rows[0][:n], self.rows[1][:n]
+
+
+_POWERS = _Powers()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -78,7 +88,7 @@ class ByteHashes:
     """Hashes of any spans of some bytes, ASCII letters lower-cased, from one running sum."""
 
     def __init__(self, data: np.ndarray):
-        powers, self.inverses = _powers(len(data))
+        powers, self.inverses = _POWERS.first(len(data))
         self.total = np.empty(len(data) + 1, np.uint64)
         self.total[0] = 0
         np.cumsum(_CODES[data] * powers, out=self.total[1:])
