@@ -95,7 +95,7 @@ def fitted_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: in
 
 def _knapsack(lengths: np.ndarray, free: np.ndarray, budget: int) -> np.ndarray:
     """Counts, at most ``free``, whose words come nearest to the budget; the smaller of two equally near sums."""
-    top = budget + min(budget, int(lengths[free > 0].min()) if (free > 0).any() else 0)
+    top = 2 * budget  # a sum beyond is farther off than none at all
     mask, reached, steps = (1 << (top + 1)) - 1, 1, []
     first = np.full(top + 1, -1, np.int64)
     for i in np.argsort(-lengths, kind="stable"):
