@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of this machine; on
-    a cluster a missing setting is an error, since executors could not share the folder.
+    Only a local session without that setting uses Spark's warehouse folder; on a cluster a
+    missing setting is an error. The folders are the caller's to delete.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="cardwarden-")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/cardwarden/{label}-{uuid.uuid4().hex}"
 
 
