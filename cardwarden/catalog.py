@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden import fixtures
@@ -25,6 +26,7 @@ from cardwarden.plans import (
     summary,
 )
 from cardwarden.policy import RiskPolicy
+from cardwarden.schemas import FRAUD_LABELS
 from cardwarden.sources import files
 from cardwarden.sources.shared import shared_folder, shared_table
 
@@ -47,6 +49,9 @@ def _alerts_by_policy(policy: RiskPolicy) -> dict[str, Callable[[Inputs], DataFr
         "alerts_by_criterion": lambda d: alerts.alerts_by_criterion(d.days, policy),
         "alerts_by_level": lambda d: alerts.alerts_by_level(d.days, policy),
         "top_suspicious_cards": lambda d: alerts.top_suspicious_cards(d.days, policy),
+        "top_suspicious_cards_lexical": lambda d: alerts.top_suspicious_cards(
+            d.days, replace(policy, lexical_level_max=True)
+        ),
     }
 
 
@@ -105,6 +110,9 @@ _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
     "enriched_sample": lambda d: first_rows(
         features.enriched_transactions(d.tx, d.codes), "id", DEFAULT.sample_rows
     ),
+    "enriched_sample_fixture_policy": lambda d: first_rows(
+        features.enriched_transactions(d.tx, d.codes), "id", FIXTURE_POLICY.sample_rows
+    ),
     "top_categories": lambda d: profiling.top_categories(d.code_totals, d.codes),
     "avg_amount_by_category": lambda d: profiling.avg_amount_by_category(d.code_totals, d.codes),
     "tx_per_card_day": lambda d: alerts.tx_per_card_day(d.days),
@@ -152,21 +160,22 @@ _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
 # Files -------------------------------------------------------------------------------------
 
 
-def _export(d: Inputs) -> tuple[str, list[export.SinkStatus]]:
-    folder = shared_folder(d.spark, "export")
-    results = {
-        "card_risk_scores": scoring.card_risk_score(d.tx),
-        "suspicious_cards": alerts.suspicious_card_days(d.days),
-        "error_rates": errors.error_rate_by_card(d.card_totals),
+def _results(d: Inputs) -> dict[str, tuple[DataFrame, str]]:
+    """The results that a run saves, with a figure of each."""
+    return {
+        "card_risk_scores": (scoring.card_risk_score(d.tx), "risk_score"),
+        "suspicious_cards": (alerts.suspicious_card_days(d.days), "day_amount"),
+        "error_rates": (errors.error_rate_by_card(d.card_totals), "error_rate"),
+        export.ENRICHED: (features.enriched_transactions(d.tx, d.codes), "amount_num"),
     }
-    enriched = features.enriched_transactions(d.tx, d.codes)
-    return folder, export.export_all(results, enriched, folder)
 
 
 def _export_all(d: Inputs) -> DataFrame:
     """Write all eight sinks, read each back and count its rows."""
     spark = d.spark
-    _, statuses = _export(d)
+    results = {name: rows for name, (rows, _) in _results(d).items()}
+    enriched = results.pop(export.ENRICHED)
+    statuses = export.export_all(results, enriched, shared_folder(spark, "export"), FIXTURE_POLICY)
     saved = {}
     for status in statuses:
         reader = spark.read.option("header", True)
@@ -177,15 +186,28 @@ def _export_all(d: Inputs) -> DataFrame:
 
 
 def _read_results(d: Inputs) -> DataFrame:
-    folder, _ = _export(d)
-    return files.read_result(d.spark, folder, "card_risk_scores")
+    """The four Parquet results, written and read back: the figure of each of their rows."""
+    folder = shared_folder(d.spark, "results")
+    figures = {name: figure for name, (_, figure) in _results(d).items()}
+    for name, (rows, _) in _results(d).items():
+        export.write_parquet(rows, f"{folder}/parquet/{name}")
+    saved = export.read_results(d.spark, folder, list(figures))
+    union = None
+    for name, rows in saved.items():
+        part = rows.select(F.lit(name).alias("result"), "card_id", F.col(figures[name]).cast("double").alias("figure"))
+        union = part if union is None else union.unionByName(part)
+    return union
 
 
 def _partitioned_write(d: Inputs) -> DataFrame:
-    """Enriched transactions written by month, read back and counted per month."""
-    spark = d.spark
+    return _by_month(features.enriched_transactions(d.tx, d.codes))
+
+
+def _by_month(rows: DataFrame) -> DataFrame:
+    """Transactions written by month, read back and counted per month."""
+    spark = rows.sparkSession
     path = shared_folder(spark, "by-month")
-    export.write_parquet(features.enriched_transactions(d.tx, d.codes), path, "tx_month")
+    export.write_parquet(rows, path, "tx_month")
     return spark.read.parquet(path).groupBy("tx_month").agg(F.count("*").alias("tx_count"))
 
 
@@ -196,13 +218,27 @@ def _csv_round_trip(rows: DataFrame, label: str, read: Callable) -> DataFrame:
 
 
 def _mcc_json(d: Inputs) -> DataFrame:
-    """The code table as one JSON document (a few entries per code), read back."""
-    spark = d.spark
-    path = shared_folder(spark, "mcc-json")
-    codes = d.codes.filter(F.col("mcc").rlike("^[0-9]{1,4}$"))
+    """The code table as JSON documents of some thousand codes each, read back."""
+    path = shared_folder(d.spark, "mcc-json")
     entries = F.map_from_entries(F.collect_list(F.struct("mcc", "merchant_category")))
-    codes.agg(F.to_json(entries).alias("value")).write.text(path)
-    return files.read_mcc_codes(spark, path)
+    _write_documents(d.codes, "mcc", F.to_json(entries), path)
+    return files.read_mcc_codes(d.spark, path)
+
+
+def _write_documents(rows: DataFrame, key: str, document: Column, path: str) -> None:
+    """One JSON document per file; their number grows with the rows."""
+    number = F.floor(rows.agg(F.count("*")).scalar() / 5_000) + 1
+    dealt = rows.withColumn("document", F.pmod(F.xxhash64(key), number))
+    texts = dealt.groupBy("document").agg(document.alias("value"))
+    texts.write.partitionBy("document").text(path)
+
+
+def _labels_document(d: Inputs) -> DataFrame:
+    """The labels as JSON documents over several lines, read with a schema."""
+    path = shared_folder(d.spark, "labels-document")
+    rows = F.collect_list(F.struct("transaction_id", "is_fraud"))
+    _write_documents(d.labels, "transaction_id", F.to_json(rows, {"pretty": "true"}), path)
+    return files.read_json_document(d.spark, path, FRAUD_LABELS).select(*FRAUD_LABELS.fieldNames())
 
 
 def _labels_json(d: Inputs) -> DataFrame:
@@ -220,6 +256,7 @@ _FILES: dict[str, Callable[[Inputs], DataFrame]] = {
     "csv_users_scan": lambda d: _csv_round_trip(d.users, "users-csv", files.read_users),
     "mcc_json_scan": _mcc_json,
     "fraud_labels_scan": _labels_json,
+    "fraud_labels_document_scan": _labels_document,
     "export_all": _export_all,
     "read_results": _read_results,
     "partitioned_write": _partitioned_write,
@@ -243,6 +280,8 @@ _LINEITEM: dict[str, Query] = {
         lambda tx: alerts.suspicious_card_days(rollups.daily_totals(tx))
     ),
     "lineitem_card_risk_score": _on_lineitem(scoring.card_risk_score),
+    "lineitem_tx_by_month": _on_lineitem(profiling.tx_by_month),
+    "lineitem_partitioned_write": _on_lineitem(_by_month),
     "lineitem_segment_comparison": _on_lineitem(lambda tx: _segments(tx, DEFAULT)),
 }
 

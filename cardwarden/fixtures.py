@@ -27,6 +27,7 @@ FIXTURE_POLICY = RiskPolicy(
     amount_tiers=((400, 20.0), (300, 15.0), (200, 10.0)),
     error_tiers=((20, 30.0), (15, 25.0), (12, 15.0), (9, 10.0)),
     low_risk_rate=12.0,
+    sample_rows=1_000,
 )
 
 
@@ -120,11 +121,10 @@ def event_transactions(spark: SparkSession, folder: str) -> DataFrame:
     city = table(spark, folder, "nation").select(
         F.col("n_nationkey").alias("city_key"), F.col("n_name").alias("city_name")
     )
-    # 25 nations, a fixed number.
     rows = (
         table(spark, folder, "events")
         .withColumn("k", k)
-        .join(F.broadcast(city), F.pmod(F.col("k"), F.lit(25)) == F.col("city_key"), "left")
+        .join(city, F.pmod(F.col("k"), F.lit(25)) == F.col("city_key"), "left")
     )
     error = (
         F.when((event % 4) == 0, "Bad PIN")

@@ -1,42 +1,45 @@
 """Money text such as ``"$1,200.50"`` as numbers.
 
-Sums and means run on whole cents (``bigint``): exact in any row order, and cheaper in a
-hash aggregate than wide decimals. Values are turned back into units only at the end.
+Sums and means run on exact decimals with six places, so they do not depend on the order of
+the rows. Values become doubles only at the end.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Beyond this a double no longer holds every cent; such text is not a money value.
-_LARGEST = 1e13
+EXACT = "decimal(38,6)"
+
+
+def _bare(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("$"), F.lit("")), F.lit(","), F.lit(""))
 
 
 def to_number(text: Column) -> Column:
-    """Number in money text, null when it cannot be read."""
-    bare = F.replace(F.replace(text, F.lit("$"), F.lit("")), F.lit(","), F.lit(""))
-    number = bare.try_cast("double")
-    return F.when(F.abs(number) < _LARGEST, number)
+    """Number in money text, null when it cannot be read or is not finite."""
+    number = _bare(text).try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
-def to_cents(number: Column) -> Column:
-    return F.rint(number * 100).cast("bigint")
+def to_exact(text: Column) -> Column:
+    """The same as a decimal; a seventh decimal place is rounded half up."""
+    return _bare(text).try_cast(EXACT)
 
 
-def units(cents: Column) -> Column:
-    return cents / F.lit(100.0)
+def units(exact: Column) -> Column:
+    return exact.cast("double")
 
 
-def total(cents: Column) -> Column:
-    return units(F.sum(cents))
+def total(exact: Column) -> Column:
+    return units(F.sum(exact))
 
 
-def mean(cents: Column) -> Column:
-    return F.try_divide(units(F.sum(cents)), F.count(cents))
+def mean(exact: Column) -> Column:
+    return F.try_divide(units(F.sum(exact)), F.count(exact))
 
 
-def highest(cents: Column) -> Column:
-    return units(F.max(cents))
+def highest(exact: Column) -> Column:
+    return units(F.max(exact))
 
 
-def lowest(cents: Column) -> Column:
-    return units(F.min(cents))
+def lowest(exact: Column) -> Column:
+    return units(F.min(exact))

@@ -5,28 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: merchant category codes have at most four digits.
-LARGEST_MCC = 9999
-
 
 def mcc_dimension(codes: DataFrame) -> DataFrame:
     """One row per numeric merchant category code.
 
-    Keys that are not a code are dropped instead of failing the join, and a code listed
-    twice keeps one category, so a transaction is never multiplied. The key range bounds
-    the result to 10 000 rows whatever the input holds, which is why it may be broadcast.
+    Keys that are not a number are dropped instead of failing the join. A code listed twice,
+    also in two spellings such as ``5411`` and ``05411``, keeps one category, so a
+    transaction is never multiplied.
     """
     return (
-        codes.select(F.col("mcc").try_cast("int").alias("mcc"), "merchant_category")
-        .filter(F.col("mcc").between(0, LARGEST_MCC))
+        codes.select(F.col("mcc").try_cast("bigint").alias("mcc"), "merchant_category")
+        .filter(F.col("mcc").isNotNull())
         .groupBy("mcc")
         .agg(F.min("merchant_category").alias("merchant_category"))
     )
 
 
 def with_category(rows: DataFrame, codes: DataFrame) -> DataFrame:
-    """Left join of rows that carry ``mcc`` to their merchant category."""
-    return rows.join(F.broadcast(mcc_dimension(codes)), "mcc", "left")
+    """Left join of rows that carry ``mcc`` to their merchant category.
+
+    Without a hint: Spark broadcasts the codes when their measured size is small.
+    """
+    return rows.join(mcc_dimension(codes), "mcc", "left")
 
 
 def card_owners(cards: DataFrame) -> DataFrame:

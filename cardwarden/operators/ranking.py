@@ -15,7 +15,7 @@ def top_k(rows: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 def first_rows(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` rows with the smallest value of an integer primary key.
+    """The ``n`` rows with the smallest value of an integer primary key; rows without one come last.
 
     A plain sort and limit lets every task send ``n`` rows to one final task, which for a
     sample of 100 000 rows over many thousands of tasks is too much. A histogram of the
@@ -25,7 +25,7 @@ def first_rows(rows: DataFrame, key: str, n: int) -> DataFrame:
     """
     keyed = rows.filter(F.col(key).isNotNull())
     ends = F.struct(F.min(key).alias("low"), F.max(key).alias("high"))
-    span = keyed.agg(ends.alias("span")).scalar()
+    span = keyed.agg(ends.withField("rows", F.count("*")).alias("span")).scalar()
     # Divided before the subtraction, which might overflow.
     width = _div(span["high"], F.lit(_BINS)) - _div(span["low"], F.lit(_BINS)) + 1
     bins = keyed.groupBy(_div(F.col(key), width).alias("bin")).agg(F.count("*").alias("n"))
@@ -41,7 +41,10 @@ def first_rows(rows: DataFrame, key: str, n: int) -> DataFrame:
         .agg(end.alias("bound"))
         .scalar()
     )
-    return keyed.filter(F.col(key) <= bound).orderBy(key).limit(n)
+    # Rows without a key are wanted only if the others do not suffice; a hash orders them.
+    wanted = (F.col(key) <= bound) | (F.col(key).isNull() & (span["rows"] < n))
+    order = F.when(F.col(key).isNull(), F.xxhash64(*rows.columns))
+    return rows.filter(wanted).orderBy(F.col(key).asc_nulls_last(), order).limit(n)
 
 
 def _div(number: Column, by: Column) -> Column:

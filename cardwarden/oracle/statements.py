@@ -56,6 +56,22 @@ scores AS (
 )"""
 
 
+_LEXICAL_MAX = """CASE WHEN bool_or(alert_level = 'HIGH') THEN 'HIGH'
+  WHEN bool_or(alert_level = 'MODERATE') THEN 'MODERATE' ELSE 'CRITICAL' END"""
+
+
+def _top_suspicious(p: RiskPolicy, worst: str) -> str:
+    return _events(
+        f"""SELECT card_id, count(*) AS suspicious_days, CAST(sum(tx_count) AS BIGINT) AS suspicious_tx,
+  CAST(sum(day_exact) AS DOUBLE) AS suspicious_amount, {worst} AS risk_level_max,
+  avg(criteria_count) AS avg_criteria
+FROM flagged GROUP BY card_id
+ORDER BY suspicious_days DESC, suspicious_amount DESC, card_id LIMIT {p.top_suspicious}""",
+        t.DAILY,
+        _flagged(p),
+    )
+
+
 _FLAGGED_COLUMNS = """card_id, tx_day, tx_count, city_count, day_amount, crit_volume, crit_cities,
   crit_amount, criteria_count, alert_level"""
 
@@ -104,14 +120,8 @@ def _rule_statements(p: RiskPolicy) -> dict[str, str]:
 FROM flagged GROUP BY alert_level""",
             *days,
         ),
-        "top_suspicious_cards": _events(
-            f"""SELECT card_id, count(*) AS suspicious_days, CAST(sum(tx_count) AS BIGINT) AS suspicious_tx,
-  CAST(sum(day_exact) AS DOUBLE) AS suspicious_amount, {level_max} AS risk_level_max,
-  avg(criteria_count) AS avg_criteria
-FROM flagged GROUP BY card_id
-ORDER BY suspicious_days DESC, suspicious_amount DESC, card_id LIMIT {p.top_suspicious}""",
-            *days,
-        ),
+        "top_suspicious_cards": _top_suspicious(p, level_max),
+        "top_suspicious_cards_lexical": _top_suspicious(p, _LEXICAL_MAX),
         "card_risk_score": _events("SELECT * FROM scores", *cards),
         "risk_distribution": _events(
             "SELECT risk_level, count(*) AS card_count FROM scores GROUP BY risk_level", *cards
@@ -243,8 +253,8 @@ def _plain_statements() -> dict[str, str]:
         "clean_amounts": "SELECT id, amount, amount_num FROM tx",
         "non_positive_amounts": "SELECT count(*) AS non_positive_count FROM tx WHERE exact_amount <= 0",
         "missing_mcc": "SELECT count(*) AS missing_mcc_count FROM tx WHERE mcc IS NULL",
-        "amount_stats_exact": f"""SELECT {_MEAN} AS mean_amount, min(amount_num) AS min_amount,
-  max(amount_num) AS max_amount, CAST(quantile_disc(exact_amount, 0.5) AS DOUBLE) AS median_amount FROM tx""",
+        **dict.fromkeys(("amount_stats", "amount_stats_exact"), f"""SELECT {_MEAN} AS mean_amount, min(amount_num) AS min_amount,
+  max(amount_num) AS max_amount, CAST(quantile_disc(exact_amount, 0.5) AS DOUBLE) AS median_amount FROM tx"""),
         "amount_buckets": f"""SELECT {_BUCKET} AS amount_bucket, count(*) AS tx_count FROM tx
 WHERE exact_amount IS NOT NULL GROUP BY 1""",
         "time_features": "SELECT id, date, tx_hour, tx_weekday, tx_month FROM tx",
@@ -253,6 +263,7 @@ WHERE exact_amount IS NOT NULL GROUP BY 1""",
 FROM tx GROUP BY tx_weekday""",
         "enriched_transactions": f"SELECT {_ENRICHED} FROM tc",
         "enriched_sample": f"SELECT {_ENRICHED} FROM tc ORDER BY id LIMIT {RiskPolicy().sample_rows}",
+        "enriched_sample_fixture_policy": f"SELECT {_ENRICHED} FROM tc ORDER BY id LIMIT {FIXTURE_POLICY.sample_rows}",
         "top_categories": """SELECT merchant_category, count(*) AS tx_count FROM tc GROUP BY 1
 ORDER BY tx_count DESC, merchant_category NULLS FIRST LIMIT 10""",
         "avg_amount_by_category": f"""SELECT merchant_category, {_MEAN} AS mean_amount, count(*) AS tx_count
@@ -290,7 +301,7 @@ FROM (SELECT tx_hour, count(*) AS tx_count FROM tx GROUP BY tx_hour) h""",
         "amount_dispersion": f"""SELECT card_id, count(exact_amount) AS amount_count, {_MEAN} AS mean_amount,
   round(stddev_samp(amount_num), 6) AS stddev_amount FROM tx GROUP BY card_id""",
         "tx_per_card_hour": """SELECT card_id, tx_day, tx_hour, count(*) AS tx_count FROM tx
-WHERE date IS NOT NULL GROUP BY card_id, tx_day, tx_hour""",
+GROUP BY card_id, tx_day, tx_hour""",
         "card_hour_peaks": """SELECT card_id, active_hours, peak_count, peak_hour FROM (
   SELECT card_id, count(*) OVER (PARTITION BY card_id) AS active_hours, n AS peak_count, h AS peak_hour,
     row_number() OVER (PARTITION BY card_id ORDER BY n DESC, h) AS r
@@ -333,7 +344,8 @@ FROM tx LEFT JOIN (SELECT id, CAST(strptime('01/' || acct_open_date, '%d/%m/%Y')
         "csv_transactions_scan": f"SELECT {_RAW} FROM raw",
         "csv_cards_scan": "SELECT * FROM cards",
         "csv_users_scan": "SELECT * FROM users",
-        "mcc_json_scan": "SELECT mcc, merchant_category FROM codes WHERE mcc NOT LIKE 'x%'",
+        "mcc_json_scan": "SELECT mcc, merchant_category FROM codes",
+        "fraud_labels_document_scan": "SELECT transaction_id, is_fraud FROM labels",
         "fraud_labels_scan": "SELECT transaction_id, is_fraud FROM labels",
         "partitioned_write": "SELECT tx_month, count(*) AS tx_count FROM tx GROUP BY tx_month",
     }
@@ -358,10 +370,17 @@ def _export_statements(p: RiskPolicy) -> dict[str, str]:
         for name, count in sinks.items()
     ]
     rows.append("SELECT 'parquet:enriched_transactions', count(*) FROM tx")
-    rows.append(f"SELECT 'csv:enriched_sample', least(count(*), {p.sample_rows}) FROM tx")
+    rows.append(f"SELECT 'csv:enriched_sample', least(count(*), {FIXTURE_POLICY.sample_rows}) FROM tx")
     return {
         "export_all": _events("\nUNION ALL ".join(rows), *ctes),
-        "read_results": _events("SELECT * FROM scores", *ctes),
+        "read_results": _events(
+            """SELECT 'card_risk_scores' AS result, card_id, risk_score AS figure FROM scores
+UNION ALL SELECT 'suspicious_cards', card_id, day_amount FROM flagged
+UNION ALL SELECT 'error_rates', card_id, count(*) FILTER (WHERE has_error) / count(*) * 100 FROM tx
+  GROUP BY card_id HAVING count(*) >= 5
+UNION ALL SELECT 'enriched_transactions', card_id, amount_num FROM tc""",
+            *ctes,
+        ),
     }
 
 
@@ -373,6 +392,10 @@ def _lineitem_statements(p: RiskPolicy) -> dict[str, str]:
             "SELECT card_id, tx_day, tx_count, city_count, day_amount FROM daily", t.DAILY
         ),
         "lineitem_suspicious_card_days": _lineitem(f"SELECT {_FLAGGED_COLUMNS} FROM flagged", *days),
+        "lineitem_tx_by_month": _lineitem(
+            f"SELECT tx_month, count(*) AS tx_count, {_TOTAL} AS amount_total FROM tx GROUP BY tx_month"
+        ),
+        "lineitem_partitioned_write": _lineitem("SELECT tx_month, count(*) AS tx_count FROM tx GROUP BY tx_month"),
         "lineitem_card_risk_score": _lineitem("SELECT * FROM scores", *cards),
         "lineitem_segment_comparison": _lineitem(
             _SEGMENT_ROWS, *cards, _SEGMENTS.format(bound=p.high_risk_score)

@@ -81,14 +81,14 @@ tx AS (
     CAST(month(date) AS INTEGER) AS tx_month,
     CAST(date AS DATE) AS tx_day,
     errors IS NOT NULL AND errors <> '' AS has_error
-  FROM (SELECT *, TRY_CAST(replace(replace(amount, '$', ''), ',', '') AS DECIMAL(18,2))
+  FROM (SELECT *, TRY_CAST(replace(replace(amount, '$', ''), ',', '') AS DECIMAL(38,6))
           AS exact_amount FROM raw) r
 )"""
 
 CATEGORIES = """
 tc AS (
   SELECT tx.*, merchant_category
-  FROM tx LEFT JOIN codes ON tx.mcc = TRY_CAST(codes.mcc AS INTEGER)
+  FROM tx LEFT JOIN codes ON tx.mcc = TRY_CAST(codes.mcc AS BIGINT)
 )"""
 
 DAILY = """

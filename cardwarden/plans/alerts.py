@@ -17,8 +17,8 @@ _CRITERIA = ("crit_volume", "crit_cities", "crit_amount")
 
 
 def _in_units(days: DataFrame) -> DataFrame:
-    return days.withColumn("day_amount", money.units(F.col("day_cents"))).drop(
-        "day_cents", "amount_count"
+    return days.withColumn("day_amount", money.units(F.col("day_exact"))).drop(
+        "day_exact", "amount_count"
     )
 
 
@@ -37,7 +37,7 @@ def amount_per_card_day(days: DataFrame) -> DataFrame:
         .select(
             "card_id",
             "tx_day",
-            money.units(F.col("day_cents")).alias("amount_total"),
+            money.units(F.col("day_exact")).alias("amount_total"),
             F.col("amount_count").alias("tx_count"),
         )
         .orderBy("card_id", "tx_day")
@@ -46,7 +46,7 @@ def amount_per_card_day(days: DataFrame) -> DataFrame:
 
 def flagged_days(days: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
     """Card-days that meet a criterion; an unknown sum does not meet the amount criterion."""
-    amount = money.units(F.col("day_cents"))
+    amount = money.units(F.col("day_exact"))
     met = {
         "crit_volume": F.col("tx_count") > policy.day_transactions,
         "crit_cities": F.col("city_count") > policy.day_cities,
@@ -99,18 +99,18 @@ def alerts_by_level(days: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataF
 
 def top_suspicious_cards(days: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
     """Cards with the most suspicious days, then the highest sum on them."""
-    worst = (
-        F.max("alert_level")
-        if policy.lexical_level_max
-        else _alert_level(F.max("criteria_count"), policy)
-    )
+    if policy.lexical_level_max:
+        order = F.array(*[F.lit(level) for level in reversed(policy.lexical_order)])
+        worst = F.max_by("alert_level", F.array_position(order, F.col("alert_level")))
+    else:
+        worst = _alert_level(F.max("criteria_count"), policy)
     cards = (
         flagged_days(days, policy)
         .groupBy("card_id")
         .agg(
             F.count("*").alias("suspicious_days"),
             F.sum("tx_count").alias("suspicious_tx"),
-            money.total(F.col("day_cents")).alias("suspicious_amount"),
+            money.total(F.col("day_exact")).alias("suspicious_amount"),
             worst.alias("risk_level_max"),
             F.avg("criteria_count").alias("avg_criteria"),
         )

@@ -12,9 +12,6 @@ from cardwarden.operators.ranking import first_rows
 from cardwarden.policy import RiskPolicy
 from cardwarden.sources.files import read_result
 
-# Largest result that is written by one task as a single CSV file.
-SINGLE_FILE_ROWS = 1_000_000
-
 ENRICHED, SAMPLE = "enriched_transactions", "enriched_sample"
 
 
@@ -69,12 +66,14 @@ def export_all(
     folder: str,
     policy: RiskPolicy = RiskPolicy(),
     partition_by: str | None = None,
+    single_file: frozenset[str] = frozenset(),
 ) -> list[SinkStatus]:
     """Write each result and the enriched transactions, as Parquet and as CSV.
 
     Parquet comes first, and the CSV files are made from it, so every analysis runs once.
-    The CSV of the enriched transactions is a sample of the first ids. A failing sink does
-    not stop the others; the error is raised at the end.
+    A CSV has a file per partition, or one file, written by one task, for the results that
+    ``single_file`` names. The CSV of the enriched transactions is a sample of the first ids
+    in one file. A failing sink does not stop the others; the error is raised at the end.
     """
     spark = enriched.sparkSession
     statuses: list[SinkStatus] = []
@@ -91,10 +90,9 @@ def export_all(
         write_parquet(rows, path, column)
         return spark.read.parquet(path).count()
 
-    def csv(path: str, rows: DataFrame) -> int:
-        count = rows.count()
-        write_csv(rows, path, single_file=count <= SINGLE_FILE_ROWS)
-        return count
+    def csv(path: str, rows: DataFrame, one_file: bool) -> int:
+        write_csv(rows, path, one_file)
+        return rows.count()
 
     def sample(path: str, rows: DataFrame) -> int:
         write_csv(first_rows(rows, "id", policy.sample_rows), path, single_file=True)
@@ -110,7 +108,7 @@ def export_all(
     enriched = saved.pop(ENRICHED)
     for name, rows in saved.items():
         path = f"{folder}/csv/{name}"
-        attempt(name, "csv", path, lambda: csv(path, rows))
+        attempt(name, "csv", path, lambda: csv(path, rows, name in single_file))
     path = f"{folder}/csv/{SAMPLE}"
     attempt(SAMPLE, "csv", path, lambda: sample(path, enriched))
 

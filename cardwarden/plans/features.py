@@ -13,7 +13,7 @@ from cardwarden.operators.dimensions import with_category
 # Columns that ``with_features`` adds.
 FEATURES = (
     "amount_num",
-    "amount_cents",
+    "amount_exact",
     "tx_hour",
     "tx_weekday",
     "tx_month",
@@ -32,11 +32,11 @@ def with_features(transactions: DataFrame) -> DataFrame:
     Everything is a projection: an analysis that needs two of the columns reads and
     computes just those two. Staged transactions have the columns and pass unchanged.
     """
-    if "amount_cents" in transactions.columns:
+    if "amount_exact" in transactions.columns:
         return transactions
     return transactions.withColumn("amount_num", money.to_number(F.col("amount"))).withColumns(
         {
-            "amount_cents": money.to_cents(F.col("amount_num")),
+            "amount_exact": money.to_exact(F.col("amount")),
             "tx_hour": F.hour("date"),
             "tx_weekday": F.dayofweek("date"),
             "tx_month": F.month("date"),
@@ -56,7 +56,7 @@ def time_features(tx: DataFrame) -> DataFrame:
 
 def enriched_transactions(tx: DataFrame, codes: DataFrame) -> DataFrame:
     """Every transaction with its features and merchant category (null when unknown)."""
-    return with_category(tx, codes).select(*tx.columns, "merchant_category").drop("amount_cents")
+    return with_category(tx, codes).select(*tx.columns, "merchant_category").drop("amount_exact")
 
 
 def _yes(text: Column) -> Column:

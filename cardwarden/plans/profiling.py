@@ -15,13 +15,16 @@ from cardwarden.plans.rollups import transactions_in
 from cardwarden.policy import RiskPolicy
 
 
+# The bounds of the amount ranges below are fixed values.
 # Amounts ------------------------------------------------------------------------------
 
 
-def amount_stats(tx: DataFrame) -> DataFrame:
-    """Mean, approximate median, lowest and highest amount."""
+def amount_stats(tx: DataFrame, approximate: bool = False) -> DataFrame:
+    """Mean, median, lowest and highest amount; the median is exact unless an approximate one is asked for."""
+    if not approximate:
+        return amount_stats_exact(tx)
     return tx.agg(
-        money.mean(F.col("amount_cents")).alias("mean_amount"),
+        money.mean(F.col("amount_exact")).alias("mean_amount"),
         F.percentile_approx("amount_num", 0.5).alias("median_amount"),
         F.min("amount_num").alias("min_amount"),
         F.max("amount_num").alias("max_amount"),
@@ -29,8 +32,8 @@ def amount_stats(tx: DataFrame) -> DataFrame:
 
 
 def amount_stats_exact(tx: DataFrame) -> DataFrame:
-    """As ``amount_stats`` with the exact discrete median, from counts per distinct amount."""
-    counts = value_counts(tx, "amount_cents")
+    """The same with the exact discrete median, all from counts per distinct amount."""
+    counts = value_counts(tx, "amount_exact")
     return counts.agg(
         F.try_divide(money.units(F.sum(F.col("v") * F.col("n"))), F.sum("n")).alias("mean_amount"),
         money.lowest(F.col("v")).alias("min_amount"),
@@ -65,7 +68,7 @@ def amount_dispersion(tx: DataFrame) -> DataFrame:
         tx.groupBy("card_id")
         .agg(
             F.count("amount_num").alias("amount_count"),
-            money.mean(F.col("amount_cents")).alias("mean_amount"),
+            money.mean(F.col("amount_exact")).alias("mean_amount"),
             F.stddev("amount_num").alias("stddev_amount"),
         )
         .orderBy(F.desc("stddev_amount"), "card_id")
@@ -110,7 +113,7 @@ def tx_by_month(rows: DataFrame) -> DataFrame:
         rows.groupBy("tx_month")
         .agg(
             transactions_in(rows).alias("tx_count"),
-            money.total(F.col("amount_cents")).alias("amount_total"),
+            money.total(F.col("amount_exact")).alias("amount_total"),
         )
         .orderBy("tx_month")
     )
@@ -139,33 +142,31 @@ def _night(policy: RiskPolicy):
 
 
 def _card_hours(tx: DataFrame) -> DataFrame:
-    return (
-        tx.filter(F.col("date").isNotNull())
-        .groupBy("card_id", "tx_day", "tx_hour")
-        .agg(F.count("*").alias("tx_count"))
-    )
+    return tx.groupBy("card_id", "tx_day", "tx_hour").agg(F.count("*").alias("tx_count"))
 
 
 def tx_per_card_hour(tx: DataFrame) -> DataFrame:
+    """Transactions without a date count under a null day and hour."""
     return _card_hours(tx).orderBy("card_id", "tx_day", "tx_hour")
 
 
 def card_hour_peaks(tx: DataFrame) -> DataFrame:
-    """Busiest clock hour of each card (the earliest on a tie) and the active hours."""
+    """Busiest clock hour of each card (the earliest on a tie) and the active hours.
+
+    An unknown hour is not active; a card without a known one has no peak.
+    """
     hours = _card_hours(tx).withColumn(
         "hour_number", hour_number(F.col("tx_day"), F.col("tx_hour"))
     )
-    # One long orders by count and then by hour, which keeps the aggregate hash-based.
-    by_count_then_hour = F.col("hour_number") - F.col("tx_count") * F.lit(100_000_000)
+    by_count_then_hour = F.struct((-F.col("tx_count")).alias("most"), "hour_number")
     return (
         hours.groupBy("card_id")
         .agg(
-            F.count("*").alias("active_hours"),
-            F.max("tx_count").alias("peak_count"),
-            F.min_by("hour_number", by_count_then_hour).alias("hour_number"),
+            F.count("hour_number").alias("active_hours"),
+            F.min(F.when(F.col("hour_number").isNotNull(), by_count_then_hour)).alias("peak"),
         )
-        .withColumn("peak_hour", hour_start(F.col("hour_number")))
-        .drop("hour_number")
+        .withColumns({"peak_count": -F.col("peak.most"), "peak_hour": hour_start(F.col("peak.hour_number"))})
+        .drop("peak")
         .orderBy(F.desc("peak_count"), "card_id")
     )
 
@@ -188,7 +189,7 @@ def top_categories(
 
 def avg_amount_by_category(code_totals: DataFrame, codes: DataFrame) -> DataFrame:
     """Mean and number of the readable amounts of each known category."""
-    mean = F.try_divide(money.total(F.col("amount_cents")), F.sum("amount_count"))
+    mean = F.try_divide(money.total(F.col("amount_exact")), F.sum("amount_count"))
     priced = code_totals.filter(F.col("mcc").isNotNull() & (F.col("amount_count") > 0))
     return (
         with_category(priced, codes)
@@ -248,7 +249,7 @@ def channel_profile(tx: DataFrame) -> DataFrame:
     """Volume, mean amount and error rate per way of payment."""
     channels = tx.groupBy("use_chip").agg(
         F.count("*").alias("tx_count"),
-        money.mean(F.col("amount_cents")).alias("mean_amount"),
+        money.mean(F.col("amount_exact")).alias("mean_amount"),
         F.count_if("has_error").alias("error_count"),
         percent(F.count_if("has_error"), F.count("*")).alias("error_rate"),
     )

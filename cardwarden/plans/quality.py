@@ -80,7 +80,7 @@ def transaction_profile(tx: DataFrame) -> DataFrame:
         F.count_if(F.col("mcc").isNull()).alias("missing_mcc_count"),
         F.count_if("has_error").alias("transactions_with_error"),
         percent(F.count_if("has_error"), F.count("*")).alias("error_pct"),
-        money.mean(F.col("amount_cents")).alias("mean_amount"),
+        money.mean(F.col("amount_exact")).alias("mean_amount"),
         F.min("amount_num").alias("min_amount"),
         F.max("amount_num").alias("max_amount"),
     )

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 
 def daily_totals(tx: DataFrame) -> DataFrame:
-    """One row per card and day; sums stay in cents for later exact sums."""
+    """One row per card and day; sums stay decimals for later exact sums."""
     return tx.groupBy("card_id", "tx_day").agg(
         F.count("*").alias("tx_count"),
         F.count_distinct("merchant_city").alias("city_count"),
-        F.sum("amount_cents").alias("day_cents"),
-        F.count("amount_cents").alias("amount_count"),
+        F.sum("amount_exact").alias("day_exact"),
+        F.count("amount_exact").alias("amount_count"),
     )
 
 
@@ -32,8 +32,8 @@ def code_totals(tx: DataFrame) -> DataFrame:
     return tx.groupBy("mcc").agg(
         F.count("*").alias("total_transactions"),
         F.count_if("has_error").alias("error_count"),
-        F.count("amount_cents").alias("amount_count"),
-        F.sum("amount_cents").alias("amount_cents"),
+        F.count("amount_exact").alias("amount_count"),
+        F.sum("amount_exact").alias("amount_exact"),
     )
 
 
@@ -43,7 +43,7 @@ def calendar_totals(tx: DataFrame) -> DataFrame:
     It keeps the names of the transaction columns, so that the calendar reports take either.
     """
     return tx.groupBy("tx_hour", "tx_weekday", "tx_month").agg(
-        F.count("*").alias("tx_count"), F.sum("amount_cents").alias("amount_cents")
+        F.count("*").alias("tx_count"), F.sum("amount_exact").alias("amount_exact")
     )
 
 

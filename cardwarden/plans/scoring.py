@@ -16,18 +16,18 @@ from cardwarden.policy import RiskPolicy
 
 def card_risk_features(tx: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per card; transactions without a card form one row as well."""
-    used = tx.select("card_id", "merchant_city", "tx_day", "mcc", "amount_cents", "has_error")
+    used = tx.select("card_id", "merchant_city", "tx_day", "mcc", "amount_exact", "has_error")
     return distinct_by_heat(used, "card_id", _features, hot_rows)
 
 
 def _features(rows: DataFrame, distinct: Callable[[str], Column]) -> DataFrame:
-    cents = F.col("amount_cents")
+    amount = F.col("amount_exact")
     return rows.groupBy("card_id").agg(
         F.count("*").alias("total_transactions"),
         distinct("merchant_city").alias("city_count"),
-        money.total(cents).alias("amount_total"),
-        money.mean(cents).alias("amount_mean"),
-        money.highest(cents).alias("amount_max"),
+        money.total(amount).alias("amount_total"),
+        money.mean(amount).alias("amount_mean"),
+        money.highest(amount).alias("amount_max"),
         F.count_if("has_error").alias("error_count"),
         percent(F.count_if("has_error"), F.count("*")).alias("error_rate"),
         distinct("tx_day").alias("active_days"),

@@ -36,7 +36,7 @@ def segment_comparison(tx: DataFrame, suspects: DataFrame) -> DataFrame:
     segment = F.when(F.col("_suspect"), SUSPECT).otherwise(NORMAL)
     stats = marked.groupBy(segment.alias("segment")).agg(
         F.count("*").alias("tx_count"),
-        money.mean(F.col("amount_cents")).alias("mean_amount"),
+        money.mean(F.col("amount_exact")).alias("mean_amount"),
         F.stddev("amount_num").alias("stddev_amount"),
         F.count_distinct("merchant_city").alias("city_count"),
         percent(F.count_if("has_error"), F.count("*")).alias("error_rate"),

@@ -25,11 +25,16 @@ def impossible_travel(
 ) -> DataFrame:
     """Transactions too far from the card's previous located one for the time between.
 
-    ``places`` gives ``merchant_city``, ``latitude`` and ``longitude``. The inputs hold no
-    merchant position, so transactions whose city it does not list are left out.
+    ``places`` gives ``merchant_city``, ``latitude`` and ``longitude``, and ``merchant_state``
+    where a city's name is not enough: then city and state have to agree. A place listed
+    twice keeps its smallest position. The inputs hold no merchant position, so transactions
+    whose city it does not list are left out.
     """
-    located = tx.select("id", "card_id", "date", "merchant_city").join(places, "merchant_city")
-    carried = ["id", "date", "merchant_city", "latitude", "longitude"]
+    keys = [name for name in ("merchant_city", "merchant_state") if name in places.columns]
+    position = F.min(F.struct("latitude", "longitude")).alias("position")
+    unique = places.groupBy(*keys).agg(position).select(*keys, "position.latitude", "position.longitude")
+    located = tx.select("id", "card_id", "date", *keys).join(unique, keys)
+    carried = ["id", "date", *keys, "latitude", "longitude"]
     sequenced = with_previous(located, "card_id", "date", "id", carried, hot_rows)
     hours = seconds_between(F.col("previous.date"), F.col("date")) / 3600
     distance = distance_km(
@@ -38,9 +43,12 @@ def impossible_travel(
         F.col("latitude"),
         F.col("longitude"),
     )
+    elsewhere = F.lit(False)
+    for name in keys:
+        elsewhere |= F.col(f"previous.{name}") != F.col(name)
     # The test on the names is cheap and spares most rows the trigonometry.
     return (
-        sequenced.filter(F.col("previous.merchant_city") != F.col("merchant_city"))
+        sequenced.filter(elsewhere)
         .withColumns({"distance_km": distance, "hours": hours})
         .filter(F.col("distance_km") > F.col("hours") * policy.max_speed_kmh)
         .select(

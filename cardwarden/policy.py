@@ -32,13 +32,13 @@ class RiskPolicy:
     score_floor: str = "NORMAL"
     high_risk_score: float = 50.0
 
-    # Fewest transactions for a rate to be reported.
+    # Fewest transactions for a rate to be reported.
     min_tx_error_ratio: int = 10
     min_tx_card_rate: int = 5
     min_tx_client_rate: int = 10
     min_tx_category_rate: int = 50
 
-    # Report sizes and the parameters of the extra reports.
+    # Report sizes and the parameters of the extra reports.
     top_categories: int = 10
     top_suspicious: int = 10
     sample_rows: int = 100_000
@@ -47,9 +47,10 @@ class RiskPolicy:
     high_amount: float = 200.0
     max_speed_kmh: float = 900.0
 
-    # True reproduces a plain text maximum for the worst alert level of a card
-    # (HIGH/MODERATE/CRITICAL compared as words) instead of the severity order.
+    # True takes the worst alert level of a card by the order below, fixed values that a plain
+    # text maximum of other words for the levels gives, instead of by severity.
     lexical_level_max: bool = False
+    lexical_order: tuple[str, ...] = ("HIGH", "MODERATE", "CRITICAL")
 
     def __post_init__(self) -> None:
         for name in (

@@ -34,6 +34,8 @@ def analyses(
 ) -> dict[str, DataFrame]:
     """Every analysis by name, as DataFrames that are computed when used.
 
+    The shared rollups are computed and written by this call.
+
     ``places`` holds city positions; without it there is no ``impossible_travel``.
     """
     tx, cards, users, codes = tables.tx, tables.cards, tables.users, tables.codes
@@ -44,7 +46,9 @@ def analyses(
     scores = shared_table(scoring.card_scores(tx, policy), "card-scores")
     suspects = shared_table(scoring.high_risk_cards(scores, policy), "suspects")
     results = {
-        "schema_report": quality.schema_report({**vars(tables), "tx": raw}),
+        "schema_report": quality.schema_report(
+            {"cards": cards, "transactions": raw, "users": users, "mcc_codes": codes}
+        ),
         "volumetry": quality.volumetry(tx, users, cards),
         "transaction_profile": quality.transaction_profile(tx),
         "null_counts": quality.null_counts(raw),
@@ -77,6 +81,7 @@ def analyses(
         "error_ratio_by_card": errors.error_ratio_by_card(scores, policy),
         "error_types": errors.error_types(tx),
         "error_rate_by_card": errors.error_rate_by_card(scores, policy),
+        "error_rate_by_client": errors.error_rate_by_client(scores, cards, policy),
         "error_rate_by_category": errors.error_rate_by_category(per_code, codes, policy),
         "low_risk_categories": errors.low_risk_categories(per_code, codes, policy),
         "client_context": errors.client_context(scores, cards, users, policy),
@@ -84,6 +89,8 @@ def analyses(
         "risk_distribution": scoring.risk_distribution(scores),
         "high_risk_cards": suspects,
         "dark_web_cards": scoring.dark_web_cards(scores, cards, policy),
+        "suspect_transactions": segments.suspect_transactions(raw, suspects),
+        "normal_transactions": segments.normal_transactions(raw, suspects),
         "segment_comparison": segments.segment_comparison(tx, suspects),
         "velocity": sequences.velocity(tx),
         "card_age": sequences.card_age(tx, cards),

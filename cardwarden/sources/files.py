@@ -37,14 +37,15 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
     Reading the header line alone (one line, no pass over the rows) gives the file's
     column order; each column then gets its type from ``schema``, columns that the schema
-    does not name stay text, and columns that the file lacks are null.
+    does not name stay text, and columns that the file lacks are null. All files of a folder
+    need the same header; the read fails at a file whose header differs.
     """
     header = spark.read.option("header", True).csv(path).columns
     known = {field.name: field.dataType for field in schema.fields}
     in_file = StructType()
     for name in header:
         in_file.add(name, known.get(name, "string"))
-    rows = spark.read.schema(in_file).option("header", True).csv(path)
+    rows = spark.read.schema(in_file).option("header", True).option("enforceSchema", False).csv(path)
     missing = {n: F.lit(None).cast(t) for n, t in known.items() if n not in header}
     extra = [name for name in header if name not in known]
     if missing:
@@ -65,10 +66,9 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_mcc_codes(spark: SparkSession, path: str) -> DataFrame:
-    """The one-object JSON dictionary of merchant categories as (mcc, merchant_category).
+    """JSON dictionaries of merchant categories, one object per file, as (mcc, merchant_category).
 
-    The document is read whole, so its line breaks cannot be reordered. It holds at most
-    10 000 codes.
+    A file is read whole, so its line breaks cannot be reordered.
     """
     document = F.from_json("value", "map<string,string>")
     return spark.read.text(path, wholetext=True).select(
@@ -82,20 +82,24 @@ def read_fraud_labels(spark: SparkSession, path: str) -> DataFrame:
     The document has an entry per transaction, far too many for one task. Reading it as
     text cut at commas makes it splittable, and each piece is searched for its entries,
     so one object on one line, over many lines or in many files all work.
+
+    Every entry gives a row. Yes, true and 1 are fraud, No, false and 0 are not, in any case
+    and with or without quotes; another answer is null, and so is an id beyond 64 bits.
     """
     pieces = spark.read.option("lineSep", ",").text(path)
-    entry = r'"(\d+)"\s*:\s*"?(Yes|No|true|false)"?'
+    entry = r'"(\d+)"\s*:\s*("(?:[^"\\]|\\.)*"?|[^\s",{}\[\]]+)'
     ids = F.regexp_extract_all("value", F.lit(entry), F.lit(1))
     answers = F.regexp_extract_all("value", F.lit(entry), F.lit(2))
     found = F.arrays_zip(ids.alias("id"), answers.alias("answer"))
+    answer = F.lower(F.trim(F.replace(F.col("answer"), F.lit('"'), F.lit(""))))
+    fraud = F.when(answer.isin("yes", "true", "1"), True).when(answer.isin("no", "false", "0"), False)
     return pieces.select(F.inline(found).alias("id", "answer")).select(
-        F.col("id").cast("bigint").alias("transaction_id"),
-        F.col("answer").isin("Yes", "true").alias("is_fraud"),
+        F.col("id").try_cast("bigint").alias("transaction_id"), fraud.alias("is_fraud")
     )
 
 
 def read_json_document(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A small JSON document spread over several lines, read whole with a given schema."""
+    """JSON documents spread over several lines, each file read whole with a given schema."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 

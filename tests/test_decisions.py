@@ -1,6 +1,7 @@
 """Edge semantics, one test per decision."""
 
 import datetime as dt
+from decimal import Decimal
 import math
 
 import pytest
@@ -17,8 +18,8 @@ DAY = dt.datetime(2020, 1, 1, 12)
 
 def card_days(spark, *rows):
     """Card-days: card, day of January, transactions, cities, cents."""
-    schema = "card_id long, tx_day date, tx_count long, city_count long, day_cents long"
-    data = [(card, dt.date(2020, 1, day), n, c, cents) for card, day, n, c, cents in rows]
+    schema = "card_id long, tx_day date, tx_count long, city_count long, day_exact decimal(38,6)"
+    data = [(card, dt.date(2020, 1, day), n, c, None if cents is None else Decimal(cents) / 100) for card, day, n, c, cents in rows]
     return spark.createDataFrame(data, schema)
 
 
@@ -36,7 +37,7 @@ def test_worst_level_follows_severity_not_spelling(spark, make_tx):
     assert levels == {1: "MODERATE", 2: "CRITICAL", 3: "HIGH"}
     assert alerts.top_suspicious_cards(rollups.daily_totals(tx)).first()["risk_level_max"] == "CRITICAL"
     as_words = alerts.top_suspicious_cards(rollups.daily_totals(tx), RiskPolicy(lexical_level_max=True)).first()
-    assert as_words["risk_level_max"] == "MODERATE"
+    assert as_words["risk_level_max"] == "HIGH"
 
 
 def test_empty_segment_keeps_its_row(spark, make_tx):
@@ -60,11 +61,14 @@ def test_segment_with_only_null_days(spark, make_tx):
 @pytest.mark.parametrize(
     "text, number",
     [("$14.57", 14.57), ("$-77.00", -77.0), ("$1,200.50", 1200.5), ("n/a", None), ("", None),
-     (None, None), ("abc", None), (" $3 ", 3.0), ("NaN", None), ("Infinity", None)],
+     (None, None), ("abc", None), (" $3 ", 3.0), ("NaN", None), ("Infinity", None),
+     ("$10000000000000", 1e13), ("$0.125", 0.125), ("$0.025", 0.025), ("$0.005", 0.005)],
 )
 def test_money_text(spark, text, number):
-    row = spark.createDataFrame([(text,)], "t string").select(money.to_number(F.col("t")).alias("n"))
-    assert row.first()["n"] == number
+    row = spark.createDataFrame([(text,)], "t string").select(
+        money.to_number(F.col("t")).alias("n"), money.units(money.to_exact(F.col("t"))).alias("e")
+    )
+    assert tuple(row.first()) == (number, number)
 
 
 def test_unknown_sum_does_not_meet_the_amount_criterion(spark):

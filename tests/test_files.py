@@ -101,6 +101,23 @@ def test_fraud_labels(spark, tmp_path, text):
     assert sorted(map(tuple, labels.collect())) == [(1, False), (2, True), (3, False)]
 
 
+def test_labels_of_any_spelling_are_kept(spark, tmp_path):
+    (tmp_path / "labels.json").write_text(
+        '{"1": "yes", "2": "NO", "3": 1, "4": "0", "5": "fraud", "6": "a, b", "99999999999999999999": "Yes"}'
+    )
+    got = files.read_fraud_labels(spark, str(tmp_path / "labels.json")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(1, True), (2, False), (3, True), (4, False), (5, None), (6, None), (None, True)], key=str
+    )
+
+
+def test_csv_files_of_differing_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,latitude,longitude\n1,10,20\n")
+    (tmp_path / "b.csv").write_text("id,longitude,latitude\n2,20,10\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_users(spark, str(tmp_path)).collect()
+
+
 def test_large_label_document_is_read_in_pieces(spark, tmp_path):
     number = 20_000
     text = json.dumps({"target": {str(i): "Yes" if i % 7 == 0 else "No" for i in range(number)}})
@@ -177,13 +194,12 @@ def test_a_failing_sink_does_not_stop_the_others(spark, tables, tmp_path):
     assert status["parquet", "all"].rows == 4 and status["csv", "enriched_sample"].rows == 4
 
 
-def test_large_csv_results_keep_their_partitions(spark, tables, tmp_path, monkeypatch):
-    monkeypatch.setattr(export, "SINGLE_FILE_ROWS", 3)
-    results = {"large": tables.tx.select("id").repartition(2, "id"), "small": spark.range(3)}
+def test_csv_results_keep_their_partitions_unless_named(spark, tables, tmp_path):
+    results = {"large": tables.tx.select("id").repartition(2, "id"), "small": spark.range(3, numPartitions=2)}
     enriched = features.enriched_transactions(tables.tx, tables.codes)
-    export.export_all(results, enriched, str(tmp_path / "out"))
+    export.export_all(results, enriched, str(tmp_path / "out"), single_file=frozenset({"small"}))
     files_of = {n: len(list((tmp_path / "out" / "csv" / n).glob("part-*"))) for n in results}
-    assert files_of["small"] == 1
+    assert files_of["small"] == 1 and files_of["large"] == 2
     assert spark.read.option("header", True).csv(str(tmp_path / "out" / "csv" / "large")).count() == 4
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +129,22 @@ def test_exact_quantile(spark, q):
     assert got == sorted(values)[int(rank) - 1]
 
 
+def test_exact_quantile_of_a_wide_range(spark):
+    """Few bins and an outlier: the later steps find the value."""
+    values = [Decimal(i) / 100 for i in range(400)] + [Decimal(10) ** 25]
+    frame = spark.createDataFrame([(v,) for v in values], "v decimal(38,6)").repartition(4)
+    got = spark.range(1).select(exact_quantile(value_counts(frame, "v"), 0.5)).first()[0]
+    assert got == values[200]
+
+
+def test_first_rows_keeps_rows_without_a_key(spark):
+    frame = spark.createDataFrame([(2, "b"), (None, "x"), (1, "a"), (None, "y")], "id long, t string")
+    assert [r["id"] for r in first_rows(frame, "id", 2).collect()] == [1, 2]
+    kept = [[tuple(r) for r in first_rows(frame.repartition(p, "t"), "id", 3).collect()] for p in (1, 3)]
+    assert kept[0] == kept[1] and kept[0][:2] == [(1, "a"), (2, "b")] and kept[0][2][0] is None
+    assert first_rows(frame, "id", 9).count() == 4
+
+
 def test_top_k_ties_do_not_depend_on_partitions(spark):
     base = spark.range(40).select("id", (F.col("id") % 2).alias("n"))
     results = {
@@ -139,13 +156,13 @@ def test_top_k_ties_do_not_depend_on_partitions(spark):
 
 def test_category_codes(spark):
     codes = spark.createDataFrame(
-        [("5411", "Grocery"), ("05411", "Also grocery"), ("x12", "odd"), ("12345", "too long"), (None, "none")],
+        [("5411", "Grocery"), ("05411", "Also grocery"), ("x12", "odd"), ("12345", "five digits"), (None, "none")],
         "mcc string, merchant_category string",
     )
-    assert [tuple(r) for r in mcc_dimension(codes).collect()] == [(5411, "Also grocery")]
-    rows = spark.createDataFrame([(1, 5411), (2, 9999), (3, None)], "id long, mcc int")
+    assert sorted(map(tuple, mcc_dimension(codes).collect())) == [(5411, "Also grocery"), (12345, "five digits")]
+    rows = spark.createDataFrame([(1, 5411), (2, 12345), (3, None)], "id long, mcc int")
     joined = {r["id"]: r["merchant_category"] for r in with_category(rows, codes).collect()}
-    assert joined == {1: "Also grocery", 2: None, 3: None}
+    assert joined == {1: "Also grocery", 2: "five digits", 3: None}
 
 
 def test_share_of_nothing(spark):

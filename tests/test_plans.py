@@ -121,7 +121,7 @@ def test_features_of_skewed_cards(skewed, by_hand, hot_rows):
         assert mine["city_count"] == len({r["merchant_city"] for r in rows} - {None})
         assert mine["active_days"] == len({r["tx_day"] for r in rows})
         assert mine["mcc_count"] == len({r["mcc"] for r in rows})
-        assert mine["amount_total"] == sum(r["amount_cents"] for r in rows) / 100
+        assert mine["amount_total"] == float(sum(r["amount_exact"] for r in rows))
         assert mine["error_count"] == sum(r["has_error"] for r in rows)
 
 
@@ -149,7 +149,7 @@ def test_alerts_of_skewed_cards(skewed, by_hand):
         met = (
             (len(rows) > 10)
             + (len({r["merchant_city"] for r in rows} - {None}) > 3)
-            + (sum(r["amount_cents"] for r in rows) > 100_000)
+            + (sum(r["amount_exact"] for r in rows) > 1000)
         )
         if met:
             expected[key] = met
@@ -179,7 +179,7 @@ def test_segments_with_and_without_broadcast(spark, skewed, by_hand, threshold):
     ):
         assert got[name]["tx_count"] == len(rows)
         assert got[name]["city_count"] == len({r["merchant_city"] for r in rows} - {None})
-        mean = sum(r["amount_cents"] for r in rows) / 100 / len(rows)
+        mean = float(sum(r["amount_exact"] for r in rows)) / len(rows)
         assert got[name]["mean_amount"] == mean
         spread = (sum((r["amount_num"] - mean) ** 2 for r in rows) / (len(rows) - 1)) ** 0.5
         assert abs(got[name]["stddev_amount"] - spread) < 1e-6
