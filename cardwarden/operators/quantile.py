@@ -7,11 +7,8 @@ from pyspark.sql import functions as F
 
 from cardwarden.functions.money import EXACT
 
-#: Bins of a step: bounds the rows of its running sum, which is one task.
+#: Bins between the lowest and the highest value: bounds the rows of the first running sum.
 BINS = 1 << 18
-#: Steps before the values of one bin are sorted; two leave at most ``BINS`` of them wherever the
-#: highest and the lowest value are less than 18 thousand million units apart.
-STEPS = 2
 
 
 def value_counts(rows: DataFrame, name: str) -> DataFrame:
@@ -21,34 +18,29 @@ def value_counts(rows: DataFrame, name: str) -> DataFrame:
     )
 
 
-def exact_quantile(counts: DataFrame, q: float, bins: int = BINS, steps: int = STEPS) -> Column:
+def exact_quantile(counts: DataFrame, q: float, bins: int = BINS) -> Column:
     """Smallest value with at least the fraction ``q`` of all rows at or below it.
 
-    A scalar subquery over value counts. Each step cuts the range that holds the rank into at
-    most ``bins`` bins of one width and finds, by a running sum over bins alone, the one that
-    the rank falls into; the next step cuts that bin. A running sum over the values of the
-    last bin gives the exact result. The bin is handed on by a join to its one row: a filter
-    would sink below the counting and read the input again, whereas this way every step
-    reuses the exchange of the counts.
+    A scalar subquery over value counts. Counts per bin come first, for at most ``bins`` bins
+    of one width; the bin that holds the rank is found by a running sum over bins alone, and
+    only that bin's values are sorted. The bin is picked by a join to its one row: a filter
+    would sink below the counting and read the input again.
     """
-    rank = F.greatest(F.ceil(F.sum("n") * q), F.lit(1)).alias("rank")
-    found = counts.agg(F.min("v").alias("low"), F.max("v").alias("high"), rank)
-    for _ in range(steps):
-        smallest = F.lit("0.000001").cast(EXACT)
-        width = ((F.col("high") - F.col("low")) / bins).cast(EXACT) + smallest
-        found = _narrowed(counts, found, F.call_function("div", F.col("v") - F.col("low"), width))
-    return _narrowed(counts, found, F.col("v")).select("low").scalar()
-
-
-def _narrowed(counts: DataFrame, found: DataFrame, number: Column) -> DataFrame:
-    """The bin of the range (low, high) that holds the rank, which then counts from the bin's start."""
-    inside = counts.join(F.broadcast(found), F.col("v").between(F.col("low"), F.col("high")))
-    sums = inside.groupBy(number.alias("bin")).agg(
-        F.sum("n").alias("n"), F.min("v").alias("first"), F.max("v").alias("last"), F.first("rank").alias("rank")
-    )
-    running = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    reached = sums.withColumn("upto", running).filter(F.col("upto") >= F.col("rank"))
-    chosen = F.min(F.struct("bin", "first", "last", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank")))
-    return reached.agg(chosen.alias("c")).select(
-        F.col("c.first").alias("low"), F.col("c.last").alias("high"), F.col("c.rank").alias("rank")
+    ends = counts.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high")).alias("e")).scalar()
+    width = ((ends["high"] - ends["low"]) / bins).cast(EXACT) + F.lit("0.000001").cast(EXACT)
+    in_bin = F.call_function("div", F.col("v") - ends["low"], width)
+    rank = F.greatest(F.ceil(counts.agg(F.sum("n")).scalar() * q), F.lit(1))
+    sums = counts.groupBy(in_bin.alias("bin")).agg(F.sum("n").alias("n"))
+    found = (
+        _running(sums, "bin")
+        .filter(F.col("upto") >= rank)
+        .agg(F.min("bin").alias("bin"), F.min("before").alias("rows_below"))
     )
+    inside = counts.join(F.broadcast(found), in_bin == F.col("bin"))
+    reached = _running(inside, "v").filter(F.col("upto") + F.col("rows_below") >= rank)
+    return reached.agg(F.min("v")).scalar()
+
+
+def _running(groups: DataFrame, key: str) -> DataFrame:
+    upto = F.sum("n").over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
+    return groups.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
