@@ -16,7 +16,7 @@ tiles that hold the texts and return verified links that span theirs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from math import comb
 
@@ -31,9 +31,9 @@ from cardwarden.llm.storage import stored
 from cardwarden.llm.words import SOLID, Words, filled, mix, shingle_hashes, slices
 
 SHINGLE = 5
-#: Linked are documents with 100 * intersection >= PERCENT * union.
+#: Linked are documents with 100 * intersection >= percent * union; this is the percent unless another is given.
 PERCENT = 85
-#: With 32 bands of 5 hashes, a pair of similarity 0.85 shares no band with a probability of 7e-9.
+#: With 32 bands of 5 hashes, a pair of similarity 0.85 shares no band with a probability of 7e-9, one of 0.80 with 3e-6.
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 #: Hashes compared at a time, and the probability at which a pair is given up.
@@ -42,6 +42,9 @@ BATCH, MISS = 32, 1e-7
 TILE, FAN = 256, 256
 SLICE_BYTES = 1 << 20
 
+#: What ``mapInArrow`` runs on the batches of a partition.
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 _RANDOM = np.random.default_rng(77)
 _A = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -115,19 +118,23 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(key.ravel().view(np.int64)), batch.column("node").take(again)], names=["key", "node"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(percent: int) -> Task:
     """Pairs whose signatures agree often enough after every batch of hashes, with their matches."""
-    needed = least_matches()
-    for batch in batches:
-        x, y = _matrix(batch.column("x")), _matrix(batch.column("y"))
-        left, matches = np.arange(len(x)), np.zeros(len(x), np.int64)
-        for k, need in enumerate(needed):
-            span = slice(k * BATCH, (k + 1) * BATCH)
-            matches = matches + (x[left, span] == y[left, span]).sum(axis=1)
-            keep = matches >= need
-            left, matches = left[keep], matches[keep]
-        at = pa.array(left)
-        yield pa.record_batch([batch.column("a").take(at), batch.column("b").take(at), pa.array(matches, pa.int64())], names=["a", "b", "matches"])
+    needed = least_matches(percent)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = _matrix(batch.column("x")), _matrix(batch.column("y"))
+            left, matches = np.arange(len(x)), np.zeros(len(x), np.int64)
+            for k, need in enumerate(needed):
+                span = slice(k * BATCH, (k + 1) * BATCH)
+                matches = matches + (x[left, span] == y[left, span]).sum(axis=1)
+                keep = matches >= need
+                left, matches = left[keep], matches[keep]
+            at = pa.array(left)
+            yield pa.record_batch([batch.column("a").take(at), batch.column("b").take(at), pa.array(matches, pa.int64())], names=["a", "b", "matches"])
+
+    return compared
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -167,7 +174,7 @@ class _Forest:
         self.parent[self.find(y)] = self.find(x)
 
 
-def _similar_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _similar_pairs(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For rows of two tiles: the root of each, and the pairs of different roots whose signatures agree often enough, the best first."""
     rows = _matrix(pa.concat_arrays(table["signature"].chunks))
     _, root = np.unique(np.array(table["root"].to_pylist(), object), return_inverse=True)
@@ -179,7 +186,7 @@ def _similar_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         open_pairs &= np.arange(len(i))[:, None] < np.arange(len(j))[None, :]
     x, y = np.nonzero(open_pairs)
     x, y, matches = i[x], j[y], np.zeros(len(x), np.int64)
-    for k, need in enumerate(least_matches()):
+    for k, need in enumerate(least_matches(percent)):
         span = slice(k * BATCH, (k + 1) * BATCH)
         matches = matches + (rows[x, span] == rows[y, span]).sum(axis=1)
         keep = matches >= need
@@ -188,22 +195,30 @@ def _similar_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return root, x[order], y[order]
 
 
-def _spanning_likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _spanning_likely(percent: int) -> Task:
     """Likely pairs that join the roots of each pair of tiles as all of them do."""
-    for table in _groups(batches, ["key", "first", "second"]):
-        root, x, y = _similar_pairs(table)
-        yield _node_pairs(table, _joined(root, zip(x.tolist(), y.tolist(), strict=True)))
 
+    def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, ["key", "first", "second"]):
+            root, x, y = _similar_pairs(table, percent)
+            yield _node_pairs(table, _joined(root, zip(x.tolist(), y.tolist(), strict=True)))
 
-def _spanning_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return spanning
+
+
+def _spanning_links(percent: int) -> Task:
     """Verified links that join the roots of each pair of tiles as all links do."""
-    for table in _groups(batches, ["key", "first", "second"]):
-        root, x, y = _similar_pairs(table)
-        used = np.unique(np.concatenate([x, y]))
-        sets: dict[int, np.ndarray] = {}
-        for rows in np.array_split(used, -(-len(used) // 64) or 1):
-            sets.update(zip(rows.tolist(), _shingle_sets(filled(pa.concat_arrays(table["text"].take(pa.array(rows)).chunks))), strict=True) if len(rows) else ())
-        yield _node_pairs(table, _joined(root, zip(x.tolist(), y.tolist(), strict=True), lambda i, j, sets=sets: _linked(sets[i], sets[j])))
+
+    def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, ["key", "first", "second"]):
+            root, x, y = _similar_pairs(table, percent)
+            used = np.unique(np.concatenate([x, y]))
+            sets: dict[int, np.ndarray] = {}
+            for rows in np.array_split(used, -(-len(used) // 64) or 1):
+                sets.update(zip(rows.tolist(), _shingle_sets(filled(pa.concat_arrays(table["text"].take(pa.array(rows)).chunks))), strict=True) if len(rows) else ())
+            yield _node_pairs(table, _joined(root, zip(x.tolist(), y.tolist(), strict=True), lambda i, j, sets=sets: _linked(sets[i], sets[j], percent)))
+
+    return spanning
 
 
 def _joined(root: np.ndarray, pairs, test=None) -> list[tuple[int, int]]:
@@ -216,11 +231,11 @@ def _joined(root: np.ndarray, pairs, test=None) -> list[tuple[int, int]]:
     return found
 
 
-def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets are similar enough."""
     at = np.searchsorted(x, y)
     common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-    return 100 * common >= PERCENT * (len(x) + len(y) - common)
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
 def _node_pairs(table: pa.Table, found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -242,23 +257,27 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(nodes, pa.binary()).take(at), batch.column("text").take(at)], names=["node", "text"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(percent: int) -> Task:
     """Links among pairs (a, b), for rows sorted so that the text of a, with no b, stands before those of its partners."""
-    key, own = None, np.zeros(0, np.uint64)
-    for batch in slices(batches, "text", SLICE_BYTES):
-        a, salt, b = (batch.column(c).to_pylist() for c in ("a", "salt", "b"))
-        links = []
-        for i, shingles in enumerate(_shingle_sets(filled(batch.column("text")))):
-            if b[i] is None:
-                key, own = (a[i], salt[i]), shingles
-            elif key != (a[i], salt[i]):
-                raise ValueError("the text of a candidate is missing")
-            elif _linked(own, shingles):
-                links.append((a[i], b[i]))
-        yield pa.record_batch([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], names=["a", "b"])
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, own = None, np.zeros(0, np.uint64)
+        for batch in slices(batches, "text", SLICE_BYTES):
+            a, salt, b = (batch.column(c).to_pylist() for c in ("a", "salt", "b"))
+            links = []
+            for i, shingles in enumerate(_shingle_sets(filled(batch.column("text")))):
+                if b[i] is None:
+                    key, own = (a[i], salt[i]), shingles
+                elif key != (a[i], salt[i]):
+                    raise ValueError("the text of a candidate is missing")
+                elif _linked(own, shingles, percent):
+                    links.append((a[i], b[i]))
+            yield pa.record_batch([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    return verified
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The links among distinct pairs (a, b). Each b's text is sent once per pair, each a's once per ``FAN`` pairs."""
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).alias("fans"))
     dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "fans").alias("salt"))
@@ -267,7 +286,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     centers = dealt.select("a", "salt").distinct().join(texts, F.col("a") == texts["node"])
     both = partners.unionByName(centers.select("a", "salt", F.lit(None).cast("binary").alias("b"), "text"))
     sorted_rows = both.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return stored(sorted_rows.mapInArrow(_verify, "a binary, b binary"), "verified")
+    return stored(sorted_rows.mapInArrow(_verify(percent), "a binary, b binary"), "verified")
 
 
 def _with_roots(nodes: DataFrame, roots: DataFrame, name: str = "root") -> DataFrame:
@@ -296,7 +315,7 @@ def _tiled(rows: DataFrame) -> DataFrame:
     return found.select("key", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "tile", "node", "root")
 
 
-def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Verified links between nodes (node, signature) that give their components."""
     bands = nodes.select("node", "signature").mapInArrow(_bands, "key bigint, node binary")
     shared = bands.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1")
@@ -307,11 +326,11 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     star = members.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     x = signatures.select(F.col("node").alias("a"), F.col("signature").alias("x"))
     y = signatures.select(F.col("node").alias("b"), F.col("signature").alias("y"))
-    likely = stored(star.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_compare, "a binary, b binary, matches bigint"), "likely")
+    likely = stored(star.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_compare(percent), "a binary, b binary, matches bigint"), "likely")
     keys = ["key", "first", "second"]
     near = _with_roots(members.where("n > 2").select("key", "node"), stored(components(likely), "near"))
     crossing = _tiled(near).join(signatures, "node").repartition(*keys).sortWithinPartitions(*keys)
-    more = crossing.select(*keys, "tile", "node", "root", "signature").mapInArrow(_spanning_likely, "a binary, b binary")
+    more = crossing.select(*keys, "tile", "node", "root", "signature").mapInArrow(_spanning_likely(percent), "a binary, b binary")
     spanning = stored(likely.select("a", "b").unionByName(more), "spanning")
     clusters = stored(components(spanning), "clusters")
 
@@ -319,20 +338,20 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     texts = docs.select("text").mapInArrow(_texts, "node binary, text string").join(wanted, "node", "left_semi")
     texts = stored(texts.dropDuplicates(["node"]), "texts")
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("matches", "a")).alias("a")).select("a", "b")
-    links = _verified(best, texts)
+    links = _verified(best, texts, percent)
     rooted = _with_roots(clusters.select("node", F.col("root").alias("key")), stored(components(links), "first-roots"))
     inside = _tiled(rooted).join(signatures, "node").join(texts, "node").repartition(*keys).sortWithinPartitions(*keys)
-    rest = inside.select(*keys, "tile", "node", "root", "signature", "text").mapInArrow(_spanning_links, "a binary, b binary")
+    rest = inside.select(*keys, "tile", "node", "root", "signature", "text").mapInArrow(_spanning_links(percent), "a binary, b binary")
     return links.unionByName(stored(rest, "rest"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Rows (doc_id, key1, key2, n_shingles, node, component_id, kept), one for each of the documents (doc_id, text).
 
     Words are runs of other than white space with A-Z lower-cased. A text with fewer than five
     words is one shingle; without words, or null, it has none and is linked with nothing.
-    Documents are linked from a similarity of ``PERCENT`` up. ``component_id`` is the smallest id
-    reachable by links, itself included, and the document with that id is kept. Documents with
+    Documents are linked from a similarity of ``percent`` hundredths up. ``component_id`` is the
+    smallest id reachable by links, itself included, and the document with that id is kept. Documents with
     equal sets, so also repeated rows, are one component; of rows that share the smallest id all
     are marked as kept. A null id counts as larger than others; a component of null ids only
     has a null ``component_id`` and is kept. The keys are hashes of id and text. Other columns
@@ -343,7 +362,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = stored(keyed.mapInArrow(_sign, f"doc_id {kind}, key1 bigint, key2 bigint, n_shingles bigint, node binary, signature binary"), "signed")
     nodes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("signature").alias("signature"))
     nodes = stored(nodes, "nodes")
-    roots = components(_links(docs, nodes))
+    roots = components(_links(docs, nodes, percent))
     rooted = _with_roots(nodes.select("node", "least_id"), roots)
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = rooted.join(ids, "root").select(F.col("node").alias("_node"), "component_id")
@@ -357,13 +376,13 @@ def _row_keys() -> list[Column]:
     return [F.xxhash64(F.lit(k), "doc_id", "text").alias(f"key{k}") for k in (1, 2)]
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component, with the documents' columns; documents without words all stay.
 
     Of several texts with the kept id, one stays; so does one of several rows without words
     that agree in id and text. The documents are shuffled once, and repeated rows go before.
     """
-    chosen = near_duplicates(docs).where("kept").groupBy("doc_id", "node", F.when(F.col("node").isNull(), F.col("key1")).alias("empty"))
+    chosen = near_duplicates(docs, percent).where("kept").groupBy("doc_id", "node", F.when(F.col("node").isNull(), F.col("key1")).alias("empty"))
     chosen = chosen.agg(F.min(F.struct("key1", "key2")).alias("key"))
     names = unused(docs, "_key1", "_key2")
     kept = stored(chosen.select(*[F.col(f"key.key{k}").alias(n) for k, n in zip((1, 2), names, strict=True)]), "kept")

@@ -15,6 +15,9 @@ from cardwarden.llm.sharding import shard
 from cardwarden.llm.storage import stored
 from cardwarden.llm.toxicity import without_toxic
 
+#: Documents of this similarity in hundredths are near duplicates to the pipeline; ``op7_near_duplicates`` has 85.
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score as toxic; learns from the labels outside the held-out quarter."""
@@ -23,8 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of near duplicates."""
-    return without_near_duplicates(docs)
+    """Keeps one document of each component of near duplicates, of a similarity of 0.8 or more."""
+    return without_near_duplicates(docs, NEAR_PERCENT)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -308,6 +308,32 @@ def test_near_duplicates_edges(docs, none):
     assert near_duplicates.near_duplicates(none).count() == 0 and near_duplicates.without_near_duplicates(none).count() == 0
 
 
+def test_pipeline_drops_near_copies_from_80_percent(spark):
+    rows, at = [], 0
+    for seed in range(12):
+        words = prose(700 + seed, 200).split()
+        for k in (0, 2, 3, 4, 4, 5):
+            copy = list(words)
+            for j in range(k):
+                copy[10 + 40 * j + len(rows) % 6] = f"n{at}-{j}"
+            rows.append((at, " ".join(copy), "en", "a", 0))
+            at += 1
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t, *_ in rows}
+    root, between = {i: i for i in sets}, 0
+    for a in sets:
+        for b in range(a + 1, at):
+            common = len(sets[a] & sets[b])
+            union = len(sets[a]) + len(sets[b]) - common
+            between += 80 * union <= 100 * common < 85 * union
+            if 100 * common >= 80 * union:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, KIND), "").collect()
+    assert between >= 12 and sorted(r.doc_id for r in kept) == sorted(set(root.values()))
+    strict = near_duplicates.without_near_duplicates(spark.createDataFrame(rows, KIND)).count()
+    assert strict > len(kept)
+
+
 def test_least_matches_rise_with_the_batches():
     needed = near_duplicates.least_matches()
     assert needed == sorted(needed) and needed[-1] < 0.85 * near_duplicates.HASHES
