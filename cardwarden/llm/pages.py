@@ -56,6 +56,8 @@ FOREIGN_WORDS = frozenset(
 )
 #: The same for what stands above an article; a heading inside the article stays.
 HEAD_WORDS = frozenset("header headers masthead banner hero topper".split())
+#: Ids that aren't made from a heading, so that they mark what isn't the article inside of one too.
+FOREIGN_IDS = frozenset("comments commentlist respond disqus disqus_thread taboola outbrain sidebar".split())
 #: Words of class names and ids that mark the article.
 OWN_WORDS = frozenset("article body content entry main post story text".split())
 
@@ -65,7 +67,8 @@ _TAG = re.compile(
     r"|<!?(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
+#: One attribute after the other, so that a name is never looked for inside another name or a value.
+_ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
@@ -74,27 +77,38 @@ _DIGITS = re.compile(r"\d+")
 class _Node:
     """An open or closed element: its parent, path, and what it counts as."""
 
-    __slots__ = ("tag", "parent", "path", "foreign", "head", "inside", "credit")
+    __slots__ = ("tag", "parent", "path", "foreign", "head", "inside", "within", "credit")
 
     def __init__(self, tag: str, parent: _Node | None, rest: str):
         self.tag, self.parent, self.credit = tag, parent, 0.0
         classes: list[str] = []
         words: set[str] = set()
+        id_words: set[str] = set()
+        whole_id = ""
         hidden = False
-        if rest:
-            for name, value in _ATTRIBUTE.findall(rest):
-                name, value = name.lower(), value.strip("\"'")
-                if name in ("class", "id", "role"):
-                    words.update(w.lower() for w in _WORD.findall(value))
-                    if name == "class":
-                        classes += [_DIGITS.sub("0", c) for c in value.split()]
-                elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-                    hidden = True
-                elif name == "style" and "display:none" in value.replace(" ", "").lower():
-                    hidden = True
+        read: set[str] = set()
+        for name, value in _ATTRIBUTE.findall(rest):
+            name, value = name.lower(), value.strip("\"'")
+            if name in read:
+                continue
+            read.add(name)
+            if name in ("class", "role"):
+                words.update(w.lower() for w in _WORD.findall(value))
+                if name == "class":
+                    classes += [_DIGITS.sub("0", c) for c in value.split()]
+            elif name == "id":
+                id_words, whole_id = {w.lower() for w in _WORD.findall(value)}, value.lower()
+            elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+                hidden = True
+            elif name == "style" and "display:none" in value.replace(" ", "").lower():
+                hidden = True
         main = tag in ("html", "body", "main", "article")
         up = parent
-        self.inside = main and tag in ("main", "article") or up is not None and up.inside or tag in CONTAINERS and bool(words & OWN_WORDS)
+        self.inside = main and tag in ("main", "article") or up is not None and up.inside or tag in CONTAINERS and bool((words | id_words) & OWN_WORDS)
+        self.within = tag in ("main", "article") or up is not None and up.within
+        # The ids of headings, and of parts of an article, come from the article's own words.
+        if tag not in HEADINGS and not (self.within or tag == "section" and up is not None and up.inside) or tag in CONTAINERS and whole_id in FOREIGN_IDS:
+            words |= id_words
         self.head = up is not None and up.head or tag == "header" or not main and bool(words & HEAD_WORDS)
         outside = tag in OUTSIDE and tag != "header" or tag in UNSEEN
         self.foreign = up is not None and up.foreign or outside or hidden or not main and bool(words & FOREIGN_WORDS)

@@ -176,6 +176,31 @@ def test_page_parts():
     assert Page("").text(None) == "" and Page("a < b <p x='").text("p") is not None
 
 
+def test_page_attributes_are_read_whole():
+    parts = [
+        '<p title="the hidden cost">One, two.</p>',
+        '<div data-hidden="false"><p>Three, four.</p></div>',
+        '<p>Five, <a href="/hidden-gems">six</a> and <a href="?id=comments">seven</a>, <a href=/hidden>eight</a> of all that we have seen.</p>',
+        '<p data-class="ad" xml:id="comments" data-style="display:none">Nine, ten.</p>',
+        '<section id="discussion"><h2 id="related-work">Related work</h2><p>Eleven, twelve.</p></section>',
+        '<h2 id="search-methods">Search methods</h2><p id="hero-story">Thirteen.</p>',
+    ]
+    hidden = [
+        "<p HIDDEN>No, no.</p>",
+        "<div aria-hidden='true'><p>No, no.</p></div>",
+        "<p style = 'display: none'>No, no.</p>",
+        "<div class=related id=x><p>No, no.</p></div>",
+        "<div id=comments><p>No, no.</p></div>",
+        "<div id='disqus_thread'><p>No, no.</p></div>",
+    ]
+    wanted = ["One, two.", "Three, four.", "Five, six and seven, eight of all that we have seen.", "Nine, ten.", "Related work", "Eleven, twelve.", "Search methods", "Thirteen."]
+    for tag in ("article", "main"):
+        text = Page(f"<body><{tag}>{''.join(parts + hidden)}</{tag}></body>").text(None)
+        assert text.split("\n\n") == wanted
+    content = '<body><div class="content"><p>One, two, three.</p><section id="discussion"><h2 id="related">Related</h2><p>Four, five.</p></section><div id="related"><p>No, no.</p></div></div></body>'
+    assert Page(content).text(None).split("\n\n") == ["One, two, three.", "Related", "Four, five."]
+
+
 def test_pages_agree_on_a_path(spark):
     body = "<html><body><div class='story{0}'><p>{1}</p></div><div class='box{0}'><p>{2}</p></div></body></html>"
     rows = [(i, f"http://H.example/{i}", body.format(i, "Long, long text. " * 9, "Short, text.")) for i in range(5)]
