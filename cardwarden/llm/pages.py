@@ -1,9 +1,11 @@
 """Main text of web pages, from the container that the pages of a host agree on.
 
-Every page's containers are scored by the running text that they hold, and the best one votes
-for its path, the tags and classes from the root with digits made equal. Spark counts the votes
+Every page's containers are scored by the running text that they hold. The best one is only a
+part of the article where that lies in several containers, so from it one goes up to the
+article or main element, else to the smallest container with nearly all running text. That
+one votes for its path, the tags and classes from the root with digits made equal. Spark counts the votes
 per host. Then each page is read again, and its text is what lies at its host's winning path;
-a page without that path gives what its own best container holds.
+a page without that path gives what its own container holds.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ LEAVES = frozenset("address caption dt figcaption h1 h2 h3 h4 h5 h6 hr legend p
 OUTSIDE = frozenset("aside button dialog footer form header menu nav search".split())
 BLOCKS = CONTAINERS | LEAVES | OUTSIDE
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Share of the running text that is nearly all of it.
+NEARLY = 0.9
 #: What an open element doesn't survive: the start of one of these tags.
 ENDED_BY = {
     "p": BLOCKS,
@@ -77,10 +81,12 @@ _DIGITS = re.compile(r"\d+")
 class _Node:
     """An open or closed element: its parent, path, and what it counts as."""
 
-    __slots__ = ("tag", "parent", "path", "foreign", "head", "inside", "within", "credit")
+    __slots__ = ("tag", "parent", "path", "foreign", "head", "inside", "within", "own", "up", "weight", "credit")
 
     def __init__(self, tag: str, parent: _Node | None, rest: str):
-        self.tag, self.parent, self.credit = tag, parent, 0.0
+        self.tag, self.parent, self.weight, self.credit = tag, parent, 0.0, 0.0
+        #: The nearest container around it, or the page.
+        self.up = parent if parent is None or parent.tag in CONTAINERS or parent.parent is None else parent.up
         classes: list[str] = []
         words: set[str] = set()
         id_words: set[str] = set()
@@ -104,6 +110,7 @@ class _Node:
                 hidden = True
         main = tag in ("html", "body", "main", "article")
         up = parent
+        self.own = not main and tag in CONTAINERS and bool((words | id_words) & OWN_WORDS)
         self.inside = main and tag in ("main", "article") or up is not None and up.inside or tag in CONTAINERS and bool((words | id_words) & OWN_WORDS)
         self.within = tag in ("main", "article") or up is not None and up.within
         # The ids of headings, and of parts of an article, come from the article's own words.
@@ -123,6 +130,7 @@ class Page:
         self.blocks: list[tuple[_Node, str, int]] = []
         self.nodes: list[_Node] = []
         self._stack = [_Node("", None, "")]
+        self._page = self._stack[0]
         self._pieces: list[str] = []
         self._linked = 0
         self._read(source)
@@ -202,31 +210,52 @@ class Page:
         self._pieces, self._linked = [], 0
 
     def best(self) -> _Node | None:
-        """The container with the most running text of its own; the parent of a container gets half of that too."""
+        """The container of the article, around the one with the most running text of its own.
+
+        For that, the parent of a container gets half of its text too.
+        """
+        for node in (self._page, *self.nodes):
+            node.weight = node.credit = 0.0
         for owner, text, linked in self.blocks:
             gain = len(text) - 2.0 * min(linked, len(text))
             gain += 20.0 * sum(text.count(c) for c in ",.;:!?") if gain > 0 else 0.0
-            node = owner if owner.tag in CONTAINERS else owner.parent
-            while node is not None and node.tag not in CONTAINERS:
-                node = node.parent
-            if node is not None and node.tag in ("li", "dd", "td", "th"):
+            node = owner if owner.tag in CONTAINERS or owner.up is None else owner.up
+            node.weight += max(gain, 0.0)
+            if node.tag in ("li", "dd", "td", "th"):
                 gain *= 0.5
-            for share in (1.0, 0.5):
-                if node is None:
-                    break
-                node.credit += share * gain
-                node = node.parent
-                while node is not None and node.tag not in CONTAINERS:
-                    node = node.parent
+            node.credit += gain
+            if node.up is not None:
+                node.up.credit += 0.5 * gain
+        for node in reversed(self.nodes):
+            node.up.weight += node.weight
         found, most = None, 0.0
         for node in self.nodes:
             score = node.credit * (1.25 if node.inside else 1.0) * (1.25 if node.tag in ("article", "main") else 1.0)
             if score > most:
                 found, most = node, score
-        return found
+        return found and self._whole(found)
+
+    def _whole(self, found: _Node) -> _Node:
+        """What holds the whole article of which a container holds a part.
+
+        That is the outermost article or main element around it; an article in a main element
+        that has as much running text elsewhere is one of several parts, and one with nearly all
+        of it has its title beside it. Without such an element it is the smallest container with
+        nearly all running text of the page, or one around that whose class or id says so.
+        """
+        around = [found]
+        while around[-1].up is not None:
+            around.append(around[-1].up)
+        tops = [n for n in around if n.tag in ("article", "main")]
+        if tops:
+            articles = [n for n in tops if n.tag == "article"]
+            one = articles and 0.5 * tops[-1].weight <= articles[-1].weight < NEARLY * tops[-1].weight
+            return articles[-1] if one else tops[-1]
+        at = next(i for i, n in enumerate(around) if n.weight >= NEARLY * self._page.weight)
+        return next((n for n in reversed(around[at + 1 :]) if n.own), around[at])
 
     def text(self, path: str | None) -> str:
-        """Blocks below the elements at the path, joined by empty lines; below the best container without such an element."""
+        """Blocks below the elements at the path, joined by empty lines; below the page's own container of the article without such an element."""
         wanted = {id(n) for n in self.nodes if n.path == path} if path else set()
         if not wanted:
             node = self.best()
@@ -249,7 +278,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if node is not None:
                 hosts.append(host)
                 paths.append(node.path)
-                credits.append(node.credit)
+                credits.append(node.weight)
         yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(credits, pa.float64())], names=["host", "path", "credit"])
 
 

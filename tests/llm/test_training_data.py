@@ -201,6 +201,35 @@ def test_page_attributes_are_read_whole():
     assert Page(content).text(None).split("\n\n") == ["One, two, three.", "Related", "Four, five."]
 
 
+def page_of_parts(i, outer):
+    """An article in containers two deep with classes of their own, the second part longer."""
+    a, b = "Alpha, of page {}. ".format(i) * 5, "Beta, the longer one. " * 9
+    part = "<div class='part {}'><div class=col><p>{}</p></div></div>"
+    return f"<body><nav><a href=x>Home</a></nav>{outer.format(part.format('intro', a) + part.format('methods', b))}<footer>(c)</footer></body>", f"{a.strip()}\n\n{b.strip()}"
+
+
+@pytest.mark.parametrize("outer", ["<main>{}</main>", "<div class=wrap>{}</div>", "<article><section><div>{}</div></section></article>", "{}"])
+def test_articles_in_parts_are_whole(outer):
+    page, text = page_of_parts(1, outer)
+    assert Page(page).text(None) == text
+
+
+def test_titles_beside_the_content_stay():
+    content = "<div class='entry-content'><p>Long, long text.</p><p>More of it, and more.</p></div>"
+    for outer in ("<article>{}</article>", "<main><article>{}</article></main>", "<main><h2>Before</h2><article>{}</article></main>", "<div class=post>{}</div>"):
+        text = Page("<body><div class=ad>Buy.</div>" + outer.format(f"<h1>Title</h1><p>Lead, short.</p>{content}") + "</body>").text(None)
+        assert text.removeprefix("Before\n\n").split("\n\n") == ["Title", "Lead, short.", "Long, long text.", "More of it, and more."]
+    teasers = "".join(f"<article class=card><p>Other story, number {i}.</p></article>" for i in range(3))
+    story = "<article class=post><h1>Title</h1><p>" + "Long, long text. " * 12 + "</p></article>"
+    assert Page(f"<main>{story}{teasers}</main>").text(None).startswith("Title\n\nLong") and "Other" not in Page(f"<main>{story}{teasers}</main>").text(None)
+
+
+def test_hosts_vote_for_whole_articles(spark):
+    pages = [page_of_parts(i, "<main>{}</main>") for i in range(4)]
+    frame = spark.createDataFrame([(i, "http://parts.example/", html) for i, (html, _) in enumerate(pages)], "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in with_main_text(frame).select("page_id", "main.text").collect()} == {i: text for i, (_, text) in enumerate(pages)}
+
+
 def test_pages_agree_on_a_path(spark):
     body = "<html><body><div class='story{0}'><p>{1}</p></div><div class='box{0}'><p>{2}</p></div></body></html>"
     rows = [(i, f"http://H.example/{i}", body.format(i, "Long, long text. " * 9, "Short, text.")) for i in range(5)]
