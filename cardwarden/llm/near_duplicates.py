@@ -346,7 +346,7 @@ def _links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Rows (doc_id, key1, key2, n_shingles, node, component_id, kept), one for each of the documents (doc_id, text).
+    """Rows (doc_id, key1, key2, n_shingles, node, root, component_id, kept), one for each of the documents (doc_id, text).
 
     Words are runs of other than white space with A-Z lower-cased. A text with fewer than five
     words is one shingle; without words, or null, it has none and is linked with nothing.
@@ -354,7 +354,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     smallest id reachable by links, itself included, and the document with that id is kept. Documents with
     equal sets, so also repeated rows, are one component; of rows that share the smallest id all
     are marked as kept. A null id counts as larger than others; a component of null ids only
-    has a null ``component_id`` and is kept. The keys are hashes of id and text. Other columns
+    has a null ``component_id`` and is kept. ``root`` tells components apart, also those with
+    equal ids; it is null without words. The keys are hashes of id and text. Other columns
     are ignored, an empty table gives none.
     """
     keyed = docs.select("doc_id", *_row_keys(), "text")
@@ -365,7 +366,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     roots = components(_links(docs, nodes, percent))
     rooted = _with_roots(nodes.select("node", "least_id"), roots)
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(ids, "root").select(F.col("node").alias("_node"), "component_id")
+    named = rooted.join(ids, "root").select(F.col("node").alias("_node"), "root", "component_id")
     whole = signed.select("doc_id", "key1", "key2", "n_shingles", "node").join(named, F.col("node") == F.col("_node"), "left").drop("_node")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return whole.withColumn("component_id", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -379,11 +380,13 @@ def _row_keys() -> list[Column]:
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component, with the documents' columns; documents without words all stay.
 
-    Of several texts with the kept id, one stays; so does one of several rows without words
-    that agree in id and text. The documents are shuffled once, and repeated rows go before.
+    Of several texts with the kept id, or of null ids only, one stays; so does one of several
+    rows without words that agree in id and text. The documents are shuffled once, and repeated
+    rows go before.
     """
-    chosen = near_duplicates(docs, percent).where("kept").groupBy("doc_id", "node", F.when(F.col("node").isNull(), F.col("key1")).alias("empty"))
-    chosen = chosen.agg(F.min(F.struct("key1", "key2")).alias("key"))
+    empty = [F.when(F.col("root").isNull(), F.col(k)).alias(f"empty_{k}") for k in ("key1", "key2")]
+    chosen = near_duplicates(docs, percent).where("kept").groupBy("root", *empty)
+    chosen = chosen.agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key1", "key2")).alias("key"))
     names = unused(docs, "_key1", "_key2")
     kept = stored(chosen.select(*[F.col(f"key.key{k}").alias(n) for k, n in zip((1, 2), names, strict=True)]), "kept")
     single = docs.select("*", *[c.alias(n) for c, n in zip(_row_keys(), names, strict=True)]).dropDuplicates(names)

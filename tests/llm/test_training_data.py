@@ -362,6 +362,16 @@ def test_near_duplicates_edges(docs, none):
     assert near_duplicates.near_duplicates(none).count() == 0 and near_duplicates.without_near_duplicates(none).count() == 0
 
 
+def test_one_of_each_component_stays(spark):
+    copies = [" ".join([f"{end}-{i}", *prose(seed, 200).split(), f"{i}-{end}"]) for seed, end in ((910, "a"), (911, "b")) for i in range(3)]
+    rows = [(None, copies[0]), (None, copies[1] + " tail"), (7, copies[3]), (7, copies[4] + " tail"), (7, prose(912, 200)), (None, prose(913, 200)), (8, copies[5]), (None, "  "), (None, "  "), (None, None)]
+    kept = near_duplicates.without_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    texts = Counter((r.doc_id, r.text) for r in kept)
+    assert sum(n for (_, t), n in texts.items() if t in (rows[0][1], rows[1][1])) == 1
+    assert [n for (i, t), n in texts.items() if t in (rows[2][1], rows[3][1], rows[6][1])] == [1] and texts[8, copies[5]] == 0
+    assert texts[7, rows[4][1]] == texts[None, rows[5][1]] == texts[None, "  "] == texts[None, None] == 1 and len(kept) == 6
+
+
 def test_pipeline_drops_near_copies_from_80_percent(spark):
     rows, at = [], 0
     for seed in range(12):
