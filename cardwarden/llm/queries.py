@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardwarden.llm.alignment import Tokenizers, aligned
 from cardwarden.llm.chat import conversation_digests, format_conversations
 from cardwarden.llm.decontamination import contamination
 from cardwarden.llm.language import with_language
@@ -16,8 +17,10 @@ from cardwarden.llm.near_duplicates import near_duplicates
 from cardwarden.llm.pages import with_main_text
 from cardwarden.llm.quality import with_grade
 from cardwarden.llm.sharding import shard
+from cardwarden.llm.token_files import token_digests
 from cardwarden.llm.toxicity import with_toxicity
 from cardwarden.llm.vectors import near_duplicate_vectors
+from cardwarden.llm.whitening import whitened
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -83,6 +86,32 @@ def op10_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
     return dealt.select("doc_id", "sharding.size", "text_crc32", "sharding.law", "sharding.shard", "sharding.slot", "sharding.grown_shard")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitened(_table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    single = found.select("vec_id", "whitening.*").select(
+        "vec_id", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("component", "value")
+    )
+    return single.select("vec_id", (F.col("component") + 1).alias("component"), "n", "deviation", "value.whitened", "value.explained", "identity_error")
+
+
+def _file_bytes(name: str) -> bytes:
+    """A public tokenizer's file; the driver reads it and sends it with the job."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = Tokenizers(_file_bytes("byte_bpe_50k.json").decode(), _file_bytes("piece_bpe_32k.model"))
+    return aligned(_table(spark, folder, "documents").select("doc_id", "text"), files)
+
+
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return token_digests(docs, _file_bytes("word_bpe_49k.json").decode(), end_id=2, by_word=True, width=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_vector_near_duplicates": op2_vector_near_duplicates,
@@ -94,4 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_balanced_shards": op10_balanced_shards,
+    "op11_whitening": op11_whitening,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_token_files": op13_token_files,
 }
