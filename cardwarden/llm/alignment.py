@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.segments import Ids, SegmentIds, encode_together, flat, gathered
+from cardwarden.llm.segments import Ids, SegmentIds, State, encode_together, flat, gathered, sample_texts
 from cardwarden.llm.storage import stored
 from cardwarden.llm.words import filled, slices
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 22
 #: Pairs of ids that are sent to every task at most, 16 bytes each.
 COMMON_PAIRS = 1 << 19
 #: Links of a group from which on its distinct ids are paired instead of its tokens.
@@ -88,21 +88,37 @@ class Pair:
         return [ids if len(p) > 1 else [self.blank] for ids, p in zip(found, parts, strict=True)]
 
     def _encode(self, parts: list[bytes]) -> tuple[list[bytes], list[Ids]]:
-        plain = [p for p in parts if p[-1] > 0x20 and not re.search(_ODD_BLANK, p)]
-        rest = list(set(parts).difference(plain)) if self.separable else parts
-        plain = plain if self.separable else []
-        found = []
+        odd = re.search(_ODD_BLANK, b"".join(parts))
+        plain = [p for p in parts if p[-1] > 0x20 and not (odd and re.search(_ODD_BLANK, p))] if self.separable else []
+        rest = list(set(parts).difference(plain)) if plain else parts
+        parts, found = plain + rest, []
         for encode, sizes in ((self._first, self.sizes[0]), (self._second, self.sizes[1])):
             ids, counts = encode_together(plain, b"", sizes, encode)
             more_ids, more_counts = flat(encode(rest))
             found.append((np.concatenate([ids, more_ids]), np.concatenate([counts, more_counts])))
-        parts = plain + rest
+        self._judge(parts, found)
+        return parts, found
+
+    def _judge(self, parts: list[bytes], found: list[Ids]) -> None:
+        """Notes which of the new segments both tokenizers give back."""
         good = np.ones(len(parts), bool)
-        for (ids, counts), table in zip(found, (self.first_bytes, self.second_bytes), strict=True):
-            joined, ends = [table[i] for i in ids.tolist()], np.cumsum(counts).tolist()
-            good &= [b"".join(joined[a:b]) == p for a, b, p in zip([0, *ends[:-1]], ends, parts, strict=True)]
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        for (ids, counts), table, sizes in zip(found, (self.first_bytes, self.second_bytes), self.sizes, strict=True):
+            joined, ends = [table[i] for i in ids.tolist()], np.concatenate([[0], np.cumsum(counts)])
+            same = np.diff(np.concatenate([[0], np.cumsum(sizes[ids])])[ends]) == lengths
+            ends = ends.tolist()
+            for a in range(0, len(parts), 4096):
+                b = min(a + 4096, len(parts))
+                if not same[a:b].all() or b"".join(joined[ends[a] : ends[b]]) != b"".join(parts[a:b]):
+                    good[a:b] &= [b"".join(joined[ends[i] : ends[i + 1]]) == parts[i] for i in range(a, b)]
         self.good = np.concatenate([self.good[: len(self.known.number)], good])
-        return parts, found
+
+    def state(self) -> tuple[State, np.ndarray]:
+        return self.known.state(), self.good
+
+    def learn(self, state: tuple[State, np.ndarray]) -> None:
+        self.known.learn(state[0])
+        self.good = state[1]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, list[Ids]]:
         """Which texts both tokenizers give back byte by byte, and the ids of all by both; an empty text isn't given back."""
@@ -118,8 +134,8 @@ class Pair:
                         cut[a:b] = False
         cut[starts] = True
         at = np.flatnonzero(cut)
-        borders = at.tolist()
-        numbers = self.known.numbers([whole[a:b] for a, b in zip(borders[:-1], borders[1:], strict=True)])
+        segments = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(whole)]).dictionary_encode()
+        numbers = self.known.numbers(segments.dictionary.to_pylist())[segments.indices.to_numpy()]
         of_text = np.searchsorted(at, starts)
         good = np.add.reduceat(~self.good[numbers], of_text[:-1]) == 0 if len(texts) else np.zeros(0, bool)
         found = []
@@ -169,7 +185,8 @@ def shared_ends(ends: np.ndarray, others: np.ndarray, last: np.ndarray) -> np.nd
         some = cut >= 0
         low, high, cut = low[some], high[some], cut[some]
         shared[cut] = True
-        low, high = np.concatenate([low, cut + 1]), np.concatenate([cut, high])
+        # both halves of an interval beside each other, so that bisection goes through memory in order
+        low, high = np.stack([low, cut + 1], axis=1).ravel(), np.stack([cut, high], axis=1).ravel()
 
 
 def _pairs(first: np.ndarray, second: np.ndarray, ends: list[np.ndarray], text: np.ndarray, ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,7 +232,9 @@ _FACTS = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256
 def _aligned(shipped):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each text's figures and its linked pairs of ids."""
-        pair = Pair(Tokenizers(*shipped.value))
+        files, known = shipped.value
+        pair = Pair(Tokenizers(*files))
+        pair.learn(known)
         ids = max(map(len, pair.sizes))
         names = np.array([f"{i}{s}" for i in range(ids) for s in (",", "|", ";", "")], object)
         for batch in slices(batches, "text", SLICE_BYTES):
@@ -294,14 +313,18 @@ def aligned(docs: DataFrame, files: Tokenizers, common_pairs: int = COMMON_PAIRS
     frequent one of its first id, ties included; ``count_sum`` adds up the counts of all links.
     Other columns are ignored; an empty table gives none.
 
-    A text's tokens are held by one task, some 100 bytes a token, and its distinct pairs are an
+    The segments of a bounded sample of texts are sent to the tasks beforehand, which changes no
+    result. A text's tokens are held by one task, some 100 bytes a token, and its distinct pairs are an
     array of one row. Pairs are counted with partial sums on the map side. Of their counts, at
     most ``common_pairs`` are sent to the tasks, and the others, each of which is rare, are joined.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
     lists = "a array<int>, b array<int>, times array<bigint>"
-    made = docs.select("doc_id", "text").mapInArrow(_aligned(spark.sparkContext.broadcast((files.byte_level_json, files.pieces))), f"doc_id {kind}, {_FACTS}, {lists}")
+    pair = Pair(files)
+    pair.encode(sample_texts(docs)[0]["text"].cast(pa.large_binary()).to_pylist())
+    send = spark.sparkContext.broadcast
+    made = docs.select("doc_id", "text").mapInArrow(_aligned(send(((files.byte_level_json, files.pieces), pair.state()))), f"doc_id {kind}, {_FACTS}, {lists}")
     rows = stored(made.withColumn("row", F.monotonically_increasing_id()), "aligned")
 
     linked = rows.select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b")
@@ -311,8 +334,8 @@ def aligned(docs: DataFrame, files: Tokenizers, common_pairs: int = COMMON_PAIRS
     common, rare = _common(counts, common_pairs)
     table = common.select((F.shiftleft(F.col("a").cast("bigint"), 32) + F.col("b")).alias("key"), "n", "best").toArrow()
     order = np.argsort(table["key"].to_numpy())
-    send = spark.sparkContext.broadcast(tuple(table[c].to_numpy()[order] for c in ("key", "n", "best")))
-    sums = rows.mapInArrow(_sums(send), f"doc_id {kind}, {_FACTS}, row bigint, n_best bigint, count_sum bigint, {lists}")
+    common = send(tuple(table[c].to_numpy()[order] for c in ("key", "n", "best")))
+    sums = rows.mapInArrow(_sums(common), f"doc_id {kind}, {_FACTS}, row bigint, n_best bigint, count_sum bigint, {lists}")
     figures = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
     if rare is None:
         return sums.select(*figures, "n_best", "count_sum")

@@ -11,6 +11,11 @@ from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cardwarden.llm.storage import stored
 
 #: Segments and their bytes that are kept at most, beside those of the texts at hand.
 MOST_SEGMENTS, MOST_BYTES = 1 << 19, 1 << 25
@@ -19,6 +24,10 @@ TOGETHER = 4096
 
 #: For a list of segments: their ids one after the other, and how many each has.
 Ids = tuple[np.ndarray, np.ndarray]
+#: Segments joined, their sizes, and their ids by each tokenizer.
+State = tuple[bytes, np.ndarray, list[Ids]]
+#: Texts that tasks know the segments of beforehand: those with the smallest hashes of their ids, at most so many with so many bytes.
+SAMPLE_ROWS, SAMPLE_BYTES = 4000, 8 << 20
 
 
 def gathered(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -42,13 +51,17 @@ def split_ids(ids: np.ndarray, id_bytes: np.ndarray, sizes: np.ndarray) -> np.nd
     return np.diff(last, prepend=-1) if (ends[last] == borders).all() else None
 
 
-def encode_together(segments: list[bytes], glue: bytes, id_bytes: np.ndarray, encode: Callable[[list[bytes]], list[list[int]]]) -> Ids:
-    """Ids of segments by encoding many as one text; one by one where the ids don't show the borders."""
+def encode_together(segments: list[bytes], glue: bytes, id_bytes: np.ndarray, encode: Callable[[list[bytes]], list[list[int]]], sizes: list[int] | None = None) -> Ids:
+    """Ids of segments by encoding many as one text; one by one where the ids don't show the borders.
+
+    ``sizes`` are the bytes that the ids of each segment stand for, where those aren't its own.
+    """
     ids, counts = [], []
+    sizes = list(map(len, segments)) if sizes is None else sizes
     for a in range(0, len(segments), TOGETHER):
         some = segments[a : a + TOGETHER]
         found = np.array(encode([glue.join(some)])[0], np.int64)
-        split = split_ids(found, id_bytes, np.fromiter(map(len, some), np.int64, len(some)))
+        split = split_ids(found, id_bytes, np.array(sizes[a : a + TOGETHER], np.int64))
         if split is None:
             found, split = flat(encode(some))
         ids.append(found)
@@ -79,15 +92,49 @@ class SegmentIds:
         new = list(set(segments) - self.number.keys())
         if new:
             new, found = self.encode(new)
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-            self.bytes += sum(map(len, new))
-            for k, (ids, counts) in enumerate(found):
-                self.ids[k] = np.concatenate([self.ids[k], ids.astype(np.int32)])
-                self.at[k] = np.concatenate([self.at[k], self.at[k][-1] + np.cumsum(counts)])
+            self._add(new, found)
         return np.fromiter(map(self.number.__getitem__, segments), np.int64, len(segments))
 
+    def _add(self, new: list[bytes], found: list[Ids]) -> None:
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+        self.bytes += sum(map(len, new))
+        for k, (ids, counts) in enumerate(found):
+            self.ids[k] = np.concatenate([self.ids[k], ids.astype(np.int32)])
+            self.at[k] = np.concatenate([self.at[k], self.at[k][-1] + np.cumsum(counts)])
+
+    def state(self) -> State:
+        """What was seen, as plain bytes and arrays to send to tasks."""
+        sizes = np.fromiter(map(len, self.number), np.int64, len(self.number))
+        return b"".join(self.number), sizes, [(ids, np.diff(at)) for ids, at in zip(self.ids, self.at, strict=True)]
+
+    def learn(self, state: State) -> None:
+        """Begins with what another has seen."""
+        joined, sizes, found = state
+        ends = np.cumsum(sizes).tolist()
+        self._clear()
+        self._add([joined[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], found)
+
     def of(self, numbers: np.ndarray, k: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the numbered segments one after the other by the k-th tokenizer, and how many each has."""
         start = self.at[k][numbers]
         counts = self.at[k][numbers + 1] - start
         return self.ids[k][gathered(start, counts)], counts
+
+
+def sample_texts(docs: DataFrame) -> tuple[pa.Table, int]:
+    """Whole texts of a bounded sample of the documents (doc_id, text), and the bytes of all texts.
+
+    The sample is bounded by its number and bytes, which never cut a text or prefer short ones.
+    """
+    mark = F.xxhash64(F.lit(13), "doc_id")
+    sizes = stored(docs.select(mark.alias("mark"), F.octet_length("text").cast("bigint").alias("size")), "sizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    first = sizes.where("size > 0").orderBy("mark", "size").limit(SAMPLE_ROWS).collect()
+    taken = int(np.searchsorted(np.cumsum([r["size"] for r in first]), SAMPLE_BYTES, side="right"))
+    if taken == 0:
+        return pa.table({"text": pa.array([], pa.large_string())}), total
+    first = first[:taken]
+    chosen = F.broadcast(sizes.sparkSession.createDataFrame([(r["mark"],) for r in first], "m bigint").distinct())
+    texts = docs.where(F.octet_length("text") <= max(r["size"] for r in first)).select("text", mark.alias("mark"))
+    found = texts.join(chosen, F.col("mark") == F.col("m"), "left_semi")
+    return found.orderBy("mark", F.octet_length("text"), "text").limit(taken).select("text").toArrow(), total

@@ -19,6 +19,7 @@ import os
 import struct
 from collections.abc import Callable, Iterator
 from hashlib import sha256
+from unicodedata import normalize
 from zlib import crc32
 
 import numpy as np
@@ -28,81 +29,105 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardwarden.llm.segments import Ids, SegmentIds, encode_together, flat, gathered
+from cardwarden.llm.segments import Ids, SegmentIds, State, encode_together, flat, gathered, sample_texts
 from cardwarden.llm.storage import stored, work_folder
-from cardwarden.llm.words import filled, slices
+from cardwarden.llm.words import buffers, filled, slices
 
 MAGIC = b"CWTOKEN1"
 _HEADER, _TRAILER = "<8s32sII", "<QQQ8s"
 LEVEL = 3
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 23
 #: Text of one file at most, on average.
 FILE_BYTES = 256 << 20
-#: The dictionary is trained on the documents with the smallest hashes of their ids: at most so many, with so many bytes in all.
-DICTIONARY_ROWS, DICTIONARY_TEXT, DICTIONARY_BYTES = 4000, 16 << 20, 64 << 10
+#: The dictionary is trained on the sample of ``segments.sample_texts``.
+DICTIONARY_BYTES = 64 << 10
 
-_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_LETTER = np.zeros(256, bool)
+_LETTER[0x61:0x7B] = True
 
-#: Ids of a column of texts one after the other, and how many each has.
-Encode = Callable[[pa.Array], Ids]
 
 
-def encoder(tokenizer_json: str, by_word: bool) -> Encode:
+class Encoder:
     """Ids of whole texts by a tokenizer of the tokenizers library, given as its JSON, without added special tokens.
 
     ``by_word`` encodes each distinct run of other than ASCII white space once, without the
     punctuation behind it and in lower case where it is ASCII. It gives the same ids for
     tokenizers that lower-case, drop white space, look at nothing across it, and always split
-    between a letter and punctuation that follows.
+    between a letter and punctuation that follows. ``known`` are parts that another encoder has
+    seen, which spares encoding them again.
     """
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(tokenizer_json)
-    special = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
-    names = sorted((i, token) for token, i in tokenizer.get_vocab().items())
-    id_bytes = np.zeros(names[-1][0] + 1, np.int64)
-    for i, token in names:
-        id_bytes[i] = len(token.removesuffix("</w>"))  # a byte is one character of a token
-
-    def encode(texts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
-
-    def encode_parts(parts: list[bytes]) -> tuple[list[bytes], list[Ids]]:
-        plain = [p for p in parts if p.isascii() and not any(s in p for s in special)]
-        others = list(set(parts).difference(plain))
-        ids, counts = encode_together(plain, b" ", id_bytes, encode)
-        more_ids, more_counts = flat(encode(others))
-        return plain + others, [(np.concatenate([ids, more_ids]), np.concatenate([counts, more_counts]))]
-
-    known_parts = SegmentIds(encode_parts)
-
-    def encode_words(words: list[bytes]) -> tuple[list[bytes], list[Ids]]:
-        parts: list[bytes] = []
-        for word in words:
-            stem, tail = word, b""
-            if word.isascii() and not any(s in word.lower() for s in special):
-                stem = word.lower().rstrip(_PUNCTUATION)
-                tail = word[len(stem) :]
-                if tail and not stem[-1:].isalpha():
-                    stem, tail = word, b""
-            parts += (stem, tail)
-        ids, counts = known_parts.of(known_parts.numbers(parts))
-        return words, [(ids, counts.reshape(-1, 2).sum(axis=1))]
-
-    known = SegmentIds(encode_words)
-
-    def encoded(texts: pa.Array) -> Ids:
-        if not by_word:
-            return flat(encode(texts.cast(pa.large_binary()).to_pylist()))
-        words = pa.compute.ascii_split_whitespace(texts)
-        distinct = words.flatten().dictionary_encode()
-        numbers = known.numbers(distinct.dictionary.cast(pa.large_binary()).to_pylist())
-        ids, counts = known.of(numbers[distinct.indices.to_numpy()])
-        upto = np.concatenate([[0], np.cumsum(counts)])[words.offsets.to_numpy() - words.offsets[0].as_py()]
-        return ids.astype(np.int64), np.diff(upto)
 
-    return encoded
+    def __init__(self, tokenizer_json: str, by_word: bool, known: State | None = None):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.by_word = Tokenizer.from_str(tokenizer_json), by_word
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        names = sorted((i, token) for token, i in self.tokenizer.get_vocab().items())
+        self.id_bytes = np.zeros(names[-1][0] + 1, np.int64)
+        for i, token in names:
+            self.id_bytes[i] = len(token.removesuffix("</w>"))  # a byte is one character of a token
+        self.known = SegmentIds(self._encode_parts)
+        if known is not None:
+            self.known.learn(known)
+
+    def _encode(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def _encode_parts(self, parts: list[bytes]) -> tuple[list[bytes], list[Ids]]:
+        special = [s.encode() for s in self.special]
+        groups: list[list[bytes]] = [[], [], []]  # ASCII; other words; those that may not be one word
+        sizes = []
+        for part in parts:
+            kind = 2 if b"<" in part and any(s in part for s in special) else 0
+            if kind == 0 and not part.isascii():
+                lower = normalize("NFC", part.decode()).lower()
+                kind = 1 if len(lower.split()) == 1 else 2
+                if kind == 1:
+                    sizes.append(len(lower.encode()))
+            groups[kind].append(part)
+        found = [
+            encode_together(groups[0], b" ", self.id_bytes, self._encode),
+            encode_together(groups[1], b" ", self.id_bytes, self._encode, sizes),
+            flat(self._encode(groups[2])),
+        ]
+        return [p for g in groups for p in g], [(np.concatenate([ids for ids, _ in found]), np.concatenate([counts for _, counts in found]))]
+
+    def _stems(self, words: pa.Array) -> tuple[pa.Array, list[bytes]]:
+        """Words without punctuation behind their last letter, and that punctuation."""
+        compute = pa.compute
+        lower = compute.ascii_lower(words)
+        ordinary = compute.string_is_ascii(words)
+        for s in self.special:
+            ordinary = compute.and_not(ordinary, compute.match_substring(lower, s.lower()))
+        lower = compute.if_else(ordinary, lower, words)
+        stems = compute.ascii_rtrim(lower, characters=_PUNCTUATION)
+        data, at = buffers(stems)
+        letter = _LETTER[data[np.maximum(at[1:] - 1, 0)]] if len(data) else np.zeros(len(stems), bool)
+        cut = ordinary.to_numpy(zero_copy_only=False) & letter & (np.diff(at) > 0)
+        stems = compute.if_else(pa.array(cut), stems, lower)
+        tails = [b""] * len(words)
+        sizes, whole = compute.binary_length(stems).to_numpy(), compute.binary_length(words).to_numpy()
+        some = np.flatnonzero(sizes < whole)
+        for i, size, word in zip(some.tolist(), sizes[some].tolist(), words.take(pa.array(some)).cast(pa.large_binary()).to_pylist(), strict=True):
+            tails[i] = word[size:]
+        return stems, tails
+
+    def __call__(self, texts: pa.Array) -> Ids:
+        """Ids of a column of texts one after the other, and how many each has."""
+        if not self.by_word:
+            return flat(self._encode(texts.cast(pa.large_binary()).to_pylist()))
+        lists = pa.compute.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        stems, tails = self._stems(words.dictionary)
+        stems = stems.dictionary_encode()
+        parts = stems.dictionary.cast(pa.large_binary()).to_pylist()
+        numbers = self.known.numbers(parts + tails)
+        pairs = np.stack([numbers[: len(parts)][stems.indices.to_numpy()], numbers[len(parts) :]], axis=1)
+        ids, counts = self.known.of(pairs[words.indices.to_numpy()].ravel())
+        upto = np.concatenate([[0], np.cumsum(counts)])[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())]
+        return ids.astype(np.int64), np.diff(upto)
 
 
 def _with_end(ids: np.ndarray, counts: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
@@ -123,29 +148,17 @@ def _dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def train_dictionary(docs: DataFrame, tokenizer_json: str, by_word: bool, width: int) -> tuple[bytes, int]:
-    """Dictionary for the serialized ids of documents like these, and the bytes of all texts.
+def train_dictionary(docs: DataFrame, tokenizer_json: str, by_word: bool, width: int) -> tuple[bytes, State | None, int]:
+    """Dictionary for the serialized ids of documents like these, the words of the sample, and the bytes of all texts.
 
-    The sample is bounded by its documents' number and bytes, which never cut a text or prefer
-    short ones. It changes the size of the files alone.
+    The sample changes the size of the files and the time alone.
     """
-    mark = F.xxhash64(F.lit(13), "doc_id")
-    sizes = stored(docs.select(mark.alias("mark"), F.octet_length("text").cast("bigint").alias("size")), "sizes")
-    total = sizes.agg(F.sum("size")).first()[0] or 0
-    first = sizes.where("size > 0").orderBy("mark", "size").limit(DICTIONARY_ROWS).collect()
-    upto = np.cumsum([r["size"] for r in first])
-    taken = int(np.searchsorted(upto, DICTIONARY_TEXT, side="right"))
-    if taken == 0:
-        return b"", total
-    chosen = F.broadcast(sizes.sparkSession.createDataFrame([(r["mark"],) for r in first[:taken]], "m bigint").distinct())
-    texts = docs.where(F.octet_length("text") <= int(max(r["size"] for r in first[:taken]))).select("text", mark.alias("mark"))
-    found = texts.join(chosen, F.col("mark") == F.col("m"), "left_semi").orderBy("mark", "text").limit(taken).select("text").toArrow()
-    encode = encoder(tokenizer_json, by_word)
-    samples = []
+    found, total = sample_texts(docs)
+    encode, samples = Encoder(tokenizer_json, by_word), []
     for batch in found.to_batches():
         ids, counts = encode(filled(batch.column(0)))
         samples += [x.tobytes() for x in np.split(ids.astype(f"<u{width}"), np.cumsum(counts)[:-1])]
-    return _dictionary(samples), total
+    return _dictionary(samples), encode.known.state() if by_word else None, total
 
 
 def _compressor(dictionary: bytes):
@@ -163,8 +176,8 @@ def _decompressor(dictionary: bytes):
 def _file_parts(tokenizer_json, by_word: bool, end_id: int | None, width: int, shipped) -> Callable:
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The parts of a partition's file, for rows (doc_id, text) in their order; none for no rows."""
-        dictionary = shipped.value
-        encode, packer = encoder(tokenizer_json.value, by_word), _compressor(dictionary)
+        dictionary, known = shipped.value
+        encode, packer = Encoder(tokenizer_json.value, by_word, known), _compressor(dictionary)
         at, index = 0, []
 
         def row(values: list[bytes]) -> pa.RecordBatch:
@@ -205,13 +218,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, end_id:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    dictionary, total = train_dictionary(rows, tokenizer_json, by_word, width)
+    dictionary, known, total = train_dictionary(rows, tokenizer_json, by_word, width)
     spark.createDataFrame([(bytearray(dictionary.hex().encode()),)], "value binary").select(F.col("value").cast("string")).coalesce(1).write.text(f"{folder}/dictionary")
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE_BYTES))
     ranged = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     send = spark.sparkContext.broadcast
-    parts = ranged.mapInArrow(_file_parts(send(tokenizer_json), by_word, end_id, width, send(dictionary)), "value binary")
+    parts = ranged.mapInArrow(_file_parts(send(tokenizer_json), by_word, end_id, width, send((dictionary, known))), "value binary")
     parts.select(F.col("value").cast("string")).write.option("lineSep", "\n").option("compression", "none").option("maxRecordsPerFile", 0).text(f"{folder}/ids")
 
 

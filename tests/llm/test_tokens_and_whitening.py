@@ -53,19 +53,27 @@ def test_by_word_gives_the_ids_of_whole_texts(words_json):
     texts = [t for t in TEXTS if t] + [mixed_text(1000 + i) for i in range(400)]
     expected = tokenizers.Tokenizer.from_str(words_json).encode_batch(texts, add_special_tokens=False)
     for by_word in (True, False):
-        ids, counts = token_files.encoder(words_json, by_word)(pa.array(texts, pa.large_string()))
+        ids, counts = token_files.Encoder(words_json, by_word)(pa.array(texts, pa.large_string()))
         found = np.split(ids, np.cumsum(counts)[:-1])
         assert [f.tolist() for f in found] == [e.ids for e in expected]
 
 
 def test_segments_are_forgotten_and_learnt_again(words_json, monkeypatch):
     monkeypatch.setattr(segments, "MOST_SEGMENTS", 5)
-    encode, plain = token_files.encoder(words_json, True), tokenizers.Tokenizer.from_str(words_json)
+    encode, plain = token_files.Encoder(words_json, True), tokenizers.Tokenizer.from_str(words_json)
     for text in (t for t in TEXTS if t):
         ids, _ = encode(pa.array([text, text], pa.large_string()))
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids * 2
 
 
+def test_known_words_change_nothing(words_json):
+    some, texts = pa.array([t for t in TEXTS[:60] if t], pa.large_string()), pa.array([t for t in TEXTS if t], pa.large_string())
+    first = token_files.Encoder(words_json, True)
+    first(some)
+    expected, found = token_files.Encoder(words_json, True)(texts), token_files.Encoder(words_json, True, first.known.state())(texts)
+    assert all((x == y).all() for x, y in zip(expected, found))
+
+
 def test_token_files(spark, docs, words_json, tmp_path):
     tokenizer, folder = tokenizers.Tokenizer.from_str(words_json), str(tmp_path / "tokens")
     token_files.write_token_files(docs, folder, words_json, end_id=2, by_word=True, width=2)
