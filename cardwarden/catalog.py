@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cardwarden import fixtures
 from cardwarden.fixtures import FIXTURE_POLICY, Inputs
+from cardwarden.functions import money
 from cardwarden.operators.ranking import first_rows
 from cardwarden.plans import (
     alerts,
@@ -28,7 +29,7 @@ from cardwarden.plans import (
 from cardwarden.policy import RiskPolicy
 from cardwarden.schemas import FRAUD_LABELS
 from cardwarden.sources import files
-from cardwarden.sources.shared import shared_folder, shared_table
+from cardwarden.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +58,7 @@ def _alerts_by_policy(policy: RiskPolicy) -> dict[str, Callable[[Inputs], DataFr
 
 def _scores_by_policy(policy: RiskPolicy) -> dict[str, Callable[[Inputs], DataFrame]]:
     def scores(d: Inputs) -> DataFrame:
-        return scoring.card_scores(d.tx, policy)
+        return scoring.card_levels(d.tx, policy)
 
     return {
         "card_risk_score": lambda d: scoring.card_risk_score(d.tx, policy),
@@ -65,10 +66,10 @@ def _scores_by_policy(policy: RiskPolicy) -> dict[str, Callable[[Inputs], DataFr
         "high_risk_cards": lambda d: scoring.high_risk_cards(scores(d), policy),
         "segment_comparison": lambda d: _segments(d.tx, policy),
         "suspect_transactions": lambda d: segments.suspect_transactions(
-            d.raw, _suspects(d.tx, policy)
+            d.raw, scoring.high_risk_cards(scores(d), policy)
         ),
         "normal_transactions": lambda d: segments.normal_transactions(
-            d.raw, _suspects(d.tx, policy)
+            d.raw, scoring.high_risk_cards(scores(d), policy)
         ),
         "summary": lambda d: summary.summary(d.tx, d.users, d.cards, scores(d), policy),
         "dark_web_cards": lambda d: scoring.dark_web_cards(scores(d), d.typed_cards, policy),
@@ -78,18 +79,48 @@ def _scores_by_policy(policy: RiskPolicy) -> dict[str, Callable[[Inputs], DataFr
     }
 
 
-def _suspects(tx: DataFrame, policy: RiskPolicy) -> DataFrame:
-    suspects = scoring.high_risk_cards(scoring.card_scores(tx, policy), policy)
-    return shared_table(suspects, "suspects")
-
-
 def _segments(tx: DataFrame, policy: RiskPolicy) -> DataFrame:
-    compared = segments.segment_comparison(tx, _suspects(tx, policy))
-    return _rounded(compared, 6, "stddev_amount")
+    return _rounded(segments.scored_segments(tx, policy), 6, "stddev_amount")
 
 
 # Analyses without policy or with the default one -------------------------------------------
 
+QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
+# Amounts beyond the range of exact sums, and one below a millionth.
+EXTREMES = ("$1e32", "$6e31", "$0.0000004", "$123456789012.25")
+
+
+def _approximate_stats(tx: DataFrame) -> DataFrame:
+    """Mean, ends, and whether the approximate median has a rank near the middle."""
+    stats = profiling.amount_stats(tx, approximate=True)
+    median = stats.select(F.lit(0.5).alias("quantile"), F.col("median_amount").alias("estimate"))
+    within = profiling.quantile_ranks(tx, median, 0.001).agg(F.bool_and("within")).scalar()
+    return stats.drop("median_amount").withColumn("median_within", within)
+
+
+def _extreme_totals(raw: DataFrame) -> DataFrame:
+    """Totals per channel where some amounts are extreme, rounded where doubles were added."""
+    number = (F.col("id") % 1000).cast("int")
+    extreme = F.get(F.array(*map(F.lit, EXTREMES)), number)
+    tx = features.with_features(raw.withColumn("amount", F.coalesce(extreme, F.col("amount"))))
+    kind = F.when(number < len(EXTREMES), number).otherwise(F.lit(-1))
+    exact = F.col("amount_exact")
+    sums = tx.groupBy(kind.alias("kind")).agg(
+        F.count(exact).alias("amount_count"),
+        money.total(exact).alias("amount_total"),
+        F.max("amount_num").alias("amount_max"),
+    )
+    return sums.withColumn("amount_total", F.format_string("%.9e", "amount_total"))
+
+
+def _contradicted(labels: DataFrame) -> DataFrame:
+    """The labels, some of them again with the opposite answer or with none."""
+    id_ = F.col("transaction_id")
+    again = labels.filter(id_ % 7 == 0).withColumn("is_fraud", ~F.col("is_fraud"))
+    unanswered = labels.filter(id_ % 11 == 0).withColumn("is_fraud", F.lit(None).cast("boolean"))
+    return labels.unionByName(again).unionByName(unanswered).unionByName(again)
+
+
 _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
     "schema_report": lambda d: quality.schema_report(
         {"cards": d.cards, "transactions": d.raw, "users": d.users, "mcc_codes": d.codes}
@@ -102,6 +133,12 @@ _PLAIN: dict[str, Callable[[Inputs], DataFrame]] = {
     "missing_mcc": lambda d: quality.missing_mcc(d.raw),
     "amount_stats": lambda d: profiling.amount_stats(d.tx),
     "amount_stats_exact": lambda d: profiling.amount_stats_exact(d.tx),
+    "amount_stats_approximate": lambda d: _approximate_stats(d.tx),
+    "amount_quantiles": lambda d: profiling.quantile_ranks(
+        d.tx, profiling.amount_quantiles(rollups.amount_sketches(d.tx), QUANTILES), rollups.RANK_ERROR
+    ),
+    "extreme_amount_totals": lambda d: _extreme_totals(d.raw),
+    "fraud_label_conflicts": lambda d: evaluation.single_labels(_contradicted(d.labels)),
     "amount_buckets": lambda d: profiling.amount_buckets(d.tx),
     "time_features": lambda d: features.time_features(d.tx),
     "tx_by_hour": lambda d: profiling.tx_by_hour(d.tx),
@@ -211,6 +248,38 @@ def _by_month(rows: DataFrame) -> DataFrame:
     return spark.read.parquet(path).groupBy("tx_month").agg(F.count("*").alias("tx_count"))
 
 
+def _one_month_again(d: Inputs) -> DataFrame:
+    """Line items by month, of which one month is replaced, read back by months."""
+    tx = features.with_features(fixtures.lineitem_transactions(d.spark, d.folder))
+    path = shared_folder(d.spark, "month-again")
+    export.write_parquet(tx.select("id", "amount_num", "tx_month"), path, "tx_month")
+    again = tx.filter(F.col("tx_month") == 3).select("id", (F.col("amount_num") * 2).alias("amount_num"), "tx_month")
+    export.replace_partitions(again.filter(F.col("id") % 2 == 0), path, "tx_month")
+    saved = d.spark.read.parquet(path).filter(F.col("tx_month").isin(2, 3, 4))
+    return saved.groupBy("tx_month").agg(F.count("*").alias("tx_count"), F.max("amount_num").alias("amount_max"))
+
+
+def _broken_export(d: Inputs) -> DataFrame:
+    """Results saved twice, where the second run of one fails: status of each sink, and the rows that can be read."""
+    spark, folder = d.spark, shared_folder(d.spark, "broken-export")
+    results = {"error_rates": errors.error_rate_by_card(d.card_totals), "levels": scoring.card_levels(d.tx)}
+    enriched = features.enriched_transactions(d.tx, d.codes)
+    export.export_all(results, enriched, folder, FIXTURE_POLICY)
+    failing = results["levels"].withColumn("risk_level", F.raise_error(F.lit("no such thing")).cast("string"))
+    try:
+        statuses = export.export_all({**results, "levels": failing}, enriched, folder, FIXTURE_POLICY)
+    except export.ExportError as error:
+        statuses = error.statuses
+    saved = {}
+    for s in statuses:
+        read = spark.read.option("header", True).csv if s.file_format == "csv" else spark.read.parquet
+        saved[f"{s.file_format}:{s.sink}"] = read(s.path)
+    name = F.concat_ws(":", "file_format", "sink")
+    failed = F.col("error").contains("no such thing")
+    told = export.statuses_frame(spark, statuses).select(name.alias("sink"), F.coalesce(failed, F.lit(False)).alias("failed"))
+    return told.join(export.row_counts(saved), "sink")
+
+
 def _csv_round_trip(rows: DataFrame, label: str, read: Callable) -> DataFrame:
     path = shared_folder(rows.sparkSession, label)
     export.csv_writer(rows).csv(path)
@@ -260,6 +329,8 @@ _FILES: dict[str, Callable[[Inputs], DataFrame]] = {
     "export_all": _export_all,
     "read_results": _read_results,
     "partitioned_write": _partitioned_write,
+    "lineitem_one_month_again": _one_month_again,
+    "export_with_a_broken_sink": _broken_export,
 }
 
 

@@ -1,19 +1,19 @@
-"""Exact discrete quantile of a decimal column from its value counts."""
+"""Exact discrete quantile of a number column from its value counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.functions.money import EXACT
-
-#: Bins between the lowest and the highest value: bounds the rows of the first running sum.
+#: Bins of one step: bounds the rows of every running sum.
 BINS = 1 << 18
+#: Steps of bins of equal width, after one of bins of equal ratio.
+STEPS = 2
 
 
 def value_counts(rows: DataFrame, name: str) -> DataFrame:
-    """Distinct non-null values ``v`` with their number of rows ``n``."""
-    return rows.filter(F.col(name).isNotNull()).groupBy(F.col(name).cast(EXACT).alias("v")).agg(
+    """Distinct non-null values ``v``, as doubles, with their number of rows ``n``."""
+    return rows.filter(F.col(name).isNotNull()).groupBy(F.col(name).cast("double").alias("v")).agg(
         F.count("*").alias("n")
     )
 
@@ -21,26 +21,39 @@ def value_counts(rows: DataFrame, name: str) -> DataFrame:
 def exact_quantile(counts: DataFrame, q: float, bins: int = BINS) -> Column:
     """Smallest value with at least the fraction ``q`` of all rows at or below it.
 
-    A scalar subquery over value counts. Counts per bin come first, for at most ``bins`` bins
-    of one width; the bin that holds the rank is found by a running sum over bins alone, and
-    only that bin's values are sorted. The bin is picked by a join to its one row: a filter
-    would sink below the counting and read the input again.
+    A scalar subquery over value counts, which finds ever finer bins that hold the rank: first
+    bins by the logarithm of the value, so that an outlier doesn't widen them, then
+    ``bins`` equal ones between the ends of the bin before, as often as doubles of one bin can
+    differ. So no running sum has more rows than bins, and the last has a few hundred values.
     """
-    ends = counts.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high")).alias("e")).scalar()
-    width = ((ends["high"] - ends["low"]) / bins).cast(EXACT) + F.lit("0.000001").cast(EXACT)
-    in_bin = F.call_function("div", F.col("v") - ends["low"], width)
+    magnitude = F.log1p(F.least(F.abs("v"), F.lit(1e295)) * 1e12) * (bins / 2048)
+    inside = counts.withColumn("bin", F.floor(F.signum("v") * F.floor(magnitude)).cast("bigint"))
     rank = F.greatest(F.ceil(counts.agg(F.sum("n")).scalar() * q), F.lit(1))
-    sums = counts.groupBy(in_bin.alias("bin")).agg(F.sum("n").alias("n"))
-    found = (
-        _running(sums, "bin")
-        .filter(F.col("upto") >= rank)
-        .agg(F.min("bin").alias("bin"), F.min("before").alias("rows_below"))
+    inside = _within(inside, _holding(inside, rank, first=True))
+    for _ in range(STEPS):
+        width = (F.col("high") - F.col("low")) / bins
+        share = F.when(width > 0, F.floor((F.col("v") - F.col("low")) / width)).otherwise(0)
+        inside = inside.withColumn("bin", F.least(share, F.lit(bins - 1)).cast("bigint"))
+        inside = _within(inside.select("v", "n", "bin", "rank"), _holding(inside, F.col("rank")))
+    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    return inside.withColumn("upto", upto).filter(F.col("upto") >= F.col("rank")).agg(F.min("v")).scalar()
+
+
+def _holding(rows: DataFrame, rank: Column, first: bool = False) -> DataFrame:
+    """The one bin that holds the rank: its ends, and the rank within it."""
+    wanted = [] if first else [F.max("rank").alias("rank")]
+    sums = rows.groupBy("bin").agg(
+        F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), *wanted
+    )
+    upto = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    reached = sums.withColumn("upto", upto).filter(F.col("upto") >= rank)
+    left = (rank - F.col("upto") + F.col("n")).alias("left")
+    return reached.agg(F.min_by(F.struct("bin", "low", "high", left), "bin").alias("held")).select(
+        F.col("held.bin").alias("_bin"), "held.low", "held.high", F.col("held.left").alias("rank")
     )
-    inside = counts.join(F.broadcast(found), in_bin == F.col("bin"))
-    reached = _running(inside, "v").filter(F.col("upto") + F.col("rows_below") >= rank)
-    return reached.agg(F.min("v")).scalar()
 
 
-def _running(groups: DataFrame, key: str) -> DataFrame:
-    upto = F.sum("n").over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
-    return groups.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
+def _within(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """The values of one bin; it is picked by a join, since a filter would sink below the counting."""
+    values = rows.select("v", "n", "bin")
+    return values.join(F.broadcast(held), F.col("bin") == F.col("_bin")).select("v", "n", "low", "high", "rank")

@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from cardwarden.functions.calendar import hour_number
 from cardwarden.operators.skew import HOT_ROWS, hot_keys
 
-# A dense hour of a hot key is cut into this many pieces per HOT_ROWS rows.
-_PIECES = 32
+# A dense hour or moment of a hot key is cut into this many pieces per HOT_ROWS rows.
+_PIECES = 8
+# Cuts that are looked for in a dense hour or moment; its pieces are that many at most.
+_CUTS = 512
+# Ranks of the cuts are off by no more than this share of its rows.
+_ACCURACY = 20_000
+
+#: What makes a window group, in the order of a key's rows.
+GROUP = ("_hour", "_piece", "_step", "_part")
 
 
 def with_previous(
@@ -22,32 +29,33 @@ def with_previous(
 ) -> DataFrame:
     """Add ``previous``: a struct of ``carried`` taken from the row before, or null.
 
-    Rows are ordered by ``moment`` and then ``tie`` within ``key``. Rows without key or
+    Rows are ordered by ``moment`` and then ``tie``, a number, within ``key``. Rows without key or
     moment have no place in the order; they are kept with a null ``previous``.
 
     An ordinary key is one window group. A key with more than ``hot_rows`` rows has a group
-    per hour, and an hour that still has more is cut into equal pieces of time.
+    per hour. An hour that still has more is cut at quantiles of the time, and a single
+    moment that has more at quantiles of ``tie``, into up to ``_CUTS`` pieces.
     The first row of such a group takes its predecessor from the last row of the group
     before, which an aggregate over the hot keys alone finds. There are at most
-    ``rows / hot_rows`` hot keys and as many dense hours, so both lists may be broadcast;
+    ``rows / hot_rows`` hot keys, dense hours and crowded moments, with ``2 * _PIECES`` cuts for each ``hot_rows``
+    rows, so all lists may be broadcast;
     without hot keys adaptive execution drops all but the main branch. Rows without a place
     are spread over fixed groups by their ``tie``, since they too may be many.
     """
     placed = F.col(key).isNotNull() & F.col(moment).isNotNull()
-    grouped = _grouped(rows, key, moment, tie, placed, hot_rows)
+    grouped = with_groups(rows, key, moment, tie, hot_rows)
     last_of_group = (
         grouped.filter(placed & F.col("_hot").isNotNull())
-        .groupBy("_hot", "_hour", "_piece")
+        .groupBy("_hot", *GROUP)
         .agg(F.max_by(F.struct(*carried), F.struct(moment, tie)).alias("_last"))
     )
-    groups_of_key = Window.partitionBy("_hot").orderBy("_hour", "_piece")
+    groups_of_key = Window.partitionBy("_hot").orderBy(*GROUP)
     before_group = last_of_group.select(
         F.col("_hot").alias("_key"),
-        F.col("_hour").alias("_key_hour"),
-        F.col("_piece").alias("_key_piece"),
+        *[F.col(g).alias(f"_key{g}") for g in GROUP],
         F.lag("_last").over(groups_of_key).alias("_before"),
     )
-    in_group = Window.partitionBy(key, "_hour", "_piece").orderBy(moment, tie)
+    in_group = Window.partitionBy(key, *GROUP).orderBy(moment, tie)
     # One lag per column rather than of a struct, which would be shuffled as a second copy.
     sequenced = grouped.withColumns(
         {
@@ -56,11 +64,9 @@ def with_previous(
         }
     )
     in_group_row = F.struct(*[F.col(f"_lag_{name}").alias(name) for name in carried])
-    same_group = (
-        (F.col(key) == F.col("_key"))
-        & (F.col("_hour") == F.col("_key_hour"))
-        & (F.col("_piece") == F.col("_key_piece"))
-    )
+    same_group = F.col(key) == F.col("_key")
+    for g in GROUP:
+        same_group &= F.col(g) == F.col(f"_key{g}")
     return (
         sequenced.join(before_group, same_group, "left")
         .withColumn(
@@ -71,27 +77,40 @@ def with_previous(
     )
 
 
-def _grouped(
-    rows: DataFrame, key: str, moment: str, tie: str, placed: Column, hot_rows: int
-) -> DataFrame:
-    """Rows with their window group ``_hour``, ``_piece``; ``_hot`` is null but for hot keys."""
+def with_groups(rows: DataFrame, key: str, moment: str, tie: str, hot_rows: int) -> DataFrame:
+    """Rows with their window group, the columns ``GROUP``; ``_hot`` is null but for hot keys.
+
+    Groups of a key follow each other in the order of its rows: by hour, by piece of a dense
+    hour, by step before, at or after the crowded moments of that hour, and by part of such a moment.
+    """
+    placed = F.col(key).isNotNull() & F.col(moment).isNotNull()
     hour = hour_number(F.col(moment), F.hour(moment))
+    second = F.minute(moment) * 60 + F.extract(F.lit("SECOND"), F.col(moment)).cast("double")
     listed = F.broadcast(hot_keys(rows.filter(placed), key, hot_rows))
-    pieces = F.ceil(F.col("_rows") * _PIECES / hot_rows)
-    dense = (
-        rows.filter(placed)
-        .join(listed, F.col(key) == F.col("_hot"))
-        .groupBy(F.col("_hot").alias("_dense"), hour.alias("_dense_hour"))
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select("_dense", "_dense_hour", pieces.alias("_pieces"))
+    timed = rows.filter(placed).select(key, F.col(moment).alias("_at"), F.col(tie).alias("_tie"), hour.alias("_hour"), second.alias("_second"))
+    hot = timed.join(listed, F.col(key) == F.col("_hot"))
+    crowd = F.count("*").alias("_rows")
+    busy = hot.groupBy("_hot", "_hour").agg(crowd).filter(F.col("_rows") > hot_rows).drop("_rows")
+    in_busy = hot.join(F.broadcast(busy), ["_hot", "_hour"])
+    dense = in_busy.groupBy("_hot", "_hour").agg(_cuts("_second", hot_rows).alias("_cuts"))
+    crowded = in_busy.groupBy("_hot", "_hour", "_at").agg(crowd).filter(F.col("_rows") > hot_rows).drop("_rows")
+    moments = (
+        in_busy.join(F.broadcast(crowded), ["_hot", "_hour", "_at"])
+        .groupBy("_hot", "_hour", "_at")
+        .agg(_cuts("_tie", hot_rows).alias("cuts"))
+        .groupBy("_hot", "_hour")
+        .agg(F.collect_list(F.struct(F.col("_at").alias("at"), "cuts")).alias("_moments"))
     )
-    second = F.minute(moment) * 60 + F.extract(F.lit("SECOND"), F.col(moment)).cast("double")
-    piece = F.floor(second * F.col("_pieces") / 3600)
+    placement = dense.join(moments, ["_hot", "_hour"], "left").select(
+        F.col("_hot").alias("_dense"), F.col("_hour").alias("_dense_hour"), "_cuts", "_moments"
+    )
+    here = F.filter("_moments", lambda m: m["at"] == F.col(moment))
+    before = F.size(F.filter("_moments", lambda m: m["at"] < F.col(moment)))
+    number = F.lit(0)
     return (
         rows.join(listed, F.col(key) == F.col("_hot"), "left")
         .join(
-            F.broadcast(dense),
+            F.broadcast(placement),
             (F.col("_hot") == F.col("_dense")) & (hour == F.col("_dense_hour")),
             "left",
         )
@@ -99,8 +118,24 @@ def _grouped(
             {
                 "_hour": F.when(~placed, -1 - F.pmod(F.xxhash64(tie), F.lit(4096)))
                 .when(F.col("_hot").isNotNull(), hour)
-                .otherwise(F.lit(0).cast("bigint")),
-                "_piece": F.when(F.col("_pieces").isNotNull(), piece).otherwise(F.lit(0)),
+                .otherwise(number.cast("bigint")),
+                "_piece": F.when(F.col("_cuts").isNotNull(), _below("_cuts", second)).otherwise(number),
+                "_step": F.when(F.col("_moments").isNotNull(), before * 2 + F.size(here)).otherwise(number),
+                "_part": F.when(F.size(here) > 0, _below(here[0]["cuts"], F.col(tie))).otherwise(number),
             }
         )
+        .drop("_dense", "_dense_hour", "_cuts", "_moments")
     )
+
+
+def _cuts(value: str, hot_rows: int) -> Column:
+    """Aggregate: quantiles of the values, as many as the number of rows asks for."""
+    every = F.percentile_approx(value, [i / _CUTS for i in range(1, _CUTS)], _ACCURACY)
+    wanted = F.least(F.lit(_CUTS), F.ceil(F.count("*") * _PIECES / hot_rows))
+    step = F.greatest(F.floor(F.lit(_CUTS) / wanted), F.lit(1))
+    return F.array_distinct(F.filter(every, lambda _, i: (i + 1) % step == 0))
+
+
+def _below(cuts: Column | str, value: Column) -> Column:
+    """Number of the cuts below a value."""
+    return F.size(F.filter(cuts, lambda c: c < value))

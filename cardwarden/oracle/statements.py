@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cardwarden.catalog import EXTREMES, QUANTILES
 from cardwarden.fixtures import FIXTURE_POLICY
 from cardwarden.oracle import tables as t
 from cardwarden.policy import Levels, RiskPolicy, Tiers
@@ -255,6 +256,17 @@ def _plain_statements() -> dict[str, str]:
         "missing_mcc": "SELECT count(*) AS missing_mcc_count FROM tx WHERE mcc IS NULL",
         **dict.fromkeys(("amount_stats", "amount_stats_exact"), f"""SELECT {_MEAN} AS mean_amount, min(amount_num) AS min_amount,
   max(amount_num) AS max_amount, CAST(quantile_disc(exact_amount, 0.5) AS DOUBLE) AS median_amount FROM tx"""),
+        "amount_stats_approximate": f"""SELECT {_MEAN} AS mean_amount, min(amount_num) AS min_amount,
+  max(amount_num) AS max_amount, true AS median_within FROM tx""",
+        "amount_quantiles": f"""SELECT q AS quantile, (SELECT count(exact_amount) FROM tx) AS amount_count, true AS within
+FROM (SELECT unnest([{', '.join(f'{q}::DOUBLE' for q in QUANTILES)}]) AS q) quantiles""",
+        "extreme_amount_totals": f"""SELECT CAST(kind AS INTEGER) AS kind, count(*) AS amount_count,
+  format('{{:.9e}}', CAST(sum(amount) AS DOUBLE)) AS amount_total, max(amount) AS amount_max
+FROM (SELECT CASE WHEN id % 1000 < {len(EXTREMES)} THEN id % 1000 ELSE -1 END AS kind,
+    coalesce(CAST(replace([{', '.join(f"'{x}'" for x in EXTREMES)}][id % 1000 + 1], '$', '') AS DOUBLE), amount_num) AS amount
+  FROM tx) x WHERE amount IS NOT NULL GROUP BY kind""",
+        "fraud_label_conflicts": """SELECT transaction_id,
+  is_fraud OR transaction_id % 7 = 0 AS is_fraud FROM labels""",
         "amount_buckets": f"""SELECT {_BUCKET} AS amount_bucket, count(*) AS tx_count FROM tx
 WHERE exact_amount IS NOT NULL GROUP BY 1""",
         "time_features": "SELECT id, date, tx_hour, tx_weekday, tx_month FROM tx",
@@ -371,7 +383,16 @@ def _export_statements(p: RiskPolicy) -> dict[str, str]:
     ]
     rows.append("SELECT 'parquet:enriched_transactions', count(*) FROM tx")
     rows.append(f"SELECT 'csv:enriched_sample', least(count(*), {FIXTURE_POLICY.sample_rows}) FROM tx")
+    names = {"error_rates": sinks["error_rates"], "levels": "SELECT count(*) FROM scores"}
+    broken = [
+        f"SELECT '{form}:{name}' AS sink, {str(name == 'levels').lower()} AS failed, ({count}) AS row_count"
+        for form in ("parquet", "csv")
+        for name, count in names.items()
+    ]
+    broken.append("SELECT 'parquet:enriched_transactions', false, count(*) FROM tx")
+    broken.append(f"SELECT 'csv:enriched_sample', false, least(count(*), {FIXTURE_POLICY.sample_rows}) FROM tx")
     return {
+        "export_with_a_broken_sink": _events("\nUNION ALL ".join(broken), *ctes),
         "export_all": _events("\nUNION ALL ".join(rows), *ctes),
         "read_results": _events(
             """SELECT 'card_risk_scores' AS result, card_id, risk_score AS figure FROM scores
@@ -395,6 +416,11 @@ def _lineitem_statements(p: RiskPolicy) -> dict[str, str]:
         "lineitem_tx_by_month": _lineitem(
             f"SELECT tx_month, count(*) AS tx_count, {_TOTAL} AS amount_total FROM tx GROUP BY tx_month"
         ),
+        "lineitem_one_month_again": _lineitem(
+            """SELECT tx_month, count(*) AS tx_count, max(amount_num) AS amount_max FROM (
+  SELECT tx_month, CASE tx_month WHEN 3 THEN 2 ELSE 1 END * amount_num AS amount_num FROM tx
+  WHERE tx_month IN (2, 4) OR tx_month = 3 AND id % 2 = 0) x GROUP BY tx_month"""
+        ),
         "lineitem_partitioned_write": _lineitem("SELECT tx_month, count(*) AS tx_count FROM tx GROUP BY tx_month"),
         "lineitem_card_risk_score": _lineitem("SELECT * FROM scores", *cards),
         "lineitem_segment_comparison": _lineitem(

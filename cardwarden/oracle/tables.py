@@ -61,7 +61,7 @@ places AS (
 # Line items as transactions.
 LINEITEM = """
 raw AS (
-  SELECT l_shipdate AS date, o_custkey AS card_id,
+  SELECT l_orderkey * 10 + l_linenumber AS id, l_shipdate AS date, o_custkey AS card_id,
     '$' || CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS amount,
     n_name AS merchant_city, CAST(l_partkey % 100 AS INTEGER) AS mcc,
     CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'Bad PIN' END AS errors

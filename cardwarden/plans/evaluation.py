@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from cardwarden.policy import RiskPolicy
 
 
+def single_labels(labels: DataFrame) -> DataFrame:
+    """One row per labelled transaction, so that a repeated label doesn't count twice.
+
+    Of labels that contradict each other, fraud wins: a report of fraud is kept until someone
+    takes it back in the data. Labels without an answer don't count against one with an answer; an id
+    with no answer at all stays null, and counts as labelled and not as fraud. Labels without an id go.
+    """
+    named = labels.filter(F.col("transaction_id").isNotNull())
+    return named.groupBy("transaction_id").agg(F.bool_or("is_fraud").alias("is_fraud"))
+
+
 def fraud_label_eval(
     tx: DataFrame, labels: DataFrame, scores: DataFrame, policy: RiskPolicy = RiskPolicy()
 ) -> DataFrame:
@@ -19,7 +30,7 @@ def fraud_label_eval(
     """
     per_card = (
         tx.select(F.col("id").alias("transaction_id"), "card_id")
-        .join(labels, "transaction_id")
+        .join(single_labels(labels), "transaction_id")
         .groupBy("card_id")
         .agg(F.count("*").alias("n"), F.count_if("is_fraud").alias("fraud"))
     )

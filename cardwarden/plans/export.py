@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.operators.ranking import first_rows
 from cardwarden.policy import RiskPolicy
 from cardwarden.sources.files import read_result
+from cardwarden.sources.publishing import published
 
 ENRICHED, SAMPLE = "enriched_transactions", "enriched_sample"
 
@@ -34,17 +35,27 @@ class ExportError(RuntimeError):
 
 
 def write_parquet(rows: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Overwrite ``path``. A partitioned table is first rebalanced on its column.
+    """Replace ``path`` when the new table is complete. A partitioned one is first rebalanced on its column.
 
     Rebalancing lets adaptive execution give a large partition value several writers and
     several small ones a common writer, so no value is bound to one task and no task
     writes many small files.
     """
     if partition_by is None:
-        rows.write.mode("overwrite").parquet(path)
+        published(rows.sparkSession, path, rows.write.parquet)
     else:
         balanced = rows.hint("rebalance", partition_by)
-        balanced.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        published(rows.sparkSession, path, balanced.write.partitionBy(partition_by).parquet)
+
+
+def replace_partitions(rows: DataFrame, path: str, partition_by: str) -> None:
+    """Replace those partitions of a partitioned table that the rows have a value of, and no other.
+
+    Spark writes them aside and moves them when all are complete. A table that doesn't exist is
+    made. Rows may come from the table itself.
+    """
+    balanced = rows.hint("rebalance", partition_by).write.mode("overwrite")
+    balanced.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
 
 
 def csv_writer(rows: DataFrame) -> DataFrameWriter:
@@ -55,9 +66,9 @@ def csv_writer(rows: DataFrame) -> DataFrameWriter:
 
 
 def write_csv(rows: DataFrame, path: str, single_file: bool) -> None:
-    """Overwrite ``path``, with one file or with one per partition."""
+    """Replace ``path`` when complete, with one file or with one per partition."""
     files = rows.coalesce(1) if single_file else rows
-    csv_writer(files).mode("overwrite").csv(path)
+    published(rows.sparkSession, path, csv_writer(files).csv)
 
 
 def export_all(
@@ -73,7 +84,8 @@ def export_all(
     Parquet comes first, and the CSV files are made from it, so every analysis runs once.
     A CSV has a file per partition, or one file, written by one task, for the results that
     ``single_file`` names. The CSV of the enriched transactions is a sample of the first ids
-    in one file. A failing sink does not stop the others; the error is raised at the end.
+    in one file. A failing sink does not stop the others and leaves what an earlier run saved
+    there; the error is raised at the end.
     """
     spark = enriched.sparkSession
     statuses: list[SinkStatus] = []
@@ -117,6 +129,12 @@ def export_all(
     return statuses
 
 
+def statuses_frame(spark: SparkSession, statuses: list[SinkStatus]) -> DataFrame:
+    """The statuses as rows: what was saved where, and what failed why."""
+    columns = "sink string, file_format string, path string, rows bigint, error string"
+    return spark.createDataFrame([tuple(vars(s).values()) for s in statuses], columns)
+
+
 def read_results(spark, folder: str, names: list[str]) -> dict[str, DataFrame]:
     """The saved Parquet results by name."""
     return {name: read_result(spark, folder, name) for name in names}

@@ -36,7 +36,7 @@ def with_features(transactions: DataFrame) -> DataFrame:
         return transactions
     return transactions.withColumn("amount_num", money.to_number(F.col("amount"))).withColumns(
         {
-            "amount_exact": money.to_exact(F.col("amount")),
+            "amount_exact": money.to_exact(F.col("amount"), F.col("amount_num")),
             "tx_hour": F.hour("date"),
             "tx_weekday": F.dayofweek("date"),
             "tx_month": F.month("date"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions import money
@@ -11,7 +11,7 @@ from cardwarden.functions.ratios import percent, with_share
 from cardwarden.operators.dimensions import with_category
 from cardwarden.operators.quantile import exact_quantile, value_counts
 from cardwarden.operators.ranking import top_k
-from cardwarden.plans.rollups import transactions_in
+from cardwarden.plans.rollups import SKETCH, transactions_in
 from cardwarden.policy import RiskPolicy
 
 
@@ -23,22 +23,50 @@ def amount_stats(tx: DataFrame, approximate: bool = False) -> DataFrame:
     """Mean, median, lowest and highest amount; the median is exact unless an approximate one is asked for."""
     if not approximate:
         return amount_stats_exact(tx)
-    return tx.agg(
+    return tx.agg(*_mean_and_ends(), F.percentile_approx("amount_num", 0.5).alias("median_amount"))
+
+
+def amount_stats_exact(tx: DataFrame) -> DataFrame:
+    """The same with the exact discrete median, from counts per distinct amount."""
+    median = exact_quantile(value_counts(tx, "amount_num"), 0.5)
+    return tx.agg(*_mean_and_ends()).withColumn("median_amount", median)
+
+
+def _mean_and_ends() -> tuple[Column, ...]:
+    return (
         money.mean(F.col("amount_exact")).alias("mean_amount"),
-        F.percentile_approx("amount_num", 0.5).alias("median_amount"),
         F.min("amount_num").alias("min_amount"),
         F.max("amount_num").alias("max_amount"),
     )
 
 
-def amount_stats_exact(tx: DataFrame) -> DataFrame:
-    """The same with the exact discrete median, all from counts per distinct amount."""
-    counts = value_counts(tx, "amount_exact")
-    return counts.agg(
-        F.try_divide(money.units(F.sum(F.col("v") * F.col("n"))), F.sum("n")).alias("mean_amount"),
-        money.lowest(F.col("v")).alias("min_amount"),
-        money.highest(F.col("v")).alias("max_amount"),
-    ).withColumn("median_amount", money.units(exact_quantile(counts, 0.5)))
+def amount_quantiles(sketches: DataFrame, quantiles: tuple[float, ...], *keys: str) -> DataFrame:
+    """Approximate quantiles of the amounts per key, or of all, from the rows of ``rollups.amount_sketches``."""
+    merged = sketches.groupBy(*keys).agg(
+        F.sum("amount_count").alias("amount_count"), F.kll_merge_agg_double("sketch", SKETCH).alias("sketch")
+    )
+    found = [
+        F.struct(F.lit(q).alias("quantile"), F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias("estimate"))
+        for q in quantiles
+    ]
+    return merged.filter(F.col("amount_count") > 0).select(*keys, "amount_count", F.inline(F.array(*found)))
+
+
+def quantile_ranks(tx: DataFrame, estimates: DataFrame, error: float) -> DataFrame:
+    """Whether each estimate (quantile, estimate) of all amounts has a rank within ``error`` of its quantile.
+
+    The ranks are counted exactly, from the counts per distinct amount.
+    """
+    wanted = estimates.agg(F.collect_list(F.struct("quantile", "estimate"))).scalar()
+    counts = value_counts(tx, "amount_num").select("v", "n", F.inline(wanted))
+    sums = counts.groupBy("quantile").agg(
+        F.sum("n").alias("amount_count"),
+        F.sum(F.when(F.col("v") < F.col("estimate"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("v") <= F.col("estimate"), F.col("n")).otherwise(0)).alias("upto"),
+    )
+    low, high = F.col("quantile") - error, F.col("quantile") + error
+    within = (F.col("below") <= high * F.col("amount_count")) & (F.col("upto") >= low * F.col("amount_count"))
+    return sums.select("quantile", "amount_count", within.alias("within"))
 
 
 def amount_buckets(tx: DataFrame) -> DataFrame:

@@ -11,12 +11,13 @@ from cardwarden.functions import money
 from cardwarden.functions.ratios import percent
 from cardwarden.functions.tiers import level_of, tier_points
 from cardwarden.operators.skew import HOT_ROWS, distinct_by_heat
+from cardwarden.plans.rollups import card_histories
 from cardwarden.policy import RiskPolicy
 
 
 def card_risk_features(tx: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per card; transactions without a card form one row as well."""
-    used = tx.select("card_id", "merchant_city", "tx_day", "mcc", "amount_exact", "has_error")
+    used = tx.select("card_id", "merchant_city", "tx_day", "mcc", "amount_num", "amount_exact", "has_error")
     return distinct_by_heat(used, "card_id", _features, hot_rows)
 
 
@@ -27,7 +28,7 @@ def _features(rows: DataFrame, distinct: Callable[[str], Column]) -> DataFrame:
         distinct("merchant_city").alias("city_count"),
         money.total(amount).alias("amount_total"),
         money.mean(amount).alias("amount_mean"),
-        money.highest(amount).alias("amount_max"),
+        F.max("amount_num").alias("amount_max"),
         F.count_if("has_error").alias("error_count"),
         percent(F.count_if("has_error"), F.count("*")).alias("error_rate"),
         distinct("tx_day").alias("active_days"),
@@ -36,6 +37,19 @@ def _features(rows: DataFrame, distinct: Callable[[str], Column]) -> DataFrame:
     )
 
 
+def history_features(histories: DataFrame) -> DataFrame:
+    """What the scores need, from the rows of ``rollups.card_histories``."""
+    city_count, active_days = F.size("cities").cast("bigint"), F.size("days").cast("bigint")
+    return histories.withColumns(
+        {
+            "city_count": city_count,
+            "active_days": active_days,
+            "error_rate": percent(F.col("error_count"), F.col("total_transactions")),
+            "tx_per_active_day": F.try_divide("total_transactions", active_days),
+        }
+    )
+
+
 def score_cards(features: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
     """Four tier scores, their sum and its level; a null feature scores 0."""
     parts = {
@@ -57,6 +71,12 @@ def card_scores(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
     return score_cards(card_risk_features(tx), policy)
 
 
+def card_levels(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
+    """Card, number of transactions, score and level only, from one pass over the transactions."""
+    scored = score_cards(history_features(card_histories(tx)), policy)
+    return scored.select("card_id", "total_transactions", "risk_score", "risk_level")
+
+
 def card_risk_score(tx: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
     return card_scores(tx, policy).orderBy(F.desc("risk_score"), "card_id")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cardwarden.functions import money
 from cardwarden.functions.calendar import WEEKDAYS, hour_start, month_year, weekday_name
 from cardwarden.functions.tiers import level_of, tier_points
-from cardwarden.plans import alerts, errors, features, profiling, quality, rollups, scoring, segments
+from cardwarden.plans import alerts, errors, evaluation, features, profiling, quality, rollups, scoring, segments
 from cardwarden.policy import RiskPolicy
 
 DAY = dt.datetime(2020, 1, 1, 12)
@@ -18,9 +18,9 @@ DAY = dt.datetime(2020, 1, 1, 12)
 
 def card_days(spark, *rows):
     """Card-days: card, day of January, transactions, cities, cents."""
-    schema = "card_id long, tx_day date, tx_count long, city_count long, day_exact decimal(38,6)"
-    data = [(card, dt.date(2020, 1, day), n, c, None if cents is None else Decimal(cents) / 100) for card, day, n, c, cents in rows]
-    return spark.createDataFrame(data, schema)
+    schema = "card_id long, tx_day date, tx_count long, city_count long, amount string"
+    data = [(card, dt.date(2020, 1, day), n, c, None if cents is None else str(Decimal(cents) / 100)) for card, day, n, c, cents in rows]
+    return spark.createDataFrame(data, schema).withColumn("day_exact", money.to_exact(F.col("amount"))).drop("amount")
 
 
 def test_worst_level_follows_severity_not_spelling(spark, make_tx):
@@ -62,7 +62,10 @@ def test_segment_with_only_null_days(spark, make_tx):
     "text, number",
     [("$14.57", 14.57), ("$-77.00", -77.0), ("$1,200.50", 1200.5), ("n/a", None), ("", None),
      (None, None), ("abc", None), (" $3 ", 3.0), ("NaN", None), ("Infinity", None),
-     ("$10000000000000", 1e13), ("$0.125", 0.125), ("$0.025", 0.025), ("$0.005", 0.005)],
+     ("$10000000000000", 1e13), ("$0.125", 0.125), ("$0.025", 0.025), ("$0.005", 0.005),
+     ("$1e32", 1e32), ("$-1e300", -1e300), ("$0.0000004", 4e-7), ("$-0.000001", -1e-6),
+     ("$8388607.999999", 8388607.999999), ("$8388608", 8388608.0), ("$-8388608.01", -8388608.01),
+     ("$999999999999999.5", 999999999999999.5), ("$1e15", 1e15), ("$1.0000001", 1.0000001)],
 )
 def test_money_text(spark, text, number):
     row = spark.createDataFrame([(text,)], "t string").select(
@@ -82,6 +85,64 @@ def test_sums_are_exact_in_any_order(spark, make_tx):
     assert alerts.card_daily_stats(rollups.daily_totals(make_tx(*rows, parts=5))).first()["day_amount"] == 1.0
 
 
+@pytest.mark.parametrize("amounts, total", [
+    (["$6e31", "$6e31"], 1.2e32),
+    (["$1e32", "$-1e32", "$1"], 1.0),
+    (["$1e308", "$1e308"], float("inf")),
+    (["$0.0000004"] * 10, 4e-6),
+    (["$0.000000000001", "$8388608.5", "$0.10"], 8388608.600000000001),
+    (["$9007199254740993"], 9007199254740992.0),
+    (["$8388607.99"] * 300, 2516582397.0),
+    (["$-0.01"] * 7 + ["$0.07"], 0.0),
+])
+def test_sums_never_fail(spark, make_tx, amounts, total):
+    rows = [dict(id=i, card_id=i % 2, date=DAY, amount=a, mcc=1) for i, a in enumerate(amounts)]
+    tx = make_tx(*rows, parts=3)
+    assert profiling.tx_by_month(tx).first()["amount_total"] == total
+    again = rollups.daily_totals(tx).groupBy().agg(money.total(F.col("day_exact")).alias("t")).first()["t"]
+    assert again == total
+    stats = profiling.amount_stats_exact(tx).first()
+    assert stats["mean_amount"] == total / len(amounts) or total == float("inf")
+    assert {r["amount_max"] for r in scoring.card_risk_features(tx).collect()} <= {float(a[1:]) for a in amounts}
+
+
+def test_spread_of_amounts(spark, make_tx):
+    for amounts in (["$1", "$2", "$4"], ["$1000000.01", "$1000000.02", "$1000000.03"], ["$1e16", "$3e16"], ["$0.0000001", "$1"]):
+        tx = make_tx(*[dict(id=i, card_id=i, date=DAY, amount=a) for i, a in enumerate(amounts)])
+        nobody = spark.createDataFrame([], "card_id long")
+        got = {r["segment"]: r["stddev_amount"] for r in segments.segment_comparison(tx, nobody).collect()}
+        values = [Decimal(a[1:]) for a in amounts]
+        mean = sum(values) / len(values)
+        expected = (sum((v - mean) ** 2 for v in values) / (len(values) - 1)).sqrt()
+        assert got["SUSPECT"] is None and abs(got["NORMAL"] - float(expected)) <= 1e-9 * float(expected)
+
+
+def test_scored_segments_are_those_of_written_suspects(spark, make_tx):
+    rows = [dict(id=i, card_id=i % 5 if i % 6 else None, date=dt.datetime(2020, 1, 1 + i % 9), merchant_city=f"c{i % (3 * (i % 5) + 1)}",
+                 amount=f"${i * 7 % 50}.25", errors="Bad PIN" if i % 5 == 4 and i % 3 else None) for i in range(200)]
+    tx, policy = make_tx(*rows), RiskPolicy(high_risk_score=25.0)
+    suspects = scoring.high_risk_cards(scoring.card_scores(tx, policy), policy)
+    assert 0 < suspects.filter("card_id is not null").count() < 5
+    expected = sorted(map(tuple, segments.segment_comparison(tx, suspects).collect()))
+    assert sorted(map(tuple, segments.scored_segments(tx, policy).collect())) == expected
+    levels = {r["card_id"]: (r["risk_score"], r["risk_level"], r["total_transactions"]) for r in scoring.card_levels(tx, policy).collect()}
+    assert levels == {r["card_id"]: (r["risk_score"], r["risk_level"], r["total_transactions"]) for r in scoring.card_scores(tx, policy).collect()}
+
+
+def test_contradicting_labels(spark):
+    given = [(1, True), (1, False), (2, False), (2, False), (3, None), (3, False), (4, None), (4, None), (5, None), (5, True), (None, True)]
+    labels = spark.createDataFrame(given, "transaction_id long, is_fraud boolean").repartition(3)
+    got = dict(map(tuple, evaluation.single_labels(labels).collect()))
+    assert got == {1: True, 2: False, 3: False, 4: None, 5: True}
+
+
+def test_repeated_labels_count_once(spark, make_tx):
+    tx = make_tx(dict(id=1, card_id=1, date=DAY), dict(id=2, card_id=1, date=DAY))
+    labels = spark.createDataFrame([(1, False), (1, True), (1, True), (2, False), (2, False)], "transaction_id long, is_fraud boolean")
+    row = evaluation.fraud_label_eval(tx, labels, scoring.card_levels(tx)).filter("risk_level = 'NORMAL'").first()
+    assert (row["labelled_tx"], row["fraud_tx"], row["true_positive"], row["false_positive"]) == (2, 1, 1, 1)
+
+
 def test_day_criteria_are_strict(spark):
     at_bound = card_days(spark, (1, 1, 10, 3, 100_000))
     above = card_days(spark, (1, 1, 11, 3, 0), (2, 1, 1, 4, 0), (3, 1, 1, 1, 100_001))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cardwarden.plans import export, features, quality
 from cardwarden.policy import RiskPolicy
 from cardwarden.schemas import FRAUD_LABELS, TRANSACTIONS
-from cardwarden.sources import files, shared, staging
+from cardwarden.sources import files, publishing, shared, staging
 
 TRANSACTIONS_CSV = """id,date,client_id,card_id,amount,use_chip,merchant_id,merchant_city,merchant_state,zip,mcc,errors
 1,2010-01-01 00:01:00,10,100,$14.57,Swipe Transaction,7,Bulls Gap,TN,37711,5411,
@@ -194,6 +194,48 @@ def test_a_failing_sink_does_not_stop_the_others(spark, tables, tmp_path):
     assert status["parquet", "all"].rows == 4 and status["csv", "enriched_sample"].rows == 4
 
 
+def test_a_failing_sink_leaves_the_earlier_result(spark, tables, tmp_path):
+    enriched, folder = features.enriched_transactions(tables.tx, tables.codes), str(tmp_path / "out")
+    export.export_all(results_of(tables), enriched, folder, partition_by="tx_month")
+    broken = {"all": tables.tx.select(F.raise_error(F.lit("no such thing")).alias("id"))}
+    with pytest.raises(export.ExportError) as raised:
+        export.export_all(broken, enriched, folder, partition_by="tx_month")
+    rows = {(r["file_format"], r["sink"]): r for r in export.statuses_frame(spark, raised.value.statuses).collect()}
+    assert "no such thing" in rows["parquet", "all"]["error"] and rows["parquet", "all"]["rows"] is None
+    assert rows["csv", "enriched_sample"]["error"] is None and rows["csv", "enriched_sample"]["rows"] == 4
+    assert sorted(export.read_results(spark, folder, ["all"])["all"].columns) == ["amount_num", "card_id", "id"]
+    assert export.read_results(spark, folder, ["all"])["all"].count() == 4
+    assert spark.read.option("header", True).csv(f"{folder}/csv/all").count() == 4
+    assert sorted(p.name for p in (tmp_path / "out" / "parquet").iterdir()) == ["all", "enriched_transactions"]
+
+
+def test_a_run_that_ended_while_publishing_is_mended(spark, tmp_path):
+    path = tmp_path / "t"
+    export.write_parquet(spark.range(3), str(path))
+    path.rename(tmp_path / ".t.earlier-0")
+    with pytest.raises(RuntimeError):
+        publishing.published(spark, str(path), lambda _: (_ for _ in ()).throw(RuntimeError()))
+    assert spark.read.parquet(str(path)).count() == 3
+    export.write_parquet(spark.range(5), str(path))
+    assert spark.read.parquet(str(path)).count() == 5 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_months_are_read_and_replaced_alone(spark, tmp_path):
+    path = str(tmp_path / "by_month")
+    rows = spark.range(120).select("id", (F.col("id") % 12 + 1).cast("int").alias("tx_month"))
+    export.replace_partitions(rows, path, "tx_month")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "by_month").glob("tx_month=*/part-*")}
+    saved = spark.read.parquet(path)
+    export.replace_partitions(saved.filter("tx_month = 3").filter("id < 50"), path, "tx_month")
+    now = {p: p.stat().st_mtime_ns for p in (tmp_path / "by_month").glob("tx_month=*/part-*")}
+    assert {p.parent.name for p, _ in set(before.items()) ^ set(now.items())} == {"tx_month=3"}
+    counts = dict(map(tuple, spark.read.parquet(path).groupBy("tx_month").count().collect()))
+    assert counts == {m: 4 if m == 3 else 10 for m in range(1, 13)}
+    one = spark.read.parquet(path).filter("tx_month = 3")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(tx_month" in plan and one.count() == 4
+
+
 def test_csv_results_keep_their_partitions_unless_named(spark, tables, tmp_path):
     results = {"large": tables.tx.select("id").repartition(2, "id"), "small": spark.range(3, numPartitions=2)}
     enriched = features.enriched_transactions(tables.tx, tables.codes)

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwarden.operators.dimensions import mcc_dimension, with_category
-from cardwarden.operators.quantile import exact_quantile, value_counts
+from cardwarden.operators.quantile import BINS, exact_quantile, value_counts
 from cardwarden.operators.ranking import first_rows, top_k
-from cardwarden.operators.sequence import with_previous
+from cardwarden.operators.sequence import GROUP, with_groups, with_previous
 from cardwarden.plans import sequences
 from cardwarden.functions.ratios import with_share
 
@@ -66,6 +66,26 @@ def test_previous_row_of_one_hot_second(spark, distinct_moments):
     assert got == expected_previous(rows)
 
 
+@pytest.mark.parametrize("shape", ["one moment", "two moments", "a burst", "far ids"])
+def test_no_group_is_larger_than_a_hot_key_may_be(spark, shape):
+    """4 000 rows of one card, all at once, at two moments among others, within a second, or with ids far apart."""
+    start, n, hot_rows = dt.datetime(2020, 1, 1, 5), 4000, 100
+    rows = []
+    for i in range(n):
+        at = start
+        if shape == "two moments":
+            at += dt.timedelta(minutes=[7, 7, 7, 30, i % 50][i % 5])
+        elif shape == "a burst":
+            at += dt.timedelta(microseconds=i * 37 % 900_000 if i % 10 else 3_000_000_000)
+        rows.append((i if shape != "far ids" or i % 2 else i - 10**15, 1, at, "a"))
+    random.Random(1).shuffle(rows)
+    frame = spark.createDataFrame(rows, "id long, k long, at timestamp_ntz, place string").repartition(5)
+    sizes = with_groups(frame, "k", "at", "id", hot_rows).groupBy("k", *GROUP).count()
+    assert sizes.agg(F.max("count")).first()[0] <= hot_rows
+    got = {r["id"]: r["previous"] and (r["previous"]["id"], r["previous"]["place"]) for r in with_previous(frame, "k", "at", "id", ["id", "place"], hot_rows).collect()}
+    assert got == expected_previous(rows)
+
+
 def test_velocity_is_the_same_with_and_without_hot_keys(spark, sf_dir):
     from cardwarden.fixtures import Inputs
 
@@ -134,7 +154,35 @@ def test_exact_quantile_of_a_wide_range(spark):
     values = [Decimal(i) / 100 for i in range(400)] + [Decimal(10) ** 25]
     frame = spark.createDataFrame([(v,) for v in values], "v decimal(38,6)").repartition(4)
     got = spark.range(1).select(exact_quantile(value_counts(frame, "v"), 0.5)).first()[0]
-    assert got == values[200]
+    assert got == float(values[200])
+
+
+@pytest.mark.parametrize("values", [
+    [1.7e308, -1.7e308, 5e-324, 0.0, 1.0],
+    [1e200 * (1 + i * 2.0**-52) for i in range(300)] + [-1e300] * 3,
+    [100 + i * 1e-9 for i in range(999)],
+    [-0.0001 * i for i in range(500)] + [1e18],
+    [7.0],
+])
+def test_exact_quantile_of_any_doubles(spark, values):
+    """Also for values that differ in their last digits only, and with few bins for each step."""
+    frame = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    for q in (0.0, 0.3, 0.5, 1.0):
+        rank = max(1, -(-len(values) * q // 1))
+        for bins in (1 << 18, 4096):
+            assert spark.range(1).select(exact_quantile(value_counts(frame, "v"), q, bins)).first()[0] == sorted(values)[int(rank) - 1]
+    assert spark.range(1).select(exact_quantile(value_counts(frame.limit(0), "v"), 0.5)).first()[0] is None
+
+
+def test_no_running_sum_sees_many_values(spark):
+    """One outlier doesn't put the other values into one bin."""
+    counts = value_counts(spark.range(300_000).select((F.col("id") / 100).alias("v")).unionByName(spark.createDataFrame([(1e25,)], "v double")), "v")
+    result = spark.range(1).select(exact_quantile(counts, 0.5))
+    assert result.first()[0] == 1500.0
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") <= 4 * 2
+    magnitude = F.floor(F.log1p(F.col("v") * 1e12) * (BINS / 2048))
+    assert counts.groupBy(magnitude).count().agg(F.max("count")).first()[0] < 1 << 12
 
 
 def test_first_rows_keeps_rows_without_a_key(spark):

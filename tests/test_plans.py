@@ -1,6 +1,7 @@
 """Shape of the physical plans, and whole results under a key with a third of all rows."""
 
 import re
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,7 +122,7 @@ def test_features_of_skewed_cards(skewed, by_hand, hot_rows):
         assert mine["city_count"] == len({r["merchant_city"] for r in rows} - {None})
         assert mine["active_days"] == len({r["tx_day"] for r in rows})
         assert mine["mcc_count"] == len({r["mcc"] for r in rows})
-        assert mine["amount_total"] == float(sum(r["amount_exact"] for r in rows))
+        assert mine["amount_total"] == float(sum(Decimal(r["amount"][1:]) for r in rows))
         assert mine["error_count"] == sum(r["has_error"] for r in rows)
 
 
@@ -133,6 +134,88 @@ def test_no_second_pass_without_hot_cards(staged):
     assert "collect_set" in final and "Expand" not in final and "Union" not in final
 
 
+def _jobs_started(spark, build) -> int:
+    """Jobs that Spark started while something was built."""
+    tracker, group = spark.sparkContext.statusTracker(), f"planning-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "planning")
+    try:
+        build()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+#: Queries that write a table and read it back.
+SINKS = FILE_QUERIES | {"export_with_a_broken_sink", "partitioned_write", "lineitem_partitioned_write", "lineitem_one_month_again",
+                        "csv_transactions_scan", "csv_cards_scan", "csv_users_scan", "mcc_json_scan",
+                        "fraud_labels_scan", "fraud_labels_document_scan"}
+
+
+def test_no_job_runs_while_a_query_is_planned(spark, sf_dir):
+    for name in sorted(set(all_queries()) - SINKS):
+        assert _jobs_started(spark, lambda: all_queries()[name](spark, sf_dir)) == 0, name
+    assert _jobs_started(spark, lambda: all_queries()["partitioned_write"](spark, sf_dir)) > 0
+
+
+def _transaction_scans(frame) -> int:
+    """Scans of the staged transactions that were executed, without those of a reused exchange or subquery."""
+    frame.collect()
+    final = plan_of(frame).split("== Initial Plan ==")[0]
+    return len(re.findall(r"FileScan parquet .*?raw", final))
+
+
+def test_segments_are_one_pass(staged):
+    frame = segments.scored_segments(staged, FIXTURE_POLICY)
+    assert _transaction_scans(frame) == 1
+    assert "Expand" not in plan_of(frame)
+
+
+def test_summary_reads_transactions_twice(spark, sf_dir, staged):
+    from cardwarden.plans import summary
+
+    d = Inputs(spark, sf_dir)
+    frame = summary.summary(staged, d.users, d.cards, scoring.card_levels(staged))
+    assert _transaction_scans(frame) == 2
+
+
+@pytest.mark.parametrize("anti", [False, True])
+def test_a_heavy_suspect_card_is_split(spark, skewed, by_hand, anti):
+    """Without broadcast, the join to planned suspects shuffles, and adaptive execution splits card 1."""
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        policy = RiskPolicy(high_risk_score=25.0)
+        suspects = scoring.high_risk_cards(scoring.card_levels(skewed, policy), policy)
+        known = {r["card_id"] for r in suspects.collect()}
+        chosen = (segments.normal_transactions if anti else segments.suspect_transactions)(skewed, suspects)
+        got = {r["id"] for r in chosen.collect()}
+        plan = plan_of(chosen).split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert 1 in known and "skew=true" in plan
+    inside = lambda r: r["card_id"] is not None and r["card_id"] in known
+    assert got == {r["id"] for r in by_hand if inside(r) != anti}
+
+
+def test_sketches_of_card_days_give_quantiles(skewed, by_hand):
+    sketches = rollups.amount_sketches(skewed)
+    quantiles = (0.1, 0.5, 0.9)
+    everything = profiling.amount_quantiles(sketches, quantiles)
+    assert all(r["within"] for r in profiling.quantile_ranks(skewed, everything, rollups.RANK_ERROR).collect())
+    far = everything.withColumn("estimate", F.col("estimate") * 1.2)
+    assert not any(r["within"] for r in profiling.quantile_ranks(skewed, far, rollups.RANK_ERROR).filter("quantile > 0.2").collect())
+    cards = {(r["card_id"], r["quantile"]): r["estimate"] for r in profiling.amount_quantiles(sketches, quantiles, "card_id").collect()}
+    for card in (7, 12):
+        amounts = sorted(r["amount_num"] for r in by_hand if r["card_id"] == card)
+        assert min(amounts) <= cards[card, 0.5] <= max(amounts)
+        below = sum(a < cards[card, 0.5] for a in amounts) / len(amounts)
+        assert below <= 0.5 + 1 / len(amounts)
+
+
 def test_previous_row_without_hot_cards_is_one_window(staged):
     frame = sequences.velocity(staged)
     frame.collect()
@@ -149,7 +232,7 @@ def test_alerts_of_skewed_cards(skewed, by_hand):
         met = (
             (len(rows) > 10)
             + (len({r["merchant_city"] for r in rows} - {None}) > 3)
-            + (sum(r["amount_exact"] for r in rows) > 1000)
+            + (sum(Decimal(r["amount"][1:]) for r in rows) > 1000)
         )
         if met:
             expected[key] = met
@@ -179,7 +262,7 @@ def test_segments_with_and_without_broadcast(spark, skewed, by_hand, threshold):
     ):
         assert got[name]["tx_count"] == len(rows)
         assert got[name]["city_count"] == len({r["merchant_city"] for r in rows} - {None})
-        mean = float(sum(r["amount_exact"] for r in rows)) / len(rows)
+        mean = float(sum(Decimal(r["amount"][1:]) for r in rows)) / len(rows)
         assert got[name]["mean_amount"] == mean
         spread = (sum((r["amount_num"] - mean) ** 2 for r in rows) / (len(rows) - 1)) ** 0.5
         assert abs(got[name]["stddev_amount"] - spread) < 1e-6
