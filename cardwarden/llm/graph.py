@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.storage import stored
+from cardwarden.llm.storage import drop, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -27,7 +27,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = stored(large, "large-stars")
         parent = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(parent, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = stored(small.unionByName(parent.select("u", F.col("m").alias("v"))).distinct(), "small-stars")
+        before, stars = stars, stored(small.unionByName(parent.select("u", F.col("m").alias("v"))).distinct(), "small-stars")
+        drop(before, large)
         now = _mark(stars)
         if now == seen:
             roots = stars.select("v").distinct()

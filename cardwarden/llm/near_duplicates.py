@@ -10,8 +10,12 @@ Pairs inside a group are never written out. Each node is first compared with the
 of its buckets. Likely pairs make clusters, which nodes of one bucket that are in different
 clusters may still join: their signatures are compared in tiles, and a tile returns pairs that
 span what it has found, fewer than nodes. Then the most promising pair of each node is verified
-on the texts, and within a cluster only nodes of different components are compared further, in
-tiles that hold the texts and return verified links that span theirs.
+on the texts. Within a cluster only nodes of different components are compared further: tiles of signatures tell which
+nodes of two tiles are in a likely pair, and only those send their texts, to tiles that return
+verified links that span theirs.
+
+Only the texts of clustered nodes are shuffled: a bitmap of row keys, of bounded size, goes to
+the tasks that read the documents, and the few rows that it lets through wrongly go afterwards.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 
 from cardwarden.llm.graph import components
 from cardwarden.llm.naming import unused
-from cardwarden.llm.storage import stored
+from cardwarden.llm.storage import drop, stored
 from cardwarden.llm.words import SOLID, Words, filled, mix, shingle_hashes, slices
 
 SHINGLE = 5
@@ -38,9 +42,13 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 #: Hashes compared at a time, and the probability at which a pair is given up.
 BATCH, MISS = 32, 1e-7
-#: Nodes of a tile, and pairs that one copy of a node's text is compared in.
-TILE, FAN = 256, 256
+#: Nodes of a tile, text bytes of a tile that is compared by its texts, and nodes that are compared with a tile at a time.
+TILE, TILE_BYTES, BLOCK = 4096, 8 << 20, 128
+#: Pairs that one copy of a node's text is compared in.
+FAN = 256
 SLICE_BYTES = 1 << 20
+#: Bits of the bitmap of rows whose texts are read; 4 MB.
+MAP_BITS = 25
 
 #: What ``mapInArrow`` runs on the batches of a partition.
 Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -94,8 +102,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(shingles))
             nodes.append(_node(shingles))
             signatures.append(signature(shingles).tobytes() if len(shingles) else None)
-        made = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(signatures, pa.binary())]
-        yield pa.record_batch([batch.column("doc_id"), batch.column("key1"), batch.column("key2"), *made], names=["doc_id", "key1", "key2", "n_shingles", "node", "signature"])
+        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).cast(pa.int64())
+        made = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(signatures, pa.binary()), lengths]
+        yield pa.record_batch([batch.column("doc_id"), batch.column("key1"), batch.column("key2"), *made], names=["doc_id", "key1", "key2", "n_shingles", "node", "signature", "size"])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -174,25 +183,49 @@ class _Forest:
         self.parent[self.find(y)] = self.find(x)
 
 
-def _similar_pairs(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For rows of two tiles: the root of each, and the pairs of different roots whose signatures agree often enough, the best first."""
-    rows = _matrix(pa.concat_arrays(table["signature"].chunks))
-    _, root = np.unique(np.array(table["root"].to_pylist(), object), return_inverse=True)
-    sides = table["tile"].to_numpy()
-    first, second = table["first"][0].as_py(), table["second"][0].as_py()
-    i, j = np.flatnonzero(sides == first), np.flatnonzero(sides == second)
-    open_pairs = root[i][:, None] != root[j][None, :]
-    if first == second:
-        open_pairs &= np.arange(len(i))[:, None] < np.arange(len(j))[None, :]
-    x, y = np.nonzero(open_pairs)
-    x, y, matches = i[x], j[y], np.zeros(len(x), np.int64)
-    for k, need in enumerate(least_matches(percent)):
-        span = slice(k * BATCH, (k + 1) * BATCH)
-        matches = matches + (rows[x, span] == rows[y, span]).sum(axis=1)
-        keep = matches >= need
-        x, y, matches = x[keep], y[keep], matches[keep]
-    order = np.argsort(-matches, kind="stable")
-    return root, x[order], y[order]
+class _Tiles:
+    """The rows of two tiles (or of one), and the likely pairs of different roots among them."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        self.table, self.needed = table, least_matches(percent)
+        self.rows = _matrix(pa.concat_arrays(table["signature"].chunks))
+        _, self.root = np.unique(np.array(table["root"].to_pylist(), object), return_inverse=True)
+        sides, (first, second) = table["tile"].to_numpy(), (table[c][0].as_py() for c in ("first", "second"))
+        self.x, self.y, self.one = np.flatnonzero(sides == first), np.flatnonzero(sides == second), first == second
+        self.forest = _Forest(np.unique(self.root))
+        self.trees: np.ndarray | None = None  # of the roots, until the next join
+
+    def likely(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs that agree often enough and that no join has put into one tree yet, a block at a time, the best of a block first."""
+        for a in range(0, len(self.x), BLOCK):
+            if self.trees is None:
+                self.trees = np.array([self.forest.find(r) for r in range(len(self.forest.parent))])[self.root]
+            trees = self.trees
+            own = self.x[a : a + BLOCK]
+            open_pairs = trees[own][:, None] != trees[self.y][None, :]
+            if self.one:
+                open_pairs &= own[:, None] < self.y[None, :]
+            i, j = np.nonzero(open_pairs)
+            i, j, matches = own[i], self.y[j], np.zeros(len(i), np.int64)
+            for k, need in enumerate(self.needed):
+                span = slice(k * BATCH, (k + 1) * BATCH)
+                matches = matches + np.concatenate([(self.rows[i[c : c + 65536], span] == self.rows[j[c : c + 65536], span]).sum(axis=1) for c in range(0, len(i), 65536)] or [np.zeros(0, np.int64)])
+                keep = matches >= need
+                i, j, matches = i[keep], j[keep], matches[keep]
+            order = np.argsort(-matches, kind="stable")
+            yield i[order], j[order]
+
+    def join(self, test: Callable[[int, int], bool] | None = None) -> pa.RecordBatch:
+        """Likely pairs that pass the test and join what those before left apart; others are not tested."""
+        found = []
+        for x, y in self.likely():
+            for i, j in zip(x.tolist(), y.tolist(), strict=True):
+                a, b = self.forest.find(int(self.root[i])), self.forest.find(int(self.root[j]))
+                if a != b and (test is None or test(i, j)):
+                    self.forest.join(a, b)
+                    self.trees = None
+                    found.append((i, j))
+        return _node_pairs(self.table, found)
 
 
 def _spanning_likely(percent: int) -> Task:
@@ -200,37 +233,38 @@ def _spanning_likely(percent: int) -> Task:
 
     def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, ["key", "first", "second"]):
-            root, x, y = _similar_pairs(table, percent)
-            yield _node_pairs(table, _joined(root, zip(x.tolist(), y.tolist(), strict=True)))
+            yield _Tiles(table, percent).join()
 
     return spanning
 
 
+def _in_likely_pairs(percent: int) -> Task:
+    """The nodes of each pair of tiles that are in a likely pair of different roots there."""
+
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, ["key", "first", "second"]):
+            used = np.zeros(len(table), bool)
+            for x, y in _Tiles(table, percent).likely():
+                used[x] = used[y] = True
+            for batch in table.take(pa.array(np.flatnonzero(used))).to_batches():
+                yield batch
+
+    return nodes
+
+
 def _spanning_links(percent: int) -> Task:
     """Verified links that join the roots of each pair of tiles as all links do."""
 
     def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, ["key", "first", "second"]):
-            root, x, y = _similar_pairs(table, percent)
-            used = np.unique(np.concatenate([x, y]))
-            sets: dict[int, np.ndarray] = {}
-            for rows in np.array_split(used, -(-len(used) // 64) or 1):
-                sets.update(zip(rows.tolist(), _shingle_sets(filled(pa.concat_arrays(table["text"].take(pa.array(rows)).chunks))), strict=True) if len(rows) else ())
-            yield _node_pairs(table, _joined(root, zip(x.tolist(), y.tolist(), strict=True), lambda i, j, sets=sets: _linked(sets[i], sets[j], percent)))
+            sets: list[np.ndarray] = []
+            for rows in range(0, len(table), 64):
+                sets += _shingle_sets(filled(pa.concat_arrays(table["text"].slice(rows, 64).chunks)))
+            yield _Tiles(table, percent).join(lambda i, j, sets=sets: _linked(sets[i], sets[j], percent))
 
     return spanning
 
 
-def _joined(root: np.ndarray, pairs, test=None) -> list[tuple[int, int]]:
-    """Pairs that pass the test and join what those before left apart; others are not tested."""
-    forest, found = _Forest(np.unique(root)), []
-    for i, j in pairs:
-        if forest.find(int(root[i])) != forest.find(int(root[j])) and (test is None or test(i, j)):
-            forest.join(int(root[i]), int(root[j]))
-            found.append((i, j))
-    return found
-
-
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets are similar enough."""
     at = np.searchsorted(x, y)
@@ -243,20 +277,6 @@ def _node_pairs(table: pa.Table, found: list[tuple[int, int]]) -> pa.RecordBatch
     return pa.record_batch([nodes.take(pa.array([p[k] for p in found], pa.int64())) for k in (0, 1)], names=["a", "b"])
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each node's text, once in a task."""
-    seen: set[bytes] = set()
-    for batch in slices(batches, "text", SLICE_BYTES):
-        nodes = [_node(s) for s in _shingle_sets(filled(batch.column("text")))]
-        new = []
-        for i, node in enumerate(nodes):
-            if node is not None and node not in seen:
-                seen.add(node)
-                new.append(i)
-        at = pa.array(new, pa.int64())
-        yield pa.record_batch([pa.array(nodes, pa.binary()).take(at), batch.column("text").take(at)], names=["node", "text"])
-
-
 def _verify(percent: int) -> Task:
     """Links among pairs (a, b), for rows sorted so that the text of a, with no b, stands before those of its partners."""
 
@@ -296,16 +316,22 @@ def _with_roots(nodes: DataFrame, roots: DataFrame, name: str = "root") -> DataF
 
 
 def _tiled(rows: DataFrame) -> DataFrame:
-    """Rows (key, node, root) for each pair of tiles that they are compared in: (key, first, second, tile, node, root).
+    """Rows (key, node, root, size) for each pair of tiles that they are compared in: (key, first, second, tile, node, root).
 
     Keys whose rows have one root go. The root with the most rows of a key has tiles of its own,
-    which are not compared among themselves; up to ``TILE`` rows are one tile.
+    which are not compared among themselves; what fits into one tile by rows and by the sum of ``size`` is one.
     """
-    sizes = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
-    keys = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("big"), F.max("n").alias("most"), F.sum("n").alias("n")).where("n > most")
-    big_tiles = F.when(F.col("n") <= TILE, 0).otherwise(F.ceil(F.col("most") / TILE)).cast("int")
-    tiles = F.ceil((F.col("n") - F.when(F.col("n") <= TILE, 0).otherwise(F.col("most"))) / TILE).cast("int")
-    keys = stored(keys.select("key", "big", big_tiles.alias("big_tiles"), tiles.alias("tiles")), "tiles")
+
+    def parts(count: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(count / TILE), F.ceil(size / TILE_BYTES), F.lit(1))
+
+    sizes = rows.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    most = F.max(F.struct("n", "root", "s")).alias("most")
+    keys = sizes.groupBy("key").agg(most, F.sum("n").alias("n"), F.sum("s").alias("s")).where("n > most.n")
+    small = parts(F.col("n"), F.col("s")) == 1
+    big_tiles = F.when(small, 0).otherwise(parts(F.col("most.n"), F.col("most.s"))).cast("int")
+    tiles = F.when(small, 1).otherwise(parts(F.col("n") - F.col("most.n"), F.col("s") - F.col("most.s"))).cast("int")
+    keys = stored(keys.select("key", F.col("most.root").alias("big"), big_tiles.alias("big_tiles"), tiles.alias("tiles")), "tiles")
     found = rows.join(keys, "key")
     in_big = (F.col("root") == F.col("big")) & (F.col("big_tiles") > 0)
     number = F.xxhash64("node")
@@ -315,34 +341,79 @@ def _tiled(rows: DataFrame) -> DataFrame:
     return found.select("key", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "tile", "node", "root")
 
 
-def _links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Verified links between nodes (node, signature) that give their components."""
+def _key_bitmap(keys: DataFrame) -> np.ndarray:
+    """Bitmap of the leading bits of a column ``key1``; its size is fixed, whatever the number of keys."""
+    spot = F.shiftrightunsigned("key1", 64 - MAP_BITS)
+    word, bit = F.shiftright(spot, 5).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (spot % 32).cast("int"))
+    found = keys.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(1 << (MAP_BITS - 5), np.uint32)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
+    return words
+
+
+def _rows_in(bitmap) -> Task:
+    """The rows whose key's bit is set."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = bitmap.value
+        for batch in batches:
+            spot = batch.column("key1").to_numpy().view(np.uint64) >> np.uint64(64 - MAP_BITS)
+            inside = words[(spot >> np.uint64(5)).astype(np.int64)] >> (spot & np.uint64(31)).astype(np.uint32) & np.uint32(1)
+            yield batch.take(pa.array(np.flatnonzero(inside)))
+
+    return rows
+
+
+def _clustered_texts(docs: DataFrame, signed: DataFrame, clusters: DataFrame) -> DataFrame:
+    """One text (node, text) of each node of a cluster. A text is shuffled if the bitmap lets its row through."""
+    chosen = signed.where("node is not null").join(clusters.select("node"), "node", "left_semi")
+    chosen = chosen.groupBy("node").agg(F.min(F.struct("key1", "key2")).alias("key")).select("node", "key.key1", "key.key2")
+    chosen = stored(chosen, "clustered-rows")
+    bitmap = docs.sparkSession.sparkContext.broadcast(_key_bitmap(chosen))
+    rows = docs.select(*_row_keys(), "text").mapInArrow(_rows_in(bitmap), "key1 bigint, key2 bigint, text string")
+    texts = stored(rows.join(chosen, ["key1", "key2"]).dropDuplicates(["key1", "key2"]).select("node", "text"), "texts")
+    drop(chosen)
+    return texts
+
+
+def _links(docs: DataFrame, signed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Verified links between nodes (node, signature, size) that give their components."""
     bands = nodes.select("node", "signature").mapInArrow(_bands, "key bigint, node binary")
     shared = bands.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1")
-    members = stored(bands.join(stored(shared, "buckets"), "key"), "members")
+    buckets = stored(shared, "buckets")
+    members = stored(bands.join(buckets, "key"), "members")
+    drop(buckets)
     candidates = members.select("node").distinct()
-    signatures = stored(nodes.join(candidates, "node", "left_semi").select("node", "signature"), "candidate-signatures")
+    signatures = stored(nodes.join(candidates, "node", "left_semi").select("node", "signature", "size"), "candidate-signatures")
+    whole = signatures.select("node", "signature")
 
     star = members.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     x = signatures.select(F.col("node").alias("a"), F.col("signature").alias("x"))
     y = signatures.select(F.col("node").alias("b"), F.col("signature").alias("y"))
     likely = stored(star.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_compare(percent), "a binary, b binary, matches bigint"), "likely")
     keys = ["key", "first", "second"]
-    near = _with_roots(members.where("n > 2").select("key", "node"), stored(components(likely), "near"))
-    crossing = _tiled(near).join(signatures, "node").repartition(*keys).sortWithinPartitions(*keys)
-    more = crossing.select(*keys, "tile", "node", "root", "signature").mapInArrow(_spanning_likely(percent), "a binary, b binary")
+    rows = [*keys, "tile", "node", "root", "signature"]
+    near_roots = stored(components(likely), "near")
+    near = _with_roots(members.where("n > 2").select("key", "node", F.lit(0).alias("size")), near_roots)
+    crossing = _tiled(near).join(whole, "node").repartition(*keys).sortWithinPartitions(*keys)
+    more = crossing.select(*rows).mapInArrow(_spanning_likely(percent), "a binary, b binary")
     spanning = stored(likely.select("a", "b").unionByName(more), "spanning")
+    drop(members, near_roots)
     clusters = stored(components(spanning), "clusters")
+    drop(spanning)
 
-    wanted = clusters.select("node")
-    texts = docs.select("text").mapInArrow(_texts, "node binary, text string").join(wanted, "node", "left_semi")
-    texts = stored(texts.dropDuplicates(["node"]), "texts")
+    texts = _clustered_texts(docs, signed, clusters)
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("matches", "a")).alias("a")).select("a", "b")
     links = _verified(best, texts, percent)
-    rooted = _with_roots(clusters.select("node", F.col("root").alias("key")), stored(components(links), "first-roots"))
-    inside = _tiled(rooted).join(signatures, "node").join(texts, "node").repartition(*keys).sortWithinPartitions(*keys)
-    rest = inside.select(*keys, "tile", "node", "root", "signature", "text").mapInArrow(_spanning_links(percent), "a binary, b binary")
-    return links.unionByName(stored(rest, "rest"))
+    first_roots = stored(components(links), "first-roots")
+    sized = clusters.select("node", F.col("root").alias("key")).join(signatures.select("node", "size"), "node")
+    tiled = _tiled(_with_roots(sized, first_roots)).join(whole, "node").repartition(*keys).sortWithinPartitions(*keys)
+    kinds = "key binary, first int, second int, tile int, node binary, root binary, signature binary"
+    wanted = stored(tiled.select(*rows).mapInArrow(_in_likely_pairs(percent), kinds), "likely-nodes")
+    inside = wanted.join(texts, "node").repartition(*keys).sortWithinPartitions(*keys)
+    rest = stored(inside.select(*rows, "text").mapInArrow(_spanning_links(percent), "a binary, b binary"), "rest")
+    drop(wanted, texts, likely, signatures, clusters, first_roots)
+    return links.unionByName(rest)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -360,10 +431,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     keyed = docs.select("doc_id", *_row_keys(), "text")
     kind = dict(docs.dtypes)["doc_id"]
-    signed = stored(keyed.mapInArrow(_sign, f"doc_id {kind}, key1 bigint, key2 bigint, n_shingles bigint, node binary, signature binary"), "signed")
-    nodes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("signature").alias("signature"))
+    signed = stored(keyed.mapInArrow(_sign, f"doc_id {kind}, key1 bigint, key2 bigint, n_shingles bigint, node binary, signature binary, size bigint"), "signed")
+    nodes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("signature").alias("signature"), F.max("size").alias("size"))
     nodes = stored(nodes, "nodes")
-    roots = components(_links(docs, nodes, percent))
+    roots = components(_links(docs, signed, nodes, percent))
     rooted = _with_roots(nodes.select("node", "least_id"), roots)
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = rooted.join(ids, "root").select(F.col("node").alias("_node"), "root", "component_id")

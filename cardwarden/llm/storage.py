@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from cardwarden.sources.shared import shared_folder
+
 
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder named by ``spark.checkpoint.dir``.
 
-    Where that is unset, as in tests, it lies in Spark's warehouse folder, which a cluster
-    shares as well. The caller may delete what is there once the results have been written.
+    Where that is unset in a local session, as in tests, it lies in Spark's warehouse folder; on
+    a cluster a missing setting is an error. The caller may delete what is there once the
+    results have been written.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/cardwarden/{label}-{uuid.uuid4().hex}"
+    return shared_folder(spark, label)
 
 
 def stored(rows: DataFrame, label: str) -> DataFrame:
@@ -25,4 +25,13 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     """
     path = work_folder(rows.sparkSession, label)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table.work_path = path
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables of ``stored`` whose last reader has been written."""
+    for table in tables:
+        place = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.work_path)
+        place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
