@@ -27,7 +27,7 @@ from cardwarden.llm.segments import Ids, SegmentIds, State, encode_together, fla
 from cardwarden.llm.storage import stored
 from cardwarden.llm.words import filled, slices
 
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 19
 #: Pairs of ids that are sent to every task at most, 16 bytes each.
 COMMON_PAIRS = 1 << 19
 #: Links of a group from which on its distinct ids are paired instead of its tokens.

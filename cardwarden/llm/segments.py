@@ -8,7 +8,7 @@ seen, up to a bound; results don't depend on what it holds.
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from cardwarden.llm.storage import stored
 
-#: Segments and their bytes that are kept at most, beside those of the texts at hand.
-MOST_SEGMENTS, MOST_BYTES = 1 << 19, 1 << 25
+#: Segments and their bytes that are kept at most, beside those known beforehand and those of the texts at hand.
+MOST_SEGMENTS, MOST_BYTES = 1 << 17, 1 << 23
 #: New segments that are encoded as one text.
 TOGETHER = 4096
 
@@ -76,19 +76,22 @@ class SegmentIds:
     """
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[list[bytes], list[Ids]]], tokenizers: int = 1):
-        self.encode, self.tokenizers = encode, tokenizers
-        self._clear()
-
-    def _clear(self) -> None:
+        self.encode, self.base, self.bytes = encode, 0, 0
         self.number: dict[bytes, int] = {}
+        self.ids = [np.zeros(0, np.int32)] * tokenizers
+        self.at = [np.zeros(1, np.int64)] * tokenizers
+
+    def _forget(self) -> None:
+        """Keeps what was known beforehand."""
+        self.number = dict(islice(self.number.items(), self.base))
+        self.ids = [ids[: at[self.base]] for ids, at in zip(self.ids, self.at, strict=True)]
+        self.at = [at[: self.base + 1] for at in self.at]
         self.bytes = 0
-        self.ids = [np.zeros(0, np.int32)] * self.tokenizers
-        self.at = [np.zeros(1, np.int64)] * self.tokenizers
 
     def numbers(self, segments: list[bytes]) -> np.ndarray:
         """A number for each segment; it holds until the next call."""
-        if len(self.number) > MOST_SEGMENTS or self.bytes > MOST_BYTES:
-            self._clear()
+        if len(self.number) > self.base + MOST_SEGMENTS or self.bytes > MOST_BYTES:
+            self._forget()
         new = list(set(segments) - self.number.keys())
         if new:
             new, found = self.encode(new)
@@ -108,11 +111,11 @@ class SegmentIds:
         return b"".join(self.number), sizes, [(ids, np.diff(at)) for ids, at in zip(self.ids, self.at, strict=True)]
 
     def learn(self, state: State) -> None:
-        """Begins with what another has seen."""
+        """Begins with what another has seen, and keeps it. Nothing may have been seen before."""
         joined, sizes, found = state
         ends = np.cumsum(sizes).tolist()
-        self._clear()
         self._add([joined[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], found)
+        self.base, self.bytes = len(self.number), 0
 
     def of(self, numbers: np.ndarray, k: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the numbered segments one after the other by the k-th tokenizer, and how many each has."""
