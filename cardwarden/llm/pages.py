@@ -50,7 +50,7 @@ ENDED_BY = {
 #: Elements that keep the ends of the elements around them from reaching inside.
 SCOPES = frozenset("table td th ul ol dl article section div main body".split())
 
-#: Words of class names, ids and roles that mark what isn't the article.
+#: Words of class names, ids and roles that mark what isn't the article. A name counts if all its words do or are neutral.
 FOREIGN_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adslot adsense sponsor sponsored sponsors promo promos promotion promoted outbrain taboola "
     "sidebar sidebars sidenav rail aside menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar topbar "
@@ -58,6 +58,17 @@ FOREIGN_WORDS = frozenset(
     "announcement disclaimer newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "comment comments commentlist respond replies reply disqus discussion widget widgets contentinfo complementary search dialog".split()
 )
+#: Words that may stand beside those, as in left-sidebar or related-posts; with others, as in social-science, a name says nothing.
+NEUTRAL_WORDS = frozenset(
+    "left right top bottom upper lower first second third primary secondary tertiary main site page global local sub mini sticky fixed floating inline "
+    "container wrapper wrap box block blocks unit units slot zone area areas section sections bar panel pane col column row grid inner outer body content "
+    "contents list lists item items link links button buttons btn icon icons post posts article articles story stories entry entries reader readers user "
+    "text title form field input thread card cards group footer header js wp ui the and of for by in on to us your you also more read like".split()
+)
+#: Names that begin with one of these describe the layout of an element that is something else.
+MODIFIERS = frozenset("has no with without is not hide show enable disable".split())
+#: Words that an article's own parts go by too.
+ARTICLE_WORDS = frozenset("discussion dialog notice notices disclaimer alert alerts".split())
 #: The same for what stands above an article; a heading inside the article stays.
 HEAD_WORDS = frozenset("header headers masthead banner hero topper".split())
 #: Ids that aren't made from a heading, so that they mark what isn't the article inside of one too.
@@ -78,18 +89,28 @@ _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 
 
+def _marks(name: str) -> set[str]:
+    """The words by which a class, role or id says that something isn't the article."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    telling = {w for w in words if w in FOREIGN_WORDS or w in HEAD_WORDS}
+    if not telling or words[0] in MODIFIERS or any(w not in telling and w not in NEUTRAL_WORDS and len(w) > 1 for w in words):
+        return set()
+    return telling
+
+
 class _Node:
     """An open or closed element: its parent, path, and what it counts as."""
 
     __slots__ = ("tag", "parent", "path", "foreign", "head", "inside", "within", "own", "up", "weight", "credit")
 
-    def __init__(self, tag: str, parent: _Node | None, rest: str):
+    def __init__(self, tag: str, parent: _Node | None, rest: str, forms: bool = False):
         self.tag, self.parent, self.weight, self.credit = tag, parent, 0.0, 0.0
         #: The nearest container around it, or the page.
         self.up = parent if parent is None or parent.tag in CONTAINERS or parent.parent is None else parent.up
         classes: list[str] = []
         words: set[str] = set()
         id_words: set[str] = set()
+        own_words: set[str] = set()
         whole_id = ""
         hidden = False
         read: set[str] = set()
@@ -99,34 +120,44 @@ class _Node:
                 continue
             read.add(name)
             if name in ("class", "role"):
-                words.update(w.lower() for w in _WORD.findall(value))
+                own_words.update(w.lower() for w in _WORD.findall(value))
+                for c in value.split():
+                    words |= _marks(c)
                 if name == "class":
                     classes += [_DIGITS.sub("0", c) for c in value.split()]
             elif name == "id":
-                id_words, whole_id = {w.lower() for w in _WORD.findall(value)}, value.lower()
+                own_words.update(w.lower() for w in _WORD.findall(value))
+                id_words, whole_id = _marks(value), value.lower()
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 hidden = True
             elif name == "style" and "display:none" in value.replace(" ", "").lower():
                 hidden = True
         main = tag in ("html", "body", "main", "article")
         up = parent
-        self.own = not main and tag in CONTAINERS and bool((words | id_words) & OWN_WORDS)
-        self.inside = main and tag in ("main", "article") or up is not None and up.inside or tag in CONTAINERS and bool((words | id_words) & OWN_WORDS)
+        self.own = not main and tag in CONTAINERS and bool(own_words & OWN_WORDS)
+        self.inside = main and tag in ("main", "article") or up is not None and up.inside or tag in CONTAINERS and bool(own_words & OWN_WORDS)
         self.within = tag in ("main", "article") or up is not None and up.within
         # The ids of headings, and of parts of an article, come from the article's own words.
         if tag not in HEADINGS and not (self.within or tag == "section" and up is not None and up.inside) or tag in CONTAINERS and whole_id in FOREIGN_IDS:
-            words |= id_words
+            words |= id_words | ({whole_id} & FOREIGN_IDS)
+        if self.within:
+            words -= ARTICLE_WORDS
         self.head = up is not None and up.head or tag == "header" or not main and bool(words & HEAD_WORDS)
-        outside = tag in OUTSIDE and tag != "header" or tag in UNSEEN
-        self.foreign = up is not None and up.foreign or outside or hidden or not main and bool(words & FOREIGN_WORDS)
+        outside = tag in OUTSIDE and tag not in ("header", "form" if forms else "") or tag in UNSEEN
+        self.foreign = up is not None and up.foreign or outside or hidden or not main and bool(words & FOREIGN_WORDS or {whole_id} & FOREIGN_IDS & words)
         own = ".".join([tag, *sorted(set(classes))])
         self.path = own if up is None or not up.path else f"{up.path}>{own}"
 
 
 class Page:
-    """Blocks of text of a page, each with its element, and the page's containers."""
+    """Blocks of text of a page, each with its element, and the page's containers.
+
+    A form that holds more text than the page has outside of forms is the page itself, as some
+    frameworks write it; then the page is read again and forms count as any other element.
+    """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, forms: bool = False):
+        self._forms, self._in_forms = forms, 0
         self.blocks: list[tuple[_Node, str, int]] = []
         self.nodes: list[_Node] = []
         self._stack = [_Node("", None, "")]
@@ -135,6 +166,8 @@ class Page:
         self._linked = 0
         self._read(source)
         self._flush()
+        if not forms and self._in_forms > sum(len(text) for _, text, _ in self.blocks):
+            self.__init__(source, True)
 
     def _read(self, source: str) -> None:
         at, end = 0, len(source)
@@ -160,12 +193,19 @@ class Page:
 
     def _text(self, raw: str) -> None:
         top = self._stack[-1]
+        if raw and top.foreign and not self._forms and self._only_by_form():
+            self._in_forms += len(raw.strip())
         if raw and not top.foreign:
             text = html.unescape(raw)
             self._pieces.append(text)
             if any(n.tag == "a" for n in self._stack):
                 self._linked += len(text.strip())
 
+    def _only_by_form(self) -> bool:
+        """Whether the open elements are foreign because of a form and nothing else."""
+        first = next(n for n in self._stack if n.foreign)
+        return first.tag == "form" and not any(n.tag in OUTSIDE - {"form", "header"} or n.tag in UNSEEN for n in self._stack)
+
     def _open(self, name: str, rest: str) -> None:
         for i in range(len(self._stack) - 1, 0, -1):
             tag = self._stack[i].tag
@@ -179,7 +219,7 @@ class Page:
         elif name == "br":
             self._pieces.append(" ")
         if name not in VOID:
-            node = _Node(name, self._stack[-1], rest)
+            node = _Node(name, self._stack[-1], rest, self._forms)
             if name not in BLOCKS and (node.foreign or node.head) and not (self._stack[-1].foreign or self._stack[-1].head):
                 self._pieces.append(" ")
             self._stack.append(node)
@@ -255,19 +295,24 @@ class Page:
         return next((n for n in reversed(around[at + 1 :]) if n.own), around[at])
 
     def text(self, path: str | None) -> str:
-        """Blocks below the elements at the path, joined by empty lines; below the page's own container of the article without such an element."""
+        """Blocks below the elements at the path, joined by empty lines; below the page's own container of the article without such an element.
+
+        A page without such a container, as one without any or with linked text only, gives its
+        article or main elements, and without those all that isn't foreign.
+        """
         wanted = {id(n) for n in self.nodes if n.path == path} if path else set()
-        if not wanted:
+        if not any(self._below(owner, wanted) for owner, _, _ in self.blocks):
             node = self.best()
-            wanted = {id(node)} if node else set()
-        chosen = []
-        for owner, text, _ in self.blocks:
-            node = owner
-            while node is not None and id(node) not in wanted:
-                node = node.parent
-            if node is not None:
-                chosen.append(text)
-        return "\n\n".join(chosen)
+            wanted = {id(node)} if node else {id(n) for n in self.nodes if n.tag in ("article", "main") and not n.foreign}
+        if not any(self._below(owner, wanted) for owner, _, _ in self.blocks):
+            wanted = {id(self._page)}
+        return "\n\n".join(text for owner, text, _ in self.blocks if self._below(owner, wanted))
+
+    @staticmethod
+    def _below(node: _Node | None, wanted: set[int]) -> bool:
+        while node is not None and id(node) not in wanted:
+            node = node.parent
+        return node is not None
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,8 +323,8 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if node is not None:
                 hosts.append(host)
                 paths.append(node.path)
-                credits.append(node.weight)
-        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(credits, pa.float64())], names=["host", "path", "credit"])
+                credits.append(round(node.weight))
+        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(credits, pa.int64())], names=["host", "path", "credit"])
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
@@ -287,9 +332,9 @@ def host_paths(pages: DataFrame) -> DataFrame:
 
     Of paths with equally many votes, the one with more text wins, then the first by name.
     """
-    votes = pages.where("host is not null").select("host", "html").mapInArrow(_votes, "host string, path string, credit double")
-    counts = votes.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("credit").cast("decimal(38,0)").alias("credit"))
-    best = F.max_by(F.struct("path", "votes"), F.struct("votes", "credit", F.col("path")))
+    votes = pages.where("host is not null").select("host", "html").mapInArrow(_votes, "host string, path string, credit bigint")
+    counts = votes.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("credit").alias("credit"))
+    best = F.min_by(F.struct("path", "votes"), F.struct(-F.col("votes"), -F.col("credit"), "path"))
     return counts.groupBy("host").agg(best.alias("best")).select("host", "best.path", "best.votes")
 
 
@@ -297,7 +342,7 @@ def with_main_text(pages: DataFrame) -> DataFrame:
     """The pages' columns and ``main``, a struct of text and path.
 
     ``pages`` has url and html; an extra column ``main`` is replaced, others are kept. A null or
-    empty html, and one without running text, gives an empty text. Hosts are compared in lower
+    empty html, and one without text that isn't foreign, gives an empty text. Hosts are compared in lower
     case; a page whose url is null or names no host counts for itself. Repeated pages vote each.
     Inside a block white space becomes one space; blocks are joined by empty lines.
 
