@@ -12,7 +12,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +23,8 @@ BITS = 16
 AFFIXES, NGRAM = (2, 4, -2, -4), 3
 #: A lexicon holds the words that occur so often in the sample, nearly always in one language.
 LEXICON_COUNT, LEXICON_SHARE = 5, 0.95
-#: Labelled rows that the model is fitted on at most, their characters each and in all.
-SAMPLE_ROWS, LONGEST, SAMPLE_CHARS = 2000, 20_000, 6_000_000
+#: Labelled rows that the model is fitted on at most, as many of each language as there are, and their characters in all.
+SAMPLE_ROWS, SAMPLE_CHARS = 2000, 8_000_000
 #: Words of a training sequence; every second one is made of two texts, as in code-switching.
 SEQUENCE, EPOCHS, BATCH, RATE = 32, 2, 128, 0.1
 #: Words that are passed over one by one, for all stretches of all texts at a time.
@@ -210,19 +209,18 @@ def with_language(docs: DataFrame, labels: DataFrame) -> DataFrame:
     its whole text, in its task.
     """
     known = labels.where("lang is not null").groupBy("doc_id").agg(F.min("lang").alias("label"))
-    model = docs.sparkSession.sparkContext.broadcast(fit(*labelled_sample(docs, known, SAMPLE_ROWS, LONGEST, SAMPLE_CHARS)))
+    model = docs.sparkSession.sparkContext.broadcast(fit(*labelled_sample(docs, known, SAMPLE_ROWS, SAMPLE_CHARS, per_label=True)))
     columns = [c for c in docs.columns if c != "language"]
     kind = "struct<predicted: string, score: double, shares: map<string, double>>"
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letter = regex.compile(r"\p{L}")
         languages = model.value[0]
         for batch in slices(batches, "text", SLICE_BYTES):
             texts = filled(batch.column("text"))
             if languages:
                 words, each = word_languages(texts, model.value)
                 shares = _unit(runs(each, words.at))
-                lettered = np.array([bool(letter.search(t.as_py())) for t in texts], bool) & (np.diff(words.at) > 0)
+                lettered = pa.compute.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False) & (np.diff(words.at) > 0)
             else:
                 shares, lettered = np.zeros((batch.num_rows, 1)), np.zeros(batch.num_rows, bool)
             best = shares.argmax(axis=1)

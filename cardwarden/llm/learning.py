@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardwarden.llm.storage import stored
+
 
 def fold(doc_id: Column, folds: int) -> Column:
     """Remainder of the CRC-32 of the id as text; null for a null id."""
@@ -17,26 +19,31 @@ def held_out(doc_id: Column, folds: int, which: int) -> Column:
     return F.coalesce(fold(doc_id, folds) == which, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, longest: int, letters: int, seed: int = 3) -> tuple[pa.Array, list]:
-    """Texts and labels of a bounded sample for fitting a model.
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, letters: int, per_label: bool = False, seed: int = 3) -> tuple[pa.Array, list]:
+    """Whole texts and labels of a bounded sample for fitting a model.
 
     ``labels`` has (doc_id, label), one row per id. The ``rows`` ids with the smallest seeded
-    hash are chosen, then their whole texts are read. Texts over ``longest`` characters, null
-    ones, and those after the first ``letters`` characters in all are left out: fitting needs no
-    row in particular, and the driver must hold the sample.
+    hash are chosen, with ``per_label`` about as many of each label, so that a rare one isn't
+    left out. Of these, the first ones are taken whose texts have ``letters`` characters in all, since the driver must
+    hold the sample; texts are neither cut nor chosen by length. Null texts are left out; of
+    several rows with one id, one is taken.
     """
-    chosen = labels.where("doc_id is not null and label is not null").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(rows)
-    found = F.broadcast(chosen.select(F.col("doc_id").alias("_chosen"), F.col("label").alias("_label")))
-    texts = (
-        docs.where(F.length("text") <= longest)
-        .select("doc_id", "text")
-        .join(found, F.col("doc_id") == F.col("_chosen"))
-        .select(F.xxhash64(F.lit(seed), "doc_id").alias("mark"), "doc_id", "text", "_label")
-        .toArrow()
-        .sort_by([("mark", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
-    )
-    lengths = np.cumsum(pa.compute.utf8_length(texts["text"]).to_numpy())
-    texts = texts.slice(0, int(np.searchsorted(lengths, letters, side="right")))
+    known = labels.where("doc_id is not null and label is not null")
+    mark = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 53)).cast("double")
+    if per_label:
+        counts = known.groupBy("label").agg(F.count("*").alias("_n"))
+        known, mark = known.join(counts, "label"), mark * F.col("_n")
+    chosen = known.select(F.col("doc_id").alias("_chosen"), F.col("label").alias("_label"), mark.alias("mark")).orderBy("mark", "_chosen").limit(rows)
+    found = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_chosen"))
+    single = found.groupBy("mark", "doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("_label").alias("_label"))
+    single = stored(single, "labelled")
+    sizes = sorted((r[0], r[1], r[2]) for r in single.select("mark", "doc_id", F.length("text")).collect())
+    taken = int(np.searchsorted(np.cumsum([n for _, _, n in sizes]), letters, side="right"))
+    if taken == 0:
+        return pa.array([], pa.large_string()), []
+    last = sizes[taken - 1]
+    kept = (F.col("mark") < last[0]) | (F.col("mark") == last[0]) & (F.col("doc_id") <= F.lit(last[1]))
+    texts = single.where(kept).toArrow().sort_by([("mark", "ascending"), ("doc_id", "ascending")])
     column = texts["text"].cast(pa.large_string()).combine_chunks()
     return column.chunk(0) if isinstance(column, pa.ChunkedArray) else column, texts["_label"].to_pylist()
 

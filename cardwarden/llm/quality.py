@@ -20,8 +20,8 @@ from cardwarden.llm.learning import Ftrl, labelled_sample, sigmoid
 from cardwarden.llm.words import SOLID, ByteHashes, Words, bucket, filled, runs, slices
 
 BITS = 18
-#: Labelled rows that the model is fitted on at most, their characters each and in all.
-SAMPLE_ROWS, LONGEST, SAMPLE_CHARS = 8000, 20_000, 32_000_000
+#: Labelled rows that the model is fitted on at most, and their characters in all.
+SAMPLE_ROWS, SAMPLE_CHARS = 8000, 32_000_000
 EPOCHS, BATCH, RATE, SPARSE, SHRINK = 10, 8, 1.0, 0.05, 0.1
 SLICE_BYTES = 2 << 20
 
@@ -109,7 +109,7 @@ def with_grade(docs: DataFrame, ratings: DataFrame, tail: int = 1) -> DataFrame:
     The model is fitted on at most ``SAMPLE_ROWS`` rated rows; every row is graded, in its task.
     """
     known = ratings.where("rating is not null").groupBy("doc_id").agg(F.max("rating").alias("label"))
-    texts, y = labelled_sample(docs, known, SAMPLE_ROWS, LONGEST, SAMPLE_CHARS)
+    texts, y = labelled_sample(docs, known, SAMPLE_ROWS, SAMPLE_CHARS)
     model = docs.sparkSession.sparkContext.broadcast(fit(texts, y))
     columns = [c for c in docs.columns if c != "grade"]
 

@@ -22,8 +22,8 @@ BITS = 18
 AFFIXES = (5, 7)
 #: Documents with at least this score are toxic.
 THRESHOLD = 0.3
-#: Labelled rows that the model is fitted on at most, their characters each and in all.
-SAMPLE_ROWS, LONGEST, SAMPLE_CHARS = 8000, 20_000, 32_000_000
+#: Labelled rows that the model is fitted on at most, and their characters in all.
+SAMPLE_ROWS, SAMPLE_CHARS = 8000, 32_000_000
 EPOCHS, BATCH, RATE, SPARSE, SHRINK, BIAS_RATE = 10, 8, 1.0, 2.0, 0.1, 0.05
 #: Bytes of text worked on at a time.
 SLICE_BYTES = 2 << 20
@@ -128,7 +128,7 @@ def with_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     The model is fitted on at most ``SAMPLE_ROWS`` labelled rows; every row is scored, in its task.
     """
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    texts, y = labelled_sample(docs, known, SAMPLE_ROWS, LONGEST, SAMPLE_CHARS)
+    texts, y = labelled_sample(docs, known, SAMPLE_ROWS, SAMPLE_CHARS)
     model = docs.sparkSession.sparkContext.broadcast(fit(texts, y))
     columns = [c for c in docs.columns if c != "toxicity"]
     kind = "struct<score: double, predicted: int, sentences: array<struct<start: bigint, text: string, score: double>>>"

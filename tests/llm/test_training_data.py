@@ -340,9 +340,12 @@ def near_copies(seed, n):
     return out
 
 
-@pytest.mark.parametrize("tile", [256, 8])
-def test_near_duplicates_of_a_large_group(spark, monkeypatch, tile):
+@pytest.mark.parametrize("tile, tile_bytes, block", [(4096, 8 << 20, 128), (8, 8 << 20, 3), (4096, 3000, 128)])
+def test_near_duplicates_of_a_large_group(spark, monkeypatch, tile, tile_bytes, block):
     monkeypatch.setattr(near_duplicates, "TILE", tile)
+    monkeypatch.setattr(near_duplicates, "TILE_BYTES", tile_bytes)
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    monkeypatch.setattr(near_duplicates, "MAP_BITS", 6)  # lets many rows through wrongly
     monkeypatch.setattr(near_duplicates, "FAN", 5)
     rows = list(enumerate([*near_copies(900, 70), *near_copies(901, 6), *(prose(i, 200) for i in range(30)), *ODD]))
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
@@ -351,6 +354,33 @@ def test_near_duplicates_of_a_large_group(spark, monkeypatch, tile):
     assert {r.doc_id: (r.component_id, r.n_shingles, r.kept) for r in found} == {k: (root[k], sizes[k], root[k] == k) for k in root}
 
 
+def test_chained_copies_below_the_threshold_stay_apart(spark, monkeypatch):
+    """One cluster of likely pairs of which few are links: all the others have to be refuted."""
+    monkeypatch.setattr(near_duplicates, "TILE", 16)
+    draw, base, texts = random.Random(5), prose(920, 300).split(), []
+    for i in range(60):
+        words = list(base)
+        for k in draw.sample(range(300), 2 + (i % 4 > 0)):
+            words[k] = f"x{i}-{k}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    root, sizes = brute_components(rows)
+    assert 5 < len(set(root.values())) < 60
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert {r.doc_id: r.component_id for r in found} == root
+
+
+def test_near_duplicates_leave_few_tables(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        frame = spark.createDataFrame(list(enumerate(near_copies(930, 12))), "doc_id bigint, text string")
+        assert near_duplicates.near_duplicates(frame).count() == 12
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "cardwarden").iterdir()}
+    assert not left & {"buckets", "members", "candidate-signatures", "likely", "texts", "likely-nodes", "clustered-rows", "spanning", "large-stars", "links"}
+
+
 def test_near_duplicates_edges(docs, none):
     found = near_duplicates.near_duplicates(docs).collect()
     assert len(found) == docs.count()
