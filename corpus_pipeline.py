@@ -41,9 +41,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' columns with size, shard and slot; copies of a text stay in one shard."""
-    dealt = shard(docs)
-    return dealt.select("doc_id", "text", "lang", "source", "n_chars", "sharding.size", "sharding.shard", "sharding.slot")
+    """The documents' columns with size, shard and slot, which replace columns of these names; copies of a text stay in one shard."""
+    made = ("size", "shard", "slot")
+    kept = [c for c in docs.columns if c.lower() not in (*made, "sharding")]
+    return shard(docs).select(*kept, *[f"sharding.{c}" for c in made])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
