@@ -2,7 +2,7 @@
 
 One set of weights gives every text a place on a line, and ordered thresholds cut the line into
 grades: the probability of a grade of at least k is logistic in the place less threshold k. The
-place is the mean weight of a text's tokens, each of which has its word, its shape (runs of
+place is the damped sum of the weights of a text's tokens, each of which has its word, its shape (runs of
 letters, digits, capitals and single signs), the pair with the shape before it, and whether it
 repeats the token before it.
 """
@@ -22,7 +22,11 @@ from cardwarden.llm.words import SOLID, ByteHashes, Words, bucket, filled, runs,
 BITS = 18
 #: Labelled rows that the model is fitted on at most, and their characters in all.
 SAMPLE_ROWS, SAMPLE_CHARS = 8000, 32_000_000
-EPOCHS, BATCH, RATE, SPARSE, SHRINK = 10, 8, 1.0, 0.05, 0.1
+EPOCHS, BATCH, RATE, SPARSE, SHRINK = 10, 8, 1.0, 0.2, 0.1
+#: A text's place is the sum over its tokens divided by this power of their number: a mean would hide a few telling words.
+DAMPING = 0.5
+#: Rows weigh by this power of how rare their grade is.
+BALANCE = 0.5
 SLICE_BYTES = 2 << 20
 
 _SHAPES = np.arange(256, dtype=np.uint8)
@@ -53,9 +57,13 @@ def token_buckets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([bucket(h, k, BITS) for k, h in enumerate(kinds)], axis=1), words.at
 
 
-def _means(weights: np.ndarray, buckets: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _damped(sizes: np.ndarray) -> np.ndarray:
+    return np.maximum(1, sizes) ** DAMPING
+
+
+def _places(weights: np.ndarray, buckets: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Place of each text; 0 for one without tokens."""
-    return runs(weights[buckets].sum(axis=1, dtype=np.float64), at) / np.maximum(1, np.diff(at))
+    return runs(weights[buckets].sum(axis=1, dtype=np.float64), at) / _damped(np.diff(at))
 
 
 def fit(texts: pa.Array, grades: list) -> tuple[np.ndarray, np.ndarray]:
@@ -73,6 +81,7 @@ def fit(texts: pa.Array, grades: list) -> tuple[np.ndarray, np.ndarray]:
     share = np.array([(y >= k).mean() for k in range(1, top + 1)]).clip(1e-3, 1 - 1e-3)
     gaps = -np.log(share / (1 - share))
     thresholds = np.maximum.accumulate(gaps + np.arange(top) * 1e-3)
+    weigh = (len(y) / (top + 1) / np.maximum(1, np.bincount(y, minlength=top + 1))) ** BALANCE
     model = Ftrl(1 << BITS, RATE, SPARSE, SHRINK)
     draw, squares = np.random.default_rng(9), np.full(top, 1e-2)
     for _ in range(EPOCHS):
@@ -80,18 +89,18 @@ def fit(texts: pa.Array, grades: list) -> tuple[np.ndarray, np.ndarray]:
             own = [docs[i] for i in chosen]
             sizes = np.array([len(x) for x in own])
             buckets = np.concatenate(own)
-            place = _means(model.weights, buckets, np.concatenate([[0], np.cumsum(sizes)]))
+            place = _places(model.weights, buckets, np.concatenate([[0], np.cumsum(sizes)]))
             above = np.hstack([np.ones((len(own), 1)), sigmoid(place[:, None] - thresholds), np.zeros((len(own), 1))])
             row, grade = np.arange(len(own)), y[chosen]
             low, high = above[row, grade], above[row, grade + 1]  # at least this grade; more than it
             p = np.maximum(low - high, 1e-9)
             slope_low, slope_high = low * (1 - low), high * (1 - high)
-            by_place = -(slope_low - slope_high) / p
+            by_place = -(slope_low - slope_high) / p * weigh[grade]
             by_threshold = np.zeros(top + 2)
-            np.add.at(by_threshold, grade, slope_low / p)
-            np.add.at(by_threshold, grade + 1, -slope_high / p)
+            np.add.at(by_threshold, grade, slope_low / p * weigh[grade])
+            np.add.at(by_threshold, grade + 1, -slope_high / p * weigh[grade])
             used, where = np.unique(buckets, return_inverse=True)
-            by_token = np.repeat(by_place / np.maximum(1, sizes), sizes)
+            by_token = np.repeat(by_place / _damped(sizes), sizes)
             model.step(used, np.bincount(where.ravel(), weights=np.repeat(by_token, 4), minlength=len(used)))
             squares += by_threshold[1:-1] ** 2
             thresholds = np.maximum.accumulate(thresholds - 0.1 * by_threshold[1:-1] / np.sqrt(squares) + np.arange(top) * 1e-9)
@@ -116,7 +125,7 @@ def with_grade(docs: DataFrame, ratings: DataFrame, tail: int = 1) -> DataFrame:
     def graded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
             weights, thresholds = model.value
-            place = _means(weights, *token_buckets(filled(batch.column("text"))))
+            place = _places(weights, *token_buckets(filled(batch.column("text"))))
             above = sigmoid(place[:, None] - thresholds)
             chance = above[:, tail - 1] if tail <= len(thresholds) else np.zeros(len(place))
             made = pa.StructArray.from_arrays([pa.array(above.sum(axis=1)), pa.array(chance)], ["expected", "tail"])
