@@ -22,8 +22,8 @@ from cardwarden.llm.storage import stored
 THRESHOLD = 0.98
 #: Coordinates that are summed up before pairs are looked at again.
 STEPS = (8, 16, 32)
-#: Vectors of a tile on average.
-TILE = 1024
+#: Vectors of a tile on average, and those of a tile that are compared with another one at a time.
+TILE, BLOCK = 4096, 512
 #: Vectors that the rotation is fitted on at most. Any rotation gives the same links.
 FIT_ROWS = 8192
 #: Pairs whose rotated cosine is so near to the threshold, or above it, are computed again from the vectors as given.
@@ -134,8 +134,10 @@ def _tile_links(shipped, threshold: float):
         is_first = tile == table["first"][0].as_py()
         one = table["first"][0].as_py() == table["second"][0].as_py()
         a, b = np.flatnonzero(is_first), np.flatnonzero(is_first if one else ~is_first)
-        i, j = compare_tiles(rows[a], rows[b], threshold)
-        i, j = a[i], b[j]
+        blocks = [compare_tiles(rows[a[s : s + BLOCK]], rows[b], threshold) for s in range(0, len(a), BLOCK)]
+        nothing = np.zeros(0, np.int64)
+        i = a[np.concatenate([nothing, *(x + s * BLOCK for s, (x, _) in enumerate(blocks))])]
+        j = b[np.concatenate([nothing, *(y for _, y in blocks)])]
         if one:
             i, j = i[i < j], j[i < j]
         kept = [exact_cosine(given[i[s : s + 65536]], given[j[s : s + 65536]]) >= threshold for s in range(0, len(i), 65536)]

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 from hashlib import sha256
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
@@ -19,6 +20,7 @@ from cardwarden.llm.graph import components
 from cardwarden.llm.oracle import SQL
 from cardwarden.llm.pages import Page, host_paths, with_main_text
 from cardwarden.llm.queries import QUERIES
+from cardwarden.llm.storage import work_folder
 
 KIND = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 WORDS = [f"w{i}" for i in range(400)]
@@ -404,7 +406,7 @@ def test_chained_copies_below_the_threshold_stay_apart(spark, monkeypatch):
     draw, base, texts = random.Random(5), prose(920, 300).split(), []
     for i in range(60):
         words = list(base)
-        for k in draw.sample(range(300), 2 + (i % 4 > 0)):
+        for k in draw.sample(range(300), 4 if i % 8 else 2):
             words[k] = f"x{i}-{k}"
         texts.append(" ".join(words))
     rows = list(enumerate(texts))
@@ -414,14 +416,13 @@ def test_chained_copies_below_the_threshold_stay_apart(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found} == root
 
 
-def test_near_duplicates_leave_few_tables(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        frame = spark.createDataFrame(list(enumerate(near_copies(930, 12))), "doc_id bigint, text string")
-        assert near_duplicates.near_duplicates(frame).count() == 12
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "cardwarden").iterdir()}
+def test_near_duplicates_leave_few_tables(spark):
+    folder = Path(work_folder(spark, "x").removeprefix("file:")).parent
+    before = set(folder.iterdir()) if folder.exists() else set()
+    frame = spark.createDataFrame(list(enumerate(near_copies(930, 12))), "doc_id bigint, text string")
+    assert near_duplicates.near_duplicates(frame).count() == 12
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert "nodes" in left
     assert not left & {"buckets", "members", "candidate-signatures", "likely", "texts", "likely-nodes", "clustered-rows", "spanning", "large-stars", "links"}
 
 
@@ -642,3 +643,23 @@ def test_pipeline(spark, sf_dir):
         assert after.columns == docs.columns and stage(spark, docs.where("false"), sf_dir).count() == 0, name
     final = corpus_pipeline.run(spark, sf_dir).collect()
     assert final and {r.shard for r in final} <= set(range(8)) and {r.doc_id for r in final} <= {r.doc_id for r in docs.collect()}
+
+
+def test_planted_copies_of_vectors(spark, sf_dir, monkeypatch):
+    """All vectors of a larger table with copies of every 20th one planted, some of them just below the threshold."""
+    monkeypatch.setattr(vectors, "TILE", 300)
+    monkeypatch.setattr(vectors, "BLOCK", 64)
+    given = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.1')}/embeddings.parquet").collect()
+    draw, rows = np.random.default_rng(7), [(r.vec_id, [float(x) for x in r.embedding], r.label) for r in given]
+    for k, (i, v, label) in enumerate(rows[::20]):
+        noise = draw.normal(size=len(v))
+        noise *= np.linalg.norm(v) / np.linalg.norm(noise) * draw.uniform(0.1, 0.3)
+        rows.append((100_000 + k, (3 * (np.array(v) + noise)).tolist(), label))
+    ids, labels = np.array([r[0] for r in rows]), np.array([r[2] for r in rows])
+    x = np.array([r[1] for r in rows], np.float32).astype(float)
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    linked = (x @ x.T >= 0.98) & (labels[:, None] == labels[None, :]) & ~np.eye(len(x), dtype=bool)
+    assert 50 < linked.sum() // 2 < 400
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").repartition(4)
+    found = {r.vec_id: r.n_links for r in vectors.near_duplicate_vectors(frame).collect()}
+    assert found == dict(zip(ids.tolist(), linked.sum(axis=1).tolist()))
