@@ -21,12 +21,23 @@ def suspect_transactions(tx: DataFrame, suspects: DataFrame) -> DataFrame:
     otherwise both sides are shuffled by card, where adaptive execution splits a card with very
     many transactions.
     """
-    return tx.join(suspects.select("card_id"), "card_id", "left_semi")
+    return _joined(tx, suspects, "left_semi")
 
 
 def normal_transactions(tx: DataFrame, suspects: DataFrame) -> DataFrame:
     """All others, those without a card among them; joined as the suspect ones are."""
-    return tx.join(suspects.select("card_id"), "card_id", "left_anti")
+    return _joined(tx, suspects, "left_anti")
+
+
+def _joined(tx: DataFrame, suspects: DataFrame, how: str) -> DataFrame:
+    """Join by card, and by its hash too.
+
+    The plan of the suspects is often partitioned by card already. With that alone the join would take it as it
+    is, and Spark splits heavy keys only where both sides are shuffled for the join itself.
+    """
+    known = suspects.select(F.col("card_id").alias("_suspect"))
+    same = (F.col("card_id") == F.col("_suspect")) & (F.xxhash64("card_id") == F.xxhash64("_suspect"))
+    return tx.join(known, same, how)
 
 
 def segment_comparison(tx: DataFrame, suspects: DataFrame) -> DataFrame:
