@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bins of one step: bounds the rows of every running sum.
-BINS = 1 << 18
-#: Steps of bins of equal width, after one of bins of equal ratio.
-STEPS = 2
+#: Bits that one step finds: no running sum has more rows than about 2^BITS.
+BITS = 18
+# Bins of the logarithm of a value, and steps after the one that finds such a bin.
+_RATIO, _STEPS = 128, 2
 
 
 def value_counts(rows: DataFrame, name: str) -> DataFrame:
@@ -18,42 +18,35 @@ def value_counts(rows: DataFrame, name: str) -> DataFrame:
     )
 
 
-def exact_quantile(counts: DataFrame, q: float, bins: int = BINS) -> Column:
+def exact_quantile(counts: DataFrame, q: float, bits: int = BITS) -> Column:
     """Smallest value with at least the fraction ``q`` of all rows at or below it.
 
-    A scalar subquery over value counts, which finds ever finer bins that hold the rank: first
-    bins by the logarithm of the value, so that an outlier doesn't widen them, then
-    ``bins`` equal ones between the ends of the bin before, as often as doubles of one bin can
-    differ. So no running sum has more rows than bins, and the last has a few hundred values.
+    A scalar subquery over value counts. Each value has a whole number that never falls where
+    the value rises: its logarithm, finely divided, so that an outlier doesn't push the others
+    together. The leading bits of the number at the rank are found by a running sum over bins, then the
+    next ones among the values that agree in those, and at last the value itself among the few
+    hundred that agree in all. A step keeps the values below and above as one bin each, so that
+    it needs no more from the step before than the bits found.
     """
-    magnitude = F.log1p(F.least(F.abs("v"), F.lit(1e295)) * 1e12) * (bins / 2048)
-    inside = counts.withColumn("bin", F.floor(F.signum("v") * F.floor(magnitude)).cast("bigint"))
-    rank = F.greatest(F.ceil(counts.agg(F.sum("n")).scalar() * q), F.lit(1))
-    inside = _within(inside, _holding(inside, rank, first=True))
-    for _ in range(STEPS):
-        width = (F.col("high") - F.col("low")) / bins
-        share = F.when(width > 0, F.floor((F.col("v") - F.col("low")) / width)).otherwise(0)
-        inside = inside.withColumn("bin", F.least(share, F.lit(bins - 1)).cast("bigint"))
-        inside = _within(inside.select("v", "n", "bin", "rank"), _holding(inside, F.col("rank")))
-    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    return inside.withColumn("upto", upto).filter(F.col("upto") >= F.col("rank")).agg(F.min("v")).scalar()
-
-
-def _holding(rows: DataFrame, rank: Column, first: bool = False) -> DataFrame:
-    """The one bin that holds the rank: its ends, and the rank within it."""
-    wanted = [] if first else [F.max("rank").alias("rank")]
-    sums = rows.groupBy("bin").agg(
-        F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), *wanted
-    )
-    upto = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    reached = sums.withColumn("upto", upto).filter(F.col("upto") >= rank)
-    left = (rank - F.col("upto") + F.col("n")).alias("left")
-    return reached.agg(F.min_by(F.struct("bin", "low", "high", left), "bin").alias("held")).select(
-        F.col("held.bin").alias("_bin"), "held.low", "held.high", F.col("held.left").alias("rank")
-    )
-
-
-def _within(rows: DataFrame, held: DataFrame) -> DataFrame:
-    """The values of one bin; it is picked by a join, since a filter would sink below the counting."""
-    values = rows.select("v", "n", "bin")
-    return values.join(F.broadcast(held), F.col("bin") == F.col("_bin")).select("v", "n", "low", "high", "rank")
+    depth = _STEPS * bits
+    number = F.signum("v") * F.floor(F.log1p(F.least(F.abs("v"), F.lit(1e295)) * 1e12) * (_RATIO * 2.0**depth))
+    keyed = counts.select("v", "n", number.cast("bigint").alias("k"))
+    prefix = _at_rank(keyed.select(F.shiftright("k", depth).alias("bin"), F.shiftright("k", depth).alias("value"), "n"), q)
+    width = float(1 << bits)
+    for step in range(_STEPS - 1, -1, -1):
+        finer = F.shiftright("k", step * bits)
+        place = F.width_bucket((finer - prefix * (1 << bits)).cast("double"), F.lit(0.0), F.lit(width), F.lit(1 << bits))
+        prefix = _at_rank(keyed.select(place.alias("bin"), finer.alias("value"), "n"), q)
+    ends = F.array(F.lit(float("-inf")), F.col("v"), F.lit(float("inf")))
+    value = F.get(ends, (F.signum((F.col("k") - prefix).cast("double")) + 1).cast("int"))
+    return _at_rank(keyed.select(value.alias("bin"), F.col("v").alias("value"), "n"), q)
+
+
+def _at_rank(rows: DataFrame, q: float) -> Column:
+    """The smallest ``value`` in the bin that holds the rank, for rows (bin, value, n)."""
+    sums = rows.groupBy("bin").agg(F.sum("n").alias("n"), F.min("value").alias("value"))
+    in_order = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    everything = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    reached = sums.withColumns({"upto": F.sum("n").over(in_order), "total": F.sum("n").over(everything)})
+    reached = reached.filter(F.col("upto") >= F.greatest(F.ceil(F.col("total") * q), F.lit(1)))
+    return reached.agg(F.min_by("value", "bin")).scalar()
