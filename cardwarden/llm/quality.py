@@ -22,7 +22,7 @@ from cardwarden.llm.words import SOLID, ByteHashes, Words, bucket, filled, runs,
 BITS = 18
 #: Labelled rows that the model is fitted on at most, and their characters in all.
 SAMPLE_ROWS, SAMPLE_CHARS = 8000, 32_000_000
-EPOCHS, BATCH, RATE, SPARSE, SHRINK = 10, 8, 1.0, 0.2, 0.1
+EPOCHS, BATCH, RATE, SPARSE, SHRINK = 10, 8, 1.0, 1.0, 0.1
 #: A text's place is the sum over its tokens divided by this power of their number: a mean would hide a few telling words.
 DAMPING = 0.5
 #: Rows weigh by this power of how rare their grade is.
