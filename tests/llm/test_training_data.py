@@ -14,7 +14,7 @@ import pytest
 from oracle_check import connect, difference
 from pyspark.sql import functions as F
 
-from cardwarden.llm import decontamination, language, learning, mixing, near_duplicates, quality, sharding, toxicity, vectors
+from cardwarden.llm import decontamination, graph, language, learning, mixing, near_duplicates, quality, sharding, toxicity, vectors
 from cardwarden.llm.chat import assemble, conversation_digests, escape, format_conversations, read_turns, unescape
 from cardwarden.llm.graph import components
 from cardwarden.llm.oracle import SQL
@@ -66,6 +66,23 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_in_few_steps(spark, monkeypatch):
+    """A long chain, stars and copies need two tables; graphs beyond a task's bound give the same by steps."""
+    chain = [(i * 7919 % 3001, (i + 1) * 7919 % 3001) for i in range(3000)]
+    links = chain + [(9000, 5000 + i) for i in range(400)] + [(8001, 8000)] * 50
+    frame = spark.createDataFrame(links, "a bigint, b bigint").repartition(5)
+    frame = frame.select(*[F.encode(F.format_string("%05d", k), "utf-8").alias(k) for k in "ab"])
+    made, store = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda rows, label: made.append(label) or store(rows, label))
+    found = {(bytes(r.node), bytes(r.root)) for r in components(frame).collect()}
+    assert len(made) <= 2
+    expected = {(i, 0) for i in range(3001)} | {(5000 + i, 5000) for i in range(400)} | {(9000, 5000), (8000, 8000), (8001, 8000)}
+    assert found == {(b"%05d" % n, b"%05d" % r) for n, r in expected}
+    monkeypatch.setattr(graph, "LINKS", 100)
+    assert {(bytes(r.node), bytes(r.root)) for r in components(frame).collect()} == found
+    assert len(made) > 4
+
+
 def test_knapsack_is_exact():
     draw = np.random.default_rng(3)
     for _ in range(40):
