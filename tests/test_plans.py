@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cardwarden.catalog import all_queries
 from cardwarden.fixtures import FIXTURE_POLICY, Inputs
-from cardwarden.plans import alerts, errors, features, profiling, rollups, scoring, segments, sequences
+from cardwarden.plans import alerts, errors, export, features, profiling, rollups, scoring, segments, sequences
 from cardwarden.plans.features import with_features
 from cardwarden.policy import RiskPolicy
 
@@ -151,6 +151,16 @@ SINKS = FILE_QUERIES | {"export_with_a_broken_sink", "partitioned_write", "linei
                         "fraud_labels_scan", "fraud_labels_document_scan"}
 
 
+def test_broken_export_works_its_results_out_once(spark, sf_dir, monkeypatch):
+    """Both runs, also the failing one, read stored results."""
+    given, export_all = [], export.export_all
+    monkeypatch.setattr(export, "export_all", lambda results, *rest: given.append(results) or export_all(results, *rest))
+    assert all_queries()["export_with_a_broken_sink"](spark, sf_dir).count() == 6
+    assert len(given) == 2
+    for name in ("error_rates", "levels"):
+        assert all(f"broken-export-{name}-" in file for results in given for file in results[name].inputFiles())
+
+
 def test_no_job_runs_while_a_query_is_planned(spark, sf_dir):
     for name in sorted(set(all_queries()) - SINKS):
         assert _jobs_started(spark, lambda: all_queries()[name](spark, sf_dir)) == 0, name
