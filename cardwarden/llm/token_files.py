@@ -36,7 +36,8 @@ from cardwarden.llm.words import buffers, filled, slices
 MAGIC = b"CWTOKEN1"
 _HEADER, _TRAILER = "<8s32sII", "<QQQ8s"
 LEVEL = 3
-SLICE_BYTES = 1 << 23
+#: Bytes of text encoded at a time; a task holds about 50 times so much besides the parts it knows.
+SLICE_BYTES = 1 << 21
 #: Text of one file at most, on average.
 FILE_BYTES = 256 << 20
 #: The dictionary is trained on the sample of ``segments.sample_texts``.
@@ -77,9 +78,9 @@ class Encoder:
 
     def _encode_parts(self, parts: list[bytes]) -> tuple[list[bytes], list[Ids]]:
         special = [s.encode() for s in self.special]
-        groups: list[list[bytes]] = [[], [], []]  # ASCII; other words; those that may not be one word
+        groups: list[list[bytes]] = [[p for p in parts if p.isascii() and b"<" not in p], [], []]  # ASCII; other words; those that may not be one word
         sizes = []
-        for part in parts:
+        for part in [p for p in parts if not p.isascii() or b"<" in p] if len(groups[0]) < len(parts) else ():
             kind = 2 if b"<" in part and any(s in part for s in special) else 0
             if kind == 0 and not part.isascii():
                 lower = normalize("NFC", part.decode()).lower()
@@ -94,8 +95,8 @@ class Encoder:
         ]
         return [p for g in groups for p in g], [(np.concatenate([ids for ids, _ in found]), np.concatenate([counts for _, counts in found]))]
 
-    def _stems(self, words: pa.Array) -> tuple[pa.Array, list[bytes]]:
-        """Words without punctuation behind their last letter, and that punctuation."""
+    def _stems(self, words: pa.Array) -> tuple[pa.Array, list[bytes], np.ndarray]:
+        """Words without punctuation behind their last letter; what distinct punctuation stands there, and which of it each word has."""
         compute = pa.compute
         lower = compute.ascii_lower(words)
         ordinary = compute.string_is_ascii(words)
@@ -107,12 +108,12 @@ class Encoder:
         letter = _LETTER[data[np.maximum(at[1:] - 1, 0)]] if len(data) else np.zeros(len(stems), bool)
         cut = ordinary.to_numpy(zero_copy_only=False) & letter & (np.diff(at) > 0)
         stems = compute.if_else(pa.array(cut), stems, lower)
-        tails = [b""] * len(words)
+        tails, tail = {b"": 0}, np.zeros(len(words), np.int64)
         sizes, whole = compute.binary_length(stems).to_numpy(), compute.binary_length(words).to_numpy()
         some = np.flatnonzero(sizes < whole)
-        for i, size, word in zip(some.tolist(), sizes[some].tolist(), words.take(pa.array(some)).cast(pa.large_binary()).to_pylist(), strict=True):
-            tails[i] = word[size:]
-        return stems, tails
+        cut_off = zip(sizes[some].tolist(), words.take(pa.array(some)).cast(pa.large_binary()).to_pylist(), strict=True)
+        tail[some] = [tails.setdefault(word[size:], len(tails)) for size, word in cut_off]
+        return stems, list(tails), tail
 
     def __call__(self, texts: pa.Array) -> Ids:
         """Ids of a column of texts one after the other, and how many each has."""
@@ -120,13 +121,17 @@ class Encoder:
             return flat(self._encode(texts.cast(pa.large_binary()).to_pylist()))
         lists = pa.compute.ascii_split_whitespace(texts)
         words = lists.flatten().dictionary_encode()
-        stems, tails = self._stems(words.dictionary)
+        stems, tails, tail = self._stems(words.dictionary)
         stems = stems.dictionary_encode()
         parts = stems.dictionary.cast(pa.large_binary()).to_pylist()
         numbers = self.known.numbers(parts + tails)
-        pairs = np.stack([numbers[: len(parts)][stems.indices.to_numpy()], numbers[len(parts) :]], axis=1)
-        ids, counts = self.known.of(pairs[words.indices.to_numpy()].ravel())
-        upto = np.concatenate([[0], np.cumsum(counts)])[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())]
+        pairs = np.stack([numbers[: len(parts)][stems.indices.to_numpy()], numbers[len(parts) :][tail]], axis=1)
+        found, sizes = self.known.of(pairs.ravel())
+        sizes = sizes[::2] + sizes[1::2]  # of each distinct word
+        used = words.indices.to_numpy()
+        counts = sizes[used]
+        ids = found[gathered((np.cumsum(sizes) - sizes)[used], counts)]
+        upto = np.concatenate([[0], np.cumsum(counts)])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         return ids.astype(np.int64), np.diff(upto)
 
 

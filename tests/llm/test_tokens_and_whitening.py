@@ -1,6 +1,7 @@
 """Whitening, token alignment and token files: brute force, exact round trips and defined edge cases."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -58,6 +59,24 @@ def test_by_word_gives_the_ids_of_whole_texts(words_json):
         assert [f.tolist() for f in found] == [e.ids for e in expected]
 
 
+def test_task_holds_little_beside_its_texts(words_json, monkeypatch):
+    """A task's memory doesn't grow with the texts that it has encoded, nor with the size of a batch."""
+    draw = random.Random(4)
+    names = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(5000)]
+    batch = pa.record_batch([pa.array(range(600)), pa.array([" ".join(draw.choices(names, k=1500)) for _ in range(600)])], ["doc_id", "text"])
+    shipped = type("Shipped", (), {"value": (b"", None)})()
+    tokenizer = type("Shipped", (), {"value": words_json})()
+    monkeypatch.setattr(token_files, "TaskContext", type("Context", (), {"get": lambda: type("Task", (), {"partitionId": lambda self: 0})()}))
+    parts = token_files._file_parts(tokenizer, True, 2, 2, shipped)
+    next(parts(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in parts(iter([batch]))) > 600
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_segments_are_forgotten_and_learnt_again(words_json, monkeypatch):
     monkeypatch.setattr(segments, "MOST_SEGMENTS", 5)
     encode, plain = token_files.Encoder(words_json, True), tokenizers.Tokenizer.from_str(words_json)
