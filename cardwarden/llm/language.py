@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.learning import Adagrad, labelled_sample
+from cardwarden.llm.learning import Adagrad, fitted, labelled_sample
 from cardwarden.llm.words import LETTER, Words, bucket, filled, runs, slices
 
 BITS = 16
@@ -209,7 +209,7 @@ def with_language(docs: DataFrame, labels: DataFrame) -> DataFrame:
     its whole text, in its task.
     """
     known = labels.where("lang is not null").groupBy("doc_id").agg(F.min("lang").alias("label"))
-    model = docs.sparkSession.sparkContext.broadcast(fit(*labelled_sample(docs, known, SAMPLE_ROWS, SAMPLE_CHARS, per_label=True)))
+    model = docs.sparkSession.sparkContext.broadcast(fitted(fit, labelled_sample(docs, known, SAMPLE_ROWS, SAMPLE_CHARS, per_label=True)))
     columns = [c for c in docs.columns if c != "language"]
     kind = "struct<predicted: string, score: double, shares: map<string, double>>"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -48,6 +50,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, letters: int,
     return column.chunk(0) if isinstance(column, pa.ChunkedArray) else column, texts["_label"].to_pylist()
 
 
+def fitted(fit: Callable, sample: tuple[pa.Array, list]):
+    """What ``fit`` returns for a sample; the memory that Arrow took for it goes back to the system, as the driver runs on."""
+    model = fit(*sample)
+    del sample
+    pa.default_memory_pool().release_unused()
+    return model
+
+
 class Adagrad:
     """Steps for one array of weights, each weight with a rate of its own."""
 

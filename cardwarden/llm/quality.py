@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.learning import Ftrl, labelled_sample, sigmoid
+from cardwarden.llm.learning import Ftrl, fitted, labelled_sample, sigmoid
 from cardwarden.llm.words import SOLID, ByteHashes, Words, bucket, filled, runs, slices
 
 BITS = 18
@@ -118,8 +118,7 @@ def with_grade(docs: DataFrame, ratings: DataFrame, tail: int = 1) -> DataFrame:
     The model is fitted on at most ``SAMPLE_ROWS`` rated rows; every row is graded, in its task.
     """
     known = ratings.where("rating is not null").groupBy("doc_id").agg(F.max("rating").alias("label"))
-    texts, y = labelled_sample(docs, known, SAMPLE_ROWS, SAMPLE_CHARS)
-    model = docs.sparkSession.sparkContext.broadcast(fit(texts, y))
+    model = docs.sparkSession.sparkContext.broadcast(fitted(fit, labelled_sample(docs, known, SAMPLE_ROWS, SAMPLE_CHARS)))
     columns = [c for c in docs.columns if c != "grade"]
 
     def graded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

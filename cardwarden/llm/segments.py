@@ -8,7 +8,7 @@ seen, up to a bound; results don't depend on what it holds.
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -72,11 +72,12 @@ def encode_together(segments: list[bytes], glue: bytes, id_bytes: np.ndarray, en
 class SegmentIds:
     """Ids of segments by one or more tokenizers; ``encode`` gives those of a list of segments for each tokenizer.
 
-    ``encode`` may put the segments in another order, which it returns beside the ids.
+    ``encode`` may put the segments in another order, which it returns beside the ids. ``room``
+    times the module's bounds are kept.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[list[bytes], list[Ids]]], tokenizers: int = 1):
-        self.encode, self.base, self.bytes = encode, 0, 0
+    def __init__(self, encode: Callable[[list[bytes]], tuple[list[bytes], list[Ids]]], tokenizers: int = 1, room: int = 1):
+        self.encode, self.room, self.base, self.bytes = encode, room, 0, 0
         self.number: dict[bytes, int] = {}
         self.ids = [np.zeros(0, np.int32)] * tokenizers
         self.at = [np.zeros(1, np.int64)] * tokenizers
@@ -90,13 +91,16 @@ class SegmentIds:
 
     def numbers(self, segments: list[bytes]) -> np.ndarray:
         """A number for each segment; it holds until the next call."""
-        if len(self.number) > self.base + MOST_SEGMENTS or self.bytes > MOST_BYTES:
+        if len(self.number) > self.base + self.room * MOST_SEGMENTS or self.bytes > self.room * MOST_BYTES:
             self._forget()
-        new = list(set(segments) - self.number.keys())
-        if new:
-            new, found = self.encode(new)
+        numbers = np.fromiter(map(self.number.get, segments, repeat(-1)), np.int64, len(segments))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            unseen = [segments[i] for i in missing.tolist()]
+            new, found = self.encode(list(dict.fromkeys(unseen)))
             self._add(new, found)
-        return np.fromiter(map(self.number.__getitem__, segments), np.int64, len(segments))
+            numbers[missing] = [self.number[s] for s in unseen]
+        return numbers
 
     def _add(self, new: list[bytes], found: list[Ids]) -> None:
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))

@@ -38,6 +38,8 @@ _HEADER, _TRAILER = "<8s32sII", "<QQQ8s"
 LEVEL = 3
 #: Bytes of text encoded at a time; a task holds about 50 times so much besides the parts it knows.
 SLICE_BYTES = 1 << 21
+#: Parts that a task keeps, times the bounds of ``segments``: words are short.
+ROOM = 4
 #: Text of one file at most, on average.
 FILE_BYTES = 256 << 20
 #: The dictionary is trained on the sample of ``segments.sample_texts``.
@@ -69,7 +71,7 @@ class Encoder:
         self.id_bytes = np.zeros(names[-1][0] + 1, np.int64)
         for i, token in names:
             self.id_bytes[i] = len(token.removesuffix("</w>"))  # a byte is one character of a token
-        self.known = SegmentIds(self._encode_parts)
+        self.known = SegmentIds(self._encode_parts, room=ROOM)
         if known is not None:
             self.known.learn(known)
 

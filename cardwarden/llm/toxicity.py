@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.learning import Adagrad, Ftrl, labelled_sample, sigmoid, softplus
+from cardwarden.llm.learning import Adagrad, Ftrl, fitted, labelled_sample, sigmoid, softplus
 from cardwarden.llm.words import LETTER, Words, bucket, filled, runs, slices
 
 BITS = 18
@@ -128,8 +128,7 @@ def with_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     The model is fitted on at most ``SAMPLE_ROWS`` labelled rows; every row is scored, in its task.
     """
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    texts, y = labelled_sample(docs, known, SAMPLE_ROWS, SAMPLE_CHARS)
-    model = docs.sparkSession.sparkContext.broadcast(fit(texts, y))
+    model = docs.sparkSession.sparkContext.broadcast(fitted(fit, labelled_sample(docs, known, SAMPLE_ROWS, SAMPLE_CHARS)))
     columns = [c for c in docs.columns if c != "toxicity"]
     kind = "struct<score: double, predicted: int, sentences: array<struct<start: bigint, text: string, score: double>>>"
 

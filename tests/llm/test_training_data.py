@@ -83,6 +83,14 @@ def test_components_in_few_steps(spark, monkeypatch):
     assert len(made) > 4
 
 
+def test_memory_of_a_fit_goes_back(monkeypatch):
+    released = []
+    pool = type("Pool", (), {"release_unused": lambda self: released.append(True)})()
+    monkeypatch.setattr(learning.pa, "default_memory_pool", lambda: pool)
+    assert learning.fitted(lambda texts, labels: (len(texts), labels), (pa.array(["a", "b"]), [0, 1])) == (2, [0, 1])
+    assert released == [True]
+
+
 def test_knapsack_is_exact():
     draw = np.random.default_rng(3)
     for _ in range(40):
